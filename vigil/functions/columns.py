@@ -48,7 +48,7 @@ def month_bucket(date_col: str | Column = "dateGMT", n: int = 10) -> Column:
     Null when the date is too short to hold a month."""
     d = _c(date_col)
     h = F.ascii(F.substring(d, 6, 1)) * 31 + F.ascii(F.substring(d, 7, 1))
-    return F.when(F.length(d) >= 7, F.pmod(F.bitwise_and(h, F.lit(0x7FFFFFFF)), F.lit(n)))
+    return F.when(F.length(d) >= 7, F.pmod(h.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(n)))
 
 
 def device_bucket(key: str | Column = "device_key", n: int = 10) -> Column:
