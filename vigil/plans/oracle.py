@@ -124,3 +124,174 @@ SELECT device_key, seq, n AS record_number, measurement{kept},
        ELSE 0.0::DOUBLE END AS anomaly,
   predictionNext
 FROM prv"""
+
+
+# --------------------------------------------------------------------------
+# Oracle SQL per registered query (events fixture = F1, orders fixture = F1b)
+# --------------------------------------------------------------------------
+
+S = DEFAULT
+EV = events_records()
+OR = orders_records()
+TY = typed(EV)
+TYO = typed(OR)
+SCORED = scored(TY)
+RESULTS = "prediction, error, anomaly, predictionNext"
+
+
+def _raw_coalesced(prefix: str = "") -> str:
+    return ", ".join(f"coalesce({prefix}{f}, '') AS {f}" for f in RAW_FIELDS)
+
+
+def _json(prefix: str = "") -> str:
+    parts = [f"'{f}': {prefix}{f}" for f in RAW_FIELDS] + [
+        f"'{f}': {prefix}{f}" for f in ("prediction", "error", "anomaly", "predictionNext")]
+    return "to_json({" + ", ".join(parts) + "})"
+
+
+def _zeros() -> str:
+    return ", ".join(f"0.0::DOUBLE AS {f}" for f in ("prediction", "error", "anomaly", "predictionNext"))
+
+
+def _text() -> str:
+    parts = []
+    for i, f in enumerate(RAW_FIELDS + ["prediction", "error", "anomaly", "predictionNext"]):
+        parts.append(f"'{', ' if i else ''}{f}=' || coalesce(CAST({f} AS VARCHAR), 'null')")
+    return "'MonitoringRecord [' || " + " || ".join(parts) + " || ']'"
+
+
+def _month_bucket(d: str, n: int) -> str:
+    return (f"CASE WHEN length({d}) >= 7 THEN CAST(((ascii(substr({d}, 6, 1)) * 31 + "
+            f"ascii(substr({d}, 7, 1))) & 2147483647) % {n} AS INTEGER) END")
+
+
+def _season_bits(ts: str) -> str:
+    c = f"CAST(floor((dayofyear({ts}) - 1) * {S.season_bits} / 366) AS INTEGER)"
+    half = S.season_w // 2
+    return (f"list_transform(range({c} - {half}, {c} + {S.season_w - half}), "
+            f"lambda i: ((i % {S.season_bits}) + {S.season_bits}) % {S.season_bits})")
+
+
+def _scalar_bits(x: str) -> str:
+    b = bucket(x)
+    return f"range({b}, {b} + {S.scalar_w})"
+
+
+def _positions() -> str:
+    return (f"SELECT seq, CAST(row_number() OVER (ORDER BY seq) - 1 AS BIGINT) AS position, "
+            f"CAST(floor((row_number() OVER (ORDER BY seq) - 1) / {S.replay_batch_size}) AS BIGINT) "
+            f"AS replay_batch FROM ({EV})")
+
+
+def _display() -> str:
+    return (f"SELECT *, CAST(row_number() OVER (ORDER BY event_time, seq) - 1 AS BIGINT) AS x FROM ("
+            f"SELECT s.*, t.event_time FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) "
+            f"ORDER BY t.event_time DESC, s.seq DESC LIMIT {S.display_rows})")
+
+
+def _series() -> str:
+    return " UNION ALL ".join(
+        f"SELECT x, '{c}' AS series, CAST({c} AS DOUBLE) AS y FROM ({_display()})"
+        for c in ("measurement", "error", "anomaly", "prediction"))
+
+
+def _points() -> str:
+    return f"SELECT x, measurement AS y FROM ({_display()}) WHERE anomaly >= {S.anomaly_threshold!r}"
+
+
+def all_sql() -> dict[str, str]:
+    from vigil.operators.reports import CHART_SERIES
+    pairs = " UNION ALL ".join(f"SELECT '{c}' AS chart, '{s}' AS series" for c, s in CHART_SERIES)
+    score_cols = f"device_key, seq, record_number, measurement, {RAW_LIST}, {RESULTS}"
+    q = {
+        "csv_scan": f"SELECT {_raw_coalesced()} FROM ({EV})",
+        "record_map": (f"SELECT device_key, seq, {_raw_coalesced()}, {RESULTS}, CAST(28 AS INTEGER) AS fields, "
+                       f"CAST(NULL AS VARCHAR) AS reason FROM ({SCORED})"),
+        "device_key": f"SELECT device_key, seq FROM ({TY})",
+        "event_time": f"SELECT device_key, seq, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time FROM ({TY})",
+        "measurement": f"SELECT device_key, seq, measurement FROM ({TY})",
+        "month_bucket": f"SELECT seq, dateGMT, {_month_bucket('dateGMT', S.month_partitions)} AS month_bucket FROM ({OR})",
+        "device_bucket_check": (f"SELECT device_key, CAST(count(DISTINCT {_month_bucket('dateGMT', S.month_partitions)}) "
+                                f"AS BIGINT) AS month_partitions, CAST(1 AS BIGINT) AS device_partitions "
+                                f"FROM ({TYO}) GROUP BY device_key"),
+        "json_encode": f"SELECT device_key AS key, {_json()} AS value FROM (SELECT *, {_zeros()} FROM ({TY}))",
+        "json_decode": f"SELECT device_key AS key, {RAW_LIST}, {_zeros()} FROM ({TY})",
+        "json_roundtrip": f"SELECT device_key, seq, true AS roundtrip_equal FROM ({TY})",
+        "record_diff": (f"SELECT device_key, seq, 'changed' AS side, CAST("
+                        + " + ".join(f"CAST(({f} IS DISTINCT FROM 0.0) AS INTEGER)" for f in
+                                     ("prediction", "error", "anomaly", "predictionNext"))
+                        + f" AS BIGINT) AS fields_differing FROM ({SCORED}) WHERE "
+                        + " OR ".join(f"{f} IS DISTINCT FROM 0.0" for f in
+                                      ("prediction", "error", "anomaly", "predictionNext"))),
+        "record_text": f"SELECT device_key, seq, {_text()} AS text FROM (SELECT *, {_zeros()} FROM ({TY}))",
+        "quarantine": (f"SELECT device_key, seq, CASE WHEN event_time IS NULL THEN 'bad_time' "
+                       f"WHEN measurement IS NULL THEN 'bad_measurement' ELSE 'ok' END AS reason FROM ({TY})"),
+        "encode_scalar": (f"SELECT device_key, seq, {bucket('measurement')} AS bucket, "
+                          f"CAST(list_min({_scalar_bits('measurement')}) AS INTEGER) AS first_bit, "
+                          f"CAST(list_max({_scalar_bits('measurement')}) AS INTEGER) AS last_bit, "
+                          f"CAST(len({_scalar_bits('measurement')}) AS INTEGER) AS n_bits, "
+                          f"CAST(list_sum({_scalar_bits('measurement')}) AS BIGINT) AS bit_sum FROM ({TY})"),
+        "encode_season": (f"SELECT device_key, seq, CAST(dayofyear(event_time) AS INTEGER) AS day_of_year, "
+                          f"CAST(len(list_distinct({_season_bits('event_time')})) AS INTEGER) AS n_bits, "
+                          f"CAST(list_min({_season_bits('event_time')}) AS INTEGER) AS min_bit, "
+                          f"CAST(list_max({_season_bits('event_time')}) AS INTEGER) AS max_bit, "
+                          f"CAST(list_sum({_season_bits('event_time')}) AS BIGINT) AS bit_sum FROM ({TYO})"),
+        "encode_record": (f"SELECT device_key, seq, CAST(len(list_distinct(bits)) AS INTEGER) AS n_bits, "
+                          f"CAST(list_max(bits) AS INTEGER) AS max_bit, CAST(list_sum(bits) AS BIGINT) AS bit_sum "
+                          f"FROM (SELECT device_key, seq, list_concat({_scalar_bits('measurement')}, "
+                          f"list_transform({_season_bits('event_time')}, lambda i: i + {S.scalar_bits})) AS bits "
+                          f"FROM ({TYO}))"),
+        "record_number": f"SELECT device_key, seq, record_number FROM ({SCORED})",
+        "record_number_blocked": f"SELECT device_key, seq, record_number FROM ({SCORED})",
+        "predict_next": f"SELECT device_key, seq, record_number, predictionNext FROM ({SCORED})",
+        "anomaly_score": f"SELECT device_key, seq, anomaly FROM ({SCORED})",
+        "lagged_error": (f"SELECT device_key, seq, error, abs(prediction - measurement) AS aligned_error "
+                         f"FROM ({SCORED})"),
+        "warmup_gate": (f"SELECT device_key, seq, record_number, record_number < {S.warmup_rows} AS in_warmup, "
+                        f"error, anomaly FROM ({SCORED}) WHERE record_number <= {S.warmup_rows}"),
+        "score_batch": f"SELECT {score_cols} FROM ({SCORED})",
+        "score_segmented": f"SELECT {score_cols} FROM ({SCORED})",
+        "device_snapshot": (f"SELECT device_key, s.record_number AS record_number, s.measurement AS actual, "
+                            f"s.prediction AS prediction, s.error AS error, s.anomaly AS anomaly, "
+                            f"s.predictionNext AS prediction_next, {bucket('s.measurement')} AS bucket FROM ("
+                            f"SELECT device_key, arg_max({{'record_number': record_number, 'measurement': measurement, "
+                            f"'prediction': prediction, 'error': error, 'anomaly': anomaly, "
+                            f"'predictionNext': predictionNext}}, record_number) AS s FROM ({SCORED}) GROUP BY device_key)"),
+        "device_error_stats": (f"SELECT device_key, count(*) AS rows, round(avg(error), 9) AS mean_error, "
+                               f"round(sqrt(avg(error * error)), 9) AS rms_error, round(avg(anomaly), 9) AS mean_anomaly "
+                               f"FROM ({SCORED}) WHERE record_number >= {S.warmup_rows} GROUP BY device_key"),
+        "raw_publish": (f"SELECT device_key AS key, {_json()} AS value, "
+                        f"{_month_bucket('dateGMT', S.month_partitions)} AS partition, seq "
+                        f"FROM (SELECT *, {_zeros()} FROM ({TY}))"),
+        "replay_batches": _positions(),
+        "batch_counts": (f"SELECT replay_batch, count(*) AS records, max(position) + 1 AS sent_total "
+                         f"FROM ({_positions()}) GROUP BY replay_batch"),
+        "stream_ingest": (f"SELECT device_key, seq, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, "
+                          f"measurement FROM ({TY})"),
+        "stream_score": f"SELECT {score_cols} FROM ({SCORED})",
+        "stream_resume": f"SELECT {score_cols} FROM ({SCORED})",
+        "enriched_read": f"SELECT {score_cols} FROM ({SCORED})",
+        "order_violations": (f"SELECT device_key, seq, arrival, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, "
+                             f"strftime(prev_time, '%Y-%m-%d %H:%M:%S') AS prev_time FROM ("
+                             f"SELECT *, lag(event_time) OVER (PARTITION BY device_key ORDER BY arrival) AS prev_time "
+                             f"FROM ({TY})) WHERE event_time < prev_time"),
+        "order_violations_blocked": (f"SELECT device_key, seq, arrival, strftime(event_time, '%Y-%m-%d %H:%M:%S') "
+                                     f"AS event_time, strftime(prev_time, '%Y-%m-%d %H:%M:%S') AS prev_time FROM ("
+                                     f"SELECT *, lag(event_time) OVER (PARTITION BY device_key ORDER BY arrival) "
+                                     f"AS prev_time FROM ({TY})) WHERE event_time < prev_time"),
+        "state_uniqueness": (f"SELECT device_key, count(*) AS rows, max(record_number) + 1 AS numbered, "
+                             f"count(DISTINCT record_number) AS distinct_numbers, "
+                             f"(count(*) = max(record_number) + 1 AND count(*) = count(DISTINCT record_number)) "
+                             f"AS one_model FROM ({SCORED}) GROUP BY device_key"),
+        "window_summary": (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
+                           f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
+                           f"max(s.measurement) AS max_measurement, max(anomaly) AS max_anomaly, "
+                           f"sum(CAST(anomaly >= {S.anomaly_threshold!r} AS BIGINT)) AS anomalous "
+                           f"FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) GROUP BY ALL"),
+        "last_n": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ({_display()})"),
+        "chart_series": _series(),
+        "anomaly_points": _points(),
+        "chart_pairs": (f"SELECT p.chart, s.series, s.x, s.y FROM ({_series()} UNION ALL "
+                        f"SELECT x, 'points' AS series, y FROM ({_points()})) s JOIN ({pairs}) p USING (series)"),
+    }
+    return q
