@@ -55,34 +55,39 @@ def finish(df: DataFrame, s: ScoreSettings, prev: dict[str, Column]) -> DataFram
     ``prev`` gives ``pn1`` (predictionNext at n-1), ``pn2`` (at n-2), ``x1``
     (measurement at n-1), ``plo``/``phi`` (successor set of b at n-1).
     """
+    # Materialise the previous-row values once; the coverage formula reads
+    # them several times and must not repeat the window functions.
+    df = df.select("*", *[c.alias(f"_{k}") for k, c in prev.items()])
     n = F.col("record_number")
     warm = n >= F.lit(s.warmup_rows)
-    cover = covered_bits(F.coalesce(prev["plo"], F.lit(0).cast("long")),
-                         F.coalesce(prev["phi"], F.lit(0).cast("long")),
+    zero = F.lit(0).cast("long")
+    cover = covered_bits(F.coalesce(F.col("_plo"), zero), F.coalesce(F.col("_phi"), zero),
                          F.col("b"), s.scalar_w)
-    return df.select(
+    out = df.select(
         "*",
-        F.coalesce(prev["pn1"], F.lit(0.0)).alias("prediction"),
-        F.when(warm, F.abs(prev["pn2"] - prev["x1"])).otherwise(F.lit(0.0)).alias("error"),
+        F.coalesce(F.col("_pn1"), F.lit(0.0)).alias("prediction"),
+        F.when(warm, F.abs(F.col("_pn2") - F.col("_x1"))).otherwise(F.lit(0.0)).alias("error"),
         F.when(warm, F.lit(1.0) - cover.cast("double") / F.lit(float(s.scalar_w)))
          .otherwise(F.lit(0.0)).alias("anomaly"),
     )
+    return out.drop(*[f"_{k}" for k in prev])
 
 
 def score_window(prepared: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
     """The model as windows over ``device_key`` (one exchange)."""
     by_time = Window.partitionBy("device_key").orderBy(*ORDER)
-    df = (prepared
-          .withColumn("record_number", (F.row_number().over(by_time) - 1).cast("long"))
-          .withColumn("to_b", F.lead("b").over(by_time)))
+    df = prepared.select("*", (F.row_number().over(by_time) - 1).cast("long").alias("record_number"),
+                         F.lead("b").over(by_time).alias("to_b"))
     by_pair = Window.partitionBy("device_key", "b", "to_b").orderBy("record_number")
     df = df.withColumn("c", F.row_number().over(by_pair).cast("long"))
+    # One select, so the three running aggregates share one Window operator
+    # (one sort, one buffer per (device, b) group).
     before = (Window.partitionBy("device_key", "b").orderBy("record_number")
               .rowsBetween(Window.unboundedPreceding, -1))
-    df = (df.withColumn("best", F.max(_mode_struct()).over(before))
-            .withColumn("succ_lo", F.bit_or(bit_lo("to_b")).over(before))
-            .withColumn("succ_hi", F.bit_or(bit_hi("to_b")).over(before))
-            .withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s)))
+    df = df.select("*", F.max(_mode_struct()).over(before).alias("best"),
+                   F.bit_or(bit_lo("to_b")).over(before).alias("succ_lo"),
+                   F.bit_or(bit_hi("to_b")).over(before).alias("succ_hi"))
+    df = df.withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s))
     by_n = Window.partitionBy("device_key").orderBy("record_number")
     prev = {
         "pn1": F.lag("predictionNext", 1).over(by_n),
