@@ -4,9 +4,14 @@ State per device:
 
 * ``last`` (value state): the previous row's number, bucket, next-step
   prediction, prediction, measurement and the successor set of its bucket;
-* ``trans`` (map state, key = from-bucket): for each bucket that followed it,
-  the count and the row number of the latest such transition (at most
-  ``n_buckets`` entries per key, so at most 101 x 101 per device).
+* ``trans`` (value state): the device's transition table as parallel arrays
+  (from-bucket, to-bucket, count, row number of the latest such transition);
+  at most 101 x 101 entries, read and written once per device and batch.
+
+The running mode of a from-bucket only changes through the entry that was
+just incremented, and that entry carries the newest row number, so the mode
+is updated as ``max(mode, (count, row, to))`` and the successor set as a
+bit-or: constant work per row.
 
 For each micro-batch a device's rows are sorted by (event_time, seq) and
 scored in turn with the same definitions as the batch plan, so an
@@ -28,17 +33,19 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from vigil.functions import columns as C
 from vigil.operators.bitsets import WORD
 from vigil.operators.score import valid_rows, with_bucket
-from vigil.schema import RAW_FIELDS, RESULT_FIELDS
+from vigil.schema import KEY_FIELDS, RAW_FIELDS, RESULT_FIELDS
 from vigil.settings import DEFAULT, ScoreSettings
 
 LAST_SCHEMA = ("n long, b int, pn double, pred double, x double, slo long, shi long")
-TRANS_KEY = "frm int"
-TRANS_VALUE = "tos array<int>, cnts array<long>, lasts array<long>"
+TRANS_SCHEMA = "frms array<int>, tos array<int>, cnts array<long>, lasts array<long>"
 
+# Only the key, order, bucket and measurement cross into Python; the record
+# itself rides along as its JSON text (one column instead of 24) and the
+# four results are merged into it on the JVM side afterwards.
 OUTPUT_SCHEMA = T.StructType(
     [T.StructField("device_key", T.StringType()), T.StructField("seq", T.LongType()),
+     T.StructField("value", T.StringType()),
      T.StructField("record_number", T.LongType()), T.StructField("measurement", T.DoubleType())]
-    + [T.StructField(f, T.StringType()) for f in RAW_FIELDS]
     + [T.StructField(f, T.DoubleType()) for f in RESULT_FIELDS])
 
 
@@ -65,55 +72,64 @@ class ScoreProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", LAST_SCHEMA)
-        self.trans = handle.getMapState("trans", TRANS_KEY, TRANS_VALUE)
-
-    def _load(self, cache: dict, frm: int) -> dict:
-        if frm not in cache:
-            v = self.trans.getValue((frm,)) if self.trans.containsKey((frm,)) else None
-            cache[frm] = ({int(t): [int(c), int(m)] for t, c, m in zip(v[0], v[1], v[2])} if v else {})
-        return cache[frm]
+        self.trans = handle.getValueState("trans", TRANS_SCHEMA)
+
+    def _load(self):
+        table: dict[tuple[int, int], list[int]] = {}
+        best: dict[int, tuple[int, int, int]] = {}
+        bits: dict[int, int] = {}
+        if self.trans.exists():
+            frms, tos, cnts, lasts = self.trans.get()
+            for f, t, c, m in zip(frms, tos, cnts, lasts):
+                f, t, c, m = int(f), int(t), int(c), int(m)
+                table[(f, t)] = [c, m]
+                cand = (c, m, t)
+                if f not in best or cand > best[f]:
+                    best[f] = cand
+                bits[f] = bits.get(f, 0) | (1 << t)
+        return table, best, bits
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         s = self.s
+        w, res, lo = s.scalar_w, s.scalar_resolution, s.scalar_min
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["event_time", "seq"], kind="mergesort")
         last = self.last.get() if self.last.exists() else None
-        cache: dict[int, dict] = {}
+        table, best, bits = self._load()
         n_out, pred_out, err_out, anom_out, pn_out = [], [], [], [], []
-        for x, b in zip(pdf["measurement"].to_numpy(), pdf["b"].to_numpy()):
-            x, b = float(x), int(b)
+        for x, b in zip(pdf["measurement"].tolist(), pdf["b"].tolist()):
+            b = int(b)
             if last is None:
                 n, pred, err, anom = 0, 0.0, 0.0, 0.0
             else:
                 ln, lb, lpn, lpred, lx, lslo, lshi = last
                 n = ln + 1
-                row = self._load(cache, lb)
-                entry = row.setdefault(b, [0, -1])
-                entry[0] += 1
-                entry[1] = ln
+                e = table.get((lb, b))
+                if e is None:
+                    e = table[(lb, b)] = [0, -1]
+                e[0] += 1
+                e[1] = ln
+                cand = (e[0], ln, b)
+                if lb not in best or cand > best[lb]:
+                    best[lb] = cand
+                bits[lb] = bits.get(lb, 0) | (1 << b)
                 pred = lpn
                 if n >= s.warmup_rows:
                     err = abs(lpred - lx)
-                    anom = 1.0 - float(covered(b, lslo | (lshi << WORD), s.scalar_w)) / float(s.scalar_w)
+                    anom = 1.0 - float(covered(b, lslo | (lshi << WORD), w)) / float(w)
                 else:
                     err, anom = 0.0, 0.0
-            succ = self._load(cache, b)
-            if succ:
-                best_to = max(succ.items(), key=lambda kv: (kv[1][0], kv[1][1], kv[0]))[0]
-            else:
-                best_to = b
-            pn = best_to * s.scalar_resolution + s.scalar_min
-            bits = 0
-            for t in succ:
-                bits |= 1 << t
-            last = (n, b, pn, pred, x, bits & ((1 << WORD) - 1), bits >> WORD)
+            mode = best.get(b)
+            pn = (mode[2] if mode else b) * res + lo
+            succ = bits.get(b, 0)
+            last = (n, b, pn, pred, x, succ & ((1 << WORD) - 1), succ >> WORD)
             n_out.append(n); pred_out.append(pred); err_out.append(err); anom_out.append(anom); pn_out.append(pn)
-        for frm, row in cache.items():
-            if row:
-                tos = sorted(row)
-                self.trans.updateValue((frm,), (tos, [row[t][0] for t in tos], [row[t][1] for t in tos]))
+        if table:
+            keys = sorted(table)
+            self.trans.update(([f for f, _ in keys], [t for _, t in keys],
+                               [table[k][0] for k in keys], [table[k][1] for k in keys]))
         if last is not None:
             self.last.update(last)
-        out = pdf[["device_key", "seq", "measurement", *RAW_FIELDS]].copy()
+        out = pdf[["device_key", "seq", "value", "measurement"]].copy()
         out["record_number"] = n_out
         out["prediction"] = pred_out
         out["error"] = err_out
@@ -132,13 +148,19 @@ def _stream_conf(spark: SparkSession) -> None:
 
 
 def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
-    """Streaming wire rows (key, value JSON, seq) -> scored rows."""
-    rec = wire_stream.select("seq", C.json_decode("value").alias("r")).select("seq", "r.*")
-    typed = rec.select(C.device_key().alias("device_key"), C.event_time().alias("event_time"),
-                       C.measurement().alias("measurement"), "seq", *RAW_FIELDS)
+    """Streaming wire rows (key, value JSON, seq) -> scored rows: device_key,
+    seq, record_number, measurement, the 24 record fields, the 4 results."""
+    ship_package(wire_stream.sparkSession)
+    rec = wire_stream.select("seq", "value", C.json_decode("value").alias("r"))
+    typed = rec.select(C.device_key(*[F.col(f"r.{k}") for k in KEY_FIELDS]).alias("device_key"),
+                       C.event_time("r.dateGMT", "r.timeGMT").alias("event_time"),
+                       C.measurement("r.sampleMeasurement").alias("measurement"), "seq", "value")
     good = with_bucket(valid_rows(typed), s)
-    return (good.groupBy("device_key")
-            .transformWithStateInPandas(ScoreProcessor(s), OUTPUT_SCHEMA, "append", "None"))
+    scored = (good.groupBy("device_key")
+              .transformWithStateInPandas(ScoreProcessor(s), OUTPUT_SCHEMA, "append", "None"))
+    return (scored.select("*", C.json_decode("value").alias("r"))
+            .select("device_key", "seq", "record_number", "measurement",
+                    *[F.col(f"r.{f}").alias(f) for f in RAW_FIELDS], *RESULT_FIELDS))
 
 
 def enriched_wire(scored: DataFrame) -> DataFrame:
@@ -148,23 +170,61 @@ def enriched_wire(scored: DataFrame) -> DataFrame:
                          "seq", "record_number")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vigil`` importable in the Python workers: executors get the
+    package with ``addPyFile``; the driver-side worker that starts a
+    stateful Python operator only sees the functions' ``PYTHONPATH``, so the
+    package root is added there too. Done once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    import os
+    import shutil
+    import tempfile
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(pkg)
+    out = tempfile.mkdtemp(prefix="vigil-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "vigil"), "zip", root, "vigil")
+    sc.addPyFile(archive)
+    current = sc.environment.get("PYTHONPATH", "")
+    sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, current) if p)
+    sc._vigil_shipped = True
+
+
+def start_with_partitions(spark: SparkSession, writer, partitions: int | None):
+    """Start a stream whose state is spread over ``partitions`` (fixed in the
+    checkpoint at the first start; later starts keep the stored number)."""
+    if not partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                 s: ScoreSettings = DEFAULT, files_per_trigger: int = 1,
-                max_batches: int | None = None) -> list[dict]:
+                max_batches: int | None = None, state_partitions: int | None = None) -> list[dict]:
     """Replay the landing folder through the scorer into the enriched sink
     (a Parquet file sink: exactly once) until the input is drained, or for
-    ``max_batches`` micro-batches. Returns the progress of each batch."""
+    ``max_batches`` micro-batches. Device state is spread over
+    ``state_partitions`` (default: the cluster's default parallelism).
+    Returns the progress of each batch."""
     from vigil.sources.topics import read_landing_stream
     _stream_conf(spark)
+    state_partitions = state_partitions or spark.sparkContext.defaultParallelism
     src = read_landing_stream(spark, landing, files_per_trigger)
     out = enriched_wire(score_stream(src, s))
     writer = (out.writeStream.format("parquet").option("path", sink)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     if max_batches is None:
-        q = writer.trigger(availableNow=True).start()
+        q = start_with_partitions(spark, writer.trigger(availableNow=True), state_partitions)
         q.awaitTermination()
     else:
-        q = writer.trigger(processingTime="0 seconds").start()
+        q = start_with_partitions(spark, writer.trigger(processingTime="0 seconds"), state_partitions)
         import time
         while True:
             done = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
