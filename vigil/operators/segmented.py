@@ -11,24 +11,29 @@ running quantity of the model is a two-level scan:
 2. across blocks: a small table with one row per (device, blk[, bucket…])
    holds each block's total (count, max, bit-or, last rows); an exclusive
    running total over ``blk`` gives each block its carry-in;
-3. the carry joins back on (device, blk[, …]) and combines with the local
-   value (sum, greatest, bit-or, or replaces the first rows' lags).
-
-Only the first and last device of a range continue across a block edge, so
-the numbering and lag carries hold at most ``2 * blocks`` rows and are
-broadcast on that bound. The transition-count and successor carries hold at
-most one continuing device per block times its bucket pairs; their join is
-left to AQE, which broadcasts them when their measured size is small and
-otherwise shuffles only on (device, blk, …), which no hot key can skew.
-
-Work over the full rows: the range exchange, one checkpoint write of the
-blocked rows (so ``blk`` is fixed once, see ``assign_blocks``), and one hash
-exchange on (device_key, blk); every later window and join keeps that
-partitioning.
+3. the carry joins back and combines with the local value (sum, greatest,
+   bit-or, or replaces the first rows' lags).
+
+Every carry is keyed by (device, blk) alone (per-bucket values travel as a
+small map), which is exactly the partitioning of the blocked rows, so no
+carry join ever moves the rows: it is broadcast when small and otherwise
+only the carry side is shuffled. Only a block's first device continues from
+an earlier block, so each carry has at most ``blocks`` rows (numbering:
+``2 * blocks``), the maps at most 101 x 102 entries.
+
+Work over all rows: the scoring runs on the narrow columns (key, order,
+measurement, bucket). One range exchange and one hash exchange on
+(device_key, blk) place them in a persisted relation (see
+``blocked_rows``); every window, aggregate and carry join after that keeps
+its partitioning. The narrow scores are checkpointed (reliable, in
+``spark.checkpoint.dir``), which cuts the lineage and lets the cache go; the
+record's other fields join back once on the unique (device_key, seq).
+The plan is eager: it runs its jobs when called.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,48 +43,57 @@ from vigil.operators.score import ORDER, finish
 from vigil.settings import DEFAULT, ScoreSettings
 
 UNB = Window.unboundedPreceding
+NARROW = ["device_key", "event_time", "seq", "measurement", "b"]
 
 
-def _blocks_default(prepared: DataFrame) -> int:
-    return int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _blocks_default(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def assign_blocks(prepared: DataFrame, blocks: int) -> DataFrame:
-    """Cut the device-ordered rows into ``blocks`` contiguous ranges and
-    write them to the checkpoint folder.
+def blocked_rows(narrow: DataFrame, blocks: int) -> DataFrame:
+    """Cut the device-ordered rows into ``blocks`` ranges (``blk``) and place
+    them by (device_key, blk), persisted.
 
-    The range bounds come from a sample whose seed depends on the RDD, so two
-    plan branches that each ran their own range exchange could cut at
-    different rows. Checkpointing (reliable, in ``spark.checkpoint.dir``)
-    fixes ``blk`` once; every branch below reads the same rows, and a lost
-    executor re-reads them instead of re-cutting.
-    """
-    from vigil.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(prepared.sparkSession)
-    return (prepared.repartitionByRange(blocks, "device_key", *ORDER)
+    Every later step reads this one cached relation, so all plan branches
+    see the same ``blk`` (two separate range exchanges would each draw their
+    own sample and could cut at different rows), and the cached relation
+    keeps its hash(device_key, blk) partitioning, so no later window,
+    aggregate or carry join moves the rows again. A lost cached block is
+    recomputed from the same shuffle dependency, hence the same cut.
+    The cache is filled here: plans built on a filled cache see its
+    partitioning (an unfilled one reports none)."""
+    base = (narrow.repartitionByRange(blocks, "device_key", *ORDER)
             .withColumn("blk", F.spark_partition_id())
-            .checkpoint(eager=True))
+            .repartition(blocks, "device_key", "blk")
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    base.count()
+    return base
+
+
+def _pair_key(b, to_k):
+    return b * F.lit(128) + to_k + F.lit(1)
 
 
 def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int | None = None) -> DataFrame:
     blocks = blocks or _blocks_default(prepared)
-    ranged = assign_blocks(prepared, blocks)
-
-    # 1. Local numbering and successor inside each (device, blk).
+    payload = [c for c in prepared.columns if c not in NARROW]
+    base = blocked_rows(prepared.select(*NARROW), blocks)
     local = Window.partitionBy("device_key", "blk").orderBy(*ORDER)
-    a = (ranged.withColumn("ln", F.row_number().over(local).cast("long"))
-               .withColumn("nb_local", F.lead("b").over(local)))
+    a = base.select("*", F.row_number().over(local).cast("long").alias("ln"),
+                    F.lead("b").over(local).alias("nb_local"))
+    by_blk = Window.partitionBy("device_key").orderBy("blk")
+
+    # 1. Global row number and the successor across the block edge.
     edge = a.groupBy("device_key", "blk").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.max(F.when(F.col("ln") == 1, F.col("b"))).alias("first_b"))
-    by_blk = Window.partitionBy("device_key").orderBy("blk")
+        F.min_by("b", "ln").alias("first_b"))
     carry1 = (edge.select(
         "device_key", "blk",
         F.coalesce(F.sum("cnt").over(by_blk.rowsBetween(UNB, -1)), F.lit(0)).cast("long").alias("off"),
         F.lead("first_b").over(by_blk).alias("next_first_b"))
         .filter((F.col("off") > 0) | F.col("next_first_b").isNotNull()))
-    # Bound: per block only its first device has off > 0 and only its last
-    # device has a next block, so carry1 has at most 2 * blocks rows.
+    # <= 2 * blocks rows: per block only its first device has off > 0 and only
+    # its last device continues into a later block.
     a = (a.join(F.broadcast(carry1), ["device_key", "blk"], "left")
           .withColumn("record_number", F.coalesce(F.col("off"), F.lit(0)) + F.col("ln") - 1)
           .withColumn("to_b", F.coalesce(F.col("nb_local"), F.col("next_first_b")))
@@ -87,49 +101,55 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
           .drop("off", "next_first_b", "nb_local"))
 
     # 2. Running count of each transition (device, b, to).
-    pair = Window.partitionBy("device_key", "blk", "b", "to_k").orderBy("ln")
-    b2 = a.withColumn("lc", F.row_number().over(pair).cast("long"))
-    pair_tot = b2.groupBy("device_key", "b", "to_k", "blk").agg(F.count(F.lit(1)).alias("cnt2"))
+    pair_tot = a.groupBy("device_key", "b", "to_k", "blk").agg(F.count(F.lit(1)).alias("cnt2"))
     by_pair_blk = Window.partitionBy("device_key", "b", "to_k").orderBy("blk")
     carry2 = (pair_tot.select(
-        "device_key", "b", "to_k", "blk",
+        "device_key", "blk", _pair_key(F.col("b"), F.col("to_k")).alias("pk"),
         F.sum("cnt2").over(by_pair_blk.rowsBetween(UNB, -1)).cast("long").alias("off2"))
-        .filter(F.col("off2").isNotNull()))
-    b2 = (b2.join(carry2, ["device_key", "b", "to_k", "blk"], "left")
-            .withColumn("c", F.col("lc") + F.coalesce(F.col("off2"), F.lit(0)))
-            .drop("lc", "off2"))
+        .filter(F.col("off2").isNotNull())
+        .groupBy("device_key", "blk")
+        .agg(F.map_from_entries(F.collect_list(F.struct("pk", "off2"))).alias("m2")))
+    pair = Window.partitionBy("device_key", "blk", "b", "to_k").orderBy("ln")
+    b2 = (a.withColumn("lc", F.row_number().over(pair).cast("long"))
+           .join(carry2, ["device_key", "blk"], "left")
+           .withColumn("c", F.col("lc") + F.coalesce(
+               F.try_element_at("m2", _pair_key(F.col("b"), F.col("to_k"))), F.lit(0)))
+           .drop("lc", "m2"))
 
-    # 3. Running mode and successor set of b, over rows before this one.
+    # 3. Running mode and successor set of b over the rows before this one.
     mode = F.struct(F.col("c"), F.col("record_number"), F.col("to_b"))
-    before = Window.partitionBy("device_key", "blk", "b").orderBy("ln").rowsBetween(UNB, -1)
-    c3 = (b2.withColumn("best_l", F.max(mode).over(before))
-            .withColumn("lo_l", F.bit_or(bit_lo("to_b")).over(before))
-            .withColumn("hi_l", F.bit_or(bit_hi("to_b")).over(before)))
     b_tot = b2.groupBy("device_key", "b", "blk").agg(
         F.max(mode).alias("bm"), F.bit_or(bit_lo("to_b")).alias("blo"), F.bit_or(bit_hi("to_b")).alias("bhi"))
     by_b_blk = Window.partitionBy("device_key", "b").orderBy("blk").rowsBetween(UNB, -1)
     carry3 = (b_tot.select(
         "device_key", "b", "blk",
-        F.max("bm").over(by_b_blk).alias("best_c"),
-        F.bit_or("blo").over(by_b_blk).alias("lo_c"),
-        F.bit_or("bhi").over(by_b_blk).alias("hi_c"))
-        .filter(F.col("best_c").isNotNull()))
+        F.struct(F.max("bm").over(by_b_blk).alias("best"),
+                 F.bit_or("blo").over(by_b_blk).alias("lo"),
+                 F.bit_or("bhi").over(by_b_blk).alias("hi")).alias("v"))
+        .filter(F.col("v.best").isNotNull())
+        .groupBy("device_key", "blk")
+        .agg(F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("m3")))
+    before = Window.partitionBy("device_key", "blk", "b").orderBy("ln").rowsBetween(UNB, -1)
     zero = F.lit(0).cast("long")
-    c3 = (c3.join(carry3, ["device_key", "b", "blk"], "left")
-            .withColumn("best", F.greatest("best_l", "best_c"))
-            .withColumn("succ_lo", F.coalesce("lo_l", zero).bitwiseOR(F.coalesce("lo_c", zero)))
-            .withColumn("succ_hi", F.coalesce("hi_l", zero).bitwiseOR(F.coalesce("hi_c", zero)))
+    c3 = (b2.select("*", F.max(mode).over(before).alias("best_l"),
+                    F.bit_or(bit_lo("to_b")).over(before).alias("lo_l"),
+                    F.bit_or(bit_hi("to_b")).over(before).alias("hi_l"))
+            .join(carry3, ["device_key", "blk"], "left")
+            .withColumn("cv", F.try_element_at("m3", F.col("b")))
+            .withColumn("best", F.greatest("best_l", "cv.best"))
+            .withColumn("succ_lo", F.coalesce("lo_l", zero).bitwiseOR(F.coalesce("cv.lo", zero)))
+            .withColumn("succ_hi", F.coalesce("hi_l", zero).bitwiseOR(F.coalesce("cv.hi", zero)))
             .withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s))
-            .drop("best_l", "lo_l", "hi_l", "best_c", "lo_c", "hi_c"))
+            .drop("best_l", "lo_l", "hi_l", "m3", "cv"))
 
-    # 4. Values of the previous one or two rows; the first rows of a block
-    #    take them from the tail of the device's earlier blocks.
+    # 4. Values of the previous one or two rows; a block's first rows take
+    #    them from the tail of the device's earlier blocks.
     seq_w = Window.partitionBy("device_key", "blk").orderBy("ln")
-    d = (c3.withColumn("pn1_l", F.lag("predictionNext", 1).over(seq_w))
-           .withColumn("pn2_l", F.lag("predictionNext", 2).over(seq_w))
-           .withColumn("x1_l", F.lag("measurement", 1).over(seq_w))
-           .withColumn("lo1_l", F.lag("succ_lo", 1).over(seq_w))
-           .withColumn("hi1_l", F.lag("succ_hi", 1).over(seq_w)))
+    d = c3.select("*", F.lag("predictionNext", 1).over(seq_w).alias("pn1_l"),
+                  F.lag("predictionNext", 2).over(seq_w).alias("pn2_l"),
+                  F.lag("measurement", 1).over(seq_w).alias("x1_l"),
+                  F.lag("succ_lo", 1).over(seq_w).alias("lo1_l"),
+                  F.lag("succ_hi", 1).over(seq_w).alias("hi1_l"))
     tail = d.groupBy("device_key", "blk").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.max_by(F.struct("predictionNext", "measurement", "succ_lo", "succ_hi", "pn1_l"), "ln").alias("last"))
@@ -142,7 +162,7 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
         F.lag("last.succ_lo").over(by_blk).alias("p_lo"),
         F.lag("last.succ_hi").over(by_blk).alias("p_hi"))
         .filter(F.col("p_pn1").isNotNull()))
-    # Bound: only a block's first device has an earlier block: <= blocks rows.
+    # <= blocks rows: only a block's first device has an earlier block.
     d = d.join(F.broadcast(carry4), ["device_key", "blk"], "left")
     ln = F.col("ln")
     prev = {
@@ -152,4 +172,15 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
         "plo": F.when(ln == 1, F.col("p_lo")).otherwise(F.col("lo1_l")),
         "phi": F.when(ln == 1, F.col("p_hi")).otherwise(F.col("hi1_l")),
     }
-    return finish(d, s, prev)
+    # Cut the lineage (reliable checkpoint in spark.checkpoint.dir) and free
+    # the cached rows; the narrow scores are what the caller reads.
+    from vigil.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(prepared.sparkSession)
+    scored = finish(d, s, prev).drop("blk", "ln", "to_b", "to_k", "c", "best", "succ_lo", "succ_hi",
+                                     "pn1_l", "pn2_l", "x1_l", "lo1_l", "hi1_l",
+                                     "p_pn1", "p_pn2", "p_x1", "p_lo", "p_hi").checkpoint(eager=True)
+    base.unpersist()
+    if not payload:
+        return scored
+    # The record's text fields join back once on the unique record key.
+    return scored.join(prepared.select("device_key", "seq", *payload), ["device_key", "seq"])
