@@ -95,12 +95,16 @@ def anomaly_points(points: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
 
 
 def chart_pairs(points: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
-    """(chart, series, x, y) for the four charts; the pairing table has
-    eight rows, so it is broadcast."""
+    """(chart, series, x, y) for the four charts, in one pass over the
+    display window: the four series plus the anomalous points; the pairing
+    table has eight rows, so it is broadcast."""
     spark = points.sparkSession
     pairs = spark.createDataFrame(CHART_SERIES, "chart string, series string")
-    series = chart_series(points).unionByName(
-        anomaly_points(points, s).select("x", F.lit("points").alias("series"), "y"))
+    stack = ("stack(5, " + ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in SERIES)
+             + ", 'points', CAST(measurement AS DOUBLE)) AS (series, y)")
+    series = (points.select("x", "anomaly", F.expr(stack))
+              .filter((F.col("series") != "points") | (F.col("anomaly") >= s.anomaly_threshold))
+              .drop("anomaly"))
     return series.join(F.broadcast(pairs), "series").select("chart", "series", "x", "y")
 
 
