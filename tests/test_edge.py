@@ -143,3 +143,11 @@ def test_display_cap_keeps_501(spark):
                                  F.lit(0.0).alias("anomaly"))
     kept = R.last_n(df).select("seq").collect()
     assert len(kept) == 501 and min(r.seq for r in kept) == 1
+
+
+def test_strict_decode_rejects_unknown_property(spark):
+    good = spark.createDataFrame([('{"stateCode":"1"}',)], "v string")
+    assert good.select(C.json_decode_strict("v").alias("r")).first()["r"]["stateCode"] == "1"
+    bad = spark.createDataFrame([('{"stateCode":"1","bogus":2}',)], "v string")
+    with pytest.raises(Exception, match="unknown record property"):
+        bad.select(C.json_decode_strict("v").alias("r")).collect()

@@ -94,6 +94,14 @@ def json_unknown_keys(value: str | Column) -> Column:
     return F.array_except(F.json_object_keys(_c(value)), known)
 
 
+def json_decode_strict(value: str | Column) -> Column:
+    """Parse a JSON record, failing the query on malformed text or on a
+    property the record does not have (as a strict object reader does)."""
+    unknown = json_unknown_keys(value)
+    msg = F.concat(F.lit("unknown record property: "), F.array_join(unknown, ","))
+    return F.when(F.size(unknown) > 0, F.raise_error(msg)).otherwise(json_decode(value, strict=True))
+
+
 def record_text(fields: list[str] = ENRICHED_FIELDS) -> Column:
     """``MonitoringRecord [stateCode=…, …, predictionNext=…]``, missing values
     as ``null``, numbers in their shortest text form."""

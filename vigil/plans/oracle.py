@@ -257,6 +257,12 @@ def all_sql() -> dict[str, str]:
                             f"SELECT device_key, arg_max({{'record_number': record_number, 'measurement': measurement, "
                             f"'prediction': prediction, 'error': error, 'anomaly': anomaly, "
                             f"'predictionNext': predictionNext}}, record_number) AS s FROM ({SCORED}) GROUP BY device_key)"),
+        "stream_state": (f"SELECT device_key, s.record_number AS record_number, s.measurement AS actual, "
+                         f"s.prediction AS prediction, s.predictionNext AS prediction_next, "
+                         f"{bucket('s.measurement')} AS bucket FROM ("
+                         f"SELECT device_key, arg_max({{'record_number': record_number, 'measurement': measurement, "
+                         f"'prediction': prediction, 'predictionNext': predictionNext}}, record_number) AS s "
+                         f"FROM ({SCORED}) GROUP BY device_key)"),
         "device_error_stats": (f"SELECT device_key, count(*) AS rows, round(avg(error), 9) AS mean_error, "
                                f"round(sqrt(avg(error * error)), 9) AS rms_error, round(avg(anomaly), 9) AS mean_anomaly "
                                f"FROM ({SCORED}) WHERE record_number >= {S.warmup_rows} GROUP BY device_key"),

@@ -129,14 +129,19 @@ def q_enriched_read(spark, sf):
 def q_batch_overruns(spark, sf):
     """Per micro-batch of the scoring stream: rows, trigger time, and whether
     it ran past the batch interval."""
-    from vigil.streaming.scorer import run_scoring
+    from vigil.streaming.scorer import batch_durations, run_scoring
     sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "overrun-ckpt")
-    prog = run_scoring(spark, _landing(spark, sf), sink, ck)
-    rows = [(int(p["batchId"]), int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0)))
-            for p in prog]
-    df = spark.createDataFrame(rows, "batch_id long, input_rows long, trigger_ms long")
-    return df.withColumn("interval_ms", F.lit(S.batch_interval_ms).cast("long")) \
-             .withColumn("overrun", F.col("trigger_ms") > F.col("interval_ms"))
+    rows = batch_durations(run_scoring(spark, _landing(spark, sf), sink, ck), S.batch_interval_ms)
+    df = spark.createDataFrame(rows, "batch_id long, input_rows long, trigger_ms long, overrun boolean")
+    return df.withColumn("interval_ms", F.lit(S.batch_interval_ms).cast("long"))
+
+
+def q_stream_state(spark, sf):
+    """Per-device state as the stream left it, read from its checkpoint."""
+    from vigil.streaming.scorer import read_device_state, run_scoring
+    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "state-ckpt")
+    run_scoring(spark, _landing(spark, sf), sink, ck)
+    return read_device_state(spark, ck)
 
 
 def q_publish_rate(spark, sf):
@@ -359,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_score": q_stream_score,
     "stream_resume": q_stream_resume,
     "enriched_read": q_enriched_read,
+    "stream_state": q_stream_state,
     "order_violations": q_order_violations,
     "order_violations_blocked": q_order_violations_blocked,
     "state_uniqueness": q_state_uniqueness,

@@ -37,9 +37,10 @@ def kafka_writer_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: str, **kw) -> DataFrame:
-    """Streaming wire rows from topics (needs the Kafka connector)."""
-    return (spark.readStream.format("kafka").options(**kafka_reader_options(servers, topics, **kw)).load()
-            .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")))
+    """Streaming wire rows from topics (needs the Kafka connector; not
+    available on this machine, so untested here)."""
+    return kafka_wire_rows(spark.readStream.format("kafka")
+                           .options(**kafka_reader_options(servers, topics, **kw)).load())
 
 
 def wire_rows(records: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
@@ -79,11 +80,26 @@ def publish(wire: DataFrame, path: str, order: str = "seq", chunks: int = 4,
 
 
 def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Stream the landing folder's wire rows, oldest file first."""
+    """Stream the landing folder's wire rows, oldest file first, at most
+    ``files_per_trigger`` files per micro-batch (the paced replay). A
+    comma-separated list of folders is read as one stream (like a
+    multi-topic subscription)."""
     schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("partition", T.IntegerType()),
                                                 T.StructField("seq", T.LongType())])
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+    streams = [spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(p.strip())
+               for p in path.split(",") if p.strip()]
+    out = streams[0]
+    for other in streams[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def kafka_wire_rows(stream: DataFrame) -> DataFrame:
+    """Kafka rows -> wire rows; ``seq`` orders records of one partition
+    (partition-major offsets)."""
+    return stream.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                         F.col("partition").cast("int").alias("partition"),
+                         (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"))
 
 
 def enriched_wire(scored: DataFrame) -> DataFrame:

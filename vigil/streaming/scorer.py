@@ -67,12 +67,17 @@ def covered(b: int, succ: int, w: int) -> int:
 
 
 class ScoreProcessor(StatefulProcessor):
-    def __init__(self, s: ScoreSettings = DEFAULT):
+    """Per-device model state. State is kept forever by default (as in the
+    reference); ``ttl_ms`` lets a device's state expire after that much
+    processing time without records (needs ``timeMode="ProcessingTime"``)."""
+
+    def __init__(self, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None):
         self.s = s
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", LAST_SCHEMA)
-        self.trans = handle.getValueState("trans", TRANS_SCHEMA)
+        self.last = handle.getValueState("last", LAST_SCHEMA, self.ttl_ms)
+        self.trans = handle.getValueState("trans", TRANS_SCHEMA, self.ttl_ms)
 
     def _load(self):
         table: dict[tuple[int, int], list[int]] = {}
@@ -147,9 +152,11 @@ def _stream_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
+def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None) -> DataFrame:
     """Streaming wire rows (key, value JSON, seq) -> scored rows: device_key,
-    seq, record_number, measurement, the 24 record fields, the 4 results."""
+    seq, record_number, measurement, the 24 record fields, the 4 results.
+    Works on any source with those columns (landing folder, or a topic with
+    ``seq`` taken from its offsets)."""
     ship_package(wire_stream.sparkSession)
     rec = wire_stream.select("seq", "value", C.json_decode("value").alias("r"))
     typed = rec.select(C.device_key(*[F.col(f"r.{k}") for k in KEY_FIELDS]).alias("device_key"),
@@ -157,7 +164,8 @@ def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT) -> DataFram
                        C.measurement("r.sampleMeasurement").alias("measurement"), "seq", "value")
     good = with_bucket(valid_rows(typed), s)
     scored = (good.groupBy("device_key")
-              .transformWithStateInPandas(ScoreProcessor(s), OUTPUT_SCHEMA, "append", "None"))
+              .transformWithStateInPandas(ScoreProcessor(s, ttl_ms), OUTPUT_SCHEMA, "append",
+                                          "ProcessingTime" if ttl_ms else "None"))
     return (scored.select("*", C.json_decode("value").alias("r"))
             .select("device_key", "seq", "record_number", "measurement",
                     *[F.col(f"r.{f}").alias(f) for f in RAW_FIELDS], *RESULT_FIELDS))
@@ -205,6 +213,46 @@ def start_with_partitions(spark: SparkSession, writer, partitions: int | None):
         spark.conf.set(key, before)
 
 
+def start_scoring(wire_stream: DataFrame, checkpoint: str, sink_format: str = "parquet",
+                  sink_options: dict[str, str] | None = None, trigger: str | None = "5 seconds",
+                  s: ScoreSettings = DEFAULT, state_partitions: int | None = None,
+                  ttl_ms: int | None = None):
+    """Start the long-running scorer: wire rows in, enriched wire rows out
+    (``parquet`` folder, or ``kafka`` with ``kafka_writer_options``), one
+    micro-batch per ``trigger`` interval; returns the ``StreamingQuery``
+    (``stop()`` ends it; a new start resumes from ``checkpoint``)."""
+    spark = wire_stream.sparkSession
+    _stream_conf(spark)
+    out = enriched_wire(score_stream(wire_stream, s, ttl_ms))
+    if sink_format == "kafka":
+        out = out.select("key", "value")
+    writer = (out.writeStream.format(sink_format).options(**(sink_options or {}))
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return start_with_partitions(spark, writer, state_partitions or spark.sparkContext.defaultParallelism)
+
+
+def read_device_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The scorer's per-device state, read from the stream checkpoint (the
+    state data source): latest record number, measurement, prediction,
+    next-step prediction and bucket of every device."""
+    st = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "last").load()
+    return st.select(F.col("key.device_key").alias("device_key"),
+                     F.col("value.n").alias("record_number"), F.col("value.x").alias("actual"),
+                     F.col("value.pred").alias("prediction"), F.col("value.pn").alias("prediction_next"),
+                     F.col("value.b").alias("bucket"))
+
+
+def batch_durations(progress: list[dict], interval_ms: int = DEFAULT.batch_interval_ms) -> list[tuple]:
+    """(batch id, input rows, trigger ms, overran?) from query progress
+    (``StreamingQuery.recentProgress``; no listener or callback server)."""
+    out = []
+    for p in progress:
+        ms = int(p["durationMs"].get("triggerExecution", 0))
+        out.append((int(p["batchId"]), int(p["numInputRows"]), ms, ms > interval_ms))
+    return out
+
+
 def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                 s: ScoreSettings = DEFAULT, files_per_trigger: int = 1,
                 max_batches: int | None = None, state_partitions: int | None = None) -> list[dict]:
