@@ -220,7 +220,9 @@ def start_scoring(wire_stream: DataFrame, checkpoint: str, sink_format: str = "p
     """Start the long-running scorer: wire rows in, enriched wire rows out
     (``parquet`` folder, or ``kafka`` with ``kafka_writer_options``), one
     micro-batch per ``trigger`` interval; returns the ``StreamingQuery``
-    (``stop()`` ends it; a new start resumes from ``checkpoint``)."""
+    (``stop()`` ends it; a new start resumes from ``checkpoint``).
+    With ``ttl_ms`` the state is cleaned in no-data batches, so run it on a
+    processing-time trigger (an available-now run would not finish)."""
     spark = wire_stream.sparkSession
     _stream_conf(spark)
     out = enriched_wire(score_stream(wire_stream, s, ttl_ms))
