@@ -99,6 +99,14 @@ def score_window(prepared: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
     return finish(df, s, prev)
 
 
+def check_settings(s: ScoreSettings) -> None:
+    """Successor sets are two-word bitmaps: the encoder may have at most
+    ``2 * WORD`` buckets."""
+    from vigil.operators.bitsets import WORD
+    if s.n_buckets > 2 * WORD:
+        raise ValueError(f"{s.n_buckets} buckets exceed the {2 * WORD}-bucket successor bitmap")
+
+
 def max_device_rows(prepared: DataFrame) -> int:
     """Rows of the largest device (a partial aggregate: hot keys are counted
     map-side, only per-device counts cross the shuffle)."""
@@ -113,6 +121,7 @@ def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
     measurement``, the kept record fields (default: all 24 raw fields) and
     the four results."""
     keep = RAW_FIELDS if keep is None else keep
+    check_settings(s)
     prepared = with_bucket(valid_rows(typed).select(
         "device_key", *ORDER, "measurement",
         *[c for c in keep if c not in ("device_key", "seq", "event_time", "measurement")]), s)

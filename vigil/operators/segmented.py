@@ -51,8 +51,9 @@ def _blocks_default(df: DataFrame) -> int:
 
 
 def blocked_rows(narrow: DataFrame, blocks: int) -> DataFrame:
-    """Cut the device-ordered rows into ``blocks`` ranges (``blk``) and place
-    them by (device_key, blk), persisted.
+    """Cut the device-ordered rows into ``blocks`` ranges (``blk``), place
+    them by (device_key, blk), number them inside each (device, blk)
+    (``ln``) and read the next bucket there (``nb_local``); persisted.
 
     Every later step reads this one cached relation, so all plan branches
     see the same ``blk`` (two separate range exchanges would each draw their
@@ -62,9 +63,12 @@ def blocked_rows(narrow: DataFrame, blocks: int) -> DataFrame:
     recomputed from the same shuffle dependency, hence the same cut.
     The cache is filled here: plans built on a filled cache see its
     partitioning (an unfilled one reports none)."""
+    local = Window.partitionBy("device_key", "blk").orderBy(*ORDER)
     base = (narrow.repartitionByRange(blocks, "device_key", *ORDER)
             .withColumn("blk", F.spark_partition_id())
             .repartition(blocks, "device_key", "blk")
+            .select("*", F.row_number().over(local).cast("long").alias("ln"),
+                    F.lead("b").over(local).alias("nb_local"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     base.count()
     return base
@@ -78,9 +82,7 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
     blocks = blocks or _blocks_default(prepared)
     payload = [c for c in prepared.columns if c not in NARROW]
     base = blocked_rows(prepared.select(*NARROW), blocks)
-    local = Window.partitionBy("device_key", "blk").orderBy(*ORDER)
-    a = base.select("*", F.row_number().over(local).cast("long").alias("ln"),
-                    F.lead("b").over(local).alias("nb_local"))
+    a = base
     by_blk = Window.partitionBy("device_key").orderBy("blk")
 
     # 1. Global row number and the successor across the block edge.
@@ -100,15 +102,18 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
           .withColumn("to_k", F.coalesce(F.col("to_b"), F.lit(-1)))
           .drop("off", "next_first_b", "nb_local"))
 
-    # 2. Running count of each transition (device, b, to).
-    pair_tot = a.groupBy("device_key", "b", "to_k", "blk").agg(F.count(F.lit(1)).alias("cnt2"))
+    # 2. Running count of each transition (device, b, to). Per block and
+    #    transition: count and last row number; the carry-in count is the
+    #    running total over earlier blocks.
     by_pair_blk = Window.partitionBy("device_key", "b", "to_k").orderBy("blk")
-    carry2 = (pair_tot.select(
-        "device_key", "blk", _pair_key(F.col("b"), F.col("to_k")).alias("pk"),
-        F.sum("cnt2").over(by_pair_blk.rowsBetween(UNB, -1)).cast("long").alias("off2"))
-        .filter(F.col("off2").isNotNull())
-        .groupBy("device_key", "blk")
-        .agg(F.map_from_entries(F.collect_list(F.struct("pk", "off2"))).alias("m2")))
+    pair_tot = (a.groupBy("device_key", "b", "to_k", "blk")
+                .agg(F.count(F.lit(1)).alias("cnt2"), F.max("record_number").alias("last_n"))
+                .withColumn("off2", F.coalesce(F.sum("cnt2").over(by_pair_blk.rowsBetween(UNB, -1)),
+                                               F.lit(0)).cast("long")))
+    carry2 = (pair_tot.filter(F.col("off2") > 0)
+              .groupBy("device_key", "blk")
+              .agg(F.map_from_entries(F.collect_list(
+                  F.struct(_pair_key(F.col("b"), F.col("to_k")).alias("pk"), "off2"))).alias("m2")))
     pair = Window.partitionBy("device_key", "blk", "b", "to_k").orderBy("ln")
     b2 = (a.withColumn("lc", F.row_number().over(pair).cast("long"))
            .join(carry2, ["device_key", "blk"], "left")
@@ -117,9 +122,14 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
            .drop("lc", "m2"))
 
     # 3. Running mode and successor set of b over the rows before this one.
+    #    A block's best (count, row, to) for b is, per transition, its count
+    #    after the block and its last row: no row-level pass needed.
     mode = F.struct(F.col("c"), F.col("record_number"), F.col("to_b"))
-    b_tot = b2.groupBy("device_key", "b", "blk").agg(
-        F.max(mode).alias("bm"), F.bit_or(bit_lo("to_b")).alias("blo"), F.bit_or(bit_hi("to_b")).alias("bhi"))
+    to_b = F.when(F.col("to_k") >= 0, F.col("to_k"))
+    b_tot = pair_tot.groupBy("device_key", "b", "blk").agg(
+        F.max(F.struct((F.col("off2") + F.col("cnt2")).alias("c"), F.col("last_n").alias("record_number"),
+                       to_b.alias("to_b"))).alias("bm"),
+        F.bit_or(bit_lo(to_b)).alias("blo"), F.bit_or(bit_hi(to_b)).alias("bhi"))
     by_b_blk = Window.partitionBy("device_key", "b").orderBy("blk").rowsBetween(UNB, -1)
     carry3 = (b_tot.select(
         "device_key", "b", "blk",

@@ -157,6 +157,8 @@ def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int
     seq, record_number, measurement, the 24 record fields, the 4 results.
     Works on any source with those columns (landing folder, or a topic with
     ``seq`` taken from its offsets)."""
+    from vigil.operators.score import check_settings
+    check_settings(s)
     ship_package(wire_stream.sparkSession)
     rec = wire_stream.select("seq", "value", C.json_decode("value").alias("r"))
     typed = rec.select(C.device_key(*[F.col(f"r.{k}") for k in KEY_FIELDS]).alias("device_key"),
