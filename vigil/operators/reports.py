@@ -72,6 +72,17 @@ def last_n(scored: DataFrame, s: ScoreSettings = DEFAULT, order: tuple[str, ...]
     return scored.orderBy(*[F.col(c).desc() for c in order]).limit(s.display_rows)
 
 
+def last_n_per_device(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
+    """Each device's own display window: its latest ``display_rows`` (501)
+    records. Uses the record numbers the scorer already gave: a per-device
+    maximum (combined map-side) and a join on the device, which AQE splits
+    when one device is hot. No window runs over a whole device."""
+    last = scored.groupBy("device_key").agg(F.max("record_number").alias("_last"))
+    return (scored.join(last, "device_key")
+            .filter(F.col("record_number") > F.col("_last") - s.display_rows)
+            .drop("_last"))
+
+
 def display_points(scored: DataFrame, s: ScoreSettings = DEFAULT,
                    order: tuple[str, ...] = ("event_time", "seq")) -> DataFrame:
     """The display window with its running x index (0 = oldest shown). The

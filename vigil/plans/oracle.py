@@ -295,6 +295,10 @@ def all_sql() -> dict[str, str]:
                            f"sum(CAST(anomaly >= {S.anomaly_threshold!r} AS BIGINT)) AS anomalous "
                            f"FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) GROUP BY ALL"),
         "last_n": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ({_display()})"),
+        "last_n_per_device": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ("
+                              f"SELECT s.*, row_number() OVER (PARTITION BY s.device_key ORDER BY t.event_time DESC, "
+                              f"s.seq DESC) AS k FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq)) "
+                              f"WHERE k <= {S.display_rows}"),
         "chart_series": _series(),
         "anomaly_points": _points(),
         "chart_pairs": (f"SELECT p.chart, s.series, s.x, s.y FROM ({_series()} UNION ALL "

@@ -318,6 +318,11 @@ def q_last_n(spark, sf):
         "device_key", "seq", "record_number", "measurement", *RESULT_FIELDS)
 
 
+def q_last_n_per_device(spark, sf):
+    return R.last_n_per_device(_scored(spark, sf)).select(
+        "device_key", "seq", "record_number", "measurement", *RESULT_FIELDS)
+
+
 def q_chart_series(spark, sf):
     return R.chart_series(_points(spark, sf))
 
@@ -370,6 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_uniqueness": q_state_uniqueness,
     "window_summary": q_window_summary,
     "last_n": q_last_n,
+    "last_n_per_device": q_last_n_per_device,
     "chart_series": q_chart_series,
     "anomaly_points": q_anomaly_points,
     "chart_pairs": q_chart_pairs,
