@@ -68,8 +68,17 @@ def compare(sp: pd.DataFrame, dk: pd.DataFrame) -> dict:
 def check_all(sf_dir: str, names: list[str] | None = None) -> dict:
     sys.path.insert(0, "/root/repo")
     from __spark_entry__ import oracle_sql, queries
-    from vigil.session import local_session
-    spark = local_session(8)
+    import os
+    if os.environ.get("VIGIL_PLAIN_SESSION"):
+        # the session a driver is likely to pass: none of vigil's settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", os.environ.get("VIGIL_PLAIN_PARTITIONS", "8"))
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from vigil.session import local_session
+        spark = local_session(8)
     con = duck(sf_dir)
     qs, sql = queries(), oracle_sql()
     out = {}

@@ -107,11 +107,25 @@ def check_settings(s: ScoreSettings) -> None:
         raise ValueError(f"{s.n_buckets} buckets exceed the {2 * WORD}-bucket successor bitmap")
 
 
+def device_stats(prepared: DataFrame) -> tuple[int, int]:
+    """(rows of the largest device, all rows), one partial aggregate: hot
+    keys are counted map-side, only per-device counts cross the shuffle."""
+    row = (prepared.groupBy("device_key").count()
+           .agg(F.max("count").alias("m"), F.sum("count").alias("n")).first())
+    return int(row["m"] or 0), int(row["n"] or 0)
+
+
 def max_device_rows(prepared: DataFrame) -> int:
-    """Rows of the largest device (a partial aggregate: hot keys are counted
-    map-side, only per-device counts cross the shuffle)."""
-    row = prepared.groupBy("device_key").count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
+    return device_stats(prepared)[0]
+
+
+def block_count(spark, total_rows: int | None, max_rows_per_task: int) -> int:
+    """Blocks for the segmented plan: one per core at least, and enough
+    that no block holds more than ``max_rows_per_task`` rows."""
+    cores = spark.sparkContext.defaultParallelism
+    if total_rows is None:
+        return cores
+    return max(cores, -(-total_rows // max_rows_per_task))
 
 
 def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
@@ -125,12 +139,15 @@ def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
     prepared = with_bucket(valid_rows(typed).select(
         "device_key", *ORDER, "measurement",
         *[c for c in keep if c not in ("device_key", "seq", "event_time", "measurement")]), s)
+    total = None
     if plan == "auto":
-        plan = "segmented" if max_device_rows(prepared) > max_rows_per_task else "window"
+        largest, total = device_stats(prepared)
+        plan = "segmented" if largest > max_rows_per_task else "window"
     if plan == "window":
         scored = score_window(prepared, s)
     elif plan == "segmented":
         from vigil.operators.segmented import score_segmented
+        blocks = blocks or block_count(typed.sparkSession, total, max_rows_per_task)
         scored = score_segmented(prepared, s, blocks=blocks)
     else:
         raise ValueError(f"unknown plan {plan!r}")

@@ -47,7 +47,7 @@ NARROW = ["device_key", "event_time", "seq", "measurement", "b"]
 
 
 def _blocks_default(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def blocked_rows(narrow: DataFrame, blocks: int) -> DataFrame:

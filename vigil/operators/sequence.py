@@ -18,7 +18,8 @@ DEFAULT_MAX_KEY_ROWS = 4_000_000
 
 
 def _blocks(df: DataFrame, blocks: int | None) -> int:
-    return blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Ranges for the blocked forms: as given, else one per core."""
+    return blocks or df.sparkSession.sparkContext.defaultParallelism
 
 
 def blocked(df: DataFrame, cols: list[str], blocks: int | None = None) -> DataFrame:
