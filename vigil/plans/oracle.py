@@ -199,6 +199,14 @@ def _points() -> str:
     return f"SELECT x, measurement AS y FROM ({_display()}) WHERE anomaly >= {S.anomaly_threshold!r}"
 
 
+def _window_summary() -> str:
+    return (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
+            f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
+            f"max(s.measurement) AS max_measurement, max(anomaly) AS max_anomaly, "
+            f"sum(CAST(anomaly >= {S.anomaly_threshold!r} AS BIGINT)) AS anomalous "
+            f"FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) GROUP BY ALL")
+
+
 def all_sql() -> dict[str, str]:
     from vigil.operators.reports import CHART_SERIES
     pairs = " UNION ALL ".join(f"SELECT '{c}' AS chart, '{s}' AS series" for c, s in CHART_SERIES)
@@ -289,11 +297,9 @@ def all_sql() -> dict[str, str]:
                              f"count(DISTINCT record_number) AS distinct_numbers, "
                              f"(count(*) = max(record_number) + 1 AND count(*) = count(DISTINCT record_number)) "
                              f"AS one_model FROM ({SCORED}) GROUP BY device_key"),
-        "window_summary": (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
-                           f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
-                           f"max(s.measurement) AS max_measurement, max(anomaly) AS max_anomaly, "
-                           f"sum(CAST(anomaly >= {S.anomaly_threshold!r} AS BIGINT)) AS anomalous "
-                           f"FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) GROUP BY ALL"),
+        "window_summary": _window_summary(),
+        "stream_window_summary": (f"SELECT * FROM ({_window_summary()}) WHERE window_start + 60 <= "
+                                  f"(SELECT CAST(epoch(max(event_time)) AS BIGINT) FROM ({TY}))"),
         "last_n": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ({_display()})"),
         "last_n_per_device": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ("
                               f"SELECT s.*, row_number() OVER (PARTITION BY s.device_key ORDER BY t.event_time DESC, "

@@ -136,6 +136,17 @@ def q_batch_overruns(spark, sf):
     return df.withColumn("interval_ms", F.lit(S.batch_interval_ms).cast("long"))
 
 
+def q_stream_window_summary(spark, sf):
+    """Windowed summary as a stream over the enriched records (watermark 0):
+    every (device, minute) window closed by the last event time."""
+    from vigil.streaming.scorer import enriched_wire, run_window_summary
+    topic = scratch_dir(spark, "enriched-topic")
+    TP.publish(enriched_wire(_scored(spark, sf, keep=RAW_FIELDS)), topic, chunks=4)
+    sink, ck = scratch_dir(spark, "summary"), scratch_dir(spark, "summary-ckpt")
+    run_window_summary(spark, topic, sink, ck)
+    return spark.read.parquet(sink)
+
+
 def q_stream_state(spark, sf):
     """Per-device state as the stream left it, read from its checkpoint."""
     from vigil.streaming.scorer import read_device_state, run_scoring
@@ -370,6 +381,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_resume": q_stream_resume,
     "enriched_read": q_enriched_read,
     "stream_state": q_stream_state,
+    "stream_window_summary": q_stream_window_summary,
     "order_violations": q_order_violations,
     "order_violations_blocked": q_order_violations_blocked,
     "state_uniqueness": q_state_uniqueness,

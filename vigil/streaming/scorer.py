@@ -33,7 +33,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from vigil.functions import columns as C
 from vigil.operators.bitsets import WORD
 from vigil.operators.score import valid_rows, with_bucket
-from vigil.schema import KEY_FIELDS, RAW_FIELDS, RESULT_FIELDS
+from vigil.schema import KEY_FIELDS, RAW_FIELDS, RESULT_FIELDS, WIRE_SCHEMA
 from vigil.settings import DEFAULT, ScoreSettings
 
 LAST_SCHEMA = ("n long, b int, pn double, pred double, x double, slo long, shi long")
@@ -236,6 +236,34 @@ def start_scoring(wire_stream: DataFrame, checkpoint: str, sink_format: str = "p
     return start_with_partitions(spark, writer, state_partitions or spark.sparkContext.defaultParallelism)
 
 
+def enriched_stream_rows(wire_stream: DataFrame) -> DataFrame:
+    """Enriched wire rows (a topic or folder) -> device_key, seq,
+    record_number, event_time, measurement and the four results."""
+    rec = wire_stream.select("seq", "record_number", C.json_decode("value").alias("r"))
+    return rec.select(C.device_key(*[F.col(f"r.{k}") for k in KEY_FIELDS]).alias("device_key"), "seq",
+                      "record_number", C.event_time("r.dateGMT", "r.timeGMT").alias("event_time"),
+                      C.measurement("r.sampleMeasurement").alias("measurement"),
+                      *[F.col(f"r.{f}").alias(f) for f in RESULT_FIELDS])
+
+
+def run_window_summary(spark: SparkSession, enriched: str, sink: str, checkpoint: str,
+                       s: ScoreSettings = DEFAULT, watermark: str = "0 seconds",
+                       files_per_trigger: int = 1) -> list[dict]:
+    """Tumbling-window summary over the enriched records as a stream: event
+    time watermark, append mode, so each (device, window) is written once,
+    when the watermark passes its end (late rows are dropped)."""
+    from vigil.operators.reports import window_summary
+    _stream_conf(spark)
+    schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("seq", T.LongType()),
+                                                T.StructField("record_number", T.LongType())])
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(enriched)
+    agg = window_summary(enriched_stream_rows(src), s, watermark=watermark)
+    q = (agg.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return [dict(p) for p in q.recentProgress]
+
+
 def read_device_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The scorer's per-device state, read from the stream checkpoint (the
     state data source): latest record number, measurement, prediction,
@@ -289,7 +317,6 @@ def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
 
 def read_enriched(spark: SparkSession, sink: str) -> DataFrame:
     """Enriched sink back to scored rows (batch read)."""
-    from vigil.schema import WIRE_SCHEMA
     schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("seq", T.LongType()),
                                                 T.StructField("record_number", T.LongType())])
     df = spark.read.schema(schema).parquet(sink)
