@@ -151,3 +151,11 @@ def test_strict_decode_rejects_unknown_property(spark):
     bad = spark.createDataFrame([('{"stateCode":"1","bogus":2}',)], "v string")
     with pytest.raises(Exception, match="unknown record property"):
         bad.select(C.json_decode_strict("v").alias("r")).collect()
+
+
+def test_quoted_comma_is_one_field(spark):
+    fields = ["a"] * 24
+    fields[8] = '"Ozone, 8-hr"'
+    df = spark.createDataFrame([(",".join(fields),)], "value string")
+    r = L.map_records(df).first()
+    assert r.fields == 24 and r.parameterName == "Ozone, 8-hr" and r.reason is None

@@ -130,10 +130,14 @@ def block_count(spark, total_rows: int | None, max_rows_per_task: int) -> int:
 
 def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
           max_rows_per_task: int = DEFAULT_MAX_DEVICE_ROWS, blocks: int | None = None,
-          keep: list[str] | None = None) -> DataFrame:
+          keep: list[str] | None = None, align_error: bool = False) -> DataFrame:
     """Score every valid row. Output: ``device_key, seq, record_number,
     measurement``, the kept record fields (default: all 24 raw fields) and
-    the four results."""
+    the four results; with ``align_error`` also ``aligned_error``, this row's
+    own ``|prediction - measurement|`` (``error`` keeps the one-row lag).
+
+    Rows are ordered by (event_time, seq) per device; ``seq`` (arrival
+    order) must be unique within a device for the order to be total."""
     keep = RAW_FIELDS if keep is None else keep
     check_settings(s)
     prepared = with_bucket(valid_rows(typed).select(
@@ -151,6 +155,7 @@ def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
         scored = score_segmented(prepared, s, blocks=blocks)
     else:
         raise ValueError(f"unknown plan {plan!r}")
+    extra = [F.abs(F.col("prediction") - F.col("measurement")).alias("aligned_error")] if align_error else []
     return scored.select("device_key", "seq", "record_number", "measurement",
                          *[c for c in keep if c not in ("device_key", "seq", "measurement")],
-                         *RESULT_FIELDS)
+                         *RESULT_FIELDS, *extra)

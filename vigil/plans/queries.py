@@ -270,8 +270,7 @@ def q_anomaly_score(spark, sf):
 
 
 def q_lagged_error(spark, sf):
-    return _scored(spark, sf).select("device_key", "seq", "error",
-                                     F.abs(F.col("prediction") - F.col("measurement")).alias("aligned_error"))
+    return _scored(spark, sf, align_error=True).select("device_key", "seq", "error", "aligned_error")
 
 
 def q_warmup_gate(spark, sf):
