@@ -159,3 +159,11 @@ def test_quoted_comma_is_one_field(spark):
     df = spark.createDataFrame([(",".join(fields),)], "value string")
     r = L.map_records(df).first()
     assert r.fields == 24 and r.parameterName == "Ozone, 8-hr" and r.reason is None
+
+
+def test_record_text_formats_like_the_reference(spark):
+    row = tuple("NY" if f == "stateName" else None for f in RAW_FIELDS) + (0.0001, 0.5, 1.0, 0.555)
+    text = spark.createDataFrame([row], ENRICHED_SCHEMA).select(C.record_text().alias("t")).first()["t"]
+    assert text.startswith("MonitoringRecord [stateCode=null, countyCode=null,")
+    assert "stateName=NY," in text
+    assert text.endswith("prediction=1.0E-4, error=0.5, anomaly=1.0, predictionNext=0.555]")
