@@ -145,7 +145,9 @@ def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
         *[c for c in keep if c not in ("device_key", "seq", "event_time", "measurement")]), s)
     total = None
     if plan == "auto":
-        largest, total = device_stats(prepared)
+        # Counted on the key alone (all rows, valid or not): an upper bound
+        # that reads only the key columns and skips parsing time and number.
+        largest, total = device_stats(typed.select("device_key"))
         plan = "segmented" if largest > max_rows_per_task else "window"
     if plan == "window":
         scored = score_window(prepared, s)
