@@ -82,6 +82,19 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
     blocks = blocks or _blocks_default(prepared)
     payload = [c for c in prepared.columns if c not in NARROW]
     base = blocked_rows(prepared.select(*NARROW), blocks)
+    try:
+        scored = _score_blocks(base, s)
+    finally:
+        base.unpersist()
+    if not payload:
+        return scored
+    # The record's text fields join back once on the unique record key.
+    return scored.join(prepared.select("device_key", "seq", *payload), ["device_key", "seq"])
+
+
+def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
+    """The model over the cached blocked rows; returns the checkpointed
+    narrow scores."""
     a = base
     by_blk = Window.partitionBy("device_key").orderBy("blk")
 
@@ -182,15 +195,10 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int
         "plo": F.when(ln == 1, F.col("p_lo")).otherwise(F.col("lo1_l")),
         "phi": F.when(ln == 1, F.col("p_hi")).otherwise(F.col("hi1_l")),
     }
-    # Cut the lineage (reliable checkpoint in spark.checkpoint.dir) and free
-    # the cached rows; the narrow scores are what the caller reads.
+    # Cut the lineage (reliable checkpoint in spark.checkpoint.dir) so the
+    # cached rows can go; the narrow scores are what the caller reads.
     from vigil.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(prepared.sparkSession)
-    scored = finish(d, s, prev).drop("blk", "ln", "to_b", "to_k", "c", "best", "succ_lo", "succ_hi",
-                                     "pn1_l", "pn2_l", "x1_l", "lo1_l", "hi1_l",
-                                     "p_pn1", "p_pn2", "p_x1", "p_lo", "p_hi").checkpoint(eager=True)
-    base.unpersist()
-    if not payload:
-        return scored
-    # The record's text fields join back once on the unique record key.
-    return scored.join(prepared.select("device_key", "seq", *payload), ["device_key", "seq"])
+    ensure_checkpoint_dir(base.sparkSession)
+    return finish(d, s, prev).drop("blk", "ln", "to_b", "to_k", "c", "best", "succ_lo", "succ_hi",
+                                   "pn1_l", "pn2_l", "x1_l", "lo1_l", "hi1_l",
+                                   "p_pn1", "p_pn2", "p_x1", "p_lo", "p_hi").checkpoint(eager=True)
