@@ -53,6 +53,17 @@ def wire_rows(records: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
                      *[c for c in ("seq",) if c in df.columns])
 
 
+def publish_kafka(wire: DataFrame, servers: str, topic: str, partitions: int | None = None) -> None:
+    """Batch publish of wire rows to a topic (key = device key, value = JSON
+    record). With ``partitions`` the topic partition is the row's
+    ``partition`` column (the month bucket); otherwise the producer hashes
+    the key. Needs the Kafka connector (not on this machine: untested)."""
+    cols = [F.col("key"), F.col("value")]
+    if partitions:
+        cols.append(F.pmod(F.col("partition"), F.lit(partitions)).alias("partition"))
+    (wire.select(*cols).write.format("kafka").options(**kafka_writer_options(servers, topic)).save())
+
+
 def decode_wire(wire: DataFrame) -> DataFrame:
     """JSON value back to the 28 record fields (key kept)."""
     return wire.select("key", C.json_decode("value").alias("r")).select("key", "r.*")
