@@ -259,6 +259,7 @@ def all_sql() -> dict[str, str]:
                         f"error, anomaly FROM ({SCORED}) WHERE record_number <= {S.warmup_rows}"),
         "score_batch": f"SELECT {score_cols} FROM ({SCORED})",
         "score_segmented": f"SELECT {score_cols} FROM ({SCORED})",
+        "score_months": f"SELECT {score_cols} FROM ({scored(TYO)})",
         "device_snapshot": (f"SELECT device_key, s.record_number AS record_number, s.measurement AS actual, "
                             f"s.prediction AS prediction, s.error AS error, s.anomaly AS anomaly, "
                             f"s.predictionNext AS prediction_next, {bucket('s.measurement')} AS bucket FROM ("

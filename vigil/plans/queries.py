@@ -283,6 +283,12 @@ def q_score_batch(spark, sf):
     return _scored(spark, sf, plan="auto").select(*SCORE_COLS)
 
 
+def q_score_months(spark, sf):
+    """The scorer over the twelve-month view (orders): day-resolution times,
+    so same-day records are ordered by ``seq``."""
+    return score(_typed_orders(spark, sf), plan="auto").select(*SCORE_COLS)
+
+
 def q_score_segmented(spark, sf):
     return _scored(spark, sf, plan="segmented").select(*SCORE_COLS)
 
@@ -370,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warmup_gate": q_warmup_gate,
     "score_batch": q_score_batch,
     "score_segmented": q_score_segmented,
+    "score_months": q_score_months,
     "device_snapshot": q_device_snapshot,
     "device_error_stats": q_device_error_stats,
     "raw_publish": q_raw_publish,
