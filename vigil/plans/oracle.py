@@ -146,7 +146,7 @@ def _raw_coalesced(prefix: str = "") -> str:
 def _json(prefix: str = "") -> str:
     parts = [f"'{f}': {prefix}{f}" for f in RAW_FIELDS] + [
         f"'{f}': {prefix}{f}" for f in ("prediction", "error", "anomaly", "predictionNext")]
-    return "to_json({" + ", ".join(parts) + "})"
+    return "CAST(to_json({" + ", ".join(parts) + "}) AS VARCHAR)"
 
 
 def _zeros() -> str:
@@ -203,7 +203,7 @@ def _window_summary() -> str:
     return (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
             f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
             f"max(s.measurement) AS max_measurement, max(anomaly) AS max_anomaly, "
-            f"sum(CAST(anomaly >= {S.anomaly_threshold!r} AS BIGINT)) AS anomalous "
+            f"CAST(sum(CAST(anomaly >= {S.anomaly_threshold!r} AS BIGINT)) AS BIGINT) AS anomalous "
             f"FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) GROUP BY ALL")
 
 
