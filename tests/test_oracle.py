@@ -37,3 +37,16 @@ def test_entry_smoke(spark):
     rows = df.count()
     assert rows == 1000
     assert {"prediction", "error", "anomaly", "predictionNext", "device_key"} <= set(df.columns)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n in E.oracle_sql() and not n.startswith("stream")
+                                  and n != "enriched_read"])
+def test_column_types_match_oracle(spark, con, name):
+    sp = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    assert sp == dict(zip(rel.columns, [str(t) for t in rel.types]))
