@@ -3,10 +3,13 @@
 ``row_positions`` numbers rows in a global order, ``number_rows`` numbers
 rows per key, ``previous_value`` reads the previous row of the same key.
 Each has a window form (one exchange on the key; right when no key is
-larger than a task) and a blocked form: rows are range-partitioned on
-(keys, order), the block index and the position inside the block are fixed
-in a checkpoint, and a per-block table (at most one row per block and key
-edge) carries counts and last values across block edges.
+larger than a task) and a blocked form. ``row_positions`` range-partitions
+on the order and fixes block index and in-block position with a reliable
+checkpoint; block offsets (one row per block) are broadcast. The per-key
+forms place range blocks by (keys, blk) in one filled cache (so every
+branch sees the same cut and its partitioning), carry counts or last values
+from earlier blocks in a table of at most one row per block (broadcast),
+and checkpoint the result.
 """
 
 from __future__ import annotations
@@ -65,6 +68,32 @@ def _choose(df: DataFrame, keys: list[str], plan: str, max_rows: int) -> str:
     return plan
 
 
+def _placed(df: DataFrame, keys: list[str], order: list[str], blocks: int | None) -> DataFrame:
+    """Range blocks (``blk``) placed by (keys, blk) and numbered inside each
+    (key, blk) (``ln``), persisted and filled, so every branch sees the same
+    cut and keeps the (keys, blk) partitioning (as in the segmented scorer)."""
+    from pyspark import StorageLevel
+    n = _blocks(df, blocks)
+    local = Window.partitionBy(*keys, "blk").orderBy(*order)
+    base = (df.repartitionByRange(n, *keys, *order)
+            .withColumn("blk", F.spark_partition_id())
+            .repartition(n, *keys, "blk")
+            .select("*", F.row_number().over(local).cast("long").alias("ln"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    base.count()
+    return base
+
+
+def _finish_placed(base: DataFrame, out: DataFrame) -> DataFrame:
+    """Checkpoint the result (cuts the lineage) and release the cache."""
+    from vigil.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(base.sparkSession)
+    try:
+        return out.checkpoint(eager=True)
+    finally:
+        base.unpersist()
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "record_number",
                 plan: str = "auto", blocks: int | None = None,
                 max_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
@@ -73,16 +102,16 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "r
     if plan == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    b = blocked(df, keys + order, blocks)
-    # Inside a range a key's rows are contiguous, so its first row's ``pos``
-    # is the key's start in the range.
-    edge = b.groupBy(*keys, "blk").agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("cnt"))
+    base = _placed(df, keys, order, blocks)
+    edge = base.groupBy(*keys, "blk").agg(F.count(F.lit(1)).alias("cnt"))
     by_blk = Window.partitionBy(*keys).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = edge.select(*keys, "blk", "start",
-                        F.coalesce(F.sum("cnt").over(by_blk), F.lit(0)).alias("off"))
-    return (b.join(carry, keys + ["blk"])
-             .withColumn(name, (F.col("off") + F.col("pos") - F.col("start")).cast("long"))
-             .drop("blk", "pos", "start", "off"))
+    carry = (edge.select(*keys, "blk", F.sum("cnt").over(by_blk).alias("off"))
+             .filter(F.col("off").isNotNull()))
+    # Only a range's first key continues from earlier ranges: <= blocks rows.
+    out = (base.join(F.broadcast(carry), keys + ["blk"], "left")
+           .withColumn(name, (F.coalesce(F.col("off"), F.lit(0)) + F.col("ln") - 1).cast("long"))
+           .drop("blk", "ln", "off"))
+    return _finish_placed(base, out)
 
 
 def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str, name: str,
@@ -93,16 +122,16 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str, n
     if plan == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.lag(col).over(w))
-    b = blocked(df, keys + order, blocks)
-    local = Window.partitionBy(*keys, "blk").orderBy("pos")
-    tail = b.groupBy(*keys, "blk").agg(F.max_by(F.col(col), F.col("pos")).alias("last"))
+    base = _placed(df, keys, order, blocks)
+    local = Window.partitionBy(*keys, "blk").orderBy("ln")
+    tail = base.groupBy(*keys, "blk").agg(F.max_by(F.col(col), F.col("ln")).alias("last"))
     by_blk = Window.partitionBy(*keys).orderBy("blk")
     carry = (tail.select(*keys, "blk", F.lag("last").over(by_blk).alias("carry"),
                          F.lag("blk").over(by_blk).alias("prev_blk"))
              .filter(F.col("prev_blk").isNotNull()).drop("prev_blk"))
-    # Only the first key of a range has an earlier range: <= blocks rows.
-    return (b.withColumn("_l", F.lag(col).over(local))
-             .withColumn("_first", F.row_number().over(local) == 1)
-             .join(F.broadcast(carry), keys + ["blk"], "left")
-             .withColumn(name, F.when(F.col("_first"), F.col("carry")).otherwise(F.col("_l")))
-             .drop("_l", "_first", "carry", "blk", "pos"))
+    # Only a range's first key has an earlier range: <= blocks rows.
+    out = (base.withColumn("_l", F.lag(col).over(local))
+           .join(F.broadcast(carry), keys + ["blk"], "left")
+           .withColumn(name, F.when(F.col("ln") == 1, F.col("carry")).otherwise(F.col("_l")))
+           .drop("_l", "carry", "blk", "ln"))
+    return _finish_placed(base, out)
