@@ -199,6 +199,14 @@ def _points() -> str:
     return f"SELECT x, measurement AS y FROM ({_display()}) WHERE anomaly >= {S.anomaly_threshold!r}"
 
 
+def _hot(records_sql: str) -> str:
+    from vigil.sources.tables import HOT_EVENT_TYPES, HOT_PARAMETER_CODE, HOT_STATE_CODE
+    hot = "parameterName IN (" + ", ".join(f"'{t}'" for t in HOT_EVENT_TYPES) + ")"
+    return (f"SELECT * REPLACE (CASE WHEN {hot} THEN '{HOT_STATE_CODE}' ELSE stateCode END AS stateCode, "
+            f"CASE WHEN {hot} THEN '{HOT_PARAMETER_CODE}' ELSE parameterCode END AS parameterCode) "
+            f"FROM ({records_sql})")
+
+
 def _window_summary() -> str:
     return (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
             f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
@@ -260,6 +268,7 @@ def all_sql() -> dict[str, str]:
         "score_batch": f"SELECT {score_cols} FROM ({SCORED})",
         "score_segmented": f"SELECT {score_cols} FROM ({SCORED})",
         "score_months": f"SELECT {score_cols} FROM ({scored(TYO)})",
+        "score_hot_device": f"SELECT {score_cols} FROM ({scored(typed(_hot(EV)))})",
         "device_snapshot": (f"SELECT device_key, s.record_number AS record_number, s.measurement AS actual, "
                             f"s.prediction AS prediction, s.error AS error, s.anomaly AS anomaly, "
                             f"s.predictionNext AS prediction_next, {bucket('s.measurement')} AS bucket FROM ("

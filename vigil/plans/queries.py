@@ -283,6 +283,13 @@ def q_score_batch(spark, sf):
     return _scored(spark, sf, plan="auto").select(*SCORE_COLS)
 
 
+def q_score_hot_device(spark, sf):
+    """The segmented plan on a skewed input: one device holds ~40% of rows."""
+    from vigil.sources.tables import hot_device_records
+    ensure_session_conf(spark)
+    return score(typed(hot_device_records(events_records(spark, sf))), plan="segmented").select(*SCORE_COLS)
+
+
 def q_score_months(spark, sf):
     """The scorer over the twelve-month view (orders): day-resolution times,
     so same-day records are ordered by ``seq``."""
@@ -377,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_batch": q_score_batch,
     "score_segmented": q_score_segmented,
     "score_months": q_score_months,
+    "score_hot_device": q_score_hot_device,
     "device_snapshot": q_device_snapshot,
     "device_error_stats": q_device_error_stats,
     "raw_publish": q_raw_publish,
