@@ -11,8 +11,9 @@ block totals are scanned in turn. Token boundaries follow from (state before,
 symbol).
 
 Each slice is merged once per worker and cached (cache bounded by entries).
-The offsets of the slices stay with the ids, so that decoding maps whole
-slices back through a second cache, and a span of slices can be decoded alone.
+The ends of the slices, in ids and in bytes, stay with the ids: decoding (array
+look-ups in the vocabulary's bytes) checks them, and ``decode_span`` decodes a
+run of slices alone.
 
 Ids and offsets are binary columns of little-endian unsigned 32-bit integers.
 
@@ -39,7 +40,7 @@ from vigil.llm.common import kept, prepare, schema_of, slices
 
 CACHE_ENTRIES = 400_000
 CACHED_BYTES = 64
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 #: A rank file larger than this is refused: it is sent to every executor.
 MOST_RANK_BYTES = 64 << 20
 
@@ -194,7 +195,6 @@ class Merger(dict):
         super().__init__()
         self.whole = ranks
         self.bytes = [ranks[bytes([k])] for k in range(256)]
-        self.vocab = {struct.pack("<I", v): k for k, v in ranks.items()}
         #: From two neighbouring ids to the id of their concatenation.
         self.pairs = {ranks[t[:k]] << 32 | ranks[t[k:]]: v for t, v in ranks.items()
                       for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
@@ -260,32 +260,37 @@ class Merger(dict):
         return [i for i in ids if i >= 0]
 
 
-class Unmerger(dict):
-    """Cache from the ids of a slice to its bytes."""
+class Vocabulary:
+    """The bytes of every id, end to end, for decoding by array look-ups."""
 
-    def __init__(self, vocab: dict[bytes, bytes]):
-        super().__init__()
-        self.vocab = vocab
-
-    def __missing__(self, ids: bytes) -> bytes:
-        out = b"".join([self.vocab[ids[k:k + 4]] for k in range(0, len(ids), 4)])
-        if len(out) <= CACHED_BYTES:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[ids] = out
-        return out
-
-
-_WORKER: dict[bytes, tuple[Merger, Unmerger]] = {}
-
-
-def _caches(rank_file: bytes) -> tuple[Merger, Unmerger]:
-    """This worker's caches for a rank file, kept from task to task."""
-    key = hashlib.sha256(rank_file).digest()
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values(), default=-1) + 1
+        self.length = np.full(size, -1, np.int64)
+        pieces = [b""] * size
+        for t, v in ranks.items():
+            pieces[v], self.length[v] = t, len(t)
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+        self.start = np.cumsum(np.maximum(self.length, 0)) - np.maximum(self.length, 0)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, end of every id in them)."""
+        n = self.length[ids]
+        if (n < 0).any():
+            raise IndexError("an id is not in the vocabulary")
+        ends = np.cumsum(n)
+        out = np.arange(int(ends[-1]) if len(ends) else 0)
+        out += np.repeat(self.start[ids] - (ends - n), n)
+        return self.flat[out], ends
+
+
+_WORKER: dict[tuple[bytes, str], object] = {}
+
+
+def _cached(rank_file: bytes, kind):
+    """This worker's Merger or Vocabulary of a rank file, kept from task to task."""
+    key = hashlib.sha256(rank_file).digest(), kind.__name__
     if key not in _WORKER:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
-        m = Merger(ranks)
-        _WORKER[key] = m, Unmerger(m.vocab)
+        _WORKER[key] = kind({base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())})
     return _WORKER[key]
 
 
@@ -330,7 +335,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", keep=("doc_id",))
     file = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches):
-        merger, _ = _caches(file.value)
+        merger = _cached(file.value, Merger)
         for batch in batches:
             texts = [t or "" for t in batch.column(len(own)).to_pylist()]
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
@@ -346,28 +351,35 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", keep=("doc_id",))
 
 
 def decode(df: DataFrame, ranks_path: str, keep=("doc_id",), name: str = "decoded") -> DataFrame:
-    """``keep`` columns plus the bytes of ``ids``, slice by slice. Null ids are
-    no ids; an id outside the vocabulary fails."""
+    """``keep`` columns plus the bytes of ``ids``; the retained slice ends are
+    checked against them. Null ids are no ids; an id outside the vocabulary
+    or offsets that do not fit fail."""
     prepare(df.sparkSession)
     own = kept(df, keep, (name,))
     file = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches):
-        _, unmerger = _caches(file.value)
+        vocabulary = _cached(file.value, Vocabulary)
         for batch in batches:
             k = len(own)
             out = []
-            for ids, ends in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist()):
-                ids = ids or b""
-                stops = (np.frombuffer(ends or b"", "<u4").astype(np.int64) * 4).tolist()
-                if not stops or stops[-1] != len(ids):  # without offsets: one slice
-                    stops = [len(ids)]
-                out.append(b"".join([unmerger[ids[a:b]] for a, b in zip([0, *stops], stops)]))
+            for ids, *ends in zip(*(batch.column(k + j).to_pylist() for j in range(3))):
+                text, stops = vocabulary.decode(np.frombuffer(ids or b"", "<u4"))
+                by_ids, by_bytes = (np.frombuffer(e or b"", "<u4").astype(np.int64) for e in ends)
+                if len(by_ids) and not np.array_equal(stops[by_ids - 1], by_bytes):
+                    raise ValueError("the slice offsets do not fit the ids")
+                out.append(text.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(j) for j in range(k)), pa.array(out, pa.binary())], names=[*own, name])
 
     schema = ", ".join(filter(None, [schema_of(df, own), f"`{name}` binary"]))
-    return df.select(*own, "ids", "slice_ids").mapInArrow(run, schema)
+    return df.select(*own, "ids", "slice_ids", "slice_bytes").mapInArrow(run, schema)
+
+
+def decode_span(row, vocabulary: Vocabulary, first: int, stop: int) -> bytes:
+    """The bytes of slices ``first`` to ``stop`` (exclusive) of an encoded row."""
+    ends = np.concatenate([[0], np.frombuffer(row["slice_ids"], "<u4")]).astype(np.int64)
+    return vocabulary.decode(np.frombuffer(row["ids"], "<u4")[ends[first]:ends[stop]])[0].tobytes()
 
 
 def ids_array(ids) -> F.col:

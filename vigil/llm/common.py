@@ -21,9 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of one batch that Spark sends to a Python worker, unless the session sets it.
+BATCH_BYTES = 8 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """What the Python side needs: the package on the executors."""
+    """What the Python side needs: the package on the executors, and batches
+    bounded by bytes as well as by rows (texts vary from empty to very long)."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # Spark's default
+        spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

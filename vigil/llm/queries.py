@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe
+from vigil.llm import bpe, quality
 from vigil.llm.common import table
 
 
@@ -17,8 +17,14 @@ def op1_bpe(spark, sf_dir):
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality(spark, sf_dir):
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    return quality.quality(table(spark, sf_dir, "documents"), trusted)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_quality": op3_quality,
 }
 
 ORACLE: dict[str, str] = {}
