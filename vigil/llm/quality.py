@@ -11,7 +11,7 @@ one scalar subquery of ``buckets`` doubles.
 Defined cases: null and empty texts have no words, score 0.0 and fail the base
 rules; a null doc_id is never trusted but its text counts as raw; repeated
 rows count and are returned as often as they occur; an empty table gives an
-empty result, an empty trusted set gives every n-gram the smoothed ratio. A
+empty result, an empty trusted set makes every ratio 1 (score 0.0). A
 document is trusted when any of its label rows says so. Extra columns are
 ignored unless named in ``keep``.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import kept, words
 
 BUCKETS = 1 << 16
-SMOOTHING = 1.0
+SMOOTHING = 10.0
 THRESHOLD = -0.1
 #: Rows without a key get one of so many join salts.
 NULL_SALTS = 1024
@@ -99,9 +99,12 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, text: str, buckets: int, sm
              .join(counts, "bucket", "left").na.fill(0, ["raw", "target"]))
     rows = (every.groupBy().agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"),
                                 F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target")))
-    a, total = F.lit(smoothing), F.lit(smoothing * buckets)
-    shift = F.log((F.col("n_raw") + total) / (F.col("n_target") + total))
-    return rows.select(F.transform("c", lambda x: F.log((x["target"] + a) / (x["raw"] + a)) + shift).alias("ratios"))
+    # Both counts get the same share of pseudo-counts, so that a bucket that
+    # was hardly seen says nothing (ratio 1) at every corpus size.
+    a, rho = F.lit(smoothing), F.col("n_raw") / F.col("n_target")
+    ratio = F.transform("c", lambda x: F.log((x["target"] + a) * rho / (x["raw"] + a * rho)))
+    neutral = F.transform("c", lambda x: F.lit(0.0))
+    return rows.select(F.when(F.col("n_target") > 0, ratio).otherwise(neutral).alias("ratios"))
 
 
 def quality(docs: DataFrame, trusted: DataFrame, text: str = "text", keep=("doc_id",), buckets: int = BUCKETS,

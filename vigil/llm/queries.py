@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, quality
+from vigil.llm import bpe, quality, toxicity
 from vigil.llm.common import table
 
 
@@ -22,9 +22,18 @@ def op3_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op4_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    return (toxicity.score(docs, *model)
+            .select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
