@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, quality, toxicity
+from vigil.llm import bpe, chat, quality, secrets, toxicity, warc
 from vigil.llm.common import table
 
 
@@ -30,10 +30,34 @@ def op4_toxicity(spark, sf_dir):
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op8_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_secrets(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return (secrets.scan(table(spark, sf_dir, "documents"), ranks)
+            .select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"),
+                    "spans", "n_random"))
+
+
+def op10_chat(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    said = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    return chat.digests(chat.windows(turns.unionByName(own), ranks)).drop("n_windows")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op8_warc": op8_warc,
+    "op9_secrets": op9_secrets,
+    "op10_chat": op10_chat,
 }
 
 ORACLE: dict[str, str] = {}

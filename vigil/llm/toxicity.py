@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import kept, prepare, schema_of, written
 
 BUCKETS = 1 << 18
-SIZES = (3, 4, 5)
+SIZES = (4, 6, 8)
 SMOOTHING = 1.0
 #: Most sampled rows of each class that the linear fit sees (about, by hash).
 MAX_FIT = 3000
