@@ -89,8 +89,9 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, text: str, buckets: int, sm
     """One row with ``ratios``: log(p_target / p_raw) by bucket."""
     ids = trusted.select("doc_id", F.lit(0).alias("_salt"), F.lit(1).alias("_trusted")).distinct()
     salt = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(NULL_SALTS)))
+    # Always a sort-merge join: the plan, and what it shuffles, is the same at every size.
     rows = (docs.select("doc_id", text, F.coalesce(salt, F.lit(0)).cast("int").alias("_salt"))
-            .join(ids, ["doc_id", "_salt"], "left"))
+            .join(ids.hint("merge"), ["doc_id", "_salt"], "left"))
     counts = (with_words(rows, text)
               .select("_trusted", F.explode(ngram_buckets(buckets)).alias("bucket"))
               .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target")))

@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int =
         return np.zeros(buckets), (np.inf if 1 in total else -np.inf)
     share = F.when(F.col("label") == 1, min(1.0, max_fit / total[1])).otherwise(min(1.0, max_fit / total[0]))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    rows = (docs.select("doc_id", F.col(text).cast("string").alias("text")).join(labels, "doc_id")
+    rows = (docs.select("doc_id", F.col(text).cast("string").alias("text")).join(labels.hint("merge"), "doc_id")
             .select("text", "label", (place < share).alias("chosen")))
     made = written(rows.mapInArrow(lambda it: _count(it, buckets),
                                    "bucket long, clean long, toxic long, text string, label int"), "toxicity")
