@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, quality, secrets, toxicity, warc
+from vigil.llm import bpe, chat, neardup, quality, secrets, toxicity, warc
 from vigil.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op4_toxicity(spark, sf_dir):
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op7_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op8_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op7_neardup": op7_neardup,
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
