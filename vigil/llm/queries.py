@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, neardup, quality, secrets, toxicity, warc
+from vigil.llm import bpe, chat, linedup, neardup, quality, secrets, toxicity, warc
 from vigil.llm.common import table
 
 
@@ -17,6 +17,12 @@ def op1_bpe(spark, sf_dir):
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.line_dedup(docs).select("doc_id", "n_lines", "n_repeats", "n_near",
+                                           F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op3_quality(spark, sf_dir):
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
     return quality.quality(table(spark, sf_dir, "documents"), trusted)
@@ -57,6 +63,7 @@ def op10_chat(spark, sf_dir):
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_lines": op2_lines,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op7_neardup": op7_neardup,
