@@ -53,17 +53,27 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles (A-Z lower-cased)."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text (A-Z lower-cased)."""
     words = (text or "").encode("utf-8").lower().split()  # both ASCII only, as bytes
-    if not words:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def in_order(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words."""
+    stop = len(h) - width + 1
+    if stop <= 0:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    width = min(size, len(h))
-    out = h[:len(h) - width + 1].copy()
+    out = h[:stop].copy()
     for k in range(1, width):
-        out = _mix(out) * _ODD + h[k:len(h) - width + 1 + k]
-    return np.unique(_mix(out + np.uint64(width)))
+        out = _mix(out) * _ODD + h[k:stop + k]
+    return _mix(out + np.uint64(width))
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles."""
+    h = word_hashes(text)
+    return np.unique(in_order(h, min(size, len(h)))) if len(h) else h
 
 
 def _multipliers(symbols: int) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, linedup, neardup, quality, secrets, toxicity, warc
+from vigil.llm import bpe, chat, decontam, linedup, neardup, quality, secrets, toxicity, warc
 from vigil.llm.common import table
 
 
@@ -36,6 +36,15 @@ def op4_toxicity(spark, sf_dir):
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op6_decontam(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_items"),
+                        F.concat_ws(",", F.transform(F.array_sort("matches.item_id"), lambda i: i.cast("string"))).alias("item_ids"),
+                        F.array_max("matches.similarity").alias("similarity"),
+                        (F.size("matches") > 0).alias("contaminated"))
+
+
 def op7_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -66,6 +75,7 @@ QUERIES = {
     "op2_lines": op2_lines,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op6_decontam": op6_decontam,
     "op7_neardup": op7_neardup,
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
