@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, decontam, linedup, neardup, quality, secrets, toxicity, warc
+from vigil.llm import bpe, chat, decontam, linedup, neardup, quality, secrets, substrings, toxicity, warc
 from vigil.llm.common import table
 
 
@@ -36,6 +36,11 @@ def op4_toxicity(spark, sf_dir):
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op5_suffixes(spark, sf_dir):
+    made = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_decontam(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -75,6 +80,7 @@ QUERIES = {
     "op2_lines": op2_lines,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op5_suffixes": op5_suffixes,
     "op6_decontam": op6_decontam,
     "op7_neardup": op7_neardup,
     "op8_warc": op8_warc,
