@@ -385,6 +385,6 @@ def decode_span(row, vocabulary: Vocabulary, first: int, stop: int) -> bytes:
 def ids_array(ids) -> F.col:
     """A binary id column as array<long> (for consumers that want numbers)."""
     hexed = F.hex(ids)
-    return F.transform(F.sequence(F.lit(1), F.length(hexed), F.lit(8)),
-                       lambda k: F.conv(F.concat(*[F.substring(hexed, k + j, F.lit(2)) for j in (6, 4, 2, 0)]),
-                                        16, 10).cast("long"))
+    digits = F.filter(F.split(F.regexp_replace(hexed, "(.{8})", "$1 "), " "), lambda x: x != "")
+    turned = lambda x: F.concat(*[F.substring(x, k, 2) for k in (7, 5, 3, 1)])
+    return F.transform(digits, lambda x: F.conv(turned(x), 16, 10).cast("long"))

@@ -85,11 +85,12 @@ def words(text) -> F.col:
 SALTS = 16
 
 
-def salted_join(rows: DataFrame, keyed: DataFrame, key: str, how: str = "left", salts: int = SALTS) -> DataFrame:
+def salted_join(rows: DataFrame, keyed: DataFrame, key: str | list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
     """Joins ``keyed`` (at most one row per key) to ``rows``. Rows of one key
     are dealt over ``salts`` tasks by a hash of all their columns, the keyed
     rows are repeated once for each salt. Rows with a null key are dealt the
     same way and match nothing."""
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     each = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(each, [key, "_salt"], how).drop("_salt")
+    keys = [key] if isinstance(key, str) else key
+    return rows.withColumn("_salt", salt).join(each.hint("merge"), [*keys, "_salt"], how).drop("_salt")

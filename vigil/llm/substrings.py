@@ -1,27 +1,31 @@
 """Repeated byte strings: removes every byte that a string of ``length`` bytes
-covers which also starts somewhere else.
-
-1. Anchors. Of every window of ``length`` bytes the smallest hashed 8-gram among
-   its first ``SPREAD`` positions is the window's anchor. Equal windows have
-   their anchor at the same place, and all windows of an anchor hold the
-   ``length - SPREAD + 1`` bytes that follow it. One row per anchor (about one
-   for 70 bytes) carries the hash of those bytes and the run of window starts.
+covers which also starts somewhere else, by sorting suffixes.
+
+1. Anchors deal the suffixes out. Of every window of ``length`` bytes the
+   smallest hashed 8-gram among its first ``SPREAD`` positions is the window's
+   anchor. Equal windows have their anchor at the same place, and all windows of
+   an anchor hold the ``length - SPREAD + 1`` bytes that follow it, so suffixes
+   that can share ``length`` bytes meet under the hash of those bytes. One row
+   per anchor (about one for 70 bytes) stands for its run of window starts.
 2. Only anchors whose bytes occur twice can have repeated windows; they are
    counted before any row is joined. Texts that occur more than once as a whole
    are repeated throughout; one of them goes on for the others' sake.
-3. The windows of such anchors, with up to ``2 * SPREAD`` bytes of context, meet
-   under the anchor's hash and are compared as whole ``length``-byte strings.
-   Groups of up to ``GROUP`` rows are compared in sorted batches; the windows of
-   larger groups are counted one by one by a distributed aggregate, so no group
-   has to fit a task.
+3. The texts of such anchors, from their first window start to the end of their
+   last window, meet under the anchor's hash. Each batch of whole groups gets its
+   suffix order by the difference-cover method (``diffcover``: sorted sample
+   triples, recursion on their names, merge of the remaining suffixes), and
+   neighbours in that order are compared over ``length`` bytes. Equal contexts
+   are collapsed first. A group of more than ``GROUP`` contexts does not go to
+   one task: its windows are counted one by one by a distributed aggregate.
 4. The union of the repeated windows is cut from each text.
 
-Whole windows are compared by 64-bit hashes among windows with equal anchors.
+One exchange of the texts by document serves the contexts and the result.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing;
 repeated rows are copies of each other and lose everything (from ``length``
 bytes on); matches do not cross rows; a null doc_id is a row like others; an
-empty table gives an empty result. Extra columns are ignored.
+empty table gives an empty result. Extra columns are ignored. ``length`` is at
+least 16 and at most 216 bytes.
 """
 
 from __future__ import annotations
@@ -32,10 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import prepare, salted_join, written
+from vigil.llm.diffcover import DEPTH, order, same_prefix
 
 LENGTH = 200
 SPREAD = 141
-GROUP = 4000
+#: Contexts of one anchor that a task sorts together (about 7 MB of text); more
+#: take the distributed count.
+GROUP = 20_000
+#: Bytes of contexts that are sorted at once.
+SORTED_BYTES = 2 << 20
 #: Bytes of a text that are worked on at once (longer texts in overlapping parts).
 PART = 4 << 20
 
@@ -83,7 +92,7 @@ def anchors(data: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, np.
     n = len(data) - length + 1  # windows
     if n <= 0:
         return (np.zeros(0, np.int64),) * 3
-    x = data.astype(np.uint64)
+    x = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
     x = x[:-1] | x[1:] << np.uint64(8)
     x = x[:-2] | x[2:] << np.uint64(16)
     x = x[:-4] | x[4:] << np.uint64(32)
@@ -149,53 +158,42 @@ def _gathered(run, most: int = 20_000):
     return gather
 
 
+CONTEXT = "h long, did long, t1 long, first long, context binary"
+
+
 def _contexts(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """(h, did, t1, first, many, context) of the anchors to compare: the bytes
-    from the first window start to the end of the last window."""
-    per_text = asked.groupBy("did", "t1").agg(F.collect_list(F.struct("h", "a", "many")).alias("as"))
-    met = rows.join(per_text.withColumnRenamed("did", "d").withColumnRenamed("t1", "t").hint("merge"),
-                    (F.col("did") == F.col("d")) & (F.col("t1") == F.col("t")))
+    """(h, did, t1, first, context) of the anchors to compare: the bytes from
+    the first window start to the end of the last window."""
+    names = [c.split()[0] for c in CONTEXT.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    per_text = (asked.groupBy(F.col("did").alias("d"), F.col("t1").alias("t"))
+                .agg(F.collect_list(F.struct("h", "a")).alias("as")))
+    met = rows.join(per_text.hint("merge"), (F.col("did") == F.col("d")) & (F.col("t1") == F.col("t")))
+
+    def made(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     def run(batches):
+        out = []
         for batch in batches:
-            out = []
             for did, t1, t, found in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 data = t.encode("utf-8")
                 for x in found:
                     a = x["a"]
                     first = (a >> 16) - (a >> 8 & 255)
-                    out.append((x["h"], did, t1, first, x["many"], data[first:first + (a & 255) + length]))
+                    out.append((x["h"], did, t1, first, data[first:first + (a & 255) + length]))
                 if len(out) > 4000:
-                    yield _batch(out)
+                    yield made(out)
                     out = []
-            if out:
-                yield _batch(out)
-
-    def _batch(out):
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
-                                          names=["h", "did", "t1", "first", "many", "context"])
+        if out:
+            yield made(out)
 
-    # All columns of ``rows`` go in, so that one exchange of the texts serves this and the result.
-    return met.select("did", "t1", "text", "as", F.col("doc_id").alias("_1"), F.col("t2").alias("_2")).mapInArrow(
-        run, "h long, did long, t1 long, first long, many boolean, context binary")
+    # doc_id goes in as well: the same columns as for the result, hence the same exchange.
+    return met.select("did", "t1", "text", "as", F.col("doc_id").alias("_1")).mapInArrow(run, CONTEXT)
 
 
-def _windows(h: np.ndarray, contexts: list[bytes], length: int):
-    """(row, window in the row, hash) of every window of the contexts."""
-    size = np.fromiter(map(len, contexts), np.int64, len(contexts))
-    begin = np.cumsum(size) - size
-    count = size - length + 1
-    row = np.repeat(np.arange(len(size)), count)
-    k = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    at = begin[row] + k
-    w = Spans(np.frombuffer(b"".join(contexts), np.uint8))(at, at + length)
-    return row, k, _mix(w ^ (h[row].view(np.uint64) * _M1))
-
-
-def _runs(did, t1, first, row, k, hit):
-    """Batch of (did, t1, a, b): runs of repeated window starts."""
-    row, k = row[hit], k[hit]
+def _runs(did, t1, first, row, k):
+    """Batch of (did, t1, a, b): runs of repeated window starts, from (row, window) in order."""
     if not len(row):
         return None
     new = np.concatenate([[True], (row[1:] != row[:-1]) | (k[1:] != k[:-1] + 1)])
@@ -209,18 +207,50 @@ def _runs(did, t1, first, row, k, hit):
 RUNS = "did long, t1 long, a long, b long"
 
 
+def _repeated(h: np.ndarray, contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context, window in it) of every window of whole groups that occurs twice."""
+    number: dict[tuple[int, bytes], int] = {}
+    which = np.array([number.setdefault(k, len(number)) for k in zip(h.tolist(), contexts)])
+    copies = np.bincount(which)
+    distinct = [c for _, c in number]
+    size = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    begin = np.cumsum(size) - size
+    at = np.arange(int(size.sum())) - np.repeat(begin, size)
+    ranked, x = order(np.frombuffer(b"".join(distinct), np.uint8), at - np.repeat(size - length, size))
+    same = same_prefix(x, ranked[1:], ranked[:-1], length)
+    hit = np.zeros(len(at), bool)
+    hit[ranked[1:][same]] = True
+    hit[ranked[:-1][same]] = True
+    hit |= np.repeat(copies > 1, size) & (at <= np.repeat(size - length, size))
+    # From distinct contexts back to all of them.
+    place = np.flatnonzero(hit)
+    of = np.searchsorted(begin, place, side="right") - 1
+    count = np.bincount(of, minlength=len(distinct))
+    start = np.cumsum(count) - count
+    n = count[which]
+    row = np.repeat(np.arange(len(which)), n)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[which], n)
+    return row, (place - begin[of])[k]
+
+
 def _compare_small(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of groups that are not large, batch by batch in order of h."""
+    """Repeated windows of the groups that fit a task, in batches of whole groups in order of h."""
     def flush(rows):
         t = pa.Table.from_batches(rows).combine_chunks()
         h, did, t1, first = (t.column(c).to_numpy() for c in ("h", "did", "t1", "first"))
-        row, k, w = _windows(h, t.column("context").to_pylist(), length)
-        order = np.argsort(w)
-        same = w[order][1:] == w[order][:-1]
-        hit = np.zeros(len(w), bool)
-        hit[order[1:][same]] = True
-        hit[order[:-1][same]] = True
-        return _runs(did, t1, first, row, k, hit)
+        cut = np.flatnonzero(h[1:] != h[:-1]) + 1
+        size = np.cumsum([0, *(len(c) for c in t.column("context").to_pylist())])
+        edges, last = [0], 0
+        for c in [*cut.tolist(), len(h)]:  # groups, joined up to SORTED_BYTES
+            if size[c] - size[edges[-1]] > SORTED_BYTES and last > edges[-1]:
+                edges.append(last)
+            last = c
+        edges.append(len(h))
+        for a, b in zip(edges, edges[1:]):
+            row, k = _repeated(h[a:b], t.column("context").slice(a, b - a).to_pylist(), length)
+            out = _runs(did[a:b], t1[a:b], first[a:b], row, k)
+            if out is not None:
+                yield out
 
     def run(batches):
         held = []
@@ -228,89 +258,90 @@ def _compare_small(contexts: DataFrame, length: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             h = batch.column(0).to_numpy()
+            if held and held[-1].column(0)[-1].as_py() != h[0]:
+                yield from flush(held)
+                held = []
             cut = int(np.searchsorted(h, h[-1]))  # the last group may go on in the next batch
-            if cut == 0 and held and held[-1].column(0)[-1].as_py() != h[0]:
-                out = flush(held)
-                held = [batch]
-                if out is not None:
-                    yield out
-                continue
             if cut:
-                out = flush([*held, batch.slice(0, cut)])
+                yield from flush([*held, batch.slice(0, cut)])
                 held = []
-                if out is not None:
-                    yield out
             held.append(batch.slice(cut))
         if held:
-            out = flush(held)
-            if out is not None:
-                yield out
+            yield from flush(held)
 
-    rows = contexts.filter("not many").select("h", "did", "t1", "first", "context")
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, RUNS)
+    return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, RUNS)
 
 
 def _compare_large(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of large groups: one row per window, counted by hash."""
+    """Repeated windows of larger groups: one row per window, counted by hash."""
     def spread(batches):
         for batch in batches:
-            if batch.num_rows:
-                h, did, t1, first = (batch.column(k).to_numpy() for k in range(4))
-                row, k, w = _windows(h, batch.column(4).to_pylist(), length)
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(did[row]), pa.array(t1[row]),
-                                                  pa.array(first[row] + k)], names=["w", "did", "t1", "a"])
-
-    each = contexts.filter("many").select("h", "did", "t1", "first", "context").mapInArrow(
-        spread, "w long, did long, t1 long, a long")
+            if not batch.num_rows:
+                continue
+            h, did, t1, first = (batch.column(k).to_numpy() for k in range(4))
+            contexts = batch.column(4).to_pylist()
+            size = np.fromiter(map(len, contexts), np.int64, len(contexts))
+            count = size - length + 1
+            row = np.repeat(np.arange(len(size)), count)
+            k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            at = (np.cumsum(size) - size)[row] + k
+            w = Spans(np.frombuffer(b"".join(contexts), np.uint8))(at, at + length)
+            w = _mix(w ^ (h[row].view(np.uint64) * _M1))
+            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(did[row]), pa.array(t1[row]), pa.array(first[row] + k)],
+                                             names=["w", "did", "t1", "a"])
+
+    each = contexts.mapInArrow(spread, "w long, did long, t1 long, a long")
     twice = each.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w")
     return salted_join(each, twice, "w", "inner").select("did", "t1", "a", F.col("a").alias("b"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) of every row."""
+    if not 16 <= length <= DEPTH:
+        raise ValueError(f"length {length} is not in 16..{DEPTH}")
     spread = length * SPREAD // LENGTH
     prepare(docs.sparkSession)
     rows = _identified(docs, text)
     found = written(_anchored(rows, length, spread), "anchors")
     twice = (found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
              .select("h", (F.col("n") > group).alias("many")))
-    copies = written(rows.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("did").alias("lead"))
-                     .filter("n > 1").select("t1", "t2", "lead"), "copies")
-    asked = salted_join(found, twice.hint("merge"), "h", "inner")
+    ids = rows.select("did", "t1", "t2")
+    copies = (ids.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("did").alias("lead"))
+              .filter("n > 1").select("t1", "t2", "lead"))
+    copied = written(salted_join(ids.distinct(), copies.select("t1", "t2", "lead"), ["t1", "t2"], "inner"), "copies")
     # Of equal texts only the first is compared with the others.
-    asked = (asked.join(copies.select("t1", "lead").hint("merge"), "t1", "left")
-             .filter("lead is null or lead = did").select("h", "did", "t1", "a", "many"))
-    contexts = _contexts(rows, asked, length)
-    contexts = written(contexts, "contexts")
-    runs = _compare_small(contexts, length).unionByName(_compare_large(contexts, length))
-    cut = runs.groupBy("did", "t1").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    # A repeated text is covered as a whole.
-    whole = (rows.join(copies.hint("merge"), ["t1", "t2"], "left")
-             .select("doc_id", "text", "did", "t1", F.col("lead").isNotNull().alias("copy")))
-    joined = whole.join(cut.withColumnRenamed("did", "d").withColumnRenamed("t1", "t").hint("merge"),
-                        (F.col("did") == F.col("d")) & (F.col("t1") == F.col("t")), "left")
+    others = copied.filter("did <> lead").select("did", "t1")
+    asked = salted_join(found, twice.hint("merge"), "h", "inner").join(others.hint("merge"), ["did", "t1"], "left_anti")
+    asked = written(asked.select("h", "did", "t1", "a", "many"), "asked")
+
+    texts = rows.select("doc_id", "text", "did", "t1")
+    runs = (_compare_small(_contexts(texts, asked.filter("not many"), length), length)
+            .unionByName(_compare_large(_contexts(texts, asked.filter("many"), length), length))
+            # A repeated text is covered as a whole.
+            .unionByName(copied.select("did", "t1", F.lit(-1).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"))))
+    cut = runs.groupBy(F.col("did").alias("d"), F.col("t1").alias("t")).agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    joined = texts.join(cut.hint("merge"), (F.col("did") == F.col("d")) & (F.col("t1") == F.col("t")), "left")
 
     def finish(batches):
         for batch in batches:
             out = []
-            for t, copy, found in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            for t, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = t.encode("utf-8")
-                if copy and len(data) >= length:
-                    out.append((len(data), len(data), 1, b""))
-                    continue
                 if not found:
                     out.append((len(data), 0, 0, data))
                     continue
+                starts = np.array([(x["a"], x["b"]) for x in found])
+                if starts[:, 0].min() < 0:  # a copy
+                    starts = np.array([(0, len(data) - length)]) if len(data) >= length else starts[:0]
                 edge = np.zeros(len(data) + 1, np.int64)
-                ends = np.array([(x["a"], x["b"] + length) for x in found])
-                np.add.at(edge, ends[:, 0], 1)
-                np.add.at(edge, ends[:, 1], -1)
+                np.add.at(edge, starts[:, 0], 1)
+                np.add.at(edge, starts[:, 1] + length, -1)
                 gone = np.cumsum(edge)[:-1] > 0
-                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                spans = int((gone[1:] & ~gone[:-1]).sum()) + int(gone[:1].sum())
                 out.append((len(data), int(gone.sum()), spans, np.frombuffer(data, np.uint8)[~gone].tobytes()))
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return joined.select("doc_id", "text", "copy", "runs").mapInArrow(
+    return joined.select("doc_id", "text", "runs").mapInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
