@@ -48,11 +48,20 @@ def test_hot_device_segmented(spark):
     _check(out, exp)
 
 
-def test_auto_plan_switches_on_hot_device(spark):
-    t = typed(events_records(spark, SF_SMALL)).withColumn("device_key", F.lit("hot"))
-    win = score(t, plan="window").toPandas().sort_values("seq").reset_index(drop=True)
-    auto = score(t, plan="auto", max_rows_per_task=100, blocks=4).toPandas().sort_values("seq").reset_index(drop=True)
-    assert win.equals(auto)
+def _ties(t):
+    """``seq`` repeats, and is null for every tenth record."""
+    return t.withColumn("seq", F.when(F.col("seq") % 10 != 0, F.floor(F.col("seq") / 2)))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_plans_keep_every_row_with_tied_and_null_seq(spark, hot):
+    t = _ties(typed(events_records(spark, SF_SMALL)))
+    if hot:
+        t = t.withColumn("device_key", F.lit("hot"))
+    win = score(t, plan="window")
+    seg = score(t, plan="segmented", blocks=6)
+    assert win.count() == seg.count() == t.count() == 1000
+    assert win.exceptAll(seg).count() == 0 and seg.exceptAll(win).count() == 0
 
 
 @settings(max_examples=200, deadline=None)

@@ -29,10 +29,7 @@ def test_scan_reads_only_needed_columns(spark):
     assert cols == {"user_id", "event_type", "value"}, cols
 
 
-def test_segmented_plan_moves_rows_only_to_place_blocks(spark):
-    """Inside the segmented computation, the rows cross exactly two
-    exchanges (range, then hash on (device_key, blk)), both under the cached
-    relation; every other exchange shuffles a small per-block table."""
+def _checkpointed_plans(run) -> list[str]:
     from pyspark.sql.classic.dataframe import DataFrame
     plans = []
     orig = DataFrame.checkpoint
@@ -43,11 +40,47 @@ def test_segmented_plan_moves_rows_only_to_place_blocks(spark):
 
     DataFrame.checkpoint = spy
     try:
-        score(typed(events_records(spark, SF_SMALL)), plan="segmented", blocks=4)
+        run()
     finally:
         DataFrame.checkpoint = orig
-    lines = [re.sub(r"#\d+L?", "", l).strip(" :|+-") for l in plans[-1].split("\n")]
-    for i, l in enumerate(lines[:-1]):
-        if l.startswith("Exchange"):
-            assert not lines[i + 1].startswith("InMemoryTableScan"), (l, lines[i + 1])
-    assert any(l.startswith("InMemoryTableScan") for l in lines)
+    return plans
+
+
+def test_segmented_plan_moves_rows_only_to_place_blocks(spark):
+    """The rows cross exactly two exchanges (range, then by block), both under
+    the cached relation; every other exchange shuffles a small per-block table.
+    Each row-level window runs once, payload included."""
+    plan = _checkpointed_plans(lambda: score(typed(events_records(spark, SF_SMALL)), plan="segmented", blocks=4))[-1]
+    lines = [re.sub(r"#\d+L?", "", x).strip(" :|+-") for x in plan.split("\n")]
+    for i, x in enumerate(lines[:-1]):
+        if x.startswith("Exchange"):
+            assert not lines[i + 1].startswith("InMemoryTableScan"), (x, lines[i + 1])
+    # The plan over the second cache: one window over all columns of the rows.
+    wide = [x for x in lines if x.startswith("Window") and "lag(succ_hi" in x]
+    assert any(x.startswith("InMemoryTableScan") for x in lines) and len(wide) <= 2
+    assert "Join" not in "".join(x for x in lines if "dateOfLastChange" in x and "SortMergeJoin" in x)
+
+
+def test_blocks_are_even(spark):
+    from pyspark.sql import functions as F
+    from conftest import SF_MID
+    from vigil.operators.score import with_bucket
+    from vigil.operators.segmented import blocked_rows
+    t = with_bucket(typed(events_records(spark, SF_MID)).select("device_key", "event_time", "seq", "measurement"))
+    base = blocked_rows(t, 64)
+    sizes = [r["count"] for r in base.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    base.unpersist()
+    assert len(sizes) == 64 and max(sizes) <= 1.3 * sum(sizes) / 64
+
+
+def test_positions_checkpoint_only_the_order(spark):
+    from vigil.operators.reports import replay_batches
+    plans = _checkpointed_plans(lambda: replay_batches(events_records(spark, SF_SMALL)))
+    assert re.search(r"ReadSchema: struct<event_id:bigint>", plans[-1])
+
+
+def test_last_n_per_device_scans_once(spark):
+    from vigil.operators.reports import last_n_per_device
+    df = last_n_per_device(score(typed(events_records(spark, SF_SMALL)), plan="window"))
+    plan = _plan(df)
+    assert plan.count("FileScan") == 1 and len(_exchanges(plan)) == 1

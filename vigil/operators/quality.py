@@ -17,6 +17,12 @@ def quarantine_reason() -> F.Column:
              .when(F.col("measurement").isNull(), F.lit("bad_measurement")))
 
 
+def fail_on_bad_rows(typed: DataFrame) -> DataFrame:
+    """The rows, or a failed job when one of them cannot be scored."""
+    bad = F.raise_error(F.concat(F.lit("record cannot be scored: "), quarantine_reason()))
+    return typed.filter(F.when(quarantine_reason().isNull(), F.lit(True)).otherwise(bad.cast("boolean")))
+
+
 def classify(typed: DataFrame) -> DataFrame:
     """Every row with its quarantine reason, ``ok`` for rows the model takes."""
     return typed.select("device_key", "seq", F.coalesce(quarantine_reason(), F.lit("ok")).alias("reason"))
@@ -39,7 +45,7 @@ def device_bucket_check(typed: DataFrame, n: int = 10) -> DataFrame:
                  F.count_distinct("db").cast("long").alias("device_partitions")))
 
 
-def order_violations(typed: DataFrame, arrival: str = "arrival", plan: str = "auto",
+def order_violations(typed: DataFrame, arrival: str = "arrival", plan: str = "window",
                      blocks: int | None = None) -> DataFrame:
     """Rows that arrive with an event time earlier than the device's previous
     arrival (order not kept per device)."""
@@ -80,9 +86,9 @@ def record_diff(left: DataFrame, right: DataFrame, keys: list[str],
              .filter(F.col("fields_differing") > 0))
 
 
-def record_numbers(typed: DataFrame, plan: str = "auto", blocks: int | None = None) -> DataFrame:
+def record_numbers(typed: DataFrame, plan: str = "window", blocks: int | None = None) -> DataFrame:
     """0-based position of each valid row in its device's (event_time, seq) order."""
     df = typed.filter(F.col("event_time").isNotNull() & F.col("measurement").isNotNull()) \
-              .select("device_key", "seq", "event_time")
-    return number_rows(df, ["device_key"], ["event_time", "seq"], plan=plan, blocks=blocks) \
+              .select("device_key", "seq", "event_time", "measurement")
+    return number_rows(df, ["device_key"], ["event_time", "seq", "measurement"], plan=plan, blocks=blocks) \
         .select("device_key", "seq", "record_number")

@@ -74,13 +74,13 @@ def last_n(scored: DataFrame, s: ScoreSettings = DEFAULT, order: tuple[str, ...]
 
 def last_n_per_device(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
     """Each device's own display window: its latest ``display_rows`` (501)
-    records. Uses the record numbers the scorer already gave: a per-device
-    maximum (combined map-side) and a join on the device, which AQE splits
-    when one device is hot. No window runs over a whole device."""
-    last = scored.groupBy("device_key").agg(F.max("record_number").alias("_last"))
-    return (scored.join(last, "device_key")
-            .filter(F.col("record_number") > F.col("_last") - s.display_rows)
-            .drop("_last"))
+    records, ranked by record number over the partitioning the scorer's rows
+    already have (no second scan or exchange). Spark keeps only the first
+    ``display_rows`` ranks of each device while it sorts."""
+    from pyspark.sql import Window
+    newest = Window.partitionBy("device_key").orderBy(F.col("record_number").desc())
+    return (scored.withColumn("_rank", F.row_number().over(newest))
+            .filter(F.col("_rank") <= s.display_rows).drop("_rank"))
 
 
 def display_points(scored: DataFrame, s: ScoreSettings = DEFAULT,
@@ -122,8 +122,9 @@ def chart_pairs(points: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
 def replay_batches(records: DataFrame, s: ScoreSettings = DEFAULT, order: str = "seq",
                    blocks: int | None = None) -> DataFrame:
     """Paced replay: the ``k``-th group of ``replay_batch_size`` records in file
-    order is sent in batch ``k`` (a pause follows each batch). Positions come
-    from a distributed zip-with-index, not a single-partition window."""
+    order is sent in batch ``k`` (``streaming.replay`` pauses after each).
+    Returns the order column, ``position`` and ``replay_batch``; positions come
+    from a distributed zip-with-index over the order column alone."""
     pos = row_positions(records, [order], "position", blocks=blocks)
     return pos.withColumn("replay_batch", F.floor(F.col("position") / s.replay_batch_size).cast("long"))
 

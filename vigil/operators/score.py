@@ -18,8 +18,11 @@ far and:
 Every step is a window function, so the whole model is one hash exchange on
 ``device_key`` plus sorts (``plan="window"``). A device with very many rows
 would make that one task; ``plan="segmented"`` (see ``segmented.py``) splits
-devices into ordered blocks and combines block carries instead, and
-``plan="auto"`` picks it when the largest device exceeds ``max_device_rows``.
+devices into ordered blocks and combines block carries instead. The caller
+names the plan; both give the same rows, every valid input row once.
+
+The order of a device's rows is total up to rows that do not differ for the
+model: (event_time, seq with nulls first, measurement).
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ from vigil.operators.bitsets import bit_hi, bit_lo, covered_bits
 from vigil.schema import RAW_FIELDS, RESULT_FIELDS
 from vigil.settings import DEFAULT, ScoreSettings
 
-ORDER = ("event_time", "seq")
-DEFAULT_MAX_DEVICE_ROWS = 4_000_000
+ORDER = ("event_time", "seq", "measurement")
+#: Rows that a block of the segmented plan holds at most, on average.
+BLOCK_ROWS = 4_000_000
 
 
 def valid_rows(typed: DataFrame) -> DataFrame:
@@ -107,54 +111,38 @@ def check_settings(s: ScoreSettings) -> None:
         raise ValueError(f"{s.n_buckets} buckets exceed the {2 * WORD}-bucket successor bitmap")
 
 
-def device_stats(prepared: DataFrame) -> tuple[int, int]:
-    """(rows of the largest device, all rows), one partial aggregate: hot
-    keys are counted map-side, only per-device counts cross the shuffle."""
-    row = (prepared.groupBy("device_key").count()
-           .agg(F.max("count").alias("m"), F.sum("count").alias("n")).first())
-    return int(row["m"] or 0), int(row["n"] or 0)
-
-
-def max_device_rows(prepared: DataFrame) -> int:
-    return device_stats(prepared)[0]
+def block_count(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
+    """Blocks for a blocked plan: one per core at least, and enough that a
+    block holds ``block_rows`` rows on average (counts the rows once)."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(cores, -(-rows.count() // block_rows))
 
 
-def block_count(spark, total_rows: int | None, max_rows_per_task: int) -> int:
-    """Blocks for the segmented plan: one per core at least, and enough
-    that no block holds more than ``max_rows_per_task`` rows."""
-    cores = spark.sparkContext.defaultParallelism
-    if total_rows is None:
-        return cores
-    return max(cores, -(-total_rows // max_rows_per_task))
-
-
-def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "auto",
-          max_rows_per_task: int = DEFAULT_MAX_DEVICE_ROWS, blocks: int | None = None,
-          keep: list[str] | None = None, align_error: bool = False) -> DataFrame:
+def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "window", block_rows: int = BLOCK_ROWS,
+          blocks: int | None = None, keep: list[str] | None = None, align_error: bool = False,
+          strict: bool = False) -> DataFrame:
     """Score every valid row. Output: ``device_key, seq, record_number,
     measurement``, the kept record fields (default: all 24 raw fields) and
     the four results; with ``align_error`` also ``aligned_error``, this row's
     own ``|prediction - measurement|`` (``error`` keeps the one-row lag).
 
-    Rows are ordered by (event_time, seq) per device; ``seq`` (arrival
-    order) must be unique within a device for the order to be total."""
+    Rows without a parsed time or measurement cannot be scored:
+    ``quality.split_quarantine`` (or ``score_quarantine``) gives them with the
+    reason; with ``strict`` such a row fails the job instead.
+
+    Rows are ordered by (event_time, seq, measurement) per device, nulls
+    first. ``seq`` (arrival order) may repeat or be null."""
+    from vigil.operators.quality import fail_on_bad_rows
     keep = RAW_FIELDS if keep is None else keep
     check_settings(s)
-    prepared = with_bucket(valid_rows(typed).select(
-        "device_key", *ORDER, "measurement",
-        *[c for c in keep if c not in ("device_key", "seq", "event_time", "measurement")]), s)
-    total = None
-    if plan == "auto":
-        # Counted on the key alone (all rows, valid or not): an upper bound
-        # that reads only the key columns and skips parsing time and number.
-        largest, total = device_stats(typed.select("device_key"))
-        plan = "segmented" if largest > max_rows_per_task else "window"
+    checked = fail_on_bad_rows(typed) if strict else valid_rows(typed)
+    prepared = with_bucket(checked.select(
+        "device_key", *ORDER, *[c for c in keep if c not in ("device_key", *ORDER)]), s)
     if plan == "window":
         scored = score_window(prepared, s)
     elif plan == "segmented":
         from vigil.operators.segmented import score_segmented
-        blocks = blocks or block_count(typed.sparkSession, total, max_rows_per_task)
-        scored = score_segmented(prepared, s, blocks=blocks)
+        scored = score_segmented(prepared, s, blocks=blocks or block_count(prepared.select("device_key"), block_rows))
     else:
         raise ValueError(f"unknown plan {plan!r}")
     extra = [F.abs(F.col("prediction") - F.col("measurement")).alias("aligned_error")] if align_error else []

@@ -19,16 +19,16 @@ small map), which is exactly the partitioning of the blocked rows, so no
 carry join ever moves the rows: it is broadcast when small and otherwise
 only the carry side is shuffled. Only a block's first device continues from
 an earlier block, so each carry has at most ``blocks`` rows (numbering:
-``2 * blocks``), the maps at most 101 x 102 entries.
-
-Work over all rows: the scoring runs on the narrow columns (key, order,
-measurement, bucket). One range exchange and one hash exchange on
-(device_key, blk) place them in a persisted relation (see
-``blocked_rows``); every window, aggregate and carry join after that keeps
-its partitioning. The narrow scores are checkpointed (reliable, in
-``spark.checkpoint.dir``), which cuts the lineage and lets the cache go; the
-record's other fields join back once on the unique (device_key, seq).
-The plan is eager: it runs its jobs when called.
+``2 * blocks``), the maps at most ``n_buckets`` x (``n_buckets`` + 1) entries.
+
+Rows keep all their fields through the blocks, so nothing is joined back and
+``seq`` may repeat or be null. One range exchange cuts the rows into blocks; a
+second exchange deals them by block number (each block is one partition), after
+which every window, aggregate and carry join keeps its partitioning. Two
+relations are cached: the numbered blocks, and the rows with their running mode
+and successor set, so that each row-level window runs once. The scores are
+checkpointed (reliable, in ``spark.checkpoint.dir``), which cuts the lineage
+and lets the caches go. The plan is eager: it runs its jobs when called.
 """
 
 from __future__ import annotations
@@ -43,30 +43,24 @@ from vigil.operators.score import ORDER, finish
 from vigil.settings import DEFAULT, ScoreSettings
 
 UNB = Window.unboundedPreceding
-NARROW = ["device_key", "event_time", "seq", "measurement", "b"]
 
 
-def _blocks_default(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
-def blocked_rows(narrow: DataFrame, blocks: int) -> DataFrame:
-    """Cut the device-ordered rows into ``blocks`` ranges (``blk``), place
-    them by (device_key, blk), number them inside each (device, blk)
-    (``ln``) and read the next bucket there (``nb_local``); persisted.
+def blocked_rows(rows: DataFrame, blocks: int) -> DataFrame:
+    """Cut the device-ordered rows into ``blocks`` ranges (``blk``), one
+    partition each, number them inside each (device, blk) (``ln``) and read the
+    next bucket there (``nb_local``); persisted.
 
     Every later step reads this one cached relation, so all plan branches
     see the same ``blk`` (two separate range exchanges would each draw their
     own sample and could cut at different rows), and the cached relation
-    keeps its hash(device_key, blk) partitioning, so no later window,
-    aggregate or carry join moves the rows again. A lost cached block is
-    recomputed from the same shuffle dependency, hence the same cut.
-    The cache is filled here: plans built on a filled cache see its
-    partitioning (an unfilled one reports none)."""
+    keeps its partitioning by ``blk``, so no later window, aggregate or carry
+    join moves the rows again. A lost cached block is recomputed from the same
+    shuffle dependency, hence the same cut. The cache is filled here: plans
+    built on a filled cache see its partitioning (an unfilled one reports none)."""
     local = Window.partitionBy("device_key", "blk").orderBy(*ORDER)
-    base = (narrow.repartitionByRange(blocks, "device_key", *ORDER)
+    base = (rows.repartitionByRange(blocks, "device_key", *ORDER)
             .withColumn("blk", F.spark_partition_id())
-            .repartition(blocks, "device_key", "blk")
+            .repartitionById(blocks, F.col("blk"))
             .select("*", F.row_number().over(local).cast("long").alias("ln"),
                     F.lead("b").over(local).alias("nb_local"))
             .persist(StorageLevel.MEMORY_AND_DISK))
@@ -74,27 +68,21 @@ def blocked_rows(narrow: DataFrame, blocks: int) -> DataFrame:
     return base
 
 
-def _pair_key(b, to_k):
-    return b * F.lit(128) + to_k + F.lit(1)
+def _pair_key(b, to_k, s: ScoreSettings):
+    return b * F.lit(s.n_buckets + 1) + to_k + F.lit(1)
 
 
-def score_segmented(prepared: DataFrame, s: ScoreSettings = DEFAULT, blocks: int | None = None) -> DataFrame:
-    blocks = blocks or _blocks_default(prepared)
-    payload = [c for c in prepared.columns if c not in NARROW]
-    base = blocked_rows(prepared.select(*NARROW), blocks)
+def score_segmented(prepared: DataFrame, s: ScoreSettings, blocks: int) -> DataFrame:
+    base = blocked_rows(prepared, blocks)
     try:
-        scored = _score_blocks(base, s)
+        return _score_blocks(base, s)
     finally:
         base.unpersist()
-    if not payload:
-        return scored
-    # The record's text fields join back once on the unique record key.
-    return scored.join(prepared.select("device_key", "seq", *payload), ["device_key", "seq"])
 
 
 def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     """The model over the cached blocked rows; returns the checkpointed
-    narrow scores."""
+    scores."""
     a = base
     by_blk = Window.partitionBy("device_key").orderBy("blk")
 
@@ -126,12 +114,12 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     carry2 = (pair_tot.filter(F.col("off2") > 0)
               .groupBy("device_key", "blk")
               .agg(F.map_from_entries(F.collect_list(
-                  F.struct(_pair_key(F.col("b"), F.col("to_k")).alias("pk"), "off2"))).alias("m2")))
+                  F.struct(_pair_key(F.col("b"), F.col("to_k"), s).alias("pk"), "off2"))).alias("m2")))
     pair = Window.partitionBy("device_key", "blk", "b", "to_k").orderBy("ln")
     b2 = (a.withColumn("lc", F.row_number().over(pair).cast("long"))
            .join(carry2, ["device_key", "blk"], "left")
            .withColumn("c", F.col("lc") + F.coalesce(
-               F.try_element_at("m2", _pair_key(F.col("b"), F.col("to_k"))), F.lit(0)))
+               F.try_element_at("m2", _pair_key(F.col("b"), F.col("to_k"), s)), F.lit(0)))
            .drop("lc", "m2"))
 
     # 3. Running mode and successor set of b over the rows before this one.
@@ -163,7 +151,9 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
             .withColumn("succ_lo", F.coalesce("lo_l", zero).bitwiseOR(F.coalesce("cv.lo", zero)))
             .withColumn("succ_hi", F.coalesce("hi_l", zero).bitwiseOR(F.coalesce("cv.hi", zero)))
             .withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s))
-            .drop("best_l", "lo_l", "hi_l", "m3", "cv"))
+            .drop("best_l", "lo_l", "hi_l", "m3", "cv", "best", "c", "to_b", "to_k"))
+    c3 = c3.persist(StorageLevel.MEMORY_AND_DISK)
+    c3.count()
 
     # 4. Values of the previous one or two rows; a block's first rows take
     #    them from the tail of the device's earlier blocks.
@@ -173,7 +163,7 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
                   F.lag("measurement", 1).over(seq_w).alias("x1_l"),
                   F.lag("succ_lo", 1).over(seq_w).alias("lo1_l"),
                   F.lag("succ_hi", 1).over(seq_w).alias("hi1_l"))
-    tail = d.groupBy("device_key", "blk").agg(
+    tail = d.select("device_key", "blk", "ln", "predictionNext", "measurement", "succ_lo", "succ_hi", "pn1_l").groupBy("device_key", "blk").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.max_by(F.struct("predictionNext", "measurement", "succ_lo", "succ_hi", "pn1_l"), "ln").alias("last"))
     carry4 = (tail.select(
@@ -196,9 +186,11 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
         "phi": F.when(ln == 1, F.col("p_hi")).otherwise(F.col("hi1_l")),
     }
     # Cut the lineage (reliable checkpoint in spark.checkpoint.dir) so the
-    # cached rows can go; the narrow scores are what the caller reads.
+    # cached rows can go.
     from vigil.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(base.sparkSession)
-    return finish(d, s, prev).drop("blk", "ln", "to_b", "to_k", "c", "best", "succ_lo", "succ_hi",
-                                   "pn1_l", "pn2_l", "x1_l", "lo1_l", "hi1_l",
-                                   "p_pn1", "p_pn2", "p_x1", "p_lo", "p_hi").checkpoint(eager=True)
+    try:
+        return finish(d, s, prev).drop("blk", "ln", "succ_lo", "succ_hi", "pn1_l", "pn2_l", "x1_l", "lo1_l", "hi1_l",
+                                       "p_pn1", "p_pn2", "p_x1", "p_lo", "p_hi").checkpoint(eager=True)
+    finally:
+        c3.unpersist()

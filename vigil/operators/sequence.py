@@ -17,22 +17,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_KEY_ROWS = 4_000_000
 
-
-def _blocks(df: DataFrame, blocks: int | None) -> int:
-    """Ranges for the blocked forms: as given, else one per core."""
-    return blocks or df.sparkSession.sparkContext.defaultParallelism
+def _blocks(df: DataFrame, blocks: int | None, cols: list[str]) -> int:
+    """Ranges for the blocked forms: as given, else by cores and rows."""
+    from vigil.operators.score import block_count
+    return blocks or block_count(df.select(*cols))
 
 
 def blocked(df: DataFrame, cols: list[str], blocks: int | None = None) -> DataFrame:
     """Range-partition on ``cols``, sort inside each range, and fix ``blk``
     (range index) and ``pos`` (0-based row index inside the range) with a
-    reliable checkpoint (see ``segmented.assign_blocks`` for why)."""
+    reliable checkpoint (two range exchanges could cut at different rows)."""
     from vigil.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     one = F.lit(1).cast("long")
-    return (df.repartitionByRange(_blocks(df, blocks), *cols)
+    return (df.repartitionByRange(_blocks(df, blocks, cols), *cols)
             .sortWithinPartitions(*cols)
             .withColumn("blk", F.spark_partition_id())
             .withColumn("pos", F.monotonically_increasing_id()
@@ -41,10 +40,12 @@ def blocked(df: DataFrame, cols: list[str], blocks: int | None = None) -> DataFr
 
 
 def row_positions(df: DataFrame, order: list[str], name: str = "position",
-                  blocks: int | None = None) -> DataFrame:
+                  blocks: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """0-based position of every row in the global ``order`` (like a
     zip-with-index): one range exchange, one checkpoint write, and a
-    ``blocks``-row table of block offsets that is broadcast on that bound."""
+    ``blocks``-row table of block offsets that is broadcast on that bound.
+    Only the order columns and ``keep`` cross the exchange and the checkpoint."""
+    df = df.select(*dict.fromkeys([*order, *(keep or [])]))
     b = blocked(df, order, blocks)
     sizes = b.groupBy("blk").agg(F.count(F.lit(1)).alias("n"))
     offsets = sizes.select("blk", F.coalesce(
@@ -57,27 +58,16 @@ def row_positions(df: DataFrame, order: list[str], name: str = "position",
              .drop("blk", "pos", "off"))
 
 
-def max_key_rows(df: DataFrame, keys: list[str]) -> int:
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def _choose(df: DataFrame, keys: list[str], plan: str, max_rows: int) -> str:
-    if plan == "auto":
-        return "blocked" if max_key_rows(df, keys) > max_rows else "window"
-    return plan
-
-
 def _placed(df: DataFrame, keys: list[str], order: list[str], blocks: int | None) -> DataFrame:
-    """Range blocks (``blk``) placed by (keys, blk) and numbered inside each
+    """Range blocks (``blk``), one partition each, numbered inside each
     (key, blk) (``ln``), persisted and filled, so every branch sees the same
     cut and keeps the (keys, blk) partitioning (as in the segmented scorer)."""
     from pyspark import StorageLevel
-    n = _blocks(df, blocks)
+    n = _blocks(df, blocks, keys)
     local = Window.partitionBy(*keys, "blk").orderBy(*order)
     base = (df.repartitionByRange(n, *keys, *order)
             .withColumn("blk", F.spark_partition_id())
-            .repartition(n, *keys, "blk")
+            .repartitionById(n, F.col("blk"))
             .select("*", F.row_number().over(local).cast("long").alias("ln"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     base.count()
@@ -95,10 +85,8 @@ def _finish_placed(base: DataFrame, out: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "record_number",
-                plan: str = "auto", blocks: int | None = None,
-                max_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
-    """0-based row number per key in ``order``."""
-    plan = _choose(df, keys, plan, max_rows)
+                plan: str = "window", blocks: int | None = None) -> DataFrame:
+    """0-based row number per key in ``order``; ``plan`` is ``window`` or ``blocked``."""
     if plan == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
@@ -115,10 +103,9 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "r
 
 
 def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str, name: str,
-                   plan: str = "auto", blocks: int | None = None,
-                   max_rows: int = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
-    """``col`` of the previous row of the same key in ``order`` (null first)."""
-    plan = _choose(df, keys, plan, max_rows)
+                   plan: str = "window", blocks: int | None = None) -> DataFrame:
+    """``col`` of the previous row of the same key in ``order`` (null first);
+    ``plan`` is ``window`` or ``blocked``."""
     if plan == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.lag(col).over(w))

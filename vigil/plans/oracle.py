@@ -99,8 +99,8 @@ WITH t AS (
   SELECT device_key, event_time, seq, measurement{kept}, {bucket('measurement', s)} AS b
   FROM ({typed_sql}) WHERE event_time IS NOT NULL AND measurement IS NOT NULL),
 num AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY device_key ORDER BY event_time, seq) - 1 AS BIGINT) AS n,
-         lead(b) OVER (PARTITION BY device_key ORDER BY event_time, seq) AS nb
+  SELECT *, CAST(row_number() OVER (PARTITION BY device_key ORDER BY event_time, seq NULLS FIRST, measurement) - 1 AS BIGINT) AS n,
+         lead(b) OVER (PARTITION BY device_key ORDER BY event_time, seq NULLS FIRST, measurement) AS nb
   FROM t),
 cnt AS (
   SELECT *, row_number() OVER (PARTITION BY device_key, b, nb ORDER BY n) AS c FROM num),
@@ -207,6 +207,11 @@ def _hot(records_sql: str) -> str:
             f"FROM ({records_sql})")
 
 
+def _ties(records_sql: str) -> str:
+    return (f"SELECT * REPLACE (CASE WHEN seq % 10 <> 0 THEN CAST(floor(seq / 2) AS BIGINT) END AS seq) "
+            f"FROM ({records_sql})")
+
+
 def _window_summary() -> str:
     return (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
             f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
@@ -268,6 +273,8 @@ def all_sql() -> dict[str, str]:
         "score_batch": f"SELECT {score_cols} FROM ({SCORED})",
         "score_segmented": f"SELECT {score_cols} FROM ({SCORED})",
         "score_months": f"SELECT {score_cols} FROM ({scored(TYO)})",
+        "score_seq_ties": f"SELECT {score_cols.replace('seq', 'coalesce(seq, -1) AS seq', 1)} FROM ({scored(typed(_ties(EV)))})",
+        "score_seq_ties_segmented": f"SELECT {score_cols.replace('seq', 'coalesce(seq, -1) AS seq', 1)} FROM ({scored(typed(_ties(EV)))})",
         "score_hot_device": f"SELECT {score_cols} FROM ({scored(typed(_hot(EV)))})",
         "device_snapshot": (f"SELECT device_key, s.record_number AS record_number, s.measurement AS actual, "
                             f"s.prediction AS prediction, s.error AS error, s.anomaly AS anomaly, "

@@ -39,7 +39,7 @@ def _typed_orders(spark, sf):
     return typed(orders_records(spark, sf))
 
 
-def _scored(spark, sf, plan="auto", **kw):
+def _scored(spark, sf, plan="window", **kw):
     return score(_typed(spark, sf), plan=plan, **kw)
 
 
@@ -254,7 +254,7 @@ def q_encode_record(spark, sf):
 # ------------------------------------------------------------------ model --
 
 def q_record_number(spark, sf):
-    return Q.record_numbers(_typed(spark, sf), plan="auto")
+    return Q.record_numbers(_typed(spark, sf), plan="window")
 
 
 def q_record_number_blocked(spark, sf):
@@ -280,7 +280,7 @@ def q_warmup_gate(spark, sf):
 
 
 def q_score_batch(spark, sf):
-    return _scored(spark, sf, plan="auto").select(*SCORE_COLS)
+    return _scored(spark, sf, plan="window").select(*SCORE_COLS)
 
 
 def q_score_hot_device(spark, sf):
@@ -293,7 +293,22 @@ def q_score_hot_device(spark, sf):
 def q_score_months(spark, sf):
     """The scorer over the twelve-month view (orders): day-resolution times,
     so same-day records are ordered by ``seq``."""
-    return score(_typed_orders(spark, sf), plan="auto").select(*SCORE_COLS)
+    return score(_typed_orders(spark, sf), plan="window").select(*SCORE_COLS)
+
+
+def _tied(spark, sf):
+    """``seq`` = half the event id, null for every tenth record."""
+    ensure_session_conf(spark)
+    seq = F.when(F.col("seq") % 10 != 0, F.floor(F.col("seq") / 2))
+    return typed(events_records(spark, sf).withColumn("seq", seq))
+
+
+def q_score_seq_ties(spark, sf):
+    return score(_tied(spark, sf), plan="window").select(*SCORE_COLS).na.fill(-1, ["seq"])
+
+
+def q_score_seq_ties_segmented(spark, sf):
+    return score(_tied(spark, sf), plan="segmented").select(*SCORE_COLS).na.fill(-1, ["seq"])
 
 
 def q_score_segmented(spark, sf):
@@ -311,7 +326,7 @@ def q_device_error_stats(spark, sf):
 # ---------------------------------------------------------------- quality --
 
 def q_order_violations(spark, sf):
-    return Q.order_violations(_typed(spark, sf), plan="auto")
+    return Q.order_violations(_typed(spark, sf), plan="window")
 
 
 def q_order_violations_blocked(spark, sf):
@@ -385,6 +400,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_segmented": q_score_segmented,
     "score_months": q_score_months,
     "score_hot_device": q_score_hot_device,
+    "score_seq_ties": q_score_seq_ties,
+    "score_seq_ties_segmented": q_score_seq_ties_segmented,
     "device_snapshot": q_device_snapshot,
     "device_error_stats": q_device_error_stats,
     "raw_publish": q_raw_publish,
