@@ -11,8 +11,8 @@
    default 30 symbols in 5 chunks and 2 errors the guarantee is a distance of
    14; a pair of similarity 0.8 exceeds it with probability below 0.0003.
 3. Blocks. Keys are counted before any row is joined. Classes that share keys
-   (through the smallest class of each key) form a cluster; its members are cut
-   into blocks of bounded size, and only pairs of blocks that some key spans
+   (through the smallest class of each key) form a cluster; its members are dealt
+   over blocks of bounded size, and only pairs of blocks that some key spans
    are compared. No row pairs are emitted: a task holds two blocks and returns
    the links that join its members into groups, at most one per member.
 4. Check. Links are confirmed on the full sets: shared shingles by bit masks
@@ -34,14 +34,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import prepare, salted_join, written
 from vigil.llm.components import components
 
 SYMBOLS, CHUNKS, ERRORS = 30, 5, 2
-#: Shingles in a block of classes that one task compares.
+#: Shingles in a block of classes, on average; one task compares two blocks.
 BLOCK_SHINGLES = 400_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -217,13 +217,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = 5, percent:
     met = written(salted_join(keys, heads.select("key", "head").hint("merge"), "key", "inner"), "met")
     clusters = written(components(met.select(F.col("head").alias("u"), F.col("node").alias("v"))), "clusters")
 
-    # Blocks: members in order of their set's size, cut by running total.
-    order = Window.partitionBy("cluster").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1)
+    # Blocks: members dealt by a hash over as many blocks as the cluster's shingles fill.
+    members = (classes.groupBy("node").agg(F.max("n").alias("n"))
+               .join(clusters.select("node", F.col("component").alias("cluster")).hint("merge"), "node"))
+    filled = members.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("blocks"))
     clustered = written(
-        classes.groupBy("node").agg(F.max("n").alias("n"))
-        .join(clusters.select("node", F.col("component").alias("cluster")), "node")
-        .select("node", "cluster", F.floor(F.coalesce(F.sum("n").over(order), F.lit(0)) / block_shingles).alias("block")),
-        "blocks")
+        salted_join(members, filled, "cluster", "inner")
+        .select("node", "cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "blocks")
     spread = (met.join(clustered, "node").groupBy("key", "cluster")
               .agg(F.collect_set("block").alias("blocks"))
               .select("cluster", F.array_sort("blocks").alias("blocks")).distinct())
