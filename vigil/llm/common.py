@@ -90,7 +90,12 @@ def salted_join(rows: DataFrame, keyed: DataFrame, key: str | list[str], how: st
     are dealt over ``salts`` tasks by a hash of all their columns, the keyed
     rows are repeated once for each salt. Rows with a null key are dealt the
     same way and match nothing."""
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    each = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keys = [key] if isinstance(key, str) else key
-    return rows.withColumn("_salt", salt).join(each.hint("merge"), [*keys, "_salt"], how).drop("_salt")
+    salt = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(salts)).cast("int")
+    each = keyed.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in keyed.columns if c not in keys],
+                        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    # The salt of ``rows`` is an expression of the join, not a column that is moved along.
+    on = each["_salt"] == salt
+    for k in keys:
+        on = on & (rows[k] == each[f"_key_{k}"])
+    return rows.join(each.hint("merge"), on, how).drop("_salt", *[f"_key_{k}" for k in keys])

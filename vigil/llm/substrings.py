@@ -125,7 +125,7 @@ def _identified(docs: DataFrame, text: str) -> DataFrame:
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return (docs.select(F.col("doc_id").cast("long"), t.alias("text"))
             .select("doc_id", "text", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did"),
-                    F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")))
+                    F.hash("text").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")))
 
 
 def _anchored(rows: DataFrame, length: int, spread: int) -> DataFrame:
