@@ -167,3 +167,16 @@ def test_record_text_formats_like_the_reference(spark):
     assert text.startswith("MonitoringRecord [stateCode=null, countyCode=null,")
     assert "stateName=NY," in text
     assert text.endswith("prediction=1.0E-4, error=0.5, anomaly=1.0, predictionNext=0.555]")
+
+
+def test_line_with_commas_and_quotes_comes_back(spark):
+    rec = _rec(parameterName='Ozone, "8-hr"', qualifier=" padded ", unitsOfMeasure="")
+    df = C.with_zero_results(_raw(spark, [rec]))
+    r = L.map_records(L.record_lines(df)).first()
+    assert (r.fields, r.reason, r.parameterName, r.qualifier) == (28, None, 'Ozone, "8-hr"', " padded ")
+
+
+def test_json_outcomes(spark):
+    rows = [('{"stateCode":"1"}', "ok"), ('{"stateCode":"1","bogus":2}', "unknown_property"), ("not json", "malformed"), (None, "malformed")]
+    df = spark.createDataFrame(rows, "v string, o string")
+    assert df.filter(C.json_outcome("v") != F.col("o")).count() == 0

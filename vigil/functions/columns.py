@@ -102,6 +102,15 @@ def json_decode_strict(value: str | Column) -> Column:
     return F.when(F.size(unknown) > 0, F.raise_error(msg)).otherwise(json_decode(value, strict=True))
 
 
+def json_outcome(value: str | Column) -> Column:
+    """What a strict reader makes of a JSON text, as a value: ``ok``,
+    ``malformed`` or ``unknown_property``."""
+    broken = json_decode(value, corrupt_col="_corrupt")
+    return (F.when(_c(value).isNull() | broken.isNull() | broken["_corrupt"].isNotNull(), F.lit("malformed"))
+             .when(F.size(json_unknown_keys(value)) > 0, F.lit("unknown_property"))
+             .otherwise(F.lit("ok")))
+
+
 def record_text(fields: list[str] = ENRICHED_FIELDS) -> Column:
     """``MonitoringRecord [stateCode=…, …, predictionNext=…]``, missing values
     as ``null``, numbers in their shortest text form."""

@@ -34,15 +34,23 @@ def split_quarantine(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return r.filter(F.col("reason").isNull()).drop("reason"), r.filter(F.col("reason").isNotNull())
 
 
+def score_quarantine(typed: DataFrame, **options) -> DataFrame:
+    """Every input row once: scored rows with their results and ``ok``, the
+    others with the reason (``bad_time``, ``bad_measurement``)."""
+    from vigil.operators.score import score
+    scored = score(typed, **options).withColumn("reason", F.lit("ok"))
+    bad = split_quarantine(typed)[1]
+    return scored.unionByName(bad.select(*[c for c in scored.columns if c in bad.columns]), allowMissingColumns=True)
+
+
 def device_bucket_check(typed: DataFrame, n: int = 10) -> DataFrame:
     """Per device: how many partitions its records reach under the month
-    bucket (not device-stable) and under the device bucket (always 1)."""
-    return (typed.select("device_key",
-                         C.month_bucket("dateGMT", n).alias("mb"),
-                         C.device_bucket("device_key", n).alias("db"))
-            .groupBy("device_key")
+    bucket (not device-stable), and how many they are really in after the rows
+    were dealt by device."""
+    dealt = typed.select("device_key", C.month_bucket("dateGMT", n).alias("mb")).repartition(n, "device_key")
+    return (dealt.select("device_key", "mb", F.spark_partition_id().alias("p")).groupBy("device_key")
             .agg(F.count_distinct("mb").cast("long").alias("month_partitions"),
-                 F.count_distinct("db").cast("long").alias("device_partitions")))
+                 F.count_distinct("p").cast("long").alias("device_partitions")))
 
 
 def order_violations(typed: DataFrame, arrival: str = "arrival", plan: str = "window",

@@ -212,6 +212,45 @@ def _ties(records_sql: str) -> str:
             f"FROM ({records_sql})")
 
 
+def _junk(records_sql: str) -> str:
+    from vigil.sources.tables import JUNK_EVERY, JUNK_NUMBER, JUNK_TIME
+    return (f"SELECT * REPLACE (CASE WHEN seq % {JUNK_EVERY} = {JUNK_NUMBER} THEN 'abc' ELSE sampleMeasurement END AS sampleMeasurement, "
+            f"CASE WHEN seq % {JUNK_EVERY} = {JUNK_TIME} THEN '99:99' ELSE timeGMT END AS timeGMT) FROM ({records_sql})")
+
+
+def _record_map() -> str:
+    from vigil.plans.queries import WIDTHS
+    values = {f: f"coalesce({f}, '')" for f in RAW_FIELDS}
+    values["parameterName"] = "CASE WHEN seq % 7 = 0 THEN parameterName || ', x' ELSE parameterName END"
+    width = "CASE CAST(seq % 6 AS INTEGER) " + " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(WIDTHS)) + " END"
+    raw = ", ".join(f"CASE WHEN {width} > {i} THEN {values[f]} END AS {f}" for i, f in enumerate(RAW_FIELDS))
+    res = ", ".join(f"CASE WHEN {width} = 28 THEN {'CASE WHEN seq % 6 = 5 THEN NULL ELSE 0.3::DOUBLE END' if f == 'anomaly' else f'0.{i + 1}::DOUBLE'} "
+                    f"ELSE 0.0::DOUBLE END AS {f}" for i, f in enumerate(("prediction", "error", "anomaly", "predictionNext")))
+    reason = f"CASE WHEN {width} < 24 THEN 'short_line' WHEN seq % 6 = 5 THEN 'bad_result_field' END"
+    return f"SELECT seq, {raw}, {res}, CAST({width} AS INTEGER) AS fields, {reason} AS reason FROM ({EV})"
+
+
+def _record_diff() -> str:
+    results = ("prediction", "error", "anomaly", "predictionNext")
+    n = " + ".join(f"CAST(({f} IS DISTINCT FROM 0.0) AS INTEGER)" for f in results)
+    present = " + ".join(f"CAST({f} IS NOT NULL AS INTEGER)" for f in RAW_FIELDS)
+    return (f"SELECT device_key, seq, CASE WHEN seq % 13 = 0 THEN 'left_only' WHEN seq % 11 = 0 THEN 'right_only' ELSE 'changed' END AS side, "
+            f"CAST(CASE WHEN seq % 13 = 0 OR seq % 11 = 0 THEN {present} + 4 ELSE {n} END AS BIGINT) AS fields_differing FROM ({SCORED}) "
+            f"WHERE NOT (seq % 11 = 0 AND seq % 13 = 0) AND (seq % 13 = 0 OR seq % 11 = 0 OR {n} > 0)")
+
+
+def _transitions() -> str:
+    return (f"SELECT device_key, b AS from_bucket, nb AS to_bucket, count(*) AS cnt, max(n) AS last_n FROM ("
+            f"SELECT device_key, record_number AS n, {bucket('measurement')} AS b, "
+            f"lead({bucket('measurement')}) OVER (PARTITION BY device_key ORDER BY record_number) AS nb FROM ({SCORED})) "
+            f"WHERE nb IS NOT NULL GROUP BY ALL")
+
+
+def _batches(rows: int, more: str) -> str:
+    return (f"SELECT batch_id, count(*) AS input_rows, {more} FROM (SELECT CAST(floor((row_number() OVER (ORDER BY seq) - 1) / {rows}) "
+            f"AS BIGINT) AS batch_id FROM ({EV})) GROUP BY batch_id")
+
+
 def _window_summary() -> str:
     return (f"SELECT device_key, CAST(epoch(time_bucket(INTERVAL 60 SECOND, t.event_time)) AS BIGINT) "
             f"AS window_start, count(*) AS rows, round(avg(s.measurement), 9) AS avg_measurement, "
@@ -222,12 +261,13 @@ def _window_summary() -> str:
 
 def all_sql() -> dict[str, str]:
     from vigil.operators.reports import CHART_SERIES
+    from vigil.plans.queries import SMALL_CHUNK
+    from vigil.sources.tables import JUNK_EVERY, JUNK_JSON, JUNK_NUMBER, JUNK_PROPERTY, JUNK_TIME
     pairs = " UNION ALL ".join(f"SELECT '{c}' AS chart, '{s}' AS series" for c, s in CHART_SERIES)
     score_cols = f"device_key, seq, record_number, measurement, {RAW_LIST}, {RESULTS}"
     q = {
         "csv_scan": f"SELECT {_raw_coalesced()} FROM ({EV})",
-        "record_map": (f"SELECT device_key, seq, {_raw_coalesced()}, {RESULTS}, CAST(28 AS INTEGER) AS fields, "
-                       f"CAST(NULL AS VARCHAR) AS reason FROM ({SCORED})"),
+        "record_map": _record_map(),
         "device_key": f"SELECT device_key, seq FROM ({TY})",
         "event_time": f"SELECT device_key, seq, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time FROM ({TY})",
         "measurement": f"SELECT device_key, seq, measurement FROM ({TY})",
@@ -238,15 +278,21 @@ def all_sql() -> dict[str, str]:
         "json_encode": f"SELECT device_key AS key, {_json()} AS value FROM (SELECT *, {_zeros()} FROM ({TY}))",
         "json_decode": f"SELECT device_key AS key, {RAW_LIST}, {_zeros()} FROM ({TY})",
         "json_roundtrip": f"SELECT device_key, seq, true AS roundtrip_equal FROM ({TY})",
-        "record_diff": (f"SELECT device_key, seq, 'changed' AS side, CAST("
-                        + " + ".join(f"CAST(({f} IS DISTINCT FROM 0.0) AS INTEGER)" for f in
-                                     ("prediction", "error", "anomaly", "predictionNext"))
-                        + f" AS BIGINT) AS fields_differing FROM ({SCORED}) WHERE "
-                        + " OR ".join(f"{f} IS DISTINCT FROM 0.0" for f in
-                                      ("prediction", "error", "anomaly", "predictionNext"))),
+        "record_diff": _record_diff(),
+        "json_decode_strict": (f"SELECT device_key AS key, seq, CASE seq % {JUNK_EVERY} WHEN {JUNK_JSON} THEN 'malformed' "
+                               f"WHEN {JUNK_PROPERTY} THEN 'unknown_property' ELSE 'ok' END AS outcome FROM ({TY})"),
         "record_text": f"SELECT device_key, seq, {_text()} AS text FROM (SELECT *, {_zeros()} FROM ({TY}))",
         "quarantine": (f"SELECT device_key, seq, CASE WHEN event_time IS NULL THEN 'bad_time' "
-                       f"WHEN measurement IS NULL THEN 'bad_measurement' ELSE 'ok' END AS reason FROM ({TY})"),
+                       f"WHEN measurement IS NULL THEN 'bad_measurement' ELSE 'ok' END AS reason FROM ({typed(_junk(EV))})"),
+        "score_quarantine": (f"SELECT device_key, seq, record_number, {RESULTS}, 'ok' AS reason FROM ({scored(typed(_junk(EV)))}) "
+                             f"UNION ALL SELECT device_key, seq, -1, -1.0::DOUBLE, -1.0::DOUBLE, -1.0::DOUBLE, -1.0::DOUBLE, CASE WHEN event_time IS NULL THEN 'bad_time' "
+                             f"ELSE 'bad_measurement' END FROM ({typed(_junk(EV))}) WHERE event_time IS NULL OR measurement IS NULL"),
+        "stream_quarantine": (f"SELECT device_key AS key, seq, CASE seq % {JUNK_EVERY} WHEN {JUNK_JSON} THEN 'bad_json' "
+                              f"WHEN {JUNK_TIME} THEN 'bad_time' ELSE 'bad_measurement' END AS reason FROM ({TY}) "
+                              f"WHERE seq % {JUNK_EVERY} IN ({JUNK_JSON}, {JUNK_TIME}, {JUNK_NUMBER})"),
+        "stream_transitions": _transitions(),
+        "batch_overruns": _batches(SMALL_CHUNK, f"CAST({S.batch_interval_ms} AS BIGINT) AS interval_ms, true AS timed"),
+        "publish_rate": _batches(SMALL_CHUNK, "true AS timed"),
         "encode_scalar": (f"SELECT device_key, seq, {bucket('measurement')} AS bucket, "
                           f"CAST(list_min({_scalar_bits('measurement')}) AS INTEGER) AS first_bit, "
                           f"CAST(list_max({_scalar_bits('measurement')}) AS INTEGER) AS last_bit, "
@@ -315,8 +361,7 @@ def all_sql() -> dict[str, str]:
                              f"(count(*) = max(record_number) + 1 AND count(*) = count(DISTINCT record_number)) "
                              f"AS one_model FROM ({SCORED}) GROUP BY device_key"),
         "window_summary": _window_summary(),
-        "stream_window_summary": (f"SELECT * FROM ({_window_summary()}) WHERE window_start + 60 <= "
-                                  f"(SELECT CAST(epoch(max(event_time)) AS BIGINT) FROM ({TY}))"),
+        "stream_window_summary": _window_summary(),
         "last_n": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ({_display()})"),
         "last_n_per_device": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ("
                               f"SELECT s.*, row_number() OVER (PARTITION BY s.device_key ORDER BY t.event_time DESC, "

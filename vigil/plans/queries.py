@@ -24,7 +24,7 @@ from vigil.session import ensure_session_conf, scratch_dir
 from vigil.settings import DEFAULT as S
 from vigil.sources import lines as L
 from vigil.sources import topics as TP
-from vigil.sources.tables import events_records, orders_records, typed
+from vigil.sources.tables import events_records, junk_records, junk_wire, orders_records, typed
 
 SCORE_COLS = ["device_key", "seq", "record_number", "measurement", *RAW_FIELDS, *RESULT_FIELDS]
 
@@ -55,14 +55,30 @@ def q_csv_scan(spark, sf):
     return L.read_csv(spark, path, skip_header=True)
 
 
+#: Line widths by seq modulo 6; the last one has a result that is no number.
+WIDTHS = [24, 28, 26, 10, 29, 28]
+
+
 def q_record_map(spark, sf):
-    lines = L.record_lines(_scored(spark, sf))
-    return L.map_records(lines).select("device_key", "seq", *RAW_FIELDS, *RESULT_FIELDS, "fields", "reason")
+    """Lines of every width the record rule tells apart, some with a quoted comma."""
+    r = events_records(spark, sf)
+    r = r.withColumn("parameterName", F.when(F.col("seq") % 7 == 0, F.concat("parameterName", F.lit(", x")))
+                     .otherwise(F.col("parameterName")))
+    for i, f in enumerate(RESULT_FIELDS):
+        bad = F.lit("x" if f == "anomaly" else f"0.{i + 1}")
+        r = r.withColumn(f, F.when(F.col("seq") % 6 == 5, bad).otherwise(F.lit(f"0.{i + 1}")))
+    r = r.withColumn("extra", F.lit("e"))
+    names = [*RAW_FIELDS, *RESULT_FIELDS, "extra"]
+    line = None
+    for k, width in enumerate(WIDTHS):
+        text = L.line_text(names[:width])
+        line = F.when(F.col("seq") % 6 == k, text) if line is None else line.when(F.col("seq") % 6 == k, text)
+    return L.map_records(r.select("seq", line.alias("value"))).select("seq", *RAW_FIELDS, *RESULT_FIELDS, "fields", "reason")
 
 
 def q_raw_publish(spark, sf):
     path = scratch_dir(spark, "landing")
-    TP.publish(TP.wire_rows(events_records(spark, sf)), path, chunks=4)
+    TP.publish(TP.wire_rows(events_records(spark, sf)), path)
     return spark.read.parquet(path).select("key", "value", "partition", "seq")
 
 
@@ -74,12 +90,29 @@ def q_batch_counts(spark, sf):
     return R.batch_counts(R.replay_batches(events_records(spark, sf)))
 
 
-def _landing(spark, sf, chunks=4):
+#: Rows of a replayed chunk, and of a chunk where a query is about several.
+CHUNK_ROWS, SMALL_CHUNK = 50_000, 4000
+
+
+def _wire(spark, sf):
+    ensure_session_conf(spark)
+    return TP.wire_rows(events_records(spark, sf))
+
+
+def _landing(spark, sf):
     path = scratch_dir(spark, "landing")
-    TP.publish(TP.wire_rows(events_records(spark, sf)), path, chunks=chunks)
+    TP.publish(_wire(spark, sf), path)
     return path
 
 
+def _replayed(spark, wire, chunk_rows=CHUNK_ROWS, **kw):
+    """(sink, checkpoint) after the wire rows went through the scoring stream."""
+    from vigil.streaming.scorer import replay
+    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "score-ckpt")
+    replay(wire, scratch_dir(spark, "landing"), sink, ck, chunk_rows, **kw)
+    return sink, ck
+
+
 def q_stream_ingest(spark, sf):
     from vigil.streaming.scorer import _stream_conf
     _stream_conf(spark)
@@ -95,29 +128,43 @@ def q_stream_ingest(spark, sf):
 
 
 def q_stream_score(spark, sf):
-    from vigil.streaming.scorer import read_enriched, run_scoring
-    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "score-ckpt")
-    run_scoring(spark, _landing(spark, sf), sink, ck)
+    from vigil.streaming.scorer import read_enriched
+    sink, _ = _replayed(spark, _wire(spark, sf))
     return read_enriched(spark, sink).select(*SCORE_COLS)
 
 
 def q_stream_resume(spark, sf):
-    """Stop after two micro-batches, restart from the checkpoint, drain."""
-    from vigil.streaming.scorer import read_enriched, run_scoring
-    landing = _landing(spark, sf)
-    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "resume-ckpt")
-    run_scoring(spark, landing, sink, ck, max_batches=2)
-    run_scoring(spark, landing, sink, ck)
+    """One chunk, then a restart from the checkpoint with the rest."""
+    from vigil.streaming.scorer import read_enriched, replay
+    landing, sink, ck = (scratch_dir(spark, n) for n in ("landing", "enriched", "resume-ckpt"))
+    wire = _wire(spark, sf)
+    replay(wire, landing, sink, ck, SMALL_CHUNK, max_chunks=1)
+    replay(wire, landing, sink, ck, SMALL_CHUNK, first=1)
     return read_enriched(spark, sink).select(*SCORE_COLS)
 
 
+def q_stream_quarantine(spark, sf):
+    """What the stream could not score, from records and texts broken on purpose."""
+    from vigil.streaming.scorer import read_quarantined
+    wire = junk_wire(TP.wire_rows(junk_records(events_records(spark, sf))))
+    sink, _ = _replayed(spark, wire, SMALL_CHUNK)
+    return read_quarantined(spark, sink).select("key", "seq", "reason")
+
+
+def q_stream_transitions(spark, sf):
+    """The transition tables as the stream left them, read from its checkpoint."""
+    from vigil.streaming.scorer import read_transitions
+    _, ck = _replayed(spark, _wire(spark, sf), SMALL_CHUNK)
+    return read_transitions(spark, ck)
+
+
 def q_enriched_read(spark, sf):
     """Consumer of the enriched records: stream the enriched wire rows into a
     table, decode, read back."""
     from vigil.streaming.scorer import _stream_conf, enriched_wire, read_enriched
     _stream_conf(spark)
     topic = scratch_dir(spark, "enriched-topic")
-    enriched_wire(_scored(spark, sf)).write.mode("overwrite").parquet(topic)
+    enriched_wire(_scored(spark, sf)).write.parquet(topic)
     schema = spark.read.parquet(topic).schema
     sink, ck = scratch_dir(spark, "enriched-table"), scratch_dir(spark, "enriched-ckpt")
     q = (spark.readStream.schema(schema).parquet(topic).writeStream.format("parquet")
@@ -127,44 +174,49 @@ def q_enriched_read(spark, sf):
 
 
 def q_batch_overruns(spark, sf):
-    """Per micro-batch of the scoring stream: rows, trigger time, and whether
-    it ran past the batch interval."""
-    from vigil.streaming.scorer import batch_durations, run_scoring
-    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "overrun-ckpt")
-    rows = batch_durations(run_scoring(spark, _landing(spark, sf), sink, ck), S.batch_interval_ms)
-    df = spark.createDataFrame(rows, "batch_id long, input_rows long, trigger_ms long, overrun boolean")
-    return df.withColumn("interval_ms", F.lit(S.batch_interval_ms).cast("long"))
+    """The scoring stream's batches from the table they are recorded in. Times
+    differ from run to run: the query gives what does not, and that each batch
+    has its time against the interval."""
+    from vigil.streaming.scorer import replay, write_progress
+    table = scratch_dir(spark, "progress")
+    landing, sink, ck = (scratch_dir(spark, n) for n in ("landing", "enriched", "overrun-ckpt"))
+    # Strict: the rows are read once (the quarantine branch would read them again).
+    write_progress(spark, replay(_wire(spark, sf), landing, sink, ck, SMALL_CHUNK, strict=True), table, S.batch_interval_ms)
+    return spark.read.parquet(table).filter("input_rows > 0").select(
+        "batch_id", "input_rows", "interval_ms", (F.col("overrun") == (F.col("trigger_ms") > F.col("interval_ms"))).alias("timed"))
 
 
 def q_stream_window_summary(spark, sf):
-    """Windowed summary as a stream over the enriched records (watermark 0):
-    every (device, minute) window closed by the last event time."""
-    from vigil.streaming.scorer import enriched_wire, run_window_summary
-    topic = scratch_dir(spark, "enriched-topic")
-    TP.publish(enriched_wire(_scored(spark, sf, keep=RAW_FIELDS)), topic, chunks=4)
-    sink, ck = scratch_dir(spark, "summary"), scratch_dir(spark, "summary-ckpt")
-    run_window_summary(spark, topic, sink, ck)
-    return spark.read.parquet(sink)
+    """Windowed summary as a stream over the enriched records, chunk by chunk:
+    the closed windows from the sink, the open ones from the state."""
+    from vigil.streaming.scorer import enriched_wire, read_window_summary, run_window_summary
+    topic, sink, ck = (scratch_dir(spark, n) for n in ("enriched-topic", "summary", "summary-ckpt"))
+    wire = enriched_wire(_scored(spark, sf, keep=RAW_FIELDS)).withColumn("reason", F.lit(None).cast("string"))
+    for chunk in TP.chunks(wire, SMALL_CHUNK):
+        TP.publish(chunk, topic)
+        run_window_summary(spark, topic, sink, ck)
+    return read_window_summary(spark, sink, ck)
 
 
 def q_stream_state(spark, sf):
     """Per-device state as the stream left it, read from its checkpoint."""
-    from vigil.streaming.scorer import read_device_state, run_scoring
-    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "state-ckpt")
-    run_scoring(spark, _landing(spark, sf), sink, ck)
+    from vigil.streaming.scorer import read_device_state
+    _, ck = _replayed(spark, _wire(spark, sf), SMALL_CHUNK)
     return read_device_state(spark, ck)
 
 
 def q_publish_rate(spark, sf):
-    """Replay of the raw landing folder (no scoring): rows and rows/s per batch."""
-    landing = _landing(spark, sf)
-    sink, ck = scratch_dir(spark, "replay"), scratch_dir(spark, "replay-ckpt")
-    q = (TP.read_landing_stream(spark, landing).writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
-    rows = [(int(p["batchId"]), int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0))
-            for p in q.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, rows_per_second double")
+    """Paced publish of the raw records, read by a stream without scoring: the
+    rows of every batch from the table they are recorded in."""
+    from vigil.streaming.scorer import drain, write_progress
+    landing, sink, ck, table = (scratch_dir(spark, n) for n in ("landing", "replay", "replay-ckpt", "progress"))
+    for chunk in TP.chunks(_wire(spark, sf), SMALL_CHUNK):
+        TP.publish(chunk, landing)
+        q = (TP.read_landing_stream(spark, landing).writeStream.format("parquet").option("path", sink)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        write_progress(spark, drain(q), table)
+    return spark.read.parquet(table).filter("input_rows > 0").select(
+        "batch_id", "input_rows", (F.col("rows_per_second") > 0).alias("timed"))
 
 
 # ---------------------------------------------------------------- columns --
@@ -208,9 +260,16 @@ def q_json_roundtrip(spark, sf):
     return dec.select("device_key", "seq", eq.alias("roundtrip_equal"))
 
 
+def q_json_decode_strict(spark, sf):
+    """What a strict reader makes of each wire value, some of them broken."""
+    wire = junk_wire(_wire(spark, sf))
+    return wire.select("key", "seq", C.json_outcome("value").alias("outcome"))
+
+
 def q_record_diff(spark, sf):
-    left = C.with_zero_results(_typed(spark, sf))
-    right = _scored(spark, sf)
+    """Scored against unscored records, each side without some of the rows."""
+    left = C.with_zero_results(_typed(spark, sf)).filter(F.col("seq") % 11 != 0)
+    right = _scored(spark, sf).filter(F.col("seq") % 13 != 0)
     return Q.record_diff(left, right, ["device_key", "seq"])
 
 
@@ -219,8 +278,17 @@ def q_record_text(spark, sf):
     return df.select("device_key", "seq", C.record_text().alias("text"))
 
 
+def _junk(spark, sf):
+    ensure_session_conf(spark)
+    return typed(junk_records(events_records(spark, sf)))
+
+
 def q_quarantine(spark, sf):
-    return Q.classify(_typed(spark, sf))
+    return Q.classify(_junk(spark, sf))
+
+
+def q_score_quarantine(spark, sf):
+    return Q.score_quarantine(_junk(spark, sf)).select("device_key", "seq", "record_number", *RESULT_FIELDS, "reason").na.fill(-1)
 
 
 # --------------------------------------------------------------- encoders --
@@ -384,9 +452,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_encode": q_json_encode,
     "json_decode": q_json_decode,
     "json_roundtrip": q_json_roundtrip,
+    "json_decode_strict": q_json_decode_strict,
     "record_diff": q_record_diff,
     "record_text": q_record_text,
     "quarantine": q_quarantine,
+    "score_quarantine": q_score_quarantine,
     "encode_scalar": q_encode_scalar,
     "encode_season": q_encode_season,
     "encode_record": q_encode_record,
@@ -412,6 +482,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_resume": q_stream_resume,
     "enriched_read": q_enriched_read,
     "stream_state": q_stream_state,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_transitions": q_stream_transitions,
     "stream_window_summary": q_stream_window_summary,
     "order_violations": q_order_violations,
     "order_violations_blocked": q_order_violations_blocked,
@@ -422,7 +494,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chart_series": q_chart_series,
     "anomaly_points": q_anomaly_points,
     "chart_pairs": q_chart_pairs,
-    # rows-only (no SQL form: run-time measurements of a stream)
     "batch_overruns": q_batch_overruns,
     "publish_rate": q_publish_rate,
 }

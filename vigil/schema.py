@@ -36,17 +36,7 @@ WIRE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType(), True),
 ])
 
-# Output of the scorer (batch and stream): identity, typed inputs and the
-# four results; the raw text fields ride along in the batch plan.
-SCORE_FIELDS = ["device_key", "seq", "record_number", "measurement"] + RESULT_FIELDS
-
-STATE_SCHEMA = T.StructType([
-    T.StructField("device_key", T.StringType()),
-    T.StructField("record_number", T.LongType()),
-    T.StructField("actual", T.DoubleType()),
-    T.StructField("prediction", T.DoubleType()),
-    T.StructField("error", T.DoubleType()),
-    T.StructField("anomaly", T.DoubleType()),
-    T.StructField("prediction_next", T.DoubleType()),
-    T.StructField("bucket", T.IntegerType()),
-])
+# Rows of the scorer's sink: enriched wire rows, and quarantined ones with a reason.
+SINK_SCHEMA = T.StructType(WIRE_SCHEMA.fields + [
+    T.StructField("seq", T.LongType()), T.StructField("record_number", T.LongType()),
+    T.StructField("reason", T.StringType())])

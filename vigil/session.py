@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,8 +46,9 @@ def ensure_session_conf(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only where it is unset (local tests) take a
-    fresh local folder."""
+    ``spark.checkpoint.dir``. Only a session in local mode, where driver and
+    executors are one process, may go without it and gets a fresh local
+    folder; on a cluster a missing setting is an error."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
@@ -54,22 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master} is not local)")
     local = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("VIGIL_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for stream checkpoints,
-    sinks and landing files (shared storage on a cluster)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, "vigil", name)
-    if "://" not in base:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        path = tempfile.mkdtemp(prefix=f"{name}-", dir=os.path.dirname(path))
-    else:  # pragma: no cover - remote file systems: unique name instead
-        import uuid
-        path = f"{path}-{uuid.uuid4().hex}"
-    return path
+    """The name of a new sub-folder of the checkpoint folder, for stream
+    checkpoints, sinks and landing files (shared storage on a cluster). Spark
+    makes the folder when it first writes there."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigil/{name}-{uuid.uuid4().hex}"

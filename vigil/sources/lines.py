@@ -35,10 +35,17 @@ def write_csv(records: DataFrame, path: str, header: bool = True) -> None:
     records.select(*RAW_FIELDS).write.mode("overwrite").option("header", str(header).lower()).csv(path)
 
 
+def line_text(fields: list[str]) -> F.Column:
+    """Fields as one comma-separated line (missing values empty, fields with a
+    comma or quote quoted)."""
+    row = F.struct(*[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields])
+    return F.to_csv(row, {"emptyValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+                          "ignoreTrailingWhiteSpace": "false"})
+
+
 def record_lines(records: DataFrame, fields: list[str] = ENRICHED_FIELDS) -> DataFrame:
-    """Render records as comma-separated lines (missing values empty)."""
-    return records.select(F.concat_ws(",", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
-                          .alias("value"), *[c for c in ("device_key", "seq") if c in records.columns])
+    """Records as lines, with their key and sequence where there are any."""
+    return records.select(line_text(fields).alias("value"), *[c for c in ("device_key", "seq") if c in records.columns])
 
 
 def map_records(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -47,7 +54,7 @@ def map_records(lines: DataFrame, col: str = "value") -> DataFrame:
     ``reason`` (null for accepted lines, else ``short_line`` or
     ``bad_result_field``)."""
     n = field_count(F.col(col))
-    parsed = F.from_csv(F.col(col), TEXT28_SCHEMA.simpleString(), {"mode": "PERMISSIVE"})
+    parsed = F.from_csv(F.col(col), TEXT28_SCHEMA.simpleString(), {"mode": "PERMISSIVE", "escape": '"'})
     df = lines.select("*", n.alias("fields"), parsed.alias("_p"))
     out = []
     for i, f in enumerate(RAW_FIELDS):

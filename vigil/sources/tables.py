@@ -118,6 +118,26 @@ def hot_device_records(records: DataFrame) -> DataFrame:
                                .otherwise(F.col("parameterCode"))))
 
 
+# Which records (by ``seq`` modulo 20) the junk view breaks, and how.
+JUNK_EVERY = 20
+JUNK_NUMBER, JUNK_TIME, JUNK_JSON, JUNK_PROPERTY = 3, 7, 11, 13
+
+
+def junk_records(records: DataFrame) -> DataFrame:
+    """The records with some measurements and times that do not parse."""
+    k = F.col("seq") % JUNK_EVERY
+    return (records.withColumn("sampleMeasurement", F.when(k == JUNK_NUMBER, F.lit("abc")).otherwise(F.col("sampleMeasurement")))
+                   .withColumn("timeGMT", F.when(k == JUNK_TIME, F.lit("99:99")).otherwise(F.col("timeGMT"))))
+
+
+def junk_wire(wire: DataFrame) -> DataFrame:
+    """Wire rows with some values that are not JSON, or have a property too many."""
+    k = F.col("seq") % JUNK_EVERY
+    more = F.concat(F.lit('{"bogus":1,'), F.substring("value", 2, 1 << 30))
+    return wire.withColumn("value", F.when(k == JUNK_JSON, F.lit("not json")).when(k == JUNK_PROPERTY, more)
+                           .otherwise(F.col("value")))
+
+
 def typed(records: DataFrame, strict: bool = False) -> DataFrame:
     """Add the typed columns every operator keys and orders on:
     ``device_key``, ``event_time`` (UTC), ``measurement``."""

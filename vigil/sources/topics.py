@@ -4,20 +4,20 @@ On a cluster the raw and enriched records travel through topics:
 ``kafka_reader_options`` / ``kafka_writer_options`` give the option maps for
 Spark's Kafka source and sink (key = device key, value = JSON record). The
 Kafka connector is not on this machine, so tests and queries use a landing
-folder of Parquet wire rows instead: ``publish`` writes it in replay order,
-one file per chunk, and ``read_stream`` replays it one file per trigger.
+folder of Parquet wire rows instead: ``publish`` adds rows to it, ``chunks``
+cuts rows into consecutive parts so that ``streaming.scorer.replay`` can publish
+and score them in order. Nothing relies on file times or on local paths.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions import columns as C
-from vigil.schema import ENRICHED_FIELDS, WIRE_SCHEMA
+from vigil.operators.sequence import row_positions
+from vigil.schema import WIRE_SCHEMA
 from vigil.settings import DEFAULT, ScoreSettings
 
 
@@ -69,36 +69,47 @@ def decode_wire(wire: DataFrame) -> DataFrame:
     return wire.select("key", C.json_decode("value").alias("r")).select("key", "r.*")
 
 
-def publish(wire: DataFrame, path: str, order: str = "seq", chunks: int = 4,
-            set_mtimes: bool = True) -> list[str]:
-    """Write wire rows to a landing folder: one file per range of ``order``
-    (a range exchange, then each task writes its range sorted).
-
-    A file source replays files by modification time, and parallel writers
-    do not finish in range order; on a local file system the file times are
-    therefore set from the part index, one second apart. (On a cluster the
-    topic, not this folder, carries the order.)"""
-    (wire.repartitionByRange(chunks, order).sortWithinPartitions(order)
-         .write.mode("overwrite").parquet(path))
-    files = sorted(f for f in os.listdir(path) if f.startswith("part-")) if "://" not in path else []
-    if set_mtimes and files:
-        import time
-        base = time.time() - 10 - len(files)
-        for f in files:
-            i = int(f.split("-")[1])
-            os.utime(os.path.join(path, f), (base + i, base + i))
-    return [os.path.join(path, f) for f in files]
-
-
-def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Stream the landing folder's wire rows, oldest file first, at most
-    ``files_per_trigger`` files per micro-batch (the paced replay). A
+def publish(wire: DataFrame, path: str, order: str = "seq") -> None:
+    """Add wire rows to a landing folder: a range exchange over ``order`` into
+    as many tasks as the session deals shuffles to (merged by size at run
+    time), each writing its range sorted."""
+    wire.repartitionByRange(order).sortWithinPartitions(order).write.mode("append").parquet(path)
+
+
+def chunks(wire: DataFrame, chunk_rows: int, order: str = "seq"):
+    """Consecutive parts of about ``chunk_rows`` rows in ``order`` (rows with
+    equal values stay together, nulls come first). The rows are staged once,
+    sorted by range, so that a part reads only the row groups of its range; one
+    bound per part comes to the driver."""
+    from vigil.session import scratch_dir
+    spark = wire.sparkSession
+    staged = scratch_dir(spark, "staged")
+    publish(wire, staged, order)
+    wire = spark.read.schema(wire.schema).parquet(staged)
+    place = row_positions(wire, [order], "position")
+    every = place.filter((F.col("position") % chunk_rows == chunk_rows - 1) & F.col(order).isNotNull())
+    bounds = sorted({r[0] for r in every.select(order).collect()})  # one per part
+    last = wire.agg(F.max(order)).first()[0]
+    bounds = [x for x in bounds if x != last]
+    c = F.col(order)
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = wire
+        if low is not None:
+            part = part.filter(c > low)
+        if high is not None:
+            part = part.filter((c <= high) | c.isNull()) if low is None else part.filter(c <= high)
+        yield part
+
+
+def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the landing folder's wire rows; with ``files_per_trigger`` at
+    most so many files per micro-batch (in no promised order). A
     comma-separated list of folders is read as one stream (like a
     multi-topic subscription)."""
     schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("partition", T.IntegerType()),
                                                 T.StructField("seq", T.LongType())])
-    streams = [spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(p.strip())
-               for p in path.split(",") if p.strip()]
+    options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
+    streams = [spark.readStream.schema(schema).options(**options).parquet(p.strip()) for p in path.split(",") if p.strip()]
     out = streams[0]
     for other in streams[1:]:
         out = out.unionByName(other)
@@ -106,14 +117,11 @@ def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int =
 
 
 def kafka_wire_rows(stream: DataFrame) -> DataFrame:
-    """Kafka rows -> wire rows; ``seq`` orders records of one partition
-    (partition-major offsets)."""
+    """Kafka rows -> wire rows. ``seq`` is the arrival time in microseconds;
+    ``place`` (topic, partition, offset) orders records of one microsecond and
+    tells every two records apart, also those of different topics."""
+    place = F.concat_ws(":", "topic", F.lpad(F.col("partition").cast("string"), 10, "0"),
+                        F.lpad(F.col("offset").cast("string"), 20, "0"))
     return stream.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
                          F.col("partition").cast("int").alias("partition"),
-                         (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"))
-
-
-def enriched_wire(scored: DataFrame) -> DataFrame:
-    """Enriched records as (key, value) for the enriched topic."""
-    return scored.select(F.col("device_key").alias("key"), C.json_encode(ENRICHED_FIELDS).alias("value"),
-                         "seq")
+                         F.unix_micros("timestamp").alias("seq"), place.alias("place"))

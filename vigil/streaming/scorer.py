@@ -3,27 +3,24 @@
 State per device:
 
 * ``last`` (value state): the previous row's number, bucket, next-step
-  prediction, prediction, measurement and the successor set of its bucket;
-* ``trans`` (value state): the device's transition table as parallel arrays
-  (from-bucket, to-bucket, count, row number of the latest such transition);
-  at most 101 x 101 entries, read and written once per device and batch.
-
-The running mode of a from-bucket only changes through the entry that was
-just incremented, and that entry carries the newest row number, so the mode
-is updated as ``max(mode, (count, row, to))`` and the successor set as a
-bit-or: constant work per row.
-
-For each micro-batch a device's rows are sorted by (event_time, seq) and
-scored in turn with the same definitions as the batch plan, so an
-uninterrupted or resumed stream gives the batch result. The handler only
-walks the rows of one device and one micro-batch; the state store keeps the
-rest.
+  prediction, prediction, measurement and the successors of its bucket;
+* ``trans`` (map state by from-bucket): successor, count, and row number of
+  the latest such transition. A micro-batch reads and writes only the buckets
+  that its rows visit, at most ``n_buckets`` successors each.
+
+For each micro-batch a device's rows are sorted by (event_time, seq,
+measurement) and scored as arrays (``model.score_rows``) with the definitions
+of the batch plan, so an uninterrupted or resumed stream gives the batch
+result. Records that cannot be scored leave the stream as quarantined rows with
+a reason, through the same sink; ``strict`` fails the batch instead.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+import time
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +28,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from vigil.functions import columns as C
-from vigil.operators.bitsets import WORD
-from vigil.operators.score import valid_rows, with_bucket
-from vigil.schema import KEY_FIELDS, RAW_FIELDS, RESULT_FIELDS, WIRE_SCHEMA
+from vigil.operators.quality import quarantine_reason
+from vigil.operators.score import with_bucket
+from vigil.schema import KEY_FIELDS, RAW_FIELDS, RESULT_FIELDS, SINK_SCHEMA
 from vigil.settings import DEFAULT, ScoreSettings
+from vigil.streaming.model import BucketState, score_rows
 
-LAST_SCHEMA = ("n long, b int, pn double, pred double, x double, slo long, shi long")
-TRANS_SCHEMA = "frms array<int>, tos array<int>, cnts array<long>, lasts array<long>"
+# Rows of one time and arrival number are told apart by their place in a topic, where there is one.
+ORDER_IN_BATCH = ["event_time", "seq", "place", "measurement"]
+
+LAST_SCHEMA = "n long, b int, pn double, pred double, x double, succ array<int>"
+BUCKET_SCHEMA = "b int"
+TRANS_SCHEMA = "tos array<int>, cnts array<long>, lasts array<long>"
 
 # Only the key, order, bucket and measurement cross into Python; the record
 # itself rides along as its JSON text (one column instead of 24) and the
@@ -49,23 +51,6 @@ OUTPUT_SCHEMA = T.StructType(
     + [T.StructField(f, T.DoubleType()) for f in RESULT_FIELDS])
 
 
-def covered(b: int, succ: int, w: int) -> int:
-    """Bits of ``b..b+w-1`` switched on by the codes of the set ``succ``
-    (bit s = bucket s), via the nearest members below and above ``b``."""
-    below = succ & ((1 << (b + 1)) - 1)
-    above = succ >> (b + 1)
-    total = 0
-    s_lo = below.bit_length() - 1 if below else None
-    s_up = ((above & -above).bit_length() - 1 + b + 1) if above else None
-    if s_lo is not None:
-        total += max(0, s_lo + w - b)
-    if s_up is not None:
-        total += max(0, b + w - s_up)
-    if s_lo is not None and s_up is not None:
-        total -= max(0, s_lo + w - s_up)
-    return total
-
-
 class ScoreProcessor(StatefulProcessor):
     """Per-device model state. State is kept forever by default (as in the
     reference); ``ttl_ms`` lets a device's state expire after that much
@@ -77,70 +62,22 @@ class ScoreProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", LAST_SCHEMA, self.ttl_ms)
-        self.trans = handle.getValueState("trans", TRANS_SCHEMA, self.ttl_ms)
-
-    def _load(self):
-        table: dict[tuple[int, int], list[int]] = {}
-        best: dict[int, tuple[int, int, int]] = {}
-        bits: dict[int, int] = {}
-        if self.trans.exists():
-            frms, tos, cnts, lasts = self.trans.get()
-            for f, t, c, m in zip(frms, tos, cnts, lasts):
-                f, t, c, m = int(f), int(t), int(c), int(m)
-                table[(f, t)] = [c, m]
-                cand = (c, m, t)
-                if f not in best or cand > best[f]:
-                    best[f] = cand
-                bits[f] = bits.get(f, 0) | (1 << t)
-        return table, best, bits
+        self.trans = handle.getMapState("trans", BUCKET_SCHEMA, TRANS_SCHEMA, self.ttl_ms)
+
+    def _bucket(self, b: int) -> BucketState:
+        found = self.trans.getValue((b,))
+        return BucketState(*found) if found is not None else BucketState()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        s = self.s
-        w, res, lo = s.scalar_w, s.scalar_resolution, s.scalar_min
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["event_time", "seq"], kind="mergesort")
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(ORDER_IN_BATCH, kind="mergesort", na_position="first")
         last = self.last.get() if self.last.exists() else None
-        table, best, bits = self._load()
-        n_out, pred_out, err_out, anom_out, pn_out = [], [], [], [], []
-        for x, b in zip(pdf["measurement"].tolist(), pdf["b"].tolist()):
-            b = int(b)
-            if last is None:
-                n, pred, err, anom = 0, 0.0, 0.0, 0.0
-            else:
-                ln, lb, lpn, lpred, lx, lslo, lshi = last
-                n = ln + 1
-                e = table.get((lb, b))
-                if e is None:
-                    e = table[(lb, b)] = [0, -1]
-                e[0] += 1
-                e[1] = ln
-                cand = (e[0], ln, b)
-                if lb not in best or cand > best[lb]:
-                    best[lb] = cand
-                bits[lb] = bits.get(lb, 0) | (1 << b)
-                pred = lpn
-                if n >= s.warmup_rows:
-                    err = abs(lpred - lx)
-                    anom = 1.0 - float(covered(b, lslo | (lshi << WORD), w)) / float(w)
-                else:
-                    err, anom = 0.0, 0.0
-            mode = best.get(b)
-            pn = (mode[2] if mode else b) * res + lo
-            succ = bits.get(b, 0)
-            last = (n, b, pn, pred, x, succ & ((1 << WORD) - 1), succ >> WORD)
-            n_out.append(n); pred_out.append(pred); err_out.append(err); anom_out.append(anom); pn_out.append(pn)
-        if table:
-            keys = sorted(table)
-            self.trans.update(([f for f, _ in keys], [t for _, t in keys],
-                               [table[k][0] for k in keys], [table[k][1] for k in keys]))
-        if last is not None:
-            self.last.update(last)
-        out = pdf[["device_key", "seq", "value", "measurement"]].copy()
-        out["record_number"] = n_out
-        out["prediction"] = pred_out
-        out["error"] = err_out
-        out["anomaly"] = anom_out
-        out["predictionNext"] = pn_out
-        yield out[[f.name for f in OUTPUT_SCHEMA.fields]]
+        n, pred, err, anom, pn, last, changed = score_rows(
+            pdf["measurement"].to_numpy(float), pdf["b"].to_numpy(np.int64), last, self._bucket, self.s)
+        for b, state in changed.items():
+            self.trans.updateValue((b,), state.columns())
+        self.last.update(last)
+        yield pdf[["device_key", "seq", "value"]].assign(
+            record_number=n, measurement=pdf["measurement"], prediction=pred, error=err, anomaly=anom, predictionNext=pn)
 
     def close(self) -> None:
         pass
@@ -152,19 +89,35 @@ def _stream_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None) -> DataFrame:
-    """Streaming wire rows (key, value JSON, seq) -> scored rows: device_key,
-    seq, record_number, measurement, the 24 record fields, the 4 results.
-    Works on any source with those columns (landing folder, or a topic with
-    ``seq`` taken from its offsets)."""
+def decoded(wire: DataFrame, strict: bool = False) -> DataFrame:
+    """Wire rows (key, value JSON, seq) with ``device_key``, ``event_time``,
+    ``measurement`` and ``reason`` (null, ``bad_json``, ``bad_time`` or
+    ``bad_measurement``); ``strict`` fails on a record with a reason."""
+    r = C.json_decode("value", corrupt_col="_corrupt")
+    place = F.col("place") if "place" in wire.columns else F.lit(None).cast("string")
+    rec = wire.select("key", "seq", "value", place.alias("place"), r.alias("r"))
+    typed = rec.select("key", "seq", "value", "place",
+                       (F.col("value").isNull() | F.col("r").isNull() | F.col("r._corrupt").isNotNull()).alias("_bad"),
+                       C.device_key(*[F.col(f"r.{k}") for k in KEY_FIELDS]).alias("device_key"),
+                       C.event_time("r.dateGMT", "r.timeGMT").alias("event_time"),
+                       C.measurement("r.sampleMeasurement").alias("measurement"))
+    reason = F.when(F.col("_bad"), F.lit("bad_json")).otherwise(quarantine_reason())
+    out = typed.withColumn("reason", reason).drop("_bad")
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("record cannot be scored: "), F.col("reason")))
+        out = out.filter(F.when(F.col("reason").isNull(), F.lit(True)).otherwise(bad.cast("boolean")))
+    return out
+
+
+def score_decoded(rows: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None) -> DataFrame:
+    """The rows of ``decoded`` without a reason, scored by the stateful
+    processor: device_key, seq, record_number, measurement, the 24 record
+    fields, the 4 results."""
     from vigil.operators.score import check_settings
     check_settings(s)
-    ship_package(wire_stream.sparkSession)
-    rec = wire_stream.select("seq", "value", C.json_decode("value").alias("r"))
-    typed = rec.select(C.device_key(*[F.col(f"r.{k}") for k in KEY_FIELDS]).alias("device_key"),
-                       C.event_time("r.dateGMT", "r.timeGMT").alias("event_time"),
-                       C.measurement("r.sampleMeasurement").alias("measurement"), "seq", "value")
-    good = with_bucket(valid_rows(typed), s)
+    ship_package(rows.sparkSession)
+    good = with_bucket(rows.filter(F.col("reason").isNull())
+                       .select("device_key", "event_time", "measurement", "seq", "place", "value"), s)
     scored = (good.groupBy("device_key")
               .transformWithStateInPandas(ScoreProcessor(s, ttl_ms), OUTPUT_SCHEMA, "append",
                                           "ProcessingTime" if ttl_ms else "None"))
@@ -173,6 +126,20 @@ def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int
                     *[F.col(f"r.{f}").alias(f) for f in RAW_FIELDS], *RESULT_FIELDS))
 
 
+def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None,
+                 strict: bool = False) -> DataFrame:
+    """Streaming wire rows (key, value JSON, seq) -> sink rows (``SINK_SCHEMA``):
+    every scored record as an enriched wire row, and every record that cannot
+    be scored as it came, with its ``reason``. Works on any source with those
+    columns (landing folder, or a topic with ``seq`` taken from its offsets)."""
+    rows = decoded(wire_stream, strict)
+    out = enriched_wire(score_decoded(rows, s, ttl_ms)).withColumn("reason", F.lit(None).cast("string"))
+    if strict:
+        return out
+    bad = rows.filter(F.col("reason").isNotNull())
+    return out.unionByName(bad.select("key", "value", "seq", F.lit(None).cast("long").alias("record_number"), "reason"))
+
+
 def enriched_wire(scored: DataFrame) -> DataFrame:
     """Enriched topic rows: key, JSON value with all 28 fields, plus the
     arrival sequence and record number."""
@@ -218,24 +185,50 @@ def start_with_partitions(spark: SparkSession, writer, partitions: int | None):
 def start_scoring(wire_stream: DataFrame, checkpoint: str, sink_format: str = "parquet",
                   sink_options: dict[str, str] | None = None, trigger: str | None = "5 seconds",
                   s: ScoreSettings = DEFAULT, state_partitions: int | None = None,
-                  ttl_ms: int | None = None):
-    """Start the long-running scorer: wire rows in, enriched wire rows out
-    (``parquet`` folder, or ``kafka`` with ``kafka_writer_options``), one
-    micro-batch per ``trigger`` interval; returns the ``StreamingQuery``
+                  ttl_ms: int | None = None, strict: bool = False):
+    """Start the long-running scorer: wire rows in, sink rows out (``parquet``
+    folder, or ``kafka`` with ``kafka_writer_options``; the topic gets the
+    reason of a quarantined record as a header), one micro-batch per ``trigger``
+    interval (None: until the input is drained); returns the ``StreamingQuery``
     (``stop()`` ends it; a new start resumes from ``checkpoint``).
     With ``ttl_ms`` the state is cleaned in no-data batches, so run it on a
     processing-time trigger (an available-now run would not finish)."""
     spark = wire_stream.sparkSession
     _stream_conf(spark)
-    out = enriched_wire(score_stream(wire_stream, s, ttl_ms))
+    out = score_stream(wire_stream, s, ttl_ms, strict)
+    options = dict(sink_options or {})
     if sink_format == "kafka":
-        out = out.select("key", "value")
-    writer = (out.writeStream.format(sink_format).options(**(sink_options or {}))
+        header = F.array(F.struct(F.lit("reason").alias("key"), F.col("reason").cast("binary").alias("value")))
+        out = out.select("key", "value", F.when(F.col("reason").isNotNull(), header).alias("headers"))
+        options.setdefault("includeHeaders", "true")
+    writer = (out.writeStream.format(sink_format).options(**options)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return start_with_partitions(spark, writer, state_partitions or spark.sparkContext.defaultParallelism)
 
 
+def drain(query, max_batches: int | None = None, poll: float = 0.1) -> list[dict]:
+    """Waits until a query that ends by itself has drained its input, or until
+    ``max_batches`` batches with rows are done (then it is stopped). Returns the
+    progress of every batch, gathered as the batches end (Spark itself keeps
+    only the newest ones)."""
+    seen: dict[int, dict] = {}
+
+    def gather():
+        for p in query.recentProgress:
+            seen[int(p["batchId"])] = dict(p)
+
+    while query.isActive:
+        gather()
+        if max_batches is not None and sum(p["numInputRows"] > 0 for p in seen.values()) >= max_batches:
+            query.stop()
+        time.sleep(poll)
+    gather()
+    if query.exception() is not None:
+        raise query.exception()
+    return [seen[k] for k in sorted(seen)]
+
+
 def enriched_stream_rows(wire_stream: DataFrame) -> DataFrame:
     """Enriched wire rows (a topic or folder) -> device_key, seq,
     record_number, event_time, measurement and the four results."""
@@ -247,21 +240,51 @@ def enriched_stream_rows(wire_stream: DataFrame) -> DataFrame:
 
 
 def run_window_summary(spark: SparkSession, enriched: str, sink: str, checkpoint: str,
-                       s: ScoreSettings = DEFAULT, watermark: str = "0 seconds",
-                       files_per_trigger: int = 1) -> list[dict]:
-    """Tumbling-window summary over the enriched records as a stream: event
-    time watermark, append mode, so each (device, window) is written once,
-    when the watermark passes its end (late rows are dropped)."""
+                       s: ScoreSettings = DEFAULT, delay: str = "1 day",
+                       files_per_trigger: int | None = None) -> list[dict]:
+    """Tumbling-window summary over the enriched records as a stream, append
+    mode: a (device, window) goes to the sink once, when event time has passed
+    its end by ``delay``. Rows up to ``delay`` late are counted; the windows
+    that are still open stay in the state (``read_window_summary`` has both)."""
     from vigil.operators.reports import window_summary
     _stream_conf(spark)
-    schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("seq", T.LongType()),
-                                                T.StructField("record_number", T.LongType())])
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(enriched)
-    agg = window_summary(enriched_stream_rows(src), s, watermark=watermark)
+    options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
+    src = (spark.readStream.schema(SINK_SCHEMA).options(**options).parquet(enriched)
+           .filter(F.col("reason").isNull()))
+    agg = window_summary(enriched_stream_rows(src), s, watermark=delay)
     q = (agg.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return [dict(p) for p in q.recentProgress]
+    return drain(q)
+
+
+def read_window_summary(spark: SparkSession, sink: str, checkpoint: str) -> DataFrame:
+    """Every window of the streamed summary: the closed ones from the sink, the
+    open ones from the aggregation's state in the checkpoint."""
+    closed = spark.read.schema(SUMMARY_SCHEMA).parquet(sink)
+    state = spark.read.format("statestore").load(checkpoint)
+    # Key and value are the grouping and the aggregates' buffers, in their order.
+    rows = state.select(F.col("key").cast("struct<device:string,w:struct<start:timestamp,end:timestamp>>").alias("k"),
+                        F.col("value").cast("struct<rows:long,total:double,n:long,x:double,a:double,over:long>").alias("v"))
+    open_now = rows.select(F.col("k.device").alias("device_key"), F.unix_timestamp("k.w.start").alias("window_start"),
+                           F.col("v.rows").alias("rows"), F.round(F.col("v.total") / F.col("v.n"), 9).alias("avg_measurement"),
+                           F.col("v.x").alias("max_measurement"), F.col("v.a").alias("max_anomaly"), F.col("v.over").alias("anomalous"))
+    return closed.unionByName(open_now)
+
+
+SUMMARY_SCHEMA = ("device_key string, window_start long, rows long, avg_measurement double, max_measurement double, "
+                  "max_anomaly double, anomalous long")
+
+
+def read_transitions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The scorer's transition tables, read from the stream checkpoint: per
+    device and bucket every successor with its count and latest row."""
+    st = (spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "trans")
+          .option("flattenCollectionTypes", "true").load())
+    rows = st.select(F.col("key.device_key").alias("device_key"), F.col("user_map_key.b").alias("from_bucket"),
+                     F.explode(F.arrays_zip(F.col("user_map_value.tos").alias("to_bucket"),
+                                            F.col("user_map_value.cnts").alias("cnt"),
+                                            F.col("user_map_value.lasts").alias("last_n"))).alias("t"))
+    return rows.select("device_key", "from_bucket", "t.*")
 
 
 def read_device_state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -275,53 +298,69 @@ def read_device_state(spark: SparkSession, checkpoint: str) -> DataFrame:
                      F.col("value.b").alias("bucket"))
 
 
-def batch_durations(progress: list[dict], interval_ms: int = DEFAULT.batch_interval_ms) -> list[tuple]:
-    """(batch id, input rows, trigger ms, overran?) from query progress
-    (``StreamingQuery.recentProgress``; no listener or callback server)."""
-    out = []
-    for p in progress:
-        ms = int(p["durationMs"].get("triggerExecution", 0))
-        out.append((int(p["batchId"]), int(p["numInputRows"]), ms, ms > interval_ms))
-    return out
-
-
 def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                s: ScoreSettings = DEFAULT, files_per_trigger: int = 1,
-                max_batches: int | None = None, state_partitions: int | None = None) -> list[dict]:
-    """Replay the landing folder through the scorer into the enriched sink
-    (a Parquet file sink: exactly once) until the input is drained, or for
-    ``max_batches`` micro-batches. Device state is spread over
+                s: ScoreSettings = DEFAULT, files_per_trigger: int | None = None,
+                max_batches: int | None = None, state_partitions: int | None = None,
+                strict: bool = False) -> list[dict]:
+    """Scores what the landing folder holds and has not been scored yet, into
+    the sink (a Parquet file sink: exactly once), until the input is drained or
+    for ``max_batches`` micro-batches. Device state is spread over
     ``state_partitions`` (default: the cluster's default parallelism).
-    Returns the progress of each batch."""
+    Returns the progress of each batch.
+
+    Without ``files_per_trigger`` all of it is one micro-batch, in which each
+    device's rows are put in order. A file source does not promise an order
+    between files, so a device's order across micro-batches needs its files to
+    arrive in order: ``replay`` sees to that."""
     from vigil.sources.topics import read_landing_stream
-    _stream_conf(spark)
-    state_partitions = state_partitions or spark.sparkContext.defaultParallelism
     src = read_landing_stream(spark, landing, files_per_trigger)
-    out = enriched_wire(score_stream(src, s))
-    writer = (out.writeStream.format("parquet").option("path", sink)
-              .option("checkpointLocation", checkpoint).outputMode("append"))
-    if max_batches is None:
-        q = start_with_partitions(spark, writer.trigger(availableNow=True), state_partitions)
-        q.awaitTermination()
-    else:
-        q = start_with_partitions(spark, writer.trigger(processingTime="0 seconds"), state_partitions)
-        import time
-        while True:
-            done = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
-            if len(done) >= max_batches or not q.isActive:
-                break
-            time.sleep(0.2)
-        q.stop()
-    return [dict(p) for p in q.recentProgress]
+    q = start_scoring(src, checkpoint, "parquet", {"path": sink}, None, s, state_partitions, strict=strict)
+    return drain(q, max_batches)
+
+
+def replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, chunk_rows: int,
+           s: ScoreSettings = DEFAULT, first: int = 0, max_chunks: int | None = None,
+           pause_ms: int = 0, strict: bool = False, order: str = "seq") -> list[dict]:
+    """Paced replay in order: chunk by chunk (``topics.chunks``) the rows are
+    published to the landing folder by many tasks and scored; the next chunk is
+    published when the one before is done, after ``pause_ms``. The order of the
+    chunks is that of ``order``, on any file system. ``first`` and
+    ``max_chunks`` replay a part (a later call goes on from the checkpoint)."""
+    from vigil.sources.topics import chunks, publish
+    spark = wire.sparkSession
+    done: list[dict] = []
+    for k, chunk in enumerate(chunks(wire, chunk_rows, order)):
+        if k < first:
+            continue
+        if max_chunks is not None and k >= first + max_chunks:
+            break
+        if done and pause_ms:
+            time.sleep(pause_ms / 1000)
+        publish(chunk, landing, order)
+        done += run_scoring(spark, landing, sink, checkpoint, s, strict=strict)
+    return done
+
+
+def write_progress(spark: SparkSession, progress: list[dict], path: str, interval_ms: int = DEFAULT.batch_interval_ms) -> None:
+    """Appends the batches' figures (a row each) to a table."""
+    rows = [(int(p["batchId"]), int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0)),
+             float(p.get("processedRowsPerSecond") or 0.0)) for p in progress]
+    df = spark.createDataFrame(rows, "batch_id long, input_rows long, trigger_ms long, rows_per_second double")
+    (df.withColumn("interval_ms", F.lit(interval_ms).cast("long"))
+     .withColumn("overrun", F.col("trigger_ms") > F.col("interval_ms")).write.mode("append").parquet(path))
 
 
 def read_enriched(spark: SparkSession, sink: str) -> DataFrame:
     """Enriched sink back to scored rows (batch read)."""
-    schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("seq", T.LongType()),
-                                                T.StructField("record_number", T.LongType())])
-    df = spark.read.schema(schema).parquet(sink)
+    df = spark.read.schema(SINK_SCHEMA).parquet(sink).filter(F.col("reason").isNull())
     rec = df.select("key", "seq", "record_number", C.json_decode("value").alias("r"))
     return rec.select(F.col("key").alias("device_key"), "seq", "record_number",
                       C.measurement(F.col("r.sampleMeasurement")).alias("measurement"),
                       *[F.col(f"r.{f}").alias(f) for f in RAW_FIELDS],
                       *[F.col(f"r.{f}").alias(f) for f in RESULT_FIELDS])
+
+
+def read_quarantined(spark: SparkSession, sink: str) -> DataFrame:
+    """The records of the sink that could not be scored: key, value, seq, reason."""
+    df = spark.read.schema(SINK_SCHEMA).parquet(sink)
+    return df.filter(F.col("reason").isNotNull()).select("key", "value", "seq", "reason")
