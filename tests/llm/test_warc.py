@@ -38,7 +38,7 @@ def test_round_trip(frame):
 
 def test_files_are_plain_records(frame, tmp_path):
     path = str(tmp_path / "w")
-    W.write_archives(frame([(1, "http://a/", "p" * 1200), (2, "http://b/", "p" * 1200)], KIND), path)
+    W.write_archives(frame([(1, "http://a/", "p" * 1200), (2, "http://b/", "p" * 1200)], KIND), path, compression="none")
     data = b"".join(open(os.path.join(path, f), "rb").read() for f in sorted(os.listdir(path)) if f.startswith("part"))
     assert data.count(b"WARC/1.1\r\n") == 2 and data.endswith(b"\r\n\r\n")
     records = {r[1]: r for r in W.parse_file(data)}

@@ -3,12 +3,12 @@
 Writing: payload digests of all pages form narrow headers; headers with the
 same digest are pre-aggregated to (count, largest page_id) and only digests
 seen twice or more go on. The pages join them by (digest, salt), so that a
-digest holding a third of all pages is spread over many tasks. Equal payloads
-of at least ``least`` bytes are stored once, by the page with the largest
-page_id; the others become revisit records with fresh headers that name the
-response's record id. The files are plain WARC/1.1: Spark's text writer puts
-the record end (two line ends) after each record, so that every file system
-Spark can write works.
+digest holding a third of all pages is spread over many tasks; this is the one
+exchange of the payloads. Equal payloads of at least ``least`` bytes are stored
+once, by the page with the largest page_id; the others become revisit records
+with fresh headers that name the response's record id. The files are WARC/1.1
+under gzip: Spark's text writer puts the record end (two line ends) after each
+record, so that every file system Spark can write works.
 
 Reading: each file is parsed by Content-Length (payloads may contain anything),
 response digests are checked, and revisit records are resolved by joining them
@@ -23,6 +23,7 @@ writes an empty archive. Extra columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import prepare, salted_join, work_dir, written
+from vigil.llm.common import SALTS, prepare, salted_join, work_dir, written
 
 LEAST = 1000
 FILE_BYTES = 16 << 20
@@ -50,8 +51,10 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(END)), F.lit(""))
 
 
-def write_archives(pages: DataFrame, path: str, least: int = LEAST, file_bytes: int = FILE_BYTES) -> None:
-    """Writes ``pages`` (page_id, url, html) as deduplicated archives."""
+def write_archives(pages: DataFrame, path: str, least: int = LEAST, file_bytes: int = FILE_BYTES,
+                   compression: str = "gzip") -> None:
+    """Writes ``pages`` (page_id, url, html) as deduplicated archives, each file
+    compressed as a whole (``compression="none"``: plain)."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"),
                         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"))
@@ -62,7 +65,13 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, file_bytes:
              .agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("stored_by"))
              .filter("n > 1 and stored_by is not null").select("digest", "stored_by"))
     total = headers.agg(F.sum("size")).first()[0] or 0
-    rows = salted_join(rows, first, "digest")
+    files = max(1, -(-int(total) // file_bytes))
+    # One exchange of the payloads: dealt evenly over files of about
+    # file_bytes, rows of a hot digest over the salts.
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    rows = rows.withColumn("salt", salt).repartition(files, "digest", "salt")
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.join(first.hint("merge"), ["digest", "salt"], "left")
     revisit = F.col("stored_by").isNotNull() & ~F.col("stored_by").eqNullSafe(F.col("page_id"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "),
                     F.col("size").cast("string"), F.lit(END + END))
@@ -81,10 +90,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, file_bytes:
         _line("WARC-Refers-To", F.when(F.col("again"), record_id(F.col("stored_by"), F.col("digest")))),
         F.lit(f"Content-Type: application/http; msgtype=response{END}Content-Length: "),
         F.octet_length("block").cast("string"), F.lit(END + END), F.col("block"))
-    files = max(1, -(-int(total) // file_bytes))
-    # Dealt evenly over files of about file_bytes, hot digests included.
-    (rows.select(record.alias("value")).repartition(files)
-     .write.option("lineSep", END + END).text(path))
+    (rows.select(record.alias("value")).write.option("lineSep", END + END).option("compression", compression).text(path))
 
 
 RECORD_TYPE = "record_id string, record_type string, page_id long, digest string, size long, refers_id string"
@@ -125,7 +131,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for data in batch.column(0):
-                rows = list(parse_file(data.as_buffer().to_pybytes()))
+                data = data.as_buffer().to_pybytes()
+                rows = list(parse_file(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
