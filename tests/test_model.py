@@ -9,6 +9,7 @@ from conftest import SF_MID, SF_SMALL
 from sequential_model import bucket, score_device
 from vigil.functions.encoders import scalar_bucket
 from vigil.operators.score import score
+from vigil.settings import ScoreSettings
 from vigil.sources.tables import events_records, typed
 
 
@@ -64,6 +65,20 @@ def test_plans_keep_every_row_with_tied_and_null_seq(spark, hot):
     assert win.exceptAll(seg).count() == 0 and seg.exceptAll(win).count() == 0
 
 
+@pytest.mark.parametrize("plan,blocks", [("window", None), ("segmented", 5)])
+def test_finer_encoders_take_more_words(spark, plan, blocks):
+    """401 buckets: seven words of successor bits."""
+    fine = ScoreSettings(scalar_resolution=0.00025)
+    t = typed(events_records(spark, SF_SMALL))
+    out = score(t, fine, plan=plan, blocks=blocks).toPandas()
+    pdf = t.select("device_key", "event_time", "seq", "measurement").toPandas()
+    exp = {}
+    for key, g in pdf.sort_values(["device_key", "event_time", "seq"]).groupby("device_key", sort=False):
+        for seq, n, p, e, a, pn in score_device(list(zip(g["seq"], g["measurement"])), res=0.00025):
+            exp[(key, int(seq))] = (n, p, e, a, pn)
+    _check(out, exp)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.floats(min_value=-1.0, max_value=1.0, allow_nan=False))
 def test_bucket_in_range(x):

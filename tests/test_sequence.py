@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from vigil.operators.sequence import number_rows, previous_value, row_positions
-from vigil.settings import ScoreSettings
-from vigil.operators.score import score
 from vigil.sources.tables import events_records, typed
 
 
@@ -40,9 +38,3 @@ def test_row_positions_are_a_permutation(rows):
     from pyspark.sql import Window
     chk = p.withColumn("r", F.row_number().over(Window.orderBy("seq")) - 1)
     assert chk.filter(F.col("r") != F.col("position")).count() == 0
-
-
-def test_too_many_buckets_rejected(spark):
-    t = typed(events_records(spark, SF_MID))
-    with pytest.raises(ValueError):
-        score(t, ScoreSettings(scalar_resolution=0.0005), plan="window")

@@ -1,10 +1,10 @@
-"""Successor sets as two-word bitmaps of bucket indices.
+"""Successor sets as bitmaps of bucket indices, in as many words as the encoder needs.
 
-A device visits at most ``n_buckets`` (101) values, so the set of buckets
-that followed a bucket fits in two longs. Words hold 62 bits each so every
-value stays positive and no arithmetic step can overflow. The running union
-is a ``bit_or`` aggregate, which Spark evaluates incrementally over growing
-window frames and merges map-side in group-bys.
+A device visits at most ``n_buckets`` values (101 by default, two words), so the
+set of buckets that followed a bucket fits in a few longs. Words hold 62 bits
+each so every value stays positive and no arithmetic step can overflow. The
+running union is a ``bit_or`` aggregate, which Spark evaluates incrementally over
+growing window frames and merges map-side in group-bys.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 WORD = 62  # bits per word
 
 
+def n_words(n_buckets: int) -> int:
+    return -(-n_buckets // WORD)
+
+
 def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
@@ -24,23 +28,19 @@ def _shl(x: Column, n: Column | int) -> Column:
     return F.call_function("shiftleft", x, n if isinstance(n, Column) else F.lit(n))
 
 
-def bit_lo(b: str | Column) -> Column:
-    """Word 0 holding bucket ``b`` (0 when b is null or in word 1)."""
-    b = _c(b)
-    return F.when(b < WORD, _shl(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
-
-
-def bit_hi(b: str | Column) -> Column:
-    b = _c(b)
-    return F.when(b >= WORD, _shl(F.lit(1).cast("long"), b - WORD)).otherwise(F.lit(0).cast("long"))
+def bit_word(b: str | Column, word: int) -> Column:
+    """Word ``word`` of the set that holds bucket ``b`` alone (0 when b is null or elsewhere)."""
+    b, low = _c(b), word * WORD
+    return (F.when((b >= low) & (b < low + WORD), _shl(F.lit(1).cast("long"), b - low))
+             .otherwise(F.lit(0).cast("long")))
 
 
-def _prefix_masks(b: Column) -> tuple[Column, Column]:
-    """Masks of the buckets <= b in each word."""
-    one = F.lit(1).cast("long")
-    lo = F.when(b >= WORD - 1, _shl(one, F.lit(WORD)) - one).otherwise(_shl(one, b + 1) - one)
-    hi = F.when(b < WORD, F.lit(0).cast("long")).otherwise(_shl(one, b - (WORD - 1)) - one)
-    return lo, hi
+def _up_to(b: Column, word: int) -> Column:
+    """Mask of the buckets <= b in a word."""
+    one, low = F.lit(1).cast("long"), word * WORD
+    full = _shl(one, F.lit(WORD)) - one
+    return (F.when(b >= low + WORD - 1, full).when(b < low, F.lit(0).cast("long"))
+             .otherwise(_shl(one, b - low + 1) - one))
 
 
 def _highest(x: Column) -> Column:
@@ -53,33 +53,27 @@ def _lowest(x: Column) -> Column:
     return F.bit_count(x.bitwiseXOR(x - 1)) - 1
 
 
-def nearest_at_or_below(lo: Column, hi: Column, b: Column) -> Column:
+def nearest_at_or_below(words: list[Column], b: Column) -> Column:
     """Largest member <= b, or null."""
-    pm_lo, pm_hi = _prefix_masks(b)
-    blo = lo.bitwiseAND(pm_lo)
-    bhi = hi.bitwiseAND(pm_hi)
-    return (F.when(bhi != 0, _highest(bhi) + WORD)
-            .when(blo != 0, _highest(blo)))
+    found = [w.bitwiseAND(_up_to(b, k)) for k, w in enumerate(words)]
+    return F.coalesce(*[F.when(x != 0, _highest(x) + k * WORD) for k, x in reversed(list(enumerate(found)))])
 
 
-def nearest_above(lo: Column, hi: Column, b: Column) -> Column:
+def nearest_above(words: list[Column], b: Column) -> Column:
     """Smallest member > b, or null."""
-    pm_lo, pm_hi = _prefix_masks(b)
-    alo = lo.bitwiseAND(F.bitwise_not(pm_lo))
-    ahi = hi.bitwiseAND(F.bitwise_not(pm_hi))
-    return (F.when(alo != 0, _lowest(alo))
-            .when(ahi != 0, _lowest(ahi) + WORD))
+    found = [w.bitwiseAND(F.bitwise_not(_up_to(b, k))) for k, w in enumerate(words)]
+    return F.coalesce(*[F.when(x != 0, _lowest(x) + k * WORD) for k, x in enumerate(found)])
 
 
-def covered_bits(lo: Column, hi: Column, b: Column, w: int) -> Column:
+def covered_bits(words: list[Column], b: Column, w: int) -> Column:
     """How many of the bits ``b .. b+w-1`` are switched on by the codes of
     the set's members (member ``s`` switches on ``s .. s+w-1``).
 
     Members at or below ``b`` cover ``[b, s_lo+w-1]`` at best via the nearest
     one; members above cover ``[s_up, b+w-1]`` at best via the nearest one.
     """
-    s_lo = nearest_at_or_below(lo, hi, b)
-    s_up = nearest_above(lo, hi, b)
+    s_lo = nearest_at_or_below(words, b)
+    s_up = nearest_above(words, b)
     zero = F.lit(0)
     len_lo = F.coalesce(F.greatest(zero, s_lo + w - b), zero)
     len_up = F.coalesce(F.greatest(zero, b + w - s_up), zero)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.encoders import bucket_value, scalar_bucket
-from vigil.operators.bitsets import bit_hi, bit_lo, covered_bits
+from vigil.operators.bitsets import bit_word, covered_bits, n_words
 from vigil.schema import RAW_FIELDS, RESULT_FIELDS
 from vigil.settings import DEFAULT, ScoreSettings
 
@@ -57,7 +57,8 @@ def finish(df: DataFrame, s: ScoreSettings, prev: dict[str, Column]) -> DataFram
     """Results from the per-row model columns and the previous rows' values.
 
     ``prev`` gives ``pn1`` (predictionNext at n-1), ``pn2`` (at n-2), ``x1``
-    (measurement at n-1), ``plo``/``phi`` (successor set of b at n-1).
+    (measurement at n-1), ``p0``, ``p1`` ... (words of the successor set of b
+    at n-1).
     """
     # Materialise the previous-row values once; the coverage formula reads
     # them several times and must not repeat the window functions.
@@ -65,8 +66,8 @@ def finish(df: DataFrame, s: ScoreSettings, prev: dict[str, Column]) -> DataFram
     n = F.col("record_number")
     warm = n >= F.lit(s.warmup_rows)
     zero = F.lit(0).cast("long")
-    cover = covered_bits(F.coalesce(F.col("_plo"), zero), F.coalesce(F.col("_phi"), zero),
-                         F.col("b"), s.scalar_w)
+    words = [F.coalesce(F.col(f"_p{k}"), zero) for k in range(n_words(s.n_buckets))]
+    cover = covered_bits(words, F.col("b"), s.scalar_w)
     out = df.select(
         "*",
         F.coalesce(F.col("_pn1"), F.lit(0.0)).alias("prediction"),
@@ -88,29 +89,20 @@ def score_window(prepared: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
     # (one sort, one buffer per (device, b) group).
     before = (Window.partitionBy("device_key", "b").orderBy("record_number")
               .rowsBetween(Window.unboundedPreceding, -1))
+    words = range(n_words(s.n_buckets))
     df = df.select("*", F.max(_mode_struct()).over(before).alias("best"),
-                   F.bit_or(bit_lo("to_b")).over(before).alias("succ_lo"),
-                   F.bit_or(bit_hi("to_b")).over(before).alias("succ_hi"))
+                   *[F.bit_or(bit_word("to_b", k)).over(before).alias(f"succ_{k}") for k in words])
     df = df.withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s))
     by_n = Window.partitionBy("device_key").orderBy("record_number")
     prev = {
         "pn1": F.lag("predictionNext", 1).over(by_n),
         "pn2": F.lag("predictionNext", 2).over(by_n),
         "x1": F.lag("measurement", 1).over(by_n),
-        "plo": F.lag("succ_lo", 1).over(by_n),
-        "phi": F.lag("succ_hi", 1).over(by_n),
+        **{f"p{k}": F.lag(f"succ_{k}", 1).over(by_n) for k in words},
     }
     return finish(df, s, prev)
 
 
-def check_settings(s: ScoreSettings) -> None:
-    """Successor sets are two-word bitmaps: the encoder may have at most
-    ``2 * WORD`` buckets."""
-    from vigil.operators.bitsets import WORD
-    if s.n_buckets > 2 * WORD:
-        raise ValueError(f"{s.n_buckets} buckets exceed the {2 * WORD}-bucket successor bitmap")
-
-
 def block_count(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
     """Blocks for a blocked plan: one per core at least, and enough that a
     block holds ``block_rows`` rows on average (counts the rows once)."""
@@ -134,7 +126,6 @@ def score(typed: DataFrame, s: ScoreSettings = DEFAULT, plan: str = "window", bl
     first. ``seq`` (arrival order) may repeat or be null."""
     from vigil.operators.quality import fail_on_bad_rows
     keep = RAW_FIELDS if keep is None else keep
-    check_settings(s)
     checked = fail_on_bad_rows(typed) if strict else valid_rows(typed)
     prepared = with_bucket(checked.select(
         "device_key", *ORDER, *[c for c in keep if c not in ("device_key", *ORDER)]), s)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.encoders import bucket_value
-from vigil.operators.bitsets import bit_hi, bit_lo
+from vigil.operators.bitsets import bit_word, n_words
 from vigil.operators.score import ORDER, finish
 from vigil.settings import DEFAULT, ScoreSettings
 
@@ -84,6 +84,8 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     """The model over the cached blocked rows; returns the checkpointed
     scores."""
     a = base
+    words = range(n_words(s.n_buckets))
+    succ = [f"succ_{k}" for k in words]
     by_blk = Window.partitionBy("device_key").orderBy("blk")
 
     # 1. Global row number and the successor across the block edge.
@@ -130,28 +132,25 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     b_tot = pair_tot.groupBy("device_key", "b", "blk").agg(
         F.max(F.struct((F.col("off2") + F.col("cnt2")).alias("c"), F.col("last_n").alias("record_number"),
                        to_b.alias("to_b"))).alias("bm"),
-        F.bit_or(bit_lo(to_b)).alias("blo"), F.bit_or(bit_hi(to_b)).alias("bhi"))
+        *[F.bit_or(bit_word(to_b, k)).alias(f"w{k}") for k in words])
     by_b_blk = Window.partitionBy("device_key", "b").orderBy("blk").rowsBetween(UNB, -1)
     carry3 = (b_tot.select(
         "device_key", "b", "blk",
         F.struct(F.max("bm").over(by_b_blk).alias("best"),
-                 F.bit_or("blo").over(by_b_blk).alias("lo"),
-                 F.bit_or("bhi").over(by_b_blk).alias("hi")).alias("v"))
+                 *[F.bit_or(f"w{k}").over(by_b_blk).alias(f"w{k}") for k in words]).alias("v"))
         .filter(F.col("v.best").isNotNull())
         .groupBy("device_key", "blk")
         .agg(F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("m3")))
     before = Window.partitionBy("device_key", "blk", "b").orderBy("ln").rowsBetween(UNB, -1)
     zero = F.lit(0).cast("long")
     c3 = (b2.select("*", F.max(mode).over(before).alias("best_l"),
-                    F.bit_or(bit_lo("to_b")).over(before).alias("lo_l"),
-                    F.bit_or(bit_hi("to_b")).over(before).alias("hi_l"))
+                    *[F.bit_or(bit_word("to_b", k)).over(before).alias(f"w{k}_l") for k in words])
             .join(carry3, ["device_key", "blk"], "left")
             .withColumn("cv", F.try_element_at("m3", F.col("b")))
             .withColumn("best", F.greatest("best_l", "cv.best"))
-            .withColumn("succ_lo", F.coalesce("lo_l", zero).bitwiseOR(F.coalesce("cv.lo", zero)))
-            .withColumn("succ_hi", F.coalesce("hi_l", zero).bitwiseOR(F.coalesce("cv.hi", zero)))
+            .withColumns({f"succ_{k}": F.coalesce(f"w{k}_l", zero).bitwiseOR(F.coalesce(f"cv.w{k}", zero)) for k in words})
             .withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s))
-            .drop("best_l", "lo_l", "hi_l", "m3", "cv", "best", "c", "to_b", "to_k"))
+            .drop("best_l", *[f"w{k}_l" for k in words], "m3", "cv", "best", "c", "to_b", "to_k"))
     c3 = c3.persist(StorageLevel.MEMORY_AND_DISK)
     c3.count()
 
@@ -161,19 +160,17 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     d = c3.select("*", F.lag("predictionNext", 1).over(seq_w).alias("pn1_l"),
                   F.lag("predictionNext", 2).over(seq_w).alias("pn2_l"),
                   F.lag("measurement", 1).over(seq_w).alias("x1_l"),
-                  F.lag("succ_lo", 1).over(seq_w).alias("lo1_l"),
-                  F.lag("succ_hi", 1).over(seq_w).alias("hi1_l"))
-    tail = d.select("device_key", "blk", "ln", "predictionNext", "measurement", "succ_lo", "succ_hi", "pn1_l").groupBy("device_key", "blk").agg(
+                  *[F.lag(f"succ_{k}", 1).over(seq_w).alias(f"s{k}_l") for k in words])
+    tail = d.select("device_key", "blk", "ln", "predictionNext", "measurement", *succ, "pn1_l").groupBy("device_key", "blk").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.max_by(F.struct("predictionNext", "measurement", "succ_lo", "succ_hi", "pn1_l"), "ln").alias("last"))
+        F.max_by(F.struct("predictionNext", "measurement", *succ, "pn1_l"), "ln").alias("last"))
     carry4 = (tail.select(
         "device_key", "blk",
         F.lag("last.predictionNext").over(by_blk).alias("p_pn1"),
         F.when(F.lag("cnt").over(by_blk) >= 2, F.lag("last.pn1_l").over(by_blk))
          .otherwise(F.lag("last.predictionNext", 2).over(by_blk)).alias("p_pn2"),
         F.lag("last.measurement").over(by_blk).alias("p_x1"),
-        F.lag("last.succ_lo").over(by_blk).alias("p_lo"),
-        F.lag("last.succ_hi").over(by_blk).alias("p_hi"))
+        *[F.lag(f"last.succ_{k}").over(by_blk).alias(f"p_s{k}") for k in words])
         .filter(F.col("p_pn1").isNotNull()))
     # <= blocks rows: only a block's first device has an earlier block.
     d = d.join(F.broadcast(carry4), ["device_key", "blk"], "left")
@@ -182,15 +179,14 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
         "pn1": F.when(ln == 1, F.col("p_pn1")).otherwise(F.col("pn1_l")),
         "pn2": F.when(ln == 1, F.col("p_pn2")).when(ln == 2, F.col("p_pn1")).otherwise(F.col("pn2_l")),
         "x1": F.when(ln == 1, F.col("p_x1")).otherwise(F.col("x1_l")),
-        "plo": F.when(ln == 1, F.col("p_lo")).otherwise(F.col("lo1_l")),
-        "phi": F.when(ln == 1, F.col("p_hi")).otherwise(F.col("hi1_l")),
+        **{f"p{k}": F.when(ln == 1, F.col(f"p_s{k}")).otherwise(F.col(f"s{k}_l")) for k in words},
     }
     # Cut the lineage (reliable checkpoint in spark.checkpoint.dir) so the
     # cached rows can go.
     from vigil.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(base.sparkSession)
     try:
-        return finish(d, s, prev).drop("blk", "ln", "succ_lo", "succ_hi", "pn1_l", "pn2_l", "x1_l", "lo1_l", "hi1_l",
-                                       "p_pn1", "p_pn2", "p_x1", "p_lo", "p_hi").checkpoint(eager=True)
+        return finish(d, s, prev).drop("blk", "ln", *succ, "pn1_l", "pn2_l", "x1_l", "p_pn1", "p_pn2", "p_x1",
+                                       *[f"s{k}_l" for k in words], *[f"p_s{k}" for k in words]).checkpoint(eager=True)
     finally:
         c3.unpersist()

@@ -113,8 +113,6 @@ def score_decoded(rows: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | Non
     """The rows of ``decoded`` without a reason, scored by the stateful
     processor: device_key, seq, record_number, measurement, the 24 record
     fields, the 4 results."""
-    from vigil.operators.score import check_settings
-    check_settings(s)
     ship_package(rows.sparkSession)
     good = with_bucket(rows.filter(F.col("reason").isNull())
                        .select("device_key", "event_time", "measurement", "seq", "place", "value"), s)
