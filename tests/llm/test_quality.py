@@ -96,3 +96,16 @@ def test_junk_goes_and_clean_documents_stay(spark, frame):
     got = {r.doc_id: r for r in Q.quality(frame(clean + junk), frame([(k,) for k in range(40)], "doc_id long")).collect()}
     assert all(r.score > -0.1 for i, r in got.items() if i < 1000)
     assert all(r.score < -0.1 for i, r in got.items() if i >= 1000)
+
+
+def test_a_filter_on_the_verdict_stays_above_the_expressions(spark, small):
+    docs = table(spark, small, "documents")
+    df = Q.quality(docs, Q.trusted_ids(table(spark, small, "labels")), keep=docs.columns).filter("kept")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(_g") == 1 and plan.index("Filter") < plan.index("Generate inline")
+
+
+def test_rows_without_a_key_are_dealt_out(spark, frame):
+    docs = frame([(None, f"text {k}") for k in range(200)] + [(k, f"text {k}") for k in range(5)])
+    df = Q.ratio_table(docs, frame([(k,) for k in range(5)], "doc_id long"), "text", 64, 1.0)
+    assert re.search(r"Exchange hashpartitioning\(doc_id#\d+L?, _salt#\d+", df._jdf.queryExecution().executedPlan().toString())

@@ -87,7 +87,9 @@ def ngram_buckets(buckets: int) -> Column:
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, text: str, buckets: int, smoothing: float) -> DataFrame:
     """One row with ``ratios``: log(p_target / p_raw) by bucket."""
-    ids = trusted.select("doc_id", F.lit(0).alias("_salt"), F.lit(1).alias("_trusted")).distinct()
+    # Always 0, but not a literal: the join then deals rows out by the salt as well.
+    zero = F.pmod(F.col("doc_id").cast("long"), F.lit(1)).cast("int")
+    ids = trusted.select("doc_id", zero.alias("_salt"), F.lit(1).alias("_trusted")).distinct()
     salt = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(NULL_SALTS)))
     # Always a sort-merge join: the plan, and what it shuffles, is the same at every size.
     rows = (docs.select("doc_id", text, F.coalesce(salt, F.lit(0)).cast("int").alias("_salt"))
@@ -119,9 +121,11 @@ def quality(docs: DataFrame, trusted: DataFrame, text: str = "text", keep=("doc_
     grams = df.select("*", ngram_buckets(buckets).alias("_g"), ratios.alias("_r"))
     total = F.aggregate("_g", F.lit(0.0), lambda acc, k: acc + F.get(F.col("_r"), k))
     score = F.when(F.size("_g") > 0, total / F.size("_g")).otherwise(F.lit(0.0))
-    return (grams.withColumn("score", score)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-            .select(*own, *BASE, "score", "kept"))
+    scored = grams.withColumn("score", score).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    # As a generated row, so that a caller's filter on a result is not pushed
+    # into the expressions, which would then be computed several times over.
+    made = F.inline(F.array(F.struct(*BASE, "score", "kept")))
+    return scored.select(*own, made)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
