@@ -41,8 +41,10 @@ from vigil.llm.common import prepare, salted_join, written
 from vigil.llm.components import components
 
 SYMBOLS, CHUNKS, ERRORS = 30, 5, 2
-#: Shingles in a block of classes, on average; one task compares two blocks.
+#: Shingles in a block of classes, on average; one task compares two blocks. Each
+#: class counts MEMBER more, which bounds the members of a block of short texts.
 BLOCK_SHINGLES = 400_000
+MEMBER = 500
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -220,7 +222,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = 5, percent:
     # Blocks: members dealt by a hash over as many blocks as the cluster's shingles fill.
     members = (classes.groupBy("node").agg(F.max("n").alias("n"))
                .join(clusters.select("node", F.col("component").alias("cluster")).hint("merge"), "node"))
-    filled = members.groupBy("cluster").agg(F.ceil(F.sum("n") / block_shingles).cast("long").alias("blocks"))
+    filled = members.groupBy("cluster").agg(F.ceil(F.sum(F.col("n") + MEMBER) / block_shingles).cast("long").alias("blocks"))
     clustered = written(
         salted_join(members, filled, "cluster", "inner")
         .select("node", "cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "blocks")
