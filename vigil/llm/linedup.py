@@ -16,9 +16,9 @@ parity signature of character pairs, which each edit can change in at most
 four bits; what is left is checked on the full lines by a banded bit-parallel
 edit distance.
 
-Exact repeats are collapsed first: a line that fills a third of the corpus
-enters the join once. The documents' texts cross one exchange, used for the
-join's keys, the check and the result.
+Exact repeats are collapsed first (per text, per task, then by key), so a line
+that fills a third of the corpus enters once. The documents' texts cross one
+exchange, used both for the check and for the result.
 
 Defined cases: null text stays null and has no lines; rows equal in doc_id and
 text count as one document and keep the same lines; a null doc_id sorts last;
@@ -39,6 +39,8 @@ from vigil.llm.common import SALTS, kept, prepare, schema_of, slices, written
 THRESHOLD = 2
 LEAST = 32
 BATCH_CHARS = 1_000_000
+#: Distinct lines that a task remembers so as not to send their keys again.
+REMEMBERED = 500_000
 LAST_ID = (1 << 63) - 1
 
 _B = 0x9E3779B97F4A7C15
@@ -198,46 +200,41 @@ def _occurrences(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("_did", "_th", F.col(text).cast("string")).mapInArrow(run, "did long, th long, pos int, h1 long, h2 long")
 
 
-def _placed(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
-    """(did, th, ps, text, _0, ...): the documents that hold lines given by
-    place, with the positions. All columns of ``exchanged`` go in, so that Spark
-    can use one exchange of the texts for every such join and for the result."""
-    others = [c for c in exchanged.columns if c not in ("_did", "_th", text)]
-    asked = lines.groupBy("did", "th").agg(F.collect_list("pos").alias("ps"))
-    found = exchanged.join(asked.hint("merge"), (exchanged["_did"] == asked["did"]) & (exchanged["_th"] == asked["th"]))
-    return found.select("did", "th", "ps", F.col(text).cast("string").alias("text"),
-                        *[F.col(c).alias(f"_{k}") for k, c in enumerate(others)])
-
-
-def _keyed(placed: DataFrame, threshold: int, least: int) -> DataFrame:
-    """(key, probe, h1, par): the segments and probes of the lines that are long enough."""
+def _keyed(rows: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
+    """(key, probe, h1, par): the segments and probes of lines long enough."""
     def run(batches):
+        sent: set[int] = set()
         for batch in batches:
-            texts, places = batch.column(3).to_pylist(), batch.column(2).to_pylist()
+            texts = [t for t in batch.column(0).to_pylist() if t]
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
-                lines = []
-                for t, ps in zip(texts[a:b], places[a:b]):
-                    parts = t.split("\n")
-                    lines += [parts[p] for p in set(ps) if len(parts[p]) >= least]
+                lines, ids = [], []
+                for t in texts[a:b]:
+                    for line in t.split("\n"):
+                        if len(line) >= least and line.strip(_GAPS):
+                            h = _hash(line)[0]
+                            if h not in sent:
+                                if len(sent) >= REMEMBERED:
+                                    sent.clear()
+                                sent.add(h)
+                                lines.append(line)
+                                ids.append(h)
                 if not lines:
                     continue
-                ids = np.array([_hash(x)[0] for x in lines], np.int64)
                 length = np.array([len(x) for x in lines], np.int64)
                 start = np.cumsum(length) - length
                 points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
                 row, key, probe = line_keys(Substrings(points), start, length, threshold)
                 par = parity(points, start, length).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(probe), pa.array(ids[row]), pa.array(par[row])],
+                    [pa.array(key.view(np.int64)), pa.array(probe), pa.array(np.array(ids, np.int64)[row]), pa.array(par[row])],
                     names=["key", "probe", "h1", "par"])
 
-    return placed.mapInArrow(run, "key long, probe boolean, h1 long, par long")
+    return rows.select(F.col(text).cast("string")).mapInArrow(run, "key long, probe boolean, h1 long, par long")
 
 
 def _candidates(keys: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs (a, b) of h1, a < b, that meet under a key. Both sides
-    come to the join through exchanges of their own, so that Spark can split a
-    key that very many different lines share."""
+    """Distinct pairs (a, b) of h1, a < b, that meet under a key."""
+    keys = keys.repartition("key").dropDuplicates(["key", "probe", "h1"])
     index = keys.filter("not probe").select("key", F.col("h1").alias("x"), F.col("par").alias("px"))
     probe = keys.filter("probe").select("key", F.col("h1").alias("y"), F.col("par").alias("py"))
     near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * threshold
@@ -245,8 +242,13 @@ def _candidates(keys: DataFrame, threshold: int) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _text_of(placed: DataFrame) -> DataFrame:
-    """(h1, h2, did, th, pos, line) of the lines."""
+def _text_of(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
+    """(h1, h2, did, th, pos, line) of lines given with the place of their first
+    occurrence. The join takes all columns of ``exchanged``, so that Spark can
+    use one exchange of the texts for it and for the result."""
+    asked = lines.groupBy("did", "th").agg(F.collect_list("pos").alias("ps"))
+    others = [c for c in exchanged.columns if c not in ("_did", "_th", text)]
+
     def run(batches):
         for batch in batches:
             out = []
@@ -259,14 +261,18 @@ def _text_of(placed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                                  names=["h1", "h2", "did", "th", "pos", "line"])
 
-    return placed.mapInArrow(run, "h1 long, h2 long, did long, th long, pos int, line string")
+    found = exchanged.join(asked.hint("merge"), (exchanged["_did"] == asked["did"]) & (exchanged["_th"] == asked["th"]))
+    return found.select("did", "th", "ps", F.col(text).cast("string").alias("text"),
+                        *[F.col(c).alias(f"_{k}") for k, c in enumerate(others)]).mapInArrow(
+        run, "h1 long, h2 long, did long, th long, pos int, line string")
 
 
 def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: str, threshold: int) -> DataFrame:
     """(h1, h2) of the lines that have an earlier near line."""
+    candidates = written(candidates, "line-pairs")
     asked = candidates.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = first.join(asked.hint("merge"), "h1", "left_semi").select("did", "th", "pos")
-    texts = _text_of(_placed(places, exchanged, text)).distinct()
+    texts = _text_of(places, exchanged, text).distinct()
     side = lambda n: texts.select(F.col("h1").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in ("h2", "did", "th", "pos", "line")])
     both = candidates.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     later = F.struct("a_did", "a_th", "a_pos") > F.struct("b_did", "b_th", "b_pos")
@@ -298,9 +304,7 @@ def line_dedup(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
              .toDF("h1", "h2", "f", "many").select("h1", "h2", "f.*", "many"))
     first = written(first, "first-lines")
     exchanged = rows.select(*own, *([text] if text not in own else []), "_did", "_th")
-    # Each different line enters the join once, from its first occurrence.
-    pairs = _candidates(_keyed(_placed(first.select("did", "th", "pos"), exchanged, text), threshold, least), threshold)
-    near = _near(first, pairs, exchanged, text, threshold)
+    near = _near(first, _candidates(_keyed(rows, text, threshold, least), threshold), exchanged, text, threshold)
 
     # Only lines that repeat or have an earlier near line can go; a hot one is dealt over the salts.
     marked = (first.join(near.withColumn("near", F.lit(True)).hint("merge"), ["h1", "h2"], "left")
