@@ -180,3 +180,10 @@ def test_json_outcomes(spark):
     rows = [('{"stateCode":"1"}', "ok"), ('{"stateCode":"1","bogus":2}', "unknown_property"), ("not json", "malformed"), (None, "malformed")]
     df = spark.createDataFrame(rows, "v string, o string")
     assert df.filter(C.json_outcome("v") != F.col("o")).count() == 0
+
+
+def test_two_digit_years(spark):
+    df = spark.createDataFrame([("15-03-31", "10:00"), ("2015-03-31", "10:00"), ("5-3-31", "10:00"), ("15/03/31", "10:00"), (None, "10:00")],
+                               "d string, t string")
+    out = [r.x for r in df.select(F.date_format(C.event_time("d", "t"), "yyyy-MM-dd HH:mm").alias("x")).collect()]
+    assert out == ["2015-03-31 10:00", "2015-03-31 10:00", None, None, None]

@@ -29,9 +29,12 @@ def device_key(*parts: str | Column) -> Column:
 
 
 def event_time(date_col: str | Column = "dateGMT", time_col: str | Column = "timeGMT") -> Column:
-    """GMT date + time at minute resolution; null when either part is missing
-    or does not parse (the row then goes to quarantine)."""
-    text = F.concat(_c(date_col), F.lit(" "), _c(time_col))
+    """GMT date + time at minute resolution; a two-digit year is one of 2000 to
+    2099. Null when either part is missing or does not parse (the row then goes
+    to quarantine)."""
+    date = _c(date_col)
+    date = F.when(F.length(date) == len("yy-MM-dd"), F.concat(F.lit("20"), date)).otherwise(date)
+    text = F.concat(date, F.lit(" "), _c(time_col))
     return F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN))
 
 
