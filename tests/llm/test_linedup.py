@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,9 +60,11 @@ def test_lines_within_the_threshold_share_a_key(a, edits):
     points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
     for most in (1, 2, 3):
         if len(b) > most and distance(a, b) <= most:
-            row, key, probe = L.line_keys(L.Substrings(points), start, length, most)
+            hashes = L.Substrings(points)
+            row, key = L.segment_keys(hashes, start, length, most)
+            p_row, p_key = L.probe_keys(hashes, start, length, most)
             long, short = (0, 1) if len(a) >= len(b) else (1, 0)
-            assert set(key[(row == long) & probe]) & set(key[(row == short) & ~probe])
+            assert set(p_key[p_row == long]) & set(key[row == short])
             par = L.parity(points, start, length)
             assert np.bitwise_count(par[0] ^ par[1]) <= 4 * most
 
@@ -132,12 +135,13 @@ def planted(documents, seed=5):
     return docs + extra
 
 
-def test_against_plain_version(frame, documents):
+@pytest.mark.parametrize("hot_key", [L.HOT_KEY, 0])
+def test_against_plain_version(frame, documents, hot_key):
     rows = planted(documents)
     rows += [(5000, None), (5001, ""), (5002, "\n \n"), (None, rows[0][1]), (None, None), (rows[3][0], "a\nb"), rows[4], rows[4],
              (5003, "same line\nsame line\n\nsame line"), (5004, "z" * 50_000), (5005, "z" * 49_999 + "y")]
     df = frame(rows).withColumn("n_near", F.lit("clash")).withColumn("_gone", F.lit(1)).withColumn("lang", F.lit("en"))
-    got = L.line_dedup(df)
+    got = L.line_dedup(df, hot_key=hot_key)
     assert got.columns == ["doc_id", "text", "lang", "n_lines", "n_repeats", "n_near"]
     check(got.collect(), plain(rows))
 

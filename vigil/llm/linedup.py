@@ -38,6 +38,8 @@ from vigil.llm.common import SALTS, kept, prepare, schema_of, slices, written
 
 THRESHOLD = 2
 LEAST = 32
+#: Different lines under one segment key from which the key is split.
+HOT_KEY = 1000
 BATCH_CHARS = 1_000_000
 #: Distinct lines that a task remembers so as not to send their keys again.
 REMEMBERED = 500_000
@@ -91,18 +93,19 @@ def _tag(h: np.ndarray, length, segment: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def line_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, threshold: int):
-    """(row, key, is_probe) of lines given by start and length."""
-    rows, keys, probes = [], [], []
+def segment_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, threshold: int):
+    """(row, key) of the segments of lines given by start and length."""
+    keys = [_tag(hashes(start + p, start + p + n), length, k) for k, (p, n) in enumerate(segments(length, threshold + 1))]
+    return np.tile(np.arange(len(start)), threshold + 1), np.concatenate(keys)
+
+
+def probe_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, threshold: int):
+    """(row, key) of the substrings that can be a segment of a line that isn't longer."""
     every = np.arange(len(start))
-    parts = threshold + 1
-    for k, (p, n) in enumerate(segments(length, parts)):
-        rows.append(every)
-        keys.append(_tag(hashes(start + p, start + p + n), length, k))
-        probes.append(np.zeros(len(start), bool))
+    rows, keys = [], []
     for delta in range(threshold + 1):
         shorter = length - delta
-        for k, (p, n) in enumerate(segments(shorter, parts)):
+        for k, (p, n) in enumerate(segments(shorter, threshold + 1)):
             # At most k edits left of segment k and threshold - k right of it.
             low = max(-k, delta - (threshold - k))
             high = min(k, delta + (threshold - k))
@@ -111,8 +114,7 @@ def line_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, thresho
                 ok = (a >= 0) & (a + n <= length)
                 rows.append(every[ok])
                 keys.append(_tag(hashes((start + a)[ok], (start + a + n)[ok]), shorter[ok], k))
-                probes.append(np.ones(int(ok.sum()), bool))
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(probes)
+    return np.concatenate(rows), np.concatenate(keys)
 
 
 def parity(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -200,8 +202,8 @@ def _occurrences(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("_did", "_th", F.col(text).cast("string")).mapInArrow(run, "did long, th long, pos int, h1 long, h2 long")
 
 
-def _keyed(rows: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
-    """(key, probe, h1, par): the segments and probes of lines long enough."""
+def _keyed(rows: DataFrame, text: str, threshold: int, least: int, keys_of) -> DataFrame:
+    """(key, h1, par) of the lines that are long enough, by ``segment_keys`` or ``probe_keys``."""
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
@@ -223,22 +225,42 @@ def _keyed(rows: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
                 length = np.array([len(x) for x in lines], np.int64)
                 start = np.cumsum(length) - length
                 points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-                row, key, probe = line_keys(Substrings(points), start, length, threshold)
+                row, key = keys_of(Substrings(points), start, length, threshold)
                 par = parity(points, start, length).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(probe), pa.array(np.array(ids, np.int64)[row]), pa.array(par[row])],
-                    names=["key", "probe", "h1", "par"])
+                    [pa.array(key.view(np.int64)), pa.array(np.array(ids, np.int64)[row]), pa.array(par[row])],
+                    names=["key", "h1", "par"])
+
+    made = rows.select(F.col(text).cast("string")).mapInArrow(run, "key long, h1 long, par long")
+    # Tasks send a line once each; here the tasks' copies become one.
+    return made.repartition("key").dropDuplicates(["key", "h1"])
 
-    return rows.select(F.col(text).cast("string")).mapInArrow(run, "key long, probe boolean, h1 long, par long")
 
+def _candidates(index: DataFrame, probe: DataFrame, threshold: int, hot_key: int) -> DataFrame:
+    """Distinct pairs (a, b) of h1, a < b, that meet under a key.
 
-def _candidates(keys: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs (a, b) of h1, a < b, that meet under a key."""
-    keys = keys.repartition("key").dropDuplicates(["key", "probe", "h1"])
-    index = keys.filter("not probe").select("key", F.col("h1").alias("x"), F.col("par").alias("px"))
-    probe = keys.filter("probe").select("key", F.col("h1").alias("y"), F.col("par").alias("py"))
+    A key of more than ``hot_key`` different lines is not joined as a whole: its
+    rows enter once for each of 4 * threshold + 1 parts of the parity signature,
+    under the part's bits. Near lines differ in at most 4 * threshold bits, so
+    they agree in a part; others mostly do not, and Spark can split what is left."""
     near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * threshold
-    met = index.join(probe.hint("merge"), (index["key"] == probe["key"]) & (F.col("x") != F.col("y")) & near)
+    hot = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_key).select("key")
+    parts = 4 * threshold + 1
+    bits = 64 // parts
+
+    def side(df, line, par):
+        return df.select("key", F.col("h1").alias(line), F.col("par").alias(par))
+
+    def split(df, par):
+        value = [F.struct(F.lit(k).alias("k"), F.call_function("shiftrightunsigned", F.col(par), F.lit(k * bits))
+                          .bitwiseAND(F.lit((1 << bits) - 1)).alias("v")) for k in range(parts)]
+        return df.select("*", F.explode(F.array(*value)).alias("part")).select("*", "part.k", "part.v").drop("part")
+
+    x, y = side(index, "x", "px"), side(probe, "y", "py")
+    cold = x.join(hot, "key", "left_anti").join(y.hint("merge"), "key")
+    hot_x, hot_y = (split(d.join(hot, "key", "left_semi"), par) for d, par in ((x, "px"), (y, "py")))
+    both = cold.select("x", "px", "y", "py").unionByName(hot_x.join(hot_y, ["key", "k", "v"]).select("x", "px", "y", "py"))
+    met = both.filter((F.col("x") != F.col("y")) & near)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -292,7 +314,7 @@ MADE = ("n_lines", "n_repeats", "n_near")
 
 
 def line_dedup(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST,
-               keep: list[str] | None = None) -> DataFrame:
+               keep: list[str] | None = None, hot_key: int = HOT_KEY) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``, and ``n_lines``
     (lines with a word), ``n_repeats`` and ``n_near`` (lines taken out)."""
     prepare(docs.sparkSession)
@@ -304,7 +326,8 @@ def line_dedup(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
              .toDF("h1", "h2", "f", "many").select("h1", "h2", "f.*", "many"))
     first = written(first, "first-lines")
     exchanged = rows.select(*own, *([text] if text not in own else []), "_did", "_th")
-    near = _near(first, _candidates(_keyed(rows, text, threshold, least), threshold), exchanged, text, threshold)
+    index, probe = (_keyed(rows, text, threshold, least, f) for f in (segment_keys, probe_keys))
+    near = _near(first, _candidates(index, probe, threshold, hot_key), exchanged, text, threshold)
 
     # Only lines that repeat or have an earlier near line can go; a hot one is dealt over the salts.
     marked = (first.join(near.withColumn("near", F.lit(True)).hint("merge"), ["h1", "h2"], "left")
