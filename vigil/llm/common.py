@@ -47,6 +47,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of finished jobs when the driver's
+    garbage collection finds their handles, by default every half hour. Called
+    between the large steps of an operator, whose earlier exchanges a written
+    table has replaced, this frees the executors' disks now."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def kept(df: DataFrame, keep: Iterable[str], made: Iterable[str]) -> list[str]:
     """The input columns to carry along. A column with the name of a column
     that the operator makes is left out (the operator's column wins)."""

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import prepare, salted_join, written
+from vigil.llm.common import prepare, release, salted_join, written
 from vigil.llm.components import components
 
 SYMBOLS, CHUNKS, ERRORS = 30, 5, 2
@@ -217,6 +217,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = 5, percent:
     keys = written(keyed(classes, chunks, errors), "keys")
     heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = written(salted_join(keys, heads.select("key", "head").hint("merge"), "key", "inner"), "met")
+    release(docs.sparkSession)
     clusters = written(components(met.select(F.col("head").alias("u"), F.col("node").alias("v"))), "clusters")
 
     # Blocks: members dealt by a hash over as many blocks as the cluster's shingles fill.

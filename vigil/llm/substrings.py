@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import prepare, salted_join, written
+from vigil.llm.common import prepare, release, salted_join, written
 from vigil.llm.diffcover import DEPTH, order, same_prefix
 
 LENGTH = 200
@@ -313,6 +313,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     others = copied.filter("did <> lead").select("did", "t1")
     asked = salted_join(found, twice.hint("merge"), "h", "inner").join(others.hint("merge"), ["did", "t1"], "left_anti")
     asked = written(asked.select("h", "did", "t1", "a", "many"), "asked")
+    release(docs.sparkSession)
 
     texts = rows.select("doc_id", "text", "did", "t1")
     runs = (_compare_small(_contexts(texts, asked.filter("not many"), length), length)
