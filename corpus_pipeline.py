@@ -45,11 +45,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, checked by decoding."""
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(docs, ranks).withColumn("ids_sha256", F.sha2("ids", 256))
-    back = bpe.decode(coded, ranks, keep=("doc_id", "n_tokens", "ids_sha256"))
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Token ids of every text, and what they decode to."""
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), decoded="decoded")
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),

@@ -101,6 +101,9 @@ def test_nulls_ties_extra_columns_and_empty_tables(frame, ranks):
     assert sorted((r.doc_id or 0, r.n_tokens, bytes(r.decoded)) for r in back) == [
         (0, 0, b""), (1, 0, b""), (1, 0, b""), (2, 1, b"same"), (2, 1, b"same")]
     assert bpe.decode(bpe.encode(frame([]), ranks), ranks).collect() == []
+    both = bpe.encode(df.withColumn("text2", F.lit(1)), ranks, decoded="text2", keep=("doc_id", "text2"))
+    assert both.columns == ["doc_id", *bpe.ENCODED, "text2"]
+    assert sorted(bytes(r.text2) for r in both.collect()) == [b"", b"", b"", b"same", b"same"]
     assert coded.select(bpe.ids_array(F.col("ids")).alias("a")).filter("size(a) = 1").first().a == REAL.encode_ordinary("same")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import kept, prepare, schema_of, slices
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 CACHED_BYTES = 64
 BATCH_CHARS = 500_000
 #: A rank file larger than this is refused: it is sent to every executor.
@@ -327,15 +327,28 @@ def read_ranks(path: str) -> bytes:
 ENCODED = ("n_tokens", "ids", "slice_ids", "slice_bytes")
 
 
-def encode(df: DataFrame, ranks_path: str, text: str = "text", keep=("doc_id",)) -> DataFrame:
+def _decoded(vocabulary: Vocabulary, ids: bytes, by_ids: bytes, by_bytes: bytes) -> bytes:
+    """The bytes of the ids, after a check of the slice ends against them."""
+    text, stops = vocabulary.decode(np.frombuffer(ids, "<u4"))
+    by_ids, by_bytes = (np.frombuffer(e, "<u4").astype(np.int64) for e in (by_ids, by_bytes))
+    if len(by_ids) and not np.array_equal(stops[by_ids - 1], by_bytes):
+        raise ValueError("the slice offsets do not fit the ids")
+    return text.tobytes()
+
+
+def encode(df: DataFrame, ranks_path: str, text: str = "text", keep=("doc_id",), decoded: str | None = None) -> DataFrame:
     """``keep`` columns plus ``n_tokens``, ``ids`` and the slice ends
-    (``slice_ids`` counts ids, ``slice_bytes`` bytes). No shuffle."""
+    (``slice_ids`` counts ids, ``slice_bytes`` bytes). With ``decoded``, a column
+    of that name holds the bytes that the made ids decode to (a round trip in
+    one worker). No shuffle."""
     prepare(df.sparkSession)
-    own = kept(df, keep, ENCODED)
+    made = (*ENCODED, *filter(None, [decoded]))
+    own = kept(df, keep, made)
     file = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches):
         merger = _cached(file.value, Merger)
+        vocabulary = _cached(file.value, Vocabulary) if decoded else None
         for batch in batches:
             texts = [t or "" for t in batch.column(len(own)).to_pylist()]
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
@@ -343,10 +356,13 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", keep=("doc_id",))
                 cols = [batch.column(k).slice(a, b - a) for k in range(len(own))]
                 cols += [pa.array([len(i) // 4 for i, _, _ in got], pa.int64())]
                 cols += [pa.array([g[k] for g in got], pa.binary()) for k in range(3)]
-                yield pa.RecordBatch.from_arrays(cols, names=[*own, *ENCODED])
+                if decoded:
+                    cols += [pa.array([_decoded(vocabulary, *g) for g in got], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=[*own, *made])
 
     schema = ", ".join(filter(None, [schema_of(df, own),
-                                     "n_tokens long, ids binary, slice_ids binary, slice_bytes binary"]))
+                                     "n_tokens long, ids binary, slice_ids binary, slice_bytes binary",
+                                     decoded and f"`{decoded}` binary"]))
     return df.select(*own, F.col(text).cast("string")).mapInArrow(run, schema)
 
 
@@ -363,12 +379,8 @@ def decode(df: DataFrame, ranks_path: str, keep=("doc_id",), name: str = "decode
         for batch in batches:
             k = len(own)
             out = []
-            for ids, *ends in zip(*(batch.column(k + j).to_pylist() for j in range(3))):
-                text, stops = vocabulary.decode(np.frombuffer(ids or b"", "<u4"))
-                by_ids, by_bytes = (np.frombuffer(e or b"", "<u4").astype(np.int64) for e in ends)
-                if len(by_ids) and not np.array_equal(stops[by_ids - 1], by_bytes):
-                    raise ValueError("the slice offsets do not fit the ids")
-                out.append(text.tobytes())
+            for row in zip(*(batch.column(k + j).to_pylist() for j in range(3))):
+                out.append(_decoded(vocabulary, *(x or b"" for x in row)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(j) for j in range(k)), pa.array(out, pa.binary())], names=[*own, name])
 

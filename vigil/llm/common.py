@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Bytes of one batch that Spark sends to a Python worker, unless the session sets it.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> None:

@@ -40,7 +40,7 @@ THRESHOLD = 2
 LEAST = 32
 #: Different lines under one segment key from which the key is split.
 HOT_KEY = 1000
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 400_000
 #: Distinct lines that a task remembers so as not to send their keys again.
 REMEMBERED = 500_000
 LAST_ID = (1 << 63) - 1

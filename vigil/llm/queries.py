@@ -11,10 +11,9 @@ from vigil.llm.common import table
 
 def op1_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(table(spark, sf_dir, "documents"), ranks)
-    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
-    back = bpe.decode(coded, ranks, keep=("doc_id", "n_tokens", "ids_sha256"))
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, decoded="decoded")
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_lines(spark, sf_dir):
