@@ -135,7 +135,7 @@ def planted(documents, seed=5):
     return docs + extra
 
 
-@pytest.mark.parametrize("hot_key", [L.HOT_KEY, 0])
+@pytest.mark.parametrize("hot_key", [L.HOT_KEY, 7, 0])
 def test_against_plain_version(frame, documents, hot_key):
     rows = planted(documents)
     rows += [(5000, None), (5001, ""), (5002, "\n \n"), (None, rows[0][1]), (None, None), (rows[3][0], "a\nb"), rows[4], rows[4],
@@ -146,6 +146,18 @@ def test_against_plain_version(frame, documents, hot_key):
     check(got.collect(), plain(rows))
 
 
+@pytest.mark.parametrize("hot_key", [L.HOT_KEY, 9])
+def test_keys_across_small_batches(spark, frame, documents, hot_key):
+    rows = planted(documents, seed=6)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "5")
+    try:
+        check(L.line_dedup(frame(rows), hot_key=hot_key).collect(), plain(rows))
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_threshold_one_and_short_lines(frame):
     rows = [(1, "abcdefghij\nabcdefghiX"), (2, "abcdefgh\nabcdefghijk"), (3, "abcXefghij\nzz"), (4, "zy\nzz")]
     check(L.line_dedup(frame(rows), threshold=1, least=5).collect(), plain(rows, 1, 5))

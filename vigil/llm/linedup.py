@@ -13,7 +13,7 @@ length in reach and every segment, only those substrings that can hold it with
 the edits split left and right. Hashes of all substrings come from prefix sums
 over a whole batch of texts. Pairs that meet are filtered in the join by a
 parity signature of character pairs, which each edit can change in at most
-four bits; what is left is checked on the full lines by a banded bit-parallel
+four bits (a key of very many lines is split by parts of it); what is left is checked on the full lines by a banded bit-parallel
 edit distance.
 
 Exact repeats are collapsed first (per text, per task, then by key), so a line
@@ -38,8 +38,10 @@ from vigil.llm.common import SALTS, kept, prepare, release, schema_of, slices, w
 
 THRESHOLD = 2
 LEAST = 32
-#: Different lines under one segment key from which the key is split.
-HOT_KEY = 1000
+#: Rows under one segment key from which the key is split.
+HOT_KEY = 20_000
+#: Pairs that a task forms at once.
+PAIR_ROWS = 1_000_000
 BATCH_CHARS = 400_000
 #: Distinct lines that a task remembers so as not to send their keys again.
 REMEMBERED = 500_000
@@ -202,8 +204,11 @@ def _occurrences(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("_did", "_th", F.col(text).cast("string")).mapInArrow(run, "did long, th long, pos int, h1 long, h2 long")
 
 
-def _keyed(rows: DataFrame, text: str, threshold: int, least: int, keys_of) -> DataFrame:
-    """(key, h1, par) of the lines that are long enough, by ``segment_keys`` or ``probe_keys``."""
+KEYS = "key long, probe boolean, h1 long, par long"
+
+
+def _keyed(rows: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
+    """The segments and the probes of the lines that are long enough."""
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
@@ -225,43 +230,135 @@ def _keyed(rows: DataFrame, text: str, threshold: int, least: int, keys_of) -> D
                 length = np.array([len(x) for x in lines], np.int64)
                 start = np.cumsum(length) - length
                 points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-                row, key = keys_of(Substrings(points), start, length, threshold)
-                par = parity(points, start, length).view(np.int64)
+                hashes = Substrings(points)
+                row, key = segment_keys(hashes, start, length, threshold)
+                p_row, p_key = probe_keys(hashes, start, length, threshold)
+                rows_ = np.concatenate([row, p_row])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(np.array(ids, np.int64)[row]), pa.array(par[row])],
-                    names=["key", "h1", "par"])
-
-    made = rows.select(F.col(text).cast("string")).mapInArrow(run, "key long, h1 long, par long")
-    # Tasks send a line once each; here the tasks' copies become one.
-    return made.repartition("key").dropDuplicates(["key", "h1"])
+                    [pa.array(np.concatenate([key, p_key]).view(np.int64)), pa.array(np.arange(len(rows_)) >= len(row)),
+                     pa.array(np.array(ids, np.int64)[rows_]), pa.array(parity(points, start, length).view(np.int64)[rows_])],
+                    names=["key", "probe", "h1", "par"])
+
+    return rows.select(F.col(text).cast("string")).mapInArrow(run, KEYS)
+
+
+def _pairs(key, probe, h1, par, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different lines (a < b) of rows in order of key: a segment and a probe
+    under one key, with parities near enough."""
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(key))))
+    x, y = np.flatnonzero(~probe), np.flatnonzero(probe)
+    m = np.bincount(group[x], minlength=len(edge))  # segments of each key
+    first = np.cumsum(m) - m
+    n = m[group[y]]
+    out = []
+    # Probes in parts, so that the rows of a step stay few.
+    cuts = np.flatnonzero(np.diff(np.cumsum(n) // PAIR_ROWS, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(y)]):
+        k = n[a:b]
+        right = np.repeat(y[a:b], k)
+        left = x[np.repeat(first[group[y[a:b]]], k) + np.arange(len(right)) - np.repeat(np.cumsum(k) - k, k)]
+        ok = (h1[left] != h1[right]) & (np.bitwise_count((par[left] ^ par[right]).view(np.uint64)) <= 4 * threshold)
+        out.append(np.stack([h1[left[ok]], h1[right[ok]]]))
+    both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    both = np.unique(np.sort(both, axis=0), axis=1)
+    return both[0], both[1]
+
+
+MET = "a long, b long, key long, probe boolean, par long"
+
+
+def _met(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
+    """Pairs (a, b) that meet under a key; the rows of keys with more than
+    ``hot_key`` rows come out as they are (``a`` is h1, ``b`` null)."""
+    names = [c.split()[0] for c in MET.split(", ")]
+
+    def pairs(held):
+        cols = [np.concatenate(c) for c in zip(*held)]
+        a, b = _pairs(*cols, threshold)
+        if len(a):
+            none = len(a)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(none, pa.int64()), pa.nulls(none, pa.bool_()),
+                                              pa.nulls(none, pa.int64())], names=names)
+
+    def raw(rows):
+        key, probe, h1, par = rows
+        yield pa.RecordBatch.from_arrays([pa.array(h1), pa.nulls(len(h1), pa.int64()), pa.array(key), pa.array(probe), pa.array(par)],
+                                         names=names)
 
-
-def _candidates(index: DataFrame, probe: DataFrame, threshold: int, hot_key: int) -> DataFrame:
+    def run(batches):
+        held, n, hot = [], 0, None  # rows of the key that may go on; the key that is passed on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            key = cols[0]
+            if hot is not None:
+                stop = int(np.searchsorted(key, hot, side="right"))
+                if stop:
+                    yield from raw([c[:stop] for c in cols])
+                if stop == len(key):
+                    continue
+                cols, hot = [c[stop:] for c in cols], None
+                key = cols[0]
+            last = int(np.searchsorted(key, key[-1]))
+            if held and held[0][0][0] != key[-1]:
+                same = int(np.searchsorted(key, held[0][0][0], side="right"))
+                yield from whole([*held, [c[:same] for c in cols]], n + same)
+                held, n = [], 0
+                cols = [c[same:] for c in cols]
+                last -= same
+            if not held and last:
+                yield from whole([[c[:last] for c in cols]], last)
+                cols = [c[last:] for c in cols]
+            held.append(cols)
+            n += len(cols[0])
+            if n > hot_key:
+                hot = int(held[0][0][0])
+                for rows in held:
+                    yield from raw(rows)
+                held, n = [], 0
+        if held:
+            yield from whole(held, n)
+
+    def whole(held, n):
+        """Complete keys: the large ones as they are, pairs of the others."""
+        cols = [np.concatenate(c) for c in zip(*held)]
+        key = cols[0]
+        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(edge, len(key)))
+        large = np.repeat(size > hot_key, size)
+        if large.any():
+            yield from raw([c[large] for c in cols])
+        if not large.all():
+            yield from pairs([[c[~large] for c in cols]])
+
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, MET)
+
+
+def _candidates(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
     """Distinct pairs (a, b) of h1, a < b, that meet under a key.
 
-    A key of more than ``hot_key`` different lines is not joined as a whole: its
-    rows enter once for each of 4 * threshold + 1 parts of the parity signature,
-    under the part's bits. Near lines differ in at most 4 * threshold bits, so
-    they agree in a part; others mostly do not, and Spark can split what is left."""
-    near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * threshold
-    hot = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_key).select("key")
+    Keys are matched as sorted streams. The rows of a key with more than
+    ``hot_key`` rows enter a join instead, once for each of 4 * threshold + 1
+    parts of the parity signature, under the part's bits: near lines differ in
+    at most 4 * threshold bits, so they agree in a part; others mostly do not,
+    and Spark can split what is left."""
+    met = written(_met(keys, threshold, hot_key), "line-pairs")
+    release(met.sparkSession)
     parts = 4 * threshold + 1
     bits = 64 // parts
+    near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * threshold
+    value = [F.struct(F.lit(k).alias("k"), F.call_function("shiftrightunsigned", F.col("par"), F.lit(k * bits))
+                      .bitwiseAND(F.lit((1 << bits) - 1)).alias("v")) for k in range(parts)]
 
-    def side(df, line, par):
-        return df.select("key", F.col("h1").alias(line), F.col("par").alias(par))
-
-    def split(df, par):
-        value = [F.struct(F.lit(k).alias("k"), F.call_function("shiftrightunsigned", F.col(par), F.lit(k * bits))
-                          .bitwiseAND(F.lit((1 << bits) - 1)).alias("v")) for k in range(parts)]
-        return df.select("*", F.explode(F.array(*value)).alias("part")).select("*", "part.k", "part.v").drop("part")
+    def split(probe, line, par):
+        rows = met.filter(F.col("key").isNotNull() & (F.col("probe") == probe)).select("key", "a", "par").distinct()
+        return rows.select("key", F.col("a").alias(line), F.col("par").alias(par), F.inline(F.array(*value)))
 
-    x, y = side(index, "x", "px"), side(probe, "y", "py")
-    cold = x.join(hot, "key", "left_anti").join(y.hint("merge"), "key")
-    hot_x, hot_y = (split(d.join(hot, "key", "left_semi"), par) for d, par in ((x, "px"), (y, "py")))
-    both = cold.select("x", "px", "y", "py").unionByName(hot_x.join(hot_y, ["key", "k", "v"]).select("x", "px", "y", "py"))
-    met = both.filter((F.col("x") != F.col("y")) & near)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    hot = (split(False, "x", "px").join(split(True, "y", "py").hint("merge"), ["key", "k", "v"])
+           .filter((F.col("x") != F.col("y")) & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    return met.filter("key is null").select("a", "b").unionByName(hot).distinct()
 
 
 def _text_of(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
@@ -327,8 +424,7 @@ def line_dedup(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
              .toDF("h1", "h2", "f", "many").select("h1", "h2", "f.*", "many"))
     first = written(first, "first-lines")
     exchanged = rows.select(*own, *([text] if text not in own else []), "_did", "_th")
-    index, probe = (_keyed(rows, text, threshold, least, f) for f in (segment_keys, probe_keys))
-    near = _near(first, _candidates(index, probe, threshold, hot_key), exchanged, text, threshold)
+    near = _near(first, _candidates(_keyed(rows, text, threshold, least), threshold, hot_key), exchanged, text, threshold)
 
     # Only lines that repeat or have an earlier near line can go; a hot one is dealt over the salts.
     marked = (first.join(near.withColumn("near", F.lit(True)).hint("merge"), ["h1", "h2"], "left")
