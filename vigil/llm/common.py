@@ -26,9 +26,12 @@ BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """What the Python side needs: the package on the executors, and batches
-    bounded by bytes as well as by rows (texts vary from empty to very long)."""
+    """What the operators need of a session: the package on the executors,
+    batches to Python bounded by bytes as well as by rows (texts vary from empty
+    to very long), and shuffle files that go when the job that made them ends
+    (the operators read tables of earlier steps, not their exchanges)."""
     ship_package(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == "67108864b":  # Spark's default
         spark.conf.set(key, f"{BATCH_BYTES}b")
@@ -47,14 +50,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Spark removes the shuffle files of finished jobs when the driver's
-    garbage collection finds their handles, by default every half hour. Called
-    between the large steps of an operator, whose earlier exchanges a written
-    table has replaced, this frees the executors' disks now."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def kept(df: DataFrame, keep: Iterable[str], made: Iterable[str]) -> list[str]:
     """The input columns to carry along. A column with the name of a column
     that the operator makes is left out (the operator's column wins)."""

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import SALTS, kept, prepare, release, schema_of, slices, written
+from vigil.llm.common import SALTS, kept, prepare, schema_of, slices, written
 
 THRESHOLD = 2
 LEAST = 32
@@ -345,7 +345,6 @@ def _candidates(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
     at most 4 * threshold bits, so they agree in a part; others mostly do not,
     and Spark can split what is left."""
     met = written(_met(keys, threshold, hot_key), "line-pairs")
-    release(met.sparkSession)
     parts = 4 * threshold + 1
     bits = 64 // parts
     near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * threshold
@@ -388,8 +387,7 @@ def _text_of(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
 
 def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: str, threshold: int) -> DataFrame:
     """(h1, h2) of the lines that have an earlier near line."""
-    candidates = written(candidates, "line-pairs")
-    release(candidates.sparkSession)
+    candidates = written(candidates, "candidates")
     asked = candidates.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = first.join(asked.hint("merge"), "h1", "left_semi").select("did", "th", "pos")
     texts = _text_of(places, exchanged, text).distinct()
