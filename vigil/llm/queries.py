@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm import bpe, chat, decontam, linedup, neardup, quality, secrets, substrings, toxicity, warc
 from vigil.llm.common import table
+from vigil.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_bpe(spark, sf_dir):
@@ -86,5 +87,3 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
 }
-
-ORACLE: dict[str, str] = {}
