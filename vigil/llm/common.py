@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,10 +74,6 @@ def slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield at, len(lengths)
 
 
-def persisted(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def words(text) -> F.col:
     """Array of the words of a text column (null text: no words)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAPS), "")
