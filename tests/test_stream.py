@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from vigil.operators.score import score
 from vigil.session import scratch_dir
+from vigil.settings import ScoreSettings
 from vigil.sources.tables import events_records, junk_records, junk_wire, typed
 from vigil.sources.topics import chunks, publish, read_landing_stream, wire_rows
 from vigil.streaming import scorer as SC
@@ -104,11 +105,12 @@ def test_replay_pauses_between_chunks(spark):
     landing, sink, ck = _dirs(spark, "landing", "sink", "ck")
     calls = []
     real, SC.time.sleep = time.sleep, lambda s: (calls.append(s), real(min(s, 0.1)))
+    pace = ScoreSettings(replay_batch_size=400, replay_batch_sleep_ms=1234)
     try:
-        SC.replay(wire_rows(events_records(spark, SF_SMALL)), landing, sink, ck, chunk_rows=400, pause_ms=1234)
+        done = SC.paced_replay(wire_rows(events_records(spark, SF_SMALL)), landing, sink, ck, pace, strict=True)
     finally:
         SC.time.sleep = real
-    assert calls.count(1.234) == 2
+    assert calls.count(1.234) == 2 and [p["numInputRows"] for p in done if p["numInputRows"]] == [400, 400, 200]
 
 
 def test_progress_outlives_the_history_of_the_query(spark):

@@ -339,6 +339,12 @@ def replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, chunk_rows
     return done
 
 
+def paced_replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, s: ScoreSettings = DEFAULT, **options) -> list[dict]:
+    """``replay`` at the pace of the settings: ``replay_batch_size`` records,
+    then a pause of ``replay_batch_sleep_ms``."""
+    return replay(wire, landing, sink, checkpoint, s.replay_batch_size, s, pause_ms=s.replay_batch_sleep_ms, **options)
+
+
 def write_progress(spark: SparkSession, progress: list[dict], path: str, interval_ms: int = DEFAULT.batch_interval_ms) -> None:
     """Appends the batches' figures (a row each) to a table."""
     rows = [(int(p["batchId"]), int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0)),
