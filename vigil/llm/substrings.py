@@ -123,8 +123,9 @@ def text_anchors(data: np.ndarray, length: int, spread: int):
 
 def _identified(docs: DataFrame, text: str) -> DataFrame:
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return (docs.select(F.col("doc_id").cast("long"), t.alias("text"))
-            .select("doc_id", "text", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did"),
+    doc_id = F.col("doc_id").cast("long")
+    return (docs.select(doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit((1 << 63) - 1)).alias("did"), t.alias("text"))
+            .select("no_id", "text", "did",
                     F.hash("text").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")))
 
 
@@ -188,8 +189,8 @@ def _contexts(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
         if out:
             yield made(out)
 
-    # doc_id goes in as well: the same columns as for the result, hence the same exchange.
-    return met.select("did", "t1", "text", "as", F.col("doc_id").alias("_1")).mapInArrow(run, CONTEXT)
+    # no_id goes in as well: the same columns as for the result, hence the same exchange.
+    return met.select("did", "t1", "text", "as", F.col("no_id").alias("_1")).mapInArrow(run, CONTEXT)
 
 
 def _runs(did, t1, first, row, k):
@@ -314,7 +315,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     asked = salted_join(found, twice.hint("merge"), "h", "inner").join(others.hint("merge"), ["did", "t1"], "left_anti")
     asked = written(asked.select("h", "did", "t1", "a", "many"), "asked")
 
-    texts = rows.select("doc_id", "text", "did", "t1")
+    texts = rows.select("no_id", "text", "did", "t1")
     runs = (_compare_small(_contexts(texts, asked.filter("not many"), length), length)
             .unionByName(_compare_large(_contexts(texts, asked.filter("many"), length), length))
             # A repeated text is covered as a whole.
@@ -343,5 +344,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return joined.select("doc_id", "text", "runs").mapInArrow(
+    return joined.select(F.when(~F.col("no_id"), F.col("did")).alias("doc_id"), "text", "runs").mapInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
