@@ -91,7 +91,7 @@ def q_batch_counts(spark, sf):
 
 
 #: Rows of a replayed chunk, and of a chunk where a query is about several.
-CHUNK_ROWS, SMALL_CHUNK = 50_000, 4000
+CHUNK_ROWS, SMALL_CHUNK = 100_000, 4000
 
 
 def _wire(spark, sf):

@@ -83,6 +83,9 @@ def chunks(wire: DataFrame, chunk_rows: int, order: str = "seq"):
     bound per part comes to the driver."""
     from vigil.session import scratch_dir
     spark = wire.sparkSession
+    if wire.count() <= chunk_rows:
+        yield wire
+        return
     staged = scratch_dir(spark, "staged")
     publish(wire, staged, order)
     wire = spark.read.schema(wire.schema).parquet(staged)
