@@ -63,6 +63,18 @@ def test_parts_of_a_long_text(monkeypatch):
     assert np.array_equal(windows, np.arange(len(data) - 199))
 
 
+def test_texts_of_one_id_with_the_same_short_hash(frame):
+    def made(n):
+        return "".join(hashlib.sha256(f"{k}-{n}".encode()).hexdigest() for k in range(5))
+
+    pair = [made(62569), made(99135)]  # Spark's 32-bit hashes of the two are equal
+    assert frame([(None, t) for t in pair]).selectExpr("hash(text) AS h").distinct().count() == 1
+    rows = [(None, pair[0]), (None, pair[1]), (1, "x" + pair[0][:250])]  # a repeated string
+    assert got(frame(rows)) == plain(rows, 200)
+    rows = [(None, pair[0]), (None, pair[1]), (None, pair[0])]  # a repeated text
+    assert got(frame(rows)) == plain(rows, 200)
+
+
 def test_empty_table(frame):
     assert got(frame([])) == []
 
