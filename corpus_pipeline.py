@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import bpe, decontam, linedup, neardup, quality
-from vigil.llm.common import table, written
+from vigil.llm.common import prepare, salted_join, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +33,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.8)
-    the document with the smallest doc_id stays."""
-    gone = neardup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    the row with the smallest doc_id stays (null comes last). Rows are told apart
+    by a number of their own, so a null or repeated doc_id is a row like others."""
+    prepare(spark)
+    # Numbers are fixed by the table; the order of rows that share a doc_id by their contents.
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    found = neardup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*docs.columns).alias("tie"), "_row")
+    placed = written(rows.select("_row", order.alias("place"))
+                     .join(found.select(F.col("doc_id").alias("_row"), "component_id").hint("merge"), "_row"), "near-places")
+    first = (placed.groupBy("component_id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").select("component_id", F.col("first._row").alias("first")))
+    gone = salted_join(placed.select("_row", "component_id"), first, "component_id", "inner").filter("_row <> first").select("_row")
+    return rows.join(gone.hint("merge"), "_row", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

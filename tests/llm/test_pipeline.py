@@ -60,6 +60,19 @@ def test_near_stage(stages):
     assert texts(after) == {i: t for i, t in texts(before).items() if comps[i] == i}
 
 
+def test_near_stage_with_null_and_repeated_ids(spark, frame):
+    text = {c: " ".join(f"{c}{k}" for k in range(60)) for c in "abcde"}
+    rows = [(None, text["a"]), (None, text["a"]), (None, text["a"] + " end"),  # a group of null ids
+            (None, text["b"]), (7, text["b"]),  # the id that is not null stays
+            (3, text["c"]), (3, text["c"] + " end"), (3, text["c"]), (3, text["d"]),  # one id: a group and another text
+            (9, text["e"]), (8, text["e"] + " end"), (None, None), (None, "")]
+    got = corpus_pipeline.near_dedup(spark, frame(rows), "").collect()
+    assert len([r for r in got if (r.text or "").startswith("a0 ")]) == 1
+    assert len([r for r in got if (r.text or "").startswith("c0 ")]) == 1
+    rest = sorted((r.doc_id or -1, r.text or "") for r in got if (r.text or "")[:2] not in ("a0", "c0"))
+    assert rest == sorted([(7, text["b"]), (3, text["d"]), (8, text["e"] + " end"), (-1, ""), (-1, "")])
+
+
 def test_decontamination_stage(stages):
     sf, out = stages
     before, after = out[3:5]
