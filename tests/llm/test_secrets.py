@@ -56,6 +56,26 @@ def test_random_strings_and_what_is_left_out(frame, ranks):
     assert [plain_text[k] for k in range(len(plain_text)) if got[100 + k].n_random] == []
 
 
+def test_words_next_to_a_random_string(ranks):
+    merger = X._cached(X.read_ranks(ranks), X.Merger)
+    rng = random.Random(8)
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hidden = 0
+    for _ in range(50):
+        key = "".join(rng.choice(mixed) for _ in range(24))
+        for s in (f"/services/team/webhooks/{key}", f"production_database_credential={key}", f"some-article-about-nothing-{key}"):
+            spans = X.scan_texts([s], merger)[0]
+            hidden += not any(kind == 3 and a <= s.index(key) and b == len(s) for a, kind, b in spans)
+    assert hidden <= 3  # a random string can compress like words
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(50)]
+        found = sum(any(k == 3 for _, k, _ in X.scan_texts([key], merger)[0]) for key in keys)
+        assert found >= 45, (letters, found)
+    words = ["/services/team/webhooks/internationalisation", "a/b/c/d/e/f/g/h/i/j/k/l/m/n/o/p", "the-quick-brown-fox-jumps-over-the-lazy-dog",
+             "INTERNATIONALISATION_OF_UNDERSTANDING"]
+    assert [w for w in words if any(k == 3 for _, k, _ in X.scan_texts([w], merger)[0])] == []
+
+
 def test_empty_table(frame, ranks):
     assert X.scan(frame([]), ranks).collect() == []
 

@@ -4,9 +4,12 @@ Three kinds of spans come from fixed patterns (assignments, access keys, long
 hex). The fourth, ``random``, is a run of token characters that a byte-pair
 vocabulary compresses badly: its characters per token fall below a ratio that
 words of natural language do not reach. Known digests and identifiers (pure
-digits, UUIDs, single-case words and words joined by ``_ - /``) are left out
-first; the base spans stay as they are. Runs are found on arrays of code
-points, one batch of texts at a time; no shuffle.
+digits, UUIDs, single-case words and words joined by ``_ - / = +``) are left out
+first; the base spans stay as they are. In a run that is not random as a whole,
+the pieces between separators that are not words are judged together with their
+neighbours of that kind, so words next to a secret do not hide it; single-case
+pieces count as words only if they compress like words. Runs are found on arrays
+of code points, one batch of texts at a time; no shuffle.
 
 Spans are ``kind:start:end`` in code points, end exclusive, ordered by start,
 then by kind. Defined cases: null text is empty and has no spans; whole texts
@@ -41,6 +44,10 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 IDENTIFIER = re.compile(
     r"[0-9]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+|)(?:[-_/=+](?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+|))*")
+UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+#: Shorter pieces do not tell words from random strings.
+LEAST_WORD = 4
 
 _BITS = np.zeros(128, np.uint8)
 _BITS[[ord(c) for c in "0123456789abcdef"]] |= 1
@@ -57,6 +64,48 @@ def _runs(member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return a[long], b[long]
 
 
+def _digest(s: str) -> bool:
+    return len(s) in DIGEST_LENGTHS and DIGEST.fullmatch(s) is not None
+
+
+def _sizes(strings: list[str], merger: Merger) -> list[int]:
+    """Tokens of each string."""
+    return [len(ids) // 4 for ids, _, _ in encode_texts(strings, merger)] if strings else []
+
+
+def _within(runs: list[tuple[int, int, str]], merger: Merger, ratio: float, least: int) -> list[tuple[int, int]]:
+    """The random parts of runs that are not random as a whole: neighbouring
+    pieces that are not words, and single-case pieces that compress like none."""
+    pieces = [(k, m.start(), m.end(), m[0]) for k, (_, _, s) in enumerate(runs) for m in PIECE.finditer(s)]
+    parts: list[tuple[int, list]] = []  # (run, its neighbouring pieces that are not words)
+    last = None
+    for piece, n in zip(pieces, _sizes([p[3] for p in pieces], merger)):
+        s = piece[3]
+        if _digest(s) or len(s) >= LEAST_WORD and (s.isdigit() or len(s) >= ratio * n):
+            last = None
+        elif last == piece[0]:
+            parts[-1][1].append(piece)
+        else:
+            last = piece[0]
+            parts.append((last, [piece]))
+    judged, letters = [], []
+    for k, own in parts:
+        a, b = own[0][1], own[-1][2]
+        s = runs[k][2][a:b]
+        if b - a < least or UUID.fullmatch(s):
+            continue
+        if IDENTIFIER.fullmatch(s):  # words by their form: judged by the letters, in lower case
+            words = [p[3].lower() for p in own if len(p[3]) >= LEAST_WORD and not p[3].isdigit()]
+            if sum(map(len, words)) >= least:
+                letters.append((k, a, b, words))
+        else:
+            judged.append((k, a, b, [s]))
+    judged += letters
+    sizes = iter(_sizes([s for j in judged for s in j[3]], merger))
+    return [(runs[k][0] + a, runs[k][0] + b) for k, a, b, strings in judged
+            if sum(map(len, strings)) < ratio * sum([next(sizes) for _ in strings])]
+
+
 def scan_texts(texts: list[str], merger: Merger, ratio: float = LOW_RATIO,
                least: int = LEAST_RANDOM) -> list[list[tuple[int, int, int]]]:
     """(start, kind, end) of the spans of each text, sorted."""
@@ -74,11 +123,13 @@ def scan_texts(texts: list[str], merger: Merger, ratio: float = LOW_RATIO,
     add(2, *_runs((bits & 1) > 0, LEAST_HEX))
     a, b = _runs((bits & 2) > 0, least)
     runs = [(x, y, joined[x:y]) for x, y in zip(a.tolist(), b.tolist())]
-    runs = [r for r in runs if not (len(r[2]) in DIGEST_LENGTHS and DIGEST.fullmatch(r[2])
-                                    or IDENTIFIER.fullmatch(r[2]))]
+    runs = [r for r in runs if not (_digest(r[2]) or UUID.fullmatch(r[2]))]
     if runs:
-        sizes = [len(ids) // 4 for ids, _, _ in encode_texts([r[2] for r in runs], merger)]
-        low = np.array([(x, y) for (x, y, s), n in zip(runs, sizes) if len(s) < ratio * n], np.int64).reshape(-1, 2)
+        whole = [r for r in runs if not IDENTIFIER.fullmatch(r[2])]
+        low = [(x, y) for (x, y, s), n in zip(whole, _sizes([r[2] for r in whole], merger)) if len(s) < ratio * n]
+        taken = {x for x, _ in low}
+        low += _within([r for r in runs if r[0] not in taken], merger, ratio, least)
+        low = np.array(low, np.int64).reshape(-1, 2)
         add(3, low[:, 0], low[:, 1])
     if "AKIA" in joined:
         hits = [m.span() for m in ACCESS.finditer(joined) if m.end() - m.start() >= LEAST_ACCESS]
