@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, decontam, linedup, neardup, quality, secrets, substrings, toxicity, warc
+from vigil.llm import bpe, brown, chat, decontam, linedup, neardup, quality, secrets, substrings, toxicity, warc
 from vigil.llm.common import table
 from vigil.llm.oracle import ORACLE  # noqa: F401
 
@@ -75,6 +75,10 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.windows(turns.unionByName(own), ranks)).drop("n_windows")
 
 
+def op12_brown(spark, sf_dir):
+    return brown.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_lines": op2_lines,
@@ -86,4 +90,5 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
+    "op12_brown": op12_brown,
 }
