@@ -47,19 +47,19 @@ def part_count(docs: DataFrame, text: str) -> int:
     return max(LEAST_PARTS, -(-total // PART_BYTES))
 
 
-def split_words(texts: list[bytes], lower: bool) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts as one binary array, and how many each text has."""
+def split_words(texts: list[bytes], lower: bool, gaps: np.ndarray = _GAP) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as one binary array, and how many each text has.
+    ``gaps`` says of each byte whether it parts words (a line feed must)."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     if lower:
         data = _LOWER[data]
-    gap = _GAP[data]
+    gap = gaps[data]
     word = ~gap
     first = word.copy()
     first[1:] &= gap[:-1]
     starts = np.flatnonzero(first)
-    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    ends = np.cumsum(size)
-    counts = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    counts = np.diff(np.append(0, np.searchsorted(starts, ends)))
     kept = np.cumsum(word, dtype=np.int64)
     offsets = np.append(kept[starts] - 1, kept[-1] if len(kept) else 0)
     words = pa.Array.from_buffers(pa.large_binary(), len(starts),

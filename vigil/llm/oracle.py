@@ -65,4 +65,55 @@ SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
   CASE WHEN m <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN m <> p.page_id THEN m END AS refers_to
 FROM p LEFT JOIN big ON p.d = big.d"""
 
-ORACLE = {"op5_suffixes": REPEATS, "op6_decontam": LEAKS, "op7_neardup": NEAR, "op8_warc": ARCHIVES}
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Product codebooks, round after round."""
+    far = "list_sum(list_transform(list_zip(p, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT rid, j, p, min({{'d': {far}, 'e': e}}) AS m FROM parts JOIN b{k} USING (j) GROUP BY rid, j, p)")
+        if k < rounds:
+            steps.append(
+                f"s{k} AS (SELECT j, e, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (SELECT j, e, i, CAST(sum(x) AS BIGINT) AS t, "
+                f"CAST(count(*) AS BIGINT) AS n FROM (SELECT j, m.e AS e, unnest(p) AS x, unnest(range(len(p))) AS i FROM a{k}) GROUP BY ALL) GROUP BY ALL)")
+            steps.append(f"b{k + 1} AS MATERIALIZED (SELECT j, e, coalesce(s{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN s{k} USING (j, e))")
+    joined = ",\n".join(steps)
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+r AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS rid, len(v) // {parts} AS w FROM kept),
+parts AS MATERIALIZED (SELECT rid, j, v[j * w + 1:j * w + w] AS p FROM (SELECT *, unnest(range({parts})) AS j FROM r)),
+b0 AS (SELECT j, rid AS e, p AS c FROM parts WHERE rid < {entries}),
+{joined},
+own AS (SELECT rid, string_agg(printf('%02x', m.e), '' ORDER BY j) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid),
+books AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j, e, i)) AS sha FROM (
+  SELECT j, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+FROM r JOIN own USING (rid) CROSS JOIN books"""
+
+
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS MATERIALIZED (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(x.n, 0) AS n FROM g JOIN kept k USING (lang)
+      LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS MATERIALIZED (SELECT c.lang, c.source, c.term, c.n,
+        CAST(1 + (1000000000 * CAST(c.n + 5 AS HUGEINT)) // CAST(s.total + 5 * v.v AS HUGEINT) AS BIGINT) AS p,
+        CAST(1 + (1000000000 * CAST(c.lang_n + 5 AS HUGEINT)) // CAST(v.total + 5 * v.v AS HUGEINT) AS BIGINT) AS q
+      FROM c JOIN s USING (lang, source) JOIN v ON v.lang = c.lang),
+far AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+term AS (SELECT lang, source, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM pair
+UNION ALL SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM term)
+WHERE rank <= 50"""
+
+ORACLE = {"op5_suffixes": REPEATS, "op6_decontam": LEAKS, "op7_neardup": NEAR, "op8_warc": ARCHIVES, "op11_codes": _codes(),
+          "op13_divergence": DIVERGENCE}

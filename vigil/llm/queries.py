@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, brown, chat, decontam, linedup, neardup, quality, secrets, substrings, toxicity, warc
+from vigil.llm import bpe, brown, chat, decontam, divergence, linedup, neardup, quality, secrets, substrings, toxicity, trie, warc
 from vigil.llm.common import table
 from vigil.llm.oracle import ORACLE  # noqa: F401
 
@@ -75,10 +75,18 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.windows(turns.unionByName(own), ranks)).drop("n_windows")
 
 
+def op11_codes(spark, sf_dir):
+    return trie.digest(trie.compress(table(spark, sf_dir, "embeddings")))
+
+
 def op12_brown(spark, sf_dir):
     return brown.score(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_lines": op2_lines,
@@ -90,5 +98,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
+    "op11_codes": op11_codes,
     "op12_brown": op12_brown,
+    "op13_divergence": op13_divergence,
 }
