@@ -258,7 +258,7 @@ def audit(docs: DataFrame, text: str = "text", least: int = LEAST, ranks: int =
     tiled = (rows.select(*blank.columns).unionAll(blank).join(in_block, ["lang", "block"], "left")
              .select("lang", "block", "source", "term", "p", "tile", "n_terms", F.inline(pairs)))
     sums = (tiled.groupBy("lang", "block", "left", "right").applyInArrow(_distances, "lang string, a string, b string, value long")
-            .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
+            .groupBy("lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("value").alias("value")))
     both = sums.select("lang", F.inline(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item"), "value"),
                                                 F.struct(F.col("b").alias("source"), F.col("a").alias("item"), "value"))))
     distances = both.withColumn("rank", place)
