@@ -6,7 +6,9 @@ into blocks of a bounded number of bytes, each word of a block is coded once,
 and only the distinct words of a block travel: grouped by *part* (a hash of the
 word), one packed row for each block and part. Everything that is known of a
 word meets in its part; what the part answers goes back to the block as one
-packed row again and is put in place of the codes.
+packed row again and is put in place of the codes. Packed arrays are compressed
+byte plane by byte plane, and a block numbers its words by frequency, so that
+most planes are nearly empty.
 
 Blocks and parts grow in number with the input and stay alike in size, so no
 group is larger because a word, a source or a document is frequent: a word is
@@ -41,6 +43,20 @@ OWN_ROW = 100
 MESSAGE = "block long, part int, tag int, payload binary"
 
 
+def squeeze(a: np.ndarray) -> bytes:
+    """An array of numbers as compressed bytes (its type and length come first)."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+    return a.dtype.char.encode() + len(a).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if len(a) else b"")
+
+
+def expand(b: bytes) -> np.ndarray:
+    kind, n = np.dtype(b[:1].decode()), int.from_bytes(b[1:9], "little")
+    if not n:
+        return np.zeros(0, kind)
+    planes = pa.decompress(b[9:], decompressed_size=n * kind.itemsize, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, n).T).view(kind).reshape(-1)
+
+
 def part_count(docs: DataFrame, text: str) -> int:
     """Parts for these texts, from their bytes (counted once)."""
     total = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
@@ -82,63 +98,71 @@ def hashes(words: pa.Array) -> np.ndarray:
 
 
 def coded(words: pa.Array, parts: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(distinct words ordered by part, where each part starts, the code of every word)."""
+    """(distinct words by falling frequency, the part of each, the code of every word)."""
     both = words.dictionary_encode()
-    distinct = both.dictionary
-    part = (hashes(distinct) % np.uint64(parts)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
+    codes = both.indices.to_numpy()
+    order = np.argsort(-np.bincount(codes, minlength=len(both.dictionary)), kind="stable")
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
-    return distinct.take(pa.array(order)), np.searchsorted(part[order], np.arange(parts + 1)), place[both.indices.to_numpy()]
+    distinct = both.dictionary.take(pa.array(order))
+    return distinct, part_of(distinct, parts), place[codes]
+
+
+def part_of(words: pa.Array, parts: int) -> np.ndarray:
+    return (hashes(words) % np.uint64(parts)).astype(np.int32)
 
 
 def packed(words: pa.Array) -> tuple[bytes, bytes]:
-    """(bytes of the words, their ends as int32) of a slice of a large binary array."""
+    """(the bytes of the words, their sizes) of a slice of a large binary array."""
+    if not len(words):
+        return squeeze(np.zeros(0, np.uint8)), squeeze(np.zeros(0, np.int32))
     offsets = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)
-    data = memoryview(words.buffers()[2])[offsets[0]:offsets[-1]] if len(words) else b""
-    return bytes(data), (offsets[1:] - offsets[0]).astype(np.int32).tobytes()
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    return squeeze(data), squeeze(np.diff(offsets).astype(np.int32))
 
 
-def unpacked(data: bytes, ends: bytes) -> pa.Array:
-    ends = np.frombuffer(ends, np.int32)
-    offsets = np.concatenate([[0], ends]).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+def unpacked(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def cut(docs: DataFrame, text: str, meta: list[str], parts: int, lower: bool = False, flag: str | None = None,
         block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The blocks of ``docs`` as a table in the shared folder. Rows with a null
-    ``part`` are the blocks: ``codes`` (int32 of every word), ``lens`` (int32,
-    words of each text) and the ``meta`` columns as arrays. The others are their
-    dictionaries: ``words`` and ``ends`` of one part, and ``counts`` (int64), how
-    often each word occurs in the texts whose boolean column ``flag`` holds (in
-    all without a flag). A null text has no words; ``meta`` and ``flag`` must not
-    be named like a column made here."""
+    ``part`` are the blocks: ``codes`` (of every word), ``parts`` (of every code),
+    ``lens`` (words of each text), all squeezed, and the ``meta`` columns as arrays.
+    The others are their dictionaries: ``words`` and ``sizes`` of one part, and
+    ``counts``, how often each word occurs in the texts whose boolean column
+    ``flag`` holds (in all without a flag). A null text has no words; ``meta`` and
+    ``flag`` must not be named like a column made here."""
     prepare(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("_text"), *meta)
     arrays = ", ".join(f"`{c}` array<{rows.schema[c].dataType.simpleString()}>" for c in meta)
-    schema = f"block long, part int, codes binary, lens binary, words binary, ends binary, counts binary, {arrays}"
-    names = ["block", "part", "codes", "lens", "words", "ends", "counts", *meta]
+    schema = f"block long, part int, codes binary, parts binary, lens binary, words binary, sizes binary, counts binary, {arrays}"
+    names = ["block", "part", "codes", "parts", "lens", "words", "sizes", "counts", *meta]
 
     def block_rows(block: int, texts: list[bytes], columns: list[pa.Array]):
         words, lens = split_words(texts, lower)
-        distinct, start, codes = coded(words, parts)
+        distinct, part, codes = coded(words, parts)
         seen = codes
         if flag is not None:
             seen = codes[np.repeat(columns[meta.index(flag)].to_numpy(zero_copy_only=False).astype(bool), lens)]
         counts = np.bincount(seen, minlength=len(distinct)).astype(np.int64)
         lists = [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), c) for c in columns]
+        own = [pa.array([squeeze(x)], pa.binary()) for x in (codes, part, lens.astype(np.int32))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()), pa.nulls(1, pa.int32()), pa.array([codes.tobytes()], pa.binary()),
-             pa.array([lens.astype(np.int32).tobytes()], pa.binary()), *[pa.nulls(1, pa.binary())] * 3, *lists], names=names)
-        used = np.flatnonzero(np.diff(start))
-        if len(used):
-            pieces = [packed(distinct.slice(start[p], start[p + 1] - start[p])) for p in used]
+            [pa.array([block], pa.int64()), pa.nulls(1, pa.int32()), *own, *[pa.nulls(1, pa.binary())] * 3, *lists], names=names)
+        order = np.argsort(part, kind="stable")
+        used, first = np.unique(part[order], return_index=True)
+        distinct, counts = distinct.take(pa.array(order)), counts[order]
+        ranges = list(zip(first.tolist(), [*first[1:].tolist(), len(order)]))
+        if ranges:
+            pieces = [packed(distinct.slice(low, high - low)) for low, high in ranges]
             n = len(used)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), pa.array(used, pa.int32()), *[pa.nulls(n, pa.binary())] * 2,
+                [pa.array([block] * n, pa.int64()), pa.array(used, pa.int32()), *[pa.nulls(n, pa.binary())] * 3,
                  pa.array([d for d, _ in pieces], pa.binary()), pa.array([e for _, e in pieces], pa.binary()),
-                 pa.array([counts[start[p]:start[p + 1]].tobytes() for p in used], pa.binary()),
+                 pa.array([squeeze(counts[low:high]) for low, high in ranges], pa.binary()),
                  *[pa.nulls(n, x.type) for x in lists]], names=names)
 
     def run(batches):
@@ -175,7 +199,7 @@ def cut(docs: DataFrame, text: str, meta: list[str], parts: int, lower: bool = F
 
 
 def dictionaries(table: DataFrame) -> DataFrame:
-    return table.filter("kind = 'words'").select("block", "part", "words", "ends", "counts")
+    return table.filter("kind = 'words'").select("block", "part", "words", "sizes", "counts")
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, Iterator[dict]]]:
@@ -200,28 +224,40 @@ def by_part(messages: DataFrame, fn: Callable[[int, Iterator[dict]], Iterator[pa
     return messages.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, schema)
 
 
+def message(block: int | None, part: int | None, tag: int, payload: np.ndarray) -> pa.RecordBatch:
+    """One row of ``MESSAGE``."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([tag], pa.int32()),
+         pa.array([squeeze(payload)], pa.binary())], names=["block", "part", "tag", "payload"])
+
+
 def by_block(table: DataFrame, meta: list[str], answers: DataFrame,
-             fn: Callable[[dict, dict[int, bytes], list[tuple[int, int]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``fn(block row, {tag: payload}, sizes)`` for each block: the messages that
-    the parts sent it (``MESSAGE``), those of a tag joined in the order of the
-    parts, which is the order of the block's codes. ``sizes`` has each part and
-    the bytes of its last message."""
-    own = table.filter("kind = 'block'").select("block", "codes", "lens", *meta)
-    empty = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("codes", "lens", *meta)]
+             fn: Callable[[dict, dict[int, np.ndarray], list[tuple[int, int]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``fn(block row, {tag: payload}, sizes)`` for each block. Payloads are the
+    messages that the parts sent it (``MESSAGE``), those of a tag joined in the
+    order of the parts; the row's ``codes`` are numbered in that order too.
+    ``sizes`` has each part and the length of its last message."""
+    own = table.filter("kind = 'block'").select("block", "codes", "parts", "lens", *meta)
+    empty = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("codes", "parts", "lens", *meta)]
     rows = (own.select("block", F.lit(None).cast("int").alias("part"), F.lit(OWN_ROW).alias("tag"),
-                       F.lit(None).cast("binary").alias("payload"), "codes", "lens", *meta)
+                       F.lit(None).cast("binary").alias("payload"), "codes", "parts", "lens", *meta)
             .unionAll(answers.select("block", "part", "tag", "payload", *empty)))
 
     def run(batches):
-        for _, group in runs(batches, "block"):
-            got: dict[int, list[bytes]] = {}
+        for block, group in runs(batches, "block"):
+            got: dict[int, list[np.ndarray]] = {}
             sizes: dict[int, int] = {}
             for row in group:
                 tag = row["tag"].as_py()
                 if tag == OWN_ROW:
-                    yield from fn(row, {k: b"".join(v) for k, v in got.items()}, list(sizes.items()))
+                    part = expand(row["parts"].as_py())
+                    place = np.empty(len(part), np.int32)
+                    place[np.argsort(part, kind="stable")] = np.arange(len(part), dtype=np.int32)
+                    made = {"block": block, "codes": place[expand(row["codes"].as_py())], "lens": expand(row["lens"].as_py()),
+                            **{c: row[c].values for c in meta}}
+                    yield from fn(made, {k: np.concatenate(v) for k, v in got.items()}, list(sizes.items()))
                 else:
-                    payload = row["payload"].as_py()
+                    payload = expand(row["payload"].as_py())
                     got.setdefault(tag, []).append(payload)
                     sizes[row["part"].as_py()] = len(payload)
 

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.blocks import MESSAGE, by_block, by_part, cut, dictionaries, part_count, unpacked
+from vigil.llm.blocks import MESSAGE, by_block, by_part, cut, dictionaries, expand, message, part_count, squeeze, unpacked
 from vigil.llm.common import written
 
 CLASSES = 64
@@ -52,6 +52,7 @@ HELD_MOD = 10
 # Tags of messages; labels come last and tell a block how many words of each part it has.
 COUNTS, IDS, LABELS = 0, 1, 2
 NONE = 255
+NO_LABELS = np.zeros(0, np.uint8)
 #: Counts whose gains are made at once, and counts whose gains are tabled.
 STEP, TABLED = 1 << 13, 32
 
@@ -112,12 +113,6 @@ class Gains:
         return new
 
 
-def _message(block, part, tag: int, payload: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([tag], pa.int32()), pa.array([payload], pa.binary())],
-        names=["block", "part", "tag", "payload"])
-
-
 def _vocabulary(top: int):
     """Per part: the count of each word, and a number for each word that
     training texts have; sums and the ``top`` most frequent words come along (null block)."""
@@ -125,8 +120,8 @@ def _vocabulary(top: int):
         blocks, words, counts = [], [], []
         for row in rows:
             blocks.append(row["block"].as_py())
-            words.append(unpacked(row["words"].as_py(), row["ends"].as_py()))
-            counts.append(np.frombuffer(row["counts"].as_py(), np.int64))
+            words.append(unpacked(expand(row["words"].as_py()), expand(row["sizes"].as_py())))
+            counts.append(expand(row["counts"].as_py()))
         size = [len(w) for w in words]
         both = pa.concat_arrays(words).dictionary_encode()
         code = both.indices.to_numpy()
@@ -139,12 +134,12 @@ def _vocabulary(top: int):
         at = np.cumsum([0, *size])
         for k, block in enumerate(blocks):
             own = code[at[k]:at[k + 1]]
-            yield _message(block, part, COUNTS, total[own].tobytes())
-            yield _message(block, part, IDS, ids[own].tobytes())
+            yield message(block, part, COUNTS, total[own])
+            yield message(block, part, IDS, ids[own])
         n = total[known]
         first = np.argsort(-n, kind="stable")[:top]
-        yield _message(None, part, COUNTS, np.array([len(n), n.sum(), (n == 1).sum(), (n == 2).sum()], np.int64).tobytes())
-        yield _message(None, part, IDS, np.stack([n[first], first]).astype(np.int64).tobytes())
+        yield message(None, part, COUNTS, np.array([len(n), n.sum(), (n == 1).sum(), (n == 2).sum()], np.int64))
+        yield message(None, part, IDS, np.concatenate([n[first], first]).astype(np.int64))
 
     return run
 
@@ -155,7 +150,7 @@ def _sums(messages: DataFrame, part_rows: str, width: int) -> np.ndarray:
         for batch in batches:
             total = np.zeros(width, np.int64)
             for x in batch.column(0):
-                total += np.frombuffer(x.as_py(), np.int64)
+                total += expand(x.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array(total)], names=["i", "n"])
 
     got = (messages.filter(part_rows).select("payload").mapInArrow(cells, "i int, n long")
@@ -170,7 +165,7 @@ def _top_words(vocabulary: DataFrame, top: int) -> dict[int, list[tuple[int, int
     def rows(batches):
         for batch in batches:
             for part, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n, first = np.frombuffer(payload, np.int64).reshape(2, -1)
+                n, first = expand(payload).reshape(2, -1)
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), pa.array(first), pa.array(n)],
                                                  names=["part", "id", "n"])
 
@@ -186,11 +181,11 @@ def _first_labels(vocabulary: DataFrame, tops: dict, classes: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for block, part, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                ids = np.frombuffer(payload, np.int32)
+                ids = expand(payload)
                 label = np.where(ids >= 0, classes - 1, NONE).astype(np.uint8)
                 for number, k in tops.get(part, ()):
                     label[ids == number] = k
-                yield _message(block, part, LABELS, label.tobytes())
+                yield message(block, part, LABELS, label)
 
     return (vocabulary.filter(f"block IS NOT NULL AND tag = {IDS}").select("block", "part", "payload").mapInArrow(run, MESSAGE))
 
@@ -198,9 +193,9 @@ def _first_labels(vocabulary: DataFrame, tops: dict, classes: int) -> DataFrame:
 def _training(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """The codes of the training texts one after another, and the places (in
     these codes with a boundary, -1, before each text and after the last) of the words."""
-    lens = np.frombuffer(row["lens"].as_py(), np.int32)
-    train = row["_train"].values.to_numpy(zero_copy_only=False).astype(bool)
-    codes = np.frombuffer(row["codes"].as_py(), np.int32)[np.repeat(train, lens)]
+    lens = row["lens"]
+    train = row["_train"].to_numpy(zero_copy_only=False).astype(bool)
+    codes = row["codes"][np.repeat(train, lens)]
     own = lens[train]
     at = np.arange(len(codes)) + np.repeat(np.arange(len(own)), own) + 1
     line = np.full(len(codes) + len(own) + 1, -1, np.int32)
@@ -218,9 +213,9 @@ def _successions(classes: int):
     def run(row, got, sizes):
         line, at = _training(row)
         if len(line) > 1:
-            c = _classes_of(line, np.frombuffer(got.get(LABELS, b""), np.uint8), classes).astype(np.int64)
+            c = _classes_of(line, got.get(LABELS, NO_LABELS), classes).astype(np.int64)
             n = np.bincount(c[:-1] * k + c[1:], minlength=k * k)
-            yield _message(row["block"].as_py(), None, LABELS, n.astype(np.int64).tobytes())
+            yield message(row["block"], None, LABELS, n.astype(np.int64))
 
     return run
 
@@ -232,7 +227,7 @@ def _contexts(classes: int, half: int):
 
     def run(row, got, sizes):
         line, at = _training(row)
-        label, ids = np.frombuffer(got.get(LABELS, b""), np.uint8), np.frombuffer(got.get(IDS, b""), np.int32)
+        label, ids = got.get(LABELS, NO_LABELS), got.get(IDS, np.zeros(0, np.int32))
         c = _classes_of(line, label, classes)
         code = line[at]
         moving = (ids >= 0) & ((ids + half) % 2 == 0)
@@ -245,12 +240,14 @@ def _contexts(classes: int, half: int):
         local = keys // (2 * k)
         ends = np.searchsorted(local, np.arange(len(ids) + 1))
         keys += (ids[local].astype(np.int64) - local) * (2 * k)
-        block, at = row["block"].as_py(), 0
+        block, at = row["block"], 0
         for part, size in sizes:
             low, high = ends[at], ends[at + size]
-            packed = (ids[at:at + size], label[at:at + size], keys[low:high], counts[low:high])
+            # Keys rise within a part only after sorting by number; steps between them are small.
+            own = np.argsort(keys[low:high])
+            packed = (ids[at:at + size], label[at:at + size], np.diff(keys[low:high][own], prepend=0), counts[low:high][own])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([part], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in packed]],
+                [pa.array([block], pa.int64()), pa.array([part], pa.int32()), *[pa.array([squeeze(x)], pa.binary()) for x in packed]],
                 names=["block", "part", "ids", "labels", "cells", "counts"])
             at += size
 
@@ -268,7 +265,7 @@ def _moved(n: np.ndarray, classes: int, half: int):
         asked, label = [], np.zeros(0, np.uint8)
         acc = np.zeros((0, 2 * k), np.int64)
         for row in rows:
-            ids, own = np.frombuffer(row["ids"].as_py(), np.int32), np.frombuffer(row["labels"].as_py(), np.uint8)
+            ids, own = expand(row["ids"].as_py()), expand(row["labels"].as_py())
             asked.append((row["block"].as_py(), ids))
             size = int(ids.max()) + 1
             if size > len(acc):
@@ -277,7 +274,7 @@ def _moved(n: np.ndarray, classes: int, half: int):
             known = ids >= 0
             label[ids[known]] = own[known]
             # A block names each word and class once, so no place repeats.
-            acc.reshape(-1)[np.frombuffer(row["cells"].as_py(), np.int64)] += np.frombuffer(row["counts"].as_py(), np.int32)
+            acc.reshape(-1)[np.cumsum(expand(row["cells"].as_py()))] += expand(row["counts"].as_py())
         label = label.astype(np.int64)
         move = np.flatnonzero((np.arange(len(label)) + half) % 2 == 0)
         if len(move):
@@ -285,8 +282,8 @@ def _moved(n: np.ndarray, classes: int, half: int):
             label[move] = gains.best(word, cell, acc[move][word, cell], label[move])
         final = np.append(label, NONE).astype(np.uint8)  # -1, an unknown word, is the last
         for block, ids in asked:
-            yield _message(block, part, LABELS, final[ids].tobytes())
-        yield _message(None, part, LABELS, np.bincount(label, minlength=classes)[:classes].astype(np.int64).tobytes())
+            yield message(block, part, LABELS, final[ids])
+        yield message(None, part, LABELS, np.bincount(label, minlength=classes)[:classes].astype(np.int64))
 
     return run
 
@@ -333,9 +330,8 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def _score(model: Model, ends: int):
     def run(row, got, sizes):
-        lens = np.frombuffer(row["lens"].as_py(), np.int32).astype(np.int64)
-        codes = np.frombuffer(row["codes"].as_py(), np.int32)
-        count, label = np.frombuffer(got.get(COUNTS, b""), np.int64), np.frombuffer(got.get(LABELS, b""), np.uint8)
+        lens, codes = row["lens"].astype(np.int64), row["codes"]
+        count, label = got.get(COUNTS, np.zeros(0, np.int64)), got.get(LABELS, NO_LABELS)
         line = np.full(len(codes) + len(lens) + 1, -1, np.int32)
         line[np.arange(len(codes)) + np.repeat(np.arange(len(lens)), lens) + 1] = codes
         base, own = model.scores(count, label.astype(np.int64), line, ends)
@@ -343,7 +339,7 @@ def _score(model: Model, ends: int):
         known = np.append(count > 0, ends > 0)[line[1:]]
         m = len(lens)
         yield pa.RecordBatch.from_arrays(
-            [row["doc_id"].values, pa.array(~row["_train"].values.to_numpy(zero_copy_only=False).astype(bool)),
+            [row["doc_id"], pa.array(~row["_train"].to_numpy(zero_copy_only=False).astype(bool)),
              pa.array(lens + 1), pa.array(np.add.reduceat(known.astype(np.int64), start)),
              pa.array(np.full(m, model.tokens, np.int64)), pa.array(np.add.reduceat(base, start)), pa.array(np.add.reduceat(own, start))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.blocks import MESSAGE, by_block, by_part, cut, dictionaries, hashes, packed, part_count, split_words, unpacked
+from vigil.llm.blocks import (MESSAGE, by_block, by_part, cut, dictionaries, expand, message, packed, part_count, part_of, split_words,
+                              squeeze, unpacked)
 from vigil.llm.common import written
 
 LEAST, PSEUDO, UNIT, RANKS = 30, 5, 1_000_000_000, 50
@@ -42,12 +43,6 @@ _NO_TERM[0x00:0x41] = _NO_TERM[0x5B:0x61] = _NO_TERM[0x7B:0x80] = True
 N_TERMS, SIZES, BYTES = 0, 1, 2
 
 
-def _message(block: int, part: int, tag: int, payload: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([tag], pa.int32()), pa.array([payload], pa.binary())],
-        names=["block", "part", "tag", "payload"])
-
-
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], ..., start[0] + size[0] - 1, start[1], ..."""
     total = np.cumsum(size)
@@ -59,39 +54,37 @@ def _tokenized(part, rows):
     blocks, chunks = [], []
     for row in rows:
         blocks.append(row["block"].as_py())
-        chunks.append(unpacked(row["words"].as_py(), row["ends"].as_py()))
+        chunks.append(unpacked(expand(row["words"].as_py()), expand(row["sizes"].as_py())))
     both = pa.concat_arrays(chunks).dictionary_encode()
     terms, n = split_words(both.dictionary.to_pylist(), True, _NO_TERM)
     start, code, at = np.cumsum(n) - n, both.indices.to_numpy(), 0
     for block, own in zip(blocks, map(len, chunks)):
         mine = code[at:at + own]
         at += own
-        data, ends = packed(terms.take(pa.array(_ranges(start[mine], n[mine]))))
-        yield _message(block, part, N_TERMS, n[mine].astype(np.int32).tobytes())
-        yield _message(block, part, SIZES, np.diff(np.append(0, np.frombuffer(ends, np.int32))).astype(np.int32).tobytes())
-        yield _message(block, part, BYTES, data)
+        data, sizes = packed(terms.take(pa.array(_ranges(start[mine], n[mine]))))
+        yield message(block, part, N_TERMS, n[mine].astype(np.int32))
+        yield message(block, part, SIZES, expand(sizes))
+        yield message(block, part, BYTES, expand(data))
 
 
-COUNTED = ("block long, part int, words binary, ends binary, term binary, grp binary, occ binary, docs binary, "
+COUNTED = ("block long, part int, words binary, sizes binary, term binary, grp binary, occ binary, docs binary, "
            "langs array<string>, sources array<string>")
 
 
 def _counted(parts: int):
     """A block's documents and occurrences by term and (lang, source), for the terms' parts."""
     def run(row, got, sizes):
-        n = np.frombuffer(got.get(N_TERMS, b""), np.int32).astype(np.int64)
-        lens = np.frombuffer(row["lens"].as_py(), np.int32)
-        code = np.frombuffer(row["codes"].as_py(), np.int32)
-        terms = unpacked(got.get(BYTES, b""), np.cumsum(np.frombuffer(got.get(SIZES, b""), np.int32)).astype(np.int32).tobytes())
-        if not len(terms):
+        if not len(got.get(SIZES, ())):
             return
+        n, lens, code = got[N_TERMS].astype(np.int64), row["lens"], row["codes"]
+        terms = unpacked(got[BYTES], got[SIZES])
         both = terms.dictionary_encode()
         local, names = both.indices.to_numpy().astype(np.int64), both.dictionary
         # Every occurrence of a term with its document: chunks are replaced by their terms.
         doc = np.repeat(np.repeat(np.arange(len(lens)), lens), n[code])
         term = local[_ranges((np.cumsum(n) - n)[code], n[code])]
         group_of: dict[tuple, int] = {}
-        langs, sources = row["_lang"].as_py(), row["_source"].as_py()
+        langs, sources = row["_lang"].to_pylist(), row["_source"].to_pylist()
         group = np.array([group_of.setdefault(g, len(group_of)) for g in zip(langs, sources)], np.int64)
         # Distinct (term, document), then (term, group).
         d = len(lens)
@@ -104,7 +97,7 @@ def _counted(parts: int):
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         total, docs, key = np.add.reduceat(occ, start), np.diff(np.append(start, len(key))), key[start]
         # By part: the terms in its order, entries follow their terms.
-        part = (hashes(names) % np.uint64(parts)).astype(np.int32)
+        part = part_of(names, parts)
         by_part_order = np.argsort(part, kind="stable")
         place = np.empty(len(part), np.int64)
         place[by_part_order] = np.arange(len(part))
@@ -117,14 +110,15 @@ def _counted(parts: int):
             low, high = np.searchsorted(part, [p, p + 1])
             own = slice(*np.searchsorted(at, [low, high]))
             used, mine = np.unique(grp[own], return_inverse=True)
-            data, ends = packed(names.slice(low, high - low))
+            data, word_sizes = packed(names.slice(low, high - low))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"].as_py()], pa.int64()), pa.array([p], pa.int32()), pa.array([data], pa.binary()),
-                 pa.array([ends], pa.binary()),
-                 *[pa.array([np.asarray(x, np.int32).tobytes()], pa.binary()) for x in (at[own] - low, mine, total[own], docs[own])],
+                [pa.array([row["block"]], pa.int64()), pa.array([p], pa.int32()), pa.array([data], pa.binary()),
+                 pa.array([word_sizes], pa.binary()),
+                 *[pa.array([squeeze(np.asarray(x, np.int32))], pa.binary())
+                   for x in (np.diff(at[own], prepend=low), mine, total[own], docs[own])],
                  pa.array([[every[g][0] for g in used]], pa.list_(pa.string())),
                  pa.array([[every[g][1] for g in used]], pa.list_(pa.string()))],
-                names=["block", "part", "words", "ends", "term", "grp", "occ", "docs", "langs", "sources"])
+                names=["block", "part", "words", "sizes", "term", "grp", "occ", "docs", "langs", "sources"])
 
     return run
 
@@ -135,13 +129,13 @@ def _kept(least: int):
         groups: dict[tuple, int] = {}
         at = 0
         for row in rows:
-            w = unpacked(row["words"].as_py(), row["ends"].as_py())
+            w = unpacked(expand(row["words"].as_py()), expand(row["sizes"].as_py()))
             own = np.array([groups.setdefault(g, len(groups)) for g in zip(row["langs"].as_py(), row["sources"].as_py())], np.int64)
             words.append(w)
-            term.append(np.frombuffer(row["term"].as_py(), np.int32).astype(np.int64) + at)
-            grp.append(own[np.frombuffer(row["grp"].as_py(), np.int32)])
-            occ.append(np.frombuffer(row["occ"].as_py(), np.int32))
-            docs.append(np.frombuffer(row["docs"].as_py(), np.int32))
+            term.append(np.cumsum(expand(row["term"].as_py()), dtype=np.int64) + at)
+            grp.append(own[expand(row["grp"].as_py())])
+            occ.append(expand(row["occ"].as_py()))
+            docs.append(expand(row["docs"].as_py()))
             at += len(w)
         both = pa.concat_arrays(words).dictionary_encode()
         term, grp = both.indices.to_numpy()[np.concatenate(term)].astype(np.int64), np.concatenate(grp)
