@@ -76,8 +76,8 @@ def split_words(texts: list[bytes], lower: bool, gaps: np.ndarray = _GAP) -> tup
     starts = np.flatnonzero(first)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     counts = np.diff(np.append(0, np.searchsorted(starts, ends)))
-    kept = np.cumsum(word, dtype=np.int64)
-    offsets = np.append(kept[starts] - 1, kept[-1] if len(kept) else 0)
+    kept = np.cumsum(word, dtype=np.int32 if len(word) < 1 << 31 else np.int64)
+    offsets = np.append(kept[starts] - 1, kept[-1:])
     words = pa.Array.from_buffers(pa.large_binary(), len(starts),
                                   [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[word]))])
     return words, counts

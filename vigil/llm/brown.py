@@ -263,23 +263,24 @@ def _moved(n: np.ndarray, classes: int, half: int):
     def run(part, rows):
         gains = Gains(n)
         asked, label = [], np.zeros(0, np.uint8)
-        acc = np.zeros((0, 2 * k), np.int64)
+        acc = np.zeros((0, 2 * k), np.int64)  # a line for each word that may move
         for row in rows:
             ids, own = expand(row["ids"].as_py()), expand(row["labels"].as_py())
             asked.append((row["block"].as_py(), ids))
             size = int(ids.max()) + 1
-            if size > len(acc):
-                acc = np.concatenate([acc, np.zeros((size - len(acc), 2 * k), np.int64)])
+            if size > len(label):
                 label = np.concatenate([label, np.full(size - len(label), NONE, np.uint8)])
+                acc.resize(((size - half + 1) // 2, 2 * k), refcheck=False)
             known = ids >= 0
             label[ids[known]] = own[known]
             # A block names each word and class once, so no place repeats.
-            acc.reshape(-1)[np.cumsum(expand(row["cells"].as_py()))] += expand(row["counts"].as_py())
+            cells = np.cumsum(expand(row["cells"].as_py()))
+            number, cell = np.divmod(cells, 2 * k)
+            acc[number // 2, cell] += expand(row["counts"].as_py())
         label = label.astype(np.int64)
-        move = np.flatnonzero((np.arange(len(label)) + half) % 2 == 0)
-        if len(move):
-            word, cell = np.nonzero(acc[move])
-            label[move] = gains.best(word, cell, acc[move][word, cell], label[move])
+        if len(acc):
+            word, cell = np.nonzero(acc)
+            label[half::2] = gains.best(word, cell, acc[word, cell], label[half::2])
         final = np.append(label, NONE).astype(np.uint8)  # -1, an unknown word, is the last
         for block, ids in asked:
             yield message(block, part, LABELS, final[ids])
