@@ -187,3 +187,25 @@ def test_two_digit_years(spark):
                                "d string, t string")
     out = [r.x for r in df.select(F.date_format(C.event_time("d", "t"), "yyyy-MM-dd HH:mm").alias("x")).collect()]
     assert out == ["2015-03-31 10:00", "2015-03-31 10:00", None, None, None]
+
+
+def _diff(spark, left, right, **kw):
+    from vigil.operators.quality import record_diff
+    schema = "k string, n long, a string, b double"
+    got = record_diff(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["k", "n"], ["a", "b"], **kw)
+    return sorted((str(r.k), r.n, r.side, r.fields_differing) for r in got.collect())
+
+
+def test_record_diff_with_null_and_repeated_keys(spark):
+    rows = [("d", None, "x", 1.0), ("d", 1, "x", None), ("d", 1, "x", None), ("d", 1, "y", 2.0), (None, None, None, None)]
+    assert _diff(spark, rows, rows) == []
+    assert _diff(spark, rows, rows[::-1], plan="blocked", blocks=3) == []
+    changed = [("d", None, "z", 1.0), ("d", 1, "x", None), ("d", 1, "y", 2.0), ("d", 1, "y", 2.0), ("e", 1, "q", None)]
+    exp = [("None", None, "left_only", 0), ("d", 1, "changed", 2), ("d", None, "changed", 1), ("e", 1, "right_only", 1)]
+    for kw in ({}, {"plan": "blocked", "blocks": 3}):
+        assert sorted(_diff(spark, rows, changed, **kw), key=str) == sorted(exp, key=str)
+
+
+def test_record_diff_keeps_every_copy(spark):
+    got = _diff(spark, [("d", 1, "x", 1.0)] * 5, [("d", 1, "x", 1.0)] * 2)
+    assert got == [("d", 1, "left_only", 2)] * 3

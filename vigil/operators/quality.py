@@ -58,7 +58,8 @@ def order_violations(typed: DataFrame, arrival: str = "arrival", plan: str = "wi
     """Rows that arrive with an event time earlier than the device's previous
     arrival (order not kept per device)."""
     df = typed.select("device_key", "seq", arrival, "event_time")
-    df = previous_value(df, ["device_key"], [arrival], "event_time", "prev_time", plan=plan, blocks=blocks)
+    order = list(dict.fromkeys([arrival, "seq", "event_time"]))  # arrival numbers may repeat
+    df = previous_value(df, ["device_key"], order, "event_time", "prev_time", plan=plan, blocks=blocks)
     return (df.filter(F.col("event_time") < F.col("prev_time"))
               .select("device_key", "seq", arrival,
                       F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
@@ -77,21 +78,31 @@ def state_uniqueness(scored: DataFrame) -> DataFrame:
                         & (F.col("rows") == F.col("distinct_numbers"))))
 
 
-def record_diff(left: DataFrame, right: DataFrame, keys: list[str],
-                fields: list[str] = ENRICHED_FIELDS) -> DataFrame:
-    """Rows that differ between two record sets keyed by ``keys``: side
-    (``left_only``, ``right_only``, ``changed``) and the number of fields that
-    differ under null-safe equality. The full outer join is on the unique
-    record key, so no key is hot."""
-    lsel = left.select(*keys, *[F.col(f).alias(f"l_{f}") for f in fields], F.lit(True).alias("_l"))
-    rsel = right.select(*keys, *[F.col(f).alias(f"r_{f}") for f in fields], F.lit(True).alias("_r"))
-    j = lsel.join(rsel, keys, "full_outer")
-    n_diff = sum((~F.col(f"l_{f}").eqNullSafe(F.col(f"r_{f}"))).cast("int") for f in fields)
-    side = (F.when(F.col("_r").isNull(), F.lit("left_only"))
-             .when(F.col("_l").isNull(), F.lit("right_only"))
+def record_diff(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str] = ENRICHED_FIELDS,
+                plan: str = "window", blocks: int | None = None) -> DataFrame:
+    """Rows that differ between two multisets of records: side (``left_only``,
+    ``right_only``, ``changed``) and the number of fields that differ under
+    null-safe equality (of a row on one side only: its fields that are not null).
+
+    Equal rows cancel out first: one grouping over the keys and all fields adds
+    up +1 for each left and -1 for each right row, combined map-side, whatever
+    keys are null or repeat. What is left over under a key is paired by its rank
+    in the order of the fields; pairs are ``changed``. ``plan`` numbers these
+    rows ("blocked" where most rows of one key differ, ``sequence.number_rows``)."""
+    one = lambda df, w: df.select(*keys, *fields, F.lit(w).cast("long").alias("_w"))
+    over = (one(left, 1).unionByName(one(right, -1)).groupBy(*keys, *fields).agg(F.sum("_w").alias("_w")).filter("_w <> 0")
+            .withColumn("_side", F.col("_w") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_w")))))
+    # One text for the keys, which is never null and tells nulls from texts.
+    over = over.withColumn("_key", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    ranked = number_rows(over.drop("_w"), ["_key", "_side"], [*fields, "_copy"], plan=plan, blocks=blocks)
+    side = lambda of, p: ranked.filter(of).select(
+        *[F.col(c).alias(f"{p}{c}") for c in [*keys, *fields]], F.col("_key").alias(f"{p}_key"), F.col("record_number").alias(f"{p}_rank"))
+    lefts, rights = side(F.col("_side"), "_l_"), side(~F.col("_side"), "_r_")
+    j = lefts.join(rights, (F.col("_l__key") == F.col("_r__key")) & (F.col("_l__rank") == F.col("_r__rank")), "full_outer")
+    n_diff = sum((~F.col(f"_l_{f}").eqNullSafe(F.col(f"_r_{f}"))).cast("int") for f in fields)
+    kind = (F.when(F.col("_r__rank").isNull(), F.lit("left_only")).when(F.col("_l__rank").isNull(), F.lit("right_only"))
              .otherwise(F.lit("changed")))
-    return (j.select(*keys, side.alias("side"), n_diff.cast("long").alias("fields_differing"))
-             .filter(F.col("fields_differing") > 0))
+    return j.select(*[F.coalesce(f"_l_{k}", f"_r_{k}").alias(k) for k in keys], kind.alias("side"), n_diff.cast("long").alias("fields_differing"))
 
 
 def record_numbers(typed: DataFrame, plan: str = "window", blocks: int | None = None) -> DataFrame:

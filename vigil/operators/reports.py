@@ -21,6 +21,9 @@ CHART_SERIES = [
 ]
 SERIES = ["measurement", "error", "anomaly", "prediction"]
 
+#: The scorer's order, then the device: total up to rows that do not differ.
+DISPLAY_ORDER = ("event_time", "seq", "measurement", "device_key")
+
 
 def _r(c: F.Column, digits: int = 9) -> F.Column:
     return F.round(c, digits)
@@ -66,10 +69,10 @@ def device_snapshot(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
                     scalar_bucket(F.col("s.measurement"), s).alias("bucket")))
 
 
-def last_n(scored: DataFrame, s: ScoreSettings = DEFAULT, order: tuple[str, ...] = ("event_time", "seq")) -> DataFrame:
+def last_n(scored: DataFrame, s: ScoreSettings = DEFAULT, order: tuple[str, ...] = DISPLAY_ORDER) -> DataFrame:
     """The display window: the latest ``display_rows`` (501) records. A top-k:
     each task keeps its own best 501, the driver merges ``tasks x 501`` rows."""
-    return scored.orderBy(*[F.col(c).desc() for c in order]).limit(s.display_rows)
+    return scored.orderBy(*[F.col(c).desc() for c in order if c in scored.columns]).limit(s.display_rows)
 
 
 def last_n_per_device(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
@@ -84,12 +87,12 @@ def last_n_per_device(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFram
 
 
 def display_points(scored: DataFrame, s: ScoreSettings = DEFAULT,
-                   order: tuple[str, ...] = ("event_time", "seq")) -> DataFrame:
+                   order: tuple[str, ...] = DISPLAY_ORDER) -> DataFrame:
     """The display window with its running x index (0 = oldest shown). The
     numbering runs over at most 501 rows."""
     from pyspark.sql import Window
     win = last_n(scored, s, order)
-    w = Window.orderBy(*order)
+    w = Window.orderBy(*[c for c in order if c in scored.columns])
     return win.withColumn("x", (F.row_number().over(w) - 1).cast("long"))
 
 

@@ -184,9 +184,9 @@ def _positions() -> str:
 
 
 def _display() -> str:
-    return (f"SELECT *, CAST(row_number() OVER (ORDER BY event_time, seq) - 1 AS BIGINT) AS x FROM ("
+    return (f"SELECT *, CAST(row_number() OVER (ORDER BY event_time, seq, measurement, device_key) - 1 AS BIGINT) AS x FROM ("
             f"SELECT s.*, t.event_time FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq) "
-            f"ORDER BY t.event_time DESC, s.seq DESC LIMIT {S.display_rows})")
+            f"ORDER BY t.event_time DESC, s.seq DESC, s.measurement DESC, device_key DESC LIMIT {S.display_rows})")
 
 
 def _series() -> str:
@@ -239,6 +239,34 @@ def _record_diff() -> str:
             f"WHERE NOT (seq % 11 = 0 AND seq % 13 = 0) AND (seq % 13 = 0 OR seq % 11 = 0 OR {n} > 0)")
 
 
+def _record_diff_ties() -> str:
+    fields = [*RAW_FIELDS, "prediction", "error", "anomaly", "predictionNext"]
+    left = f"SELECT *, {_zeros()} FROM ({typed(_ties(EV))})"
+    right = f"SELECT * REPLACE (CASE WHEN arrival % 5 = 0 THEN '2' ELSE poc END AS poc) FROM ({left}) WHERE arrival % 7 <> 0"
+    names = ", ".join(["device_key", "seq", *fields])
+    order = ", ".join(f"{f} NULLS FIRST" for f in fields)
+    differ = " + ".join(f"CAST(l.{f} IS DISTINCT FROM r.{f} AS BIGINT)" for f in fields)
+    return (f"WITH a AS (SELECT {names}, 1 AS w FROM ({left}) UNION ALL SELECT {names}, -1 FROM ({right}) UNION ALL "
+            f"SELECT {names}, -1 FROM ({right}) WHERE arrival % 9 = 0), "
+            f"d AS (SELECT {names}, sum(w) AS w FROM a GROUP BY ALL HAVING sum(w) <> 0), "
+            f"x AS (SELECT * EXCLUDE (w), w > 0 AS is_left, unnest(range(CAST(abs(w) AS BIGINT))) AS copy FROM d), "
+            f"n AS (SELECT *, row_number() OVER (PARTITION BY device_key, seq, is_left ORDER BY {order}) AS k FROM x) "
+            f"SELECT coalesce(l.device_key, r.device_key) AS device_key, coalesce(l.seq, r.seq, -1) AS seq, "
+            f"CASE WHEN r.k IS NULL THEN 'left_only' WHEN l.k IS NULL THEN 'right_only' ELSE 'changed' END AS side, {differ} AS fields_differing "
+            f"FROM (SELECT * FROM n WHERE is_left) l FULL JOIN (SELECT * FROM n WHERE NOT is_left) r "
+            f"ON l.device_key IS NOT DISTINCT FROM r.device_key AND l.seq IS NOT DISTINCT FROM r.seq AND l.k = r.k")
+
+
+def _metrics() -> str:
+    from vigil.plans.queries import SMALL_CHUNK
+    from vigil.sources.tables import JUNK_EVERY, JUNK_JSON
+    good = scored(f"SELECT * FROM ({typed(_junk(EV))}) WHERE seq % {JUNK_EVERY} <> {JUNK_JSON}")
+    return (f"SELECT batch_id, count(*) AS input_rows, count(s.seq) AS good, count(*) - count(s.seq) AS bad, CAST(0 AS BIGINT) AS late, "
+            f"count(CASE WHEN anomaly >= {S.anomaly_threshold!r} THEN 1 END) AS anomalous, round(coalesce(sum(error), 0), 6) AS error_sum, "
+            f"coalesce(max(error), 0.0::DOUBLE) AS error_max FROM (SELECT seq, CAST(floor((row_number() OVER (ORDER BY seq) - 1) / {SMALL_CHUNK}) "
+            f"AS BIGINT) AS batch_id FROM ({EV})) b LEFT JOIN ({good}) s USING (seq) GROUP BY batch_id")
+
+
 def _transitions() -> str:
     return (f"SELECT device_key, b AS from_bucket, nb AS to_bucket, count(*) AS cnt, max(n) AS last_n FROM ("
             f"SELECT device_key, record_number AS n, {bucket('measurement')} AS b, "
@@ -291,8 +319,12 @@ def all_sql() -> dict[str, str]:
                               f"WHEN {JUNK_TIME} THEN 'bad_time' ELSE 'bad_measurement' END AS reason FROM ({TY}) "
                               f"WHERE seq % {JUNK_EVERY} IN ({JUNK_JSON}, {JUNK_TIME}, {JUNK_NUMBER})"),
         "stream_transitions": _transitions(),
-        "batch_overruns": _batches(SMALL_CHUNK, f"CAST({S.batch_interval_ms} AS BIGINT) AS interval_ms, true AS timed"),
-        "publish_rate": _batches(SMALL_CHUNK, "true AS timed"),
+        "batch_overruns": _batches(SMALL_CHUNK, "true AS over_1ms, false AS over_hour"),
+        "publish_rate": _batches(SMALL_CHUNK, "true AS rate_fits"),
+        "record_diff_ties": _record_diff_ties(),
+        "stream_reordered": f"SELECT {score_cols} FROM ({SCORED})",
+        "stream_from_history": f"SELECT {score_cols} FROM ({SCORED})",
+        "stream_metrics": _metrics(),
         "encode_scalar": (f"SELECT device_key, seq, {bucket('measurement')} AS bucket, "
                           f"CAST(list_min({_scalar_bits('measurement')}) AS INTEGER) AS first_bit, "
                           f"CAST(list_max({_scalar_bits('measurement')}) AS INTEGER) AS last_bit, "
@@ -350,11 +382,11 @@ def all_sql() -> dict[str, str]:
         "enriched_read": f"SELECT {score_cols} FROM ({SCORED})",
         "order_violations": (f"SELECT device_key, seq, arrival, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, "
                              f"strftime(prev_time, '%Y-%m-%d %H:%M:%S') AS prev_time FROM ("
-                             f"SELECT *, lag(event_time) OVER (PARTITION BY device_key ORDER BY arrival) AS prev_time "
+                             f"SELECT *, lag(event_time) OVER (PARTITION BY device_key ORDER BY arrival, seq, event_time) AS prev_time "
                              f"FROM ({TY})) WHERE event_time < prev_time"),
         "order_violations_blocked": (f"SELECT device_key, seq, arrival, strftime(event_time, '%Y-%m-%d %H:%M:%S') "
                                      f"AS event_time, strftime(prev_time, '%Y-%m-%d %H:%M:%S') AS prev_time FROM ("
-                                     f"SELECT *, lag(event_time) OVER (PARTITION BY device_key ORDER BY arrival) "
+                                     f"SELECT *, lag(event_time) OVER (PARTITION BY device_key ORDER BY arrival, seq, event_time) "
                                      f"AS prev_time FROM ({TY})) WHERE event_time < prev_time"),
         "state_uniqueness": (f"SELECT device_key, count(*) AS rows, max(record_number) + 1 AS numbered, "
                              f"count(DISTINCT record_number) AS distinct_numbers, "

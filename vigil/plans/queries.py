@@ -151,6 +151,47 @@ def q_stream_quarantine(spark, sf):
     return read_quarantined(spark, sink).select("key", "seq", "reason")
 
 
+#: How late records may arrive in the shuffled stream, and the delay it allows.
+JITTER_HOURS, REORDER = 20, "1 day"
+
+
+def q_stream_reordered(spark, sf):
+    """Records that arrive up to 20 hours late, in several micro-batches: kept in
+    the state until the watermark passes them, then scored in order."""
+    from vigil.streaming.scorer import end_mark, read_enriched, replay, run_scoring
+    landing, sink, ck = (scratch_dir(spark, n) for n in ("landing", "enriched", "reorder-ckpt"))
+    rec = C.json_decode("value")
+    happened = F.unix_micros(C.event_time(rec["dateGMT"], rec["timeGMT"]))
+    late = F.pmod(F.xxhash64("seq"), F.lit(JITTER_HOURS * 3_600_000_000))
+    replay(_wire(spark, sf).withColumn("arrive", happened + late), landing, sink, ck, SMALL_CHUNK, order="arrive", reorder=REORDER)
+    TP.publish(end_mark(spark), landing)
+    run_scoring(spark, landing, sink, ck, reorder=REORDER)
+    return read_enriched(spark, sink).select(*SCORE_COLS)
+
+
+def q_stream_from_history(spark, sf):
+    """The older half scored as a batch, the newer half as a stream that starts
+    from the state the batch left."""
+    from vigil.streaming.scorer import history_state, read_enriched
+    records = events_records(spark, sf)
+    ensure_session_conf(spark)
+    cut = F.col("seq") < records.agg(F.max("seq")).first()[0] // 2
+    past = score(typed(records.filter(cut))).select(*SCORE_COLS)
+    sink, _ = _replayed(spark, TP.wire_rows(records.filter(~cut)), history=history_state(past))
+    return past.unionByName(read_enriched(spark, sink).select(*SCORE_COLS))
+
+
+def q_stream_metrics(spark, sf):
+    """What each batch of the scorer observed of itself, from broken input too."""
+    from vigil.streaming.scorer import replay, write_metrics
+    table, landing, sink, ck = (scratch_dir(spark, n) for n in ("metrics", "landing", "enriched", "metrics-ckpt"))
+    wire = junk_wire(TP.wire_rows(junk_records(events_records(spark, sf))))
+    ensure_session_conf(spark)
+    write_metrics(spark, replay(wire, landing, sink, ck, SMALL_CHUNK), table)
+    return spark.read.parquet(table).select("batch_id", "input_rows", "good", "bad", "late", "anomalous",
+                                            F.round("error_sum", 6).alias("error_sum"), "error_max")
+
+
 def q_stream_transitions(spark, sf):
     """The transition tables as the stream left them, read from its checkpoint."""
     from vigil.streaming.scorer import read_transitions
@@ -174,16 +215,17 @@ def q_enriched_read(spark, sf):
 
 
 def q_batch_overruns(spark, sf):
-    """The scoring stream's batches from the table they are recorded in. Times
-    differ from run to run: the query gives what does not, and that each batch
-    has its time against the interval."""
+    """The scoring stream's batches from the table they are recorded in, against
+    an interval that every batch misses (1 ms) and one that none does (an hour)."""
     from vigil.streaming.scorer import replay, write_progress
-    table = scratch_dir(spark, "progress")
+    table, slow = scratch_dir(spark, "progress"), scratch_dir(spark, "progress-hour")
     landing, sink, ck = (scratch_dir(spark, n) for n in ("landing", "enriched", "overrun-ckpt"))
-    # Strict: the rows are read once (the quarantine branch would read them again).
-    write_progress(spark, replay(_wire(spark, sf), landing, sink, ck, SMALL_CHUNK, strict=True), table, S.batch_interval_ms)
-    return spark.read.parquet(table).filter("input_rows > 0").select(
-        "batch_id", "input_rows", "interval_ms", (F.col("overrun") == (F.col("trigger_ms") > F.col("interval_ms"))).alias("timed"))
+    done = replay(_wire(spark, sf), landing, sink, ck, SMALL_CHUNK)
+    write_progress(spark, done, table, 1)
+    write_progress(spark, done, slow, 3_600_000)
+    hour = spark.read.parquet(slow).select("batch_id", F.col("overrun").alias("over_hour"))
+    return (spark.read.parquet(table).filter("input_rows > 0").join(hour, "batch_id")
+            .select("batch_id", "input_rows", F.col("overrun").alias("over_1ms"), "over_hour"))
 
 
 def q_stream_window_summary(spark, sf):
@@ -207,16 +249,21 @@ def q_stream_state(spark, sf):
 
 def q_publish_rate(spark, sf):
     """Paced publish of the raw records, read by a stream without scoring: the
-    rows of every batch from the table they are recorded in."""
+    rows of every batch, and whether its recorded rate is that of its rows and
+    time, which lies within the time measured around the stream."""
+    import time
     from vigil.streaming.scorer import drain, write_progress
     landing, sink, ck, table = (scratch_dir(spark, n) for n in ("landing", "replay", "replay-ckpt", "progress"))
+    began = time.monotonic()
     for chunk in TP.chunks(_wire(spark, sf), SMALL_CHUNK):
         TP.publish(chunk, landing)
         q = (TP.read_landing_stream(spark, landing).writeStream.format("parquet").option("path", sink)
              .option("checkpointLocation", ck).trigger(availableNow=True).start())
         write_progress(spark, drain(q), table)
-    return spark.read.parquet(table).filter("input_rows > 0").select(
-        "batch_id", "input_rows", (F.col("rows_per_second") > 0).alias("timed"))
+    around = (time.monotonic() - began) * 1000
+    rate = F.col("input_rows") * 1000 / F.col("trigger_ms")
+    fits = (F.abs(F.col("rows_per_second") - rate) <= 0.01 * rate) & (F.col("trigger_ms") <= F.lit(around))
+    return spark.read.parquet(table).filter("input_rows > 0").select("batch_id", "input_rows", fits.alias("rate_fits"))
 
 
 # ---------------------------------------------------------------- columns --
@@ -273,6 +320,16 @@ def q_record_diff(spark, sf):
     return Q.record_diff(left, right, ["device_key", "seq"])
 
 
+def q_record_diff_ties(spark, sf):
+    """Keys that are null or repeat: half the event id, null for every tenth
+    record; the right side has some rows twice and lacks others."""
+    from vigil.schema import ENRICHED_FIELDS
+    left = C.with_zero_results(_tied(spark, sf))
+    right = left.withColumn("poc", F.when(F.col("arrival") % 5 == 0, F.lit("2")).otherwise(F.col("poc"))).filter("arrival % 7 <> 0")
+    right = right.unionByName(right.filter("arrival % 9 = 0")).select("device_key", "seq", *ENRICHED_FIELDS)
+    return Q.record_diff(left, right, ["device_key", "seq"]).na.fill(-1, ["seq"])
+
+
 def q_record_text(spark, sf):
     df = C.with_zero_results(_typed(spark, sf))
     return df.select("device_key", "seq", C.record_text().alias("text"))
@@ -454,6 +511,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip": q_json_roundtrip,
     "json_decode_strict": q_json_decode_strict,
     "record_diff": q_record_diff,
+    "record_diff_ties": q_record_diff_ties,
     "record_text": q_record_text,
     "quarantine": q_quarantine,
     "score_quarantine": q_score_quarantine,
@@ -482,6 +540,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_resume": q_stream_resume,
     "enriched_read": q_enriched_read,
     "stream_state": q_stream_state,
+    "stream_reordered": q_stream_reordered,
+    "stream_from_history": q_stream_from_history,
+    "stream_metrics": q_stream_metrics,
     "stream_quarantine": q_stream_quarantine,
     "stream_transitions": q_stream_transitions,
     "stream_window_summary": q_stream_window_summary,

@@ -77,31 +77,23 @@ def publish(wire: DataFrame, path: str, order: str = "seq") -> None:
 
 
 def chunks(wire: DataFrame, chunk_rows: int, order: str = "seq"):
-    """Consecutive parts of about ``chunk_rows`` rows in ``order`` (rows with
-    equal values stay together, nulls come first). The rows are staged once,
-    sorted by range, so that a part reads only the row groups of its range; one
-    bound per part comes to the driver."""
+    """Consecutive parts of ``chunk_rows`` rows (the last one fewer) in ``order``,
+    nulls first. Rows are cut by their position in that order, so a part has no
+    more rows where values repeat or are null. The rows are staged once, by
+    position, and a part reads only the row groups of its own; nothing but the
+    number of rows comes to the driver."""
     from vigil.session import scratch_dir
     spark = wire.sparkSession
-    if wire.count() <= chunk_rows:
+    n = wire.count()
+    if n <= chunk_rows:
         yield wire
         return
     staged = scratch_dir(spark, "staged")
-    publish(wire, staged, order)
-    wire = spark.read.schema(wire.schema).parquet(staged)
-    place = row_positions(wire, [order], "position")
-    every = place.filter((F.col("position") % chunk_rows == chunk_rows - 1) & F.col(order).isNotNull())
-    bounds = sorted({r[0] for r in every.select(order).collect()})  # one per part
-    last = wire.agg(F.max(order)).first()[0]
-    bounds = [x for x in bounds if x != last]
-    c = F.col(order)
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        part = wire
-        if low is not None:
-            part = part.filter(c > low)
-        if high is not None:
-            part = part.filter((c <= high) | c.isNull()) if low is None else part.filter(c <= high)
-        yield part
+    row_positions(wire, [order], "_position", keep=wire.columns).write.parquet(staged)
+    placed = spark.read.parquet(staged)
+    at = F.col("_position")
+    for low in range(0, n, chunk_rows):
+        yield placed.filter((at >= low) & (at < low + chunk_rows)).select(*wire.columns)
 
 
 def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

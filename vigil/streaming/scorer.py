@@ -6,13 +6,22 @@ State per device:
   prediction, prediction, measurement and the successors of its bucket;
 * ``trans`` (map state by from-bucket): successor, count, and row number of
   the latest such transition. A micro-batch reads and writes only the buckets
-  that its rows visit, at most ``n_buckets`` successors each.
-
-For each micro-batch a device's rows are sorted by (event_time, seq,
-measurement) and scored as arrays (``model.score_rows``) with the definitions
-of the batch plan, so an uninterrupted or resumed stream gives the batch
-result. Records that cannot be scored leave the stream as quarantined rows with
-a reason, through the same sink; ``strict`` fails the batch instead.
+  that its rows visit, at most ``n_buckets`` successors each;
+* with a reorder delay, ``held`` (map state by span of event time and part of it):
+  rows that wait for the watermark, and ``spans`` (parts of each span).
+
+For each micro-batch a device's rows are sorted by (event_time, seq, place,
+measurement) and scored in slices of arrays (``model.DeviceRows``) with the
+definitions of the batch plan, so an uninterrupted or resumed stream gives the
+batch result. With ``reorder`` the rows of a device are kept in its state until
+the watermark passes the end of their span, and are then scored in order,
+whatever micro-batch brought them; a row of a span that was already released is
+quarantined as ``late``. ``history`` starts the model from scored rows of the past.
+
+Every record goes once through the one stateful operator: good ones by device,
+records that cannot be scored dealt over ``LANES`` keys of their own, which
+have no state. These leave the stream with a reason, through the same sink;
+``strict`` fails the batch instead.
 """
 
 from __future__ import annotations
@@ -22,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,57 +42,156 @@ from vigil.operators.quality import quarantine_reason
 from vigil.operators.score import with_bucket
 from vigil.schema import KEY_FIELDS, RAW_FIELDS, RESULT_FIELDS, SINK_SCHEMA
 from vigil.settings import DEFAULT, ScoreSettings
-from vigil.streaming.model import BucketState, score_rows
-
-# Rows of one time and arrival number are told apart by their place in a topic, where there is one.
-ORDER_IN_BATCH = ["event_time", "seq", "place", "measurement"]
+from vigil.streaming.model import SLICE_ROWS, BucketState, DeviceRows, from_blob, to_blob
 
 LAST_SCHEMA = "n long, b int, pn double, pred double, x double, succ array<int>"
 BUCKET_SCHEMA = "b int"
 TRANS_SCHEMA = "tos array<int>, cnts array<long>, lasts array<long>"
 
+#: Keys that records without a device are dealt over, and the lanes of a device and of an end mark.
+LANES, SCORED_LANE, MARK_LANE = 64, -1, -2
+#: The wire key of an end mark (``end_mark``), and the time it stands for.
+END_KEY, END_TIME = "\u0000end", "9999-01-01"
+NO_SEQ = -(1 << 63)
+
 # Only the key, order, bucket and measurement cross into Python; the record
 # itself rides along as its JSON text (one column instead of 24) and the
 # four results are merged into it on the JVM side afterwards.
 OUTPUT_SCHEMA = T.StructType(
-    [T.StructField("device_key", T.StringType()), T.StructField("seq", T.LongType()),
-     T.StructField("value", T.StringType()),
+    [T.StructField("key", T.StringType()), T.StructField("seq", T.LongType()), T.StructField("value", T.StringType()),
      T.StructField("record_number", T.LongType()), T.StructField("measurement", T.DoubleType())]
-    + [T.StructField(f, T.DoubleType()) for f in RESULT_FIELDS])
+    + [T.StructField(f, T.DoubleType()) for f in RESULT_FIELDS] + [T.StructField("reason", T.StringType())])
 
 
 class ScoreProcessor(StatefulProcessor):
     """Per-device model state. State is kept forever by default (as in the
     reference); ``ttl_ms`` lets a device's state expire after that much
-    processing time without records (needs ``timeMode="ProcessingTime"``)."""
+    processing time without records (needs ``timeMode="ProcessingTime"``).
+    ``span_ms`` turns the reorder buffer on (needs ``timeMode="EventTime"``)."""
 
-    def __init__(self, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None):
+    def __init__(self, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None, span_ms: int | None = None,
+                 slice_rows: int = SLICE_ROWS):
         self.s = s
         self.ttl_ms = ttl_ms
+        self.span_ms = span_ms
+        self.slice_rows = slice_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", LAST_SCHEMA, self.ttl_ms)
         self.trans = handle.getMapState("trans", BUCKET_SCHEMA, TRANS_SCHEMA, self.ttl_ms)
+        if self.span_ms:
+            self.held = handle.getMapState("held", "span long, part int", "rows binary")
+            self.spans = handle.getMapState("spans", "span long", "parts int")
+            self.released = handle.getValueState("released", "span long")
 
     def _bucket(self, b: int) -> BucketState:
         found = self.trans.getValue((b,))
         return BucketState(*found) if found is not None else BucketState()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(ORDER_IN_BATCH, kind="mergesort", na_position="first")
+    def _scored(self, device: str, rows: DeviceRows) -> Iterator[pd.DataFrame]:
         last = self.last.get() if self.last.exists() else None
-        n, pred, err, anom, pn, last, changed = score_rows(
-            pdf["measurement"].to_numpy(float), pdf["b"].to_numpy(np.int64), last, self._bucket, self.s)
+        made, last, changed = rows.score(last, self._bucket, self.s)
         for b, state in changed.items():
             self.trans.updateValue((b,), state.columns())
         self.last.update(last)
-        yield pdf[["device_key", "seq", "value"]].assign(
-            record_number=n, measurement=pdf["measurement"], prediction=pred, error=err, anomaly=anom, predictionNext=pn)
+        for batch, n, x, pred, err, anom, pn in made:
+            yield pd.DataFrame({"key": device, "seq": batch.column("seq").to_numpy(), "value": batch.column("value").to_pylist(),
+                                "record_number": n, "measurement": x, "prediction": pred, "error": err, "anomaly": anom,
+                                "predictionNext": pn, "reason": None})
+
+    @staticmethod
+    def _unscored(pdf: pd.DataFrame, reason) -> pd.DataFrame:
+        out = pdf[["key", "seq", "value"]].assign(record_number=-1, measurement=0.0, **{f: 0.0 for f in RESULT_FIELDS})
+        return out.assign(reason=reason)
+
+    def _add(self, rows: DeviceRows, pdf: pd.DataFrame) -> None:
+        rows.add(pdf["time"].to_numpy(), pdf["seq"].to_numpy(), pa.array(pdf["place"], pa.string(), from_pandas=True),
+                 pdf["measurement"].to_numpy(), pdf["b"].to_numpy(), pa.array(pdf["value"], pa.string(), from_pandas=True))
+
+    def _hold(self, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Keeps the rows for their spans; those of released spans are late."""
+        span = pdf["time"].to_numpy() // (self.span_ms * 1000)
+        done = self.released.get()[0] if self.released.exists() else None
+        if done is not None and (span <= done).any():
+            yield self._unscored(pdf[span <= done].assign(key=pdf["key"]), "late")
+            pdf, span = pdf[span > done], span[span > done]
+        for k in np.unique(span).tolist():
+            own = pdf[span == k]
+            found = self.spans.getValue((k,))
+            parts = found[0] if found is not None else 0
+            blob = to_blob({c: pa.array(own[c], t, from_pandas=True) for c, t in HELD})
+            self.held.updateValue((k, parts), (blob,))
+            self.spans.updateValue((k,), (parts + 1,))
+            if not parts:
+                self.handle.registerTimer((k + 1) * self.span_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        device, lane = key
+        if lane == SCORED_LANE and not self.span_ms:
+            held = DeviceRows(self.slice_rows)
+            for pdf in rows:
+                self._add(held, pdf)
+            yield from self._scored(device, held)
+            return
+        for pdf in rows:
+            if lane == SCORED_LANE:
+                yield from self._hold(pdf)
+            elif lane != MARK_LANE:
+                yield self._unscored(pdf, pdf["reason"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """A span of the device is over: its rows are scored in order."""
+        k = expiredTimerInfo.getExpiryTimeInMs() // self.span_ms - 1
+        rows = DeviceRows(self.slice_rows)
+        for part in range(self.spans.getValue((k,))[0]):
+            batch = from_blob(self.held.getValue((k, part))[0])
+            rows.add(*(batch.column(c).to_numpy() for c in ("time", "seq")), batch.column("place"),
+                     *(batch.column(c).to_numpy() for c in ("measurement", "b")), batch.column("value"))
+            self.held.removeKey((k, part))
+        self.spans.removeKey((k,))
+        self.released.update((k,))
+        yield from self._scored(key[0], rows)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """The model of a device as its history left it (``history_state``)."""
+        row = initialState.iloc[0]
+        trans: dict[int, list] = {}
+        for t in row["trans"]:
+            trans.setdefault(int(t["from_b"]), []).append((int(t["to_b"]), int(t["cnt"]), int(t["last_n"])))
+        for b, found in trans.items():
+            self.trans.updateValue((b,), tuple(list(c) for c in zip(*sorted(found))))
+        b = int(row["b"])
+        self.last.update((int(row["n"]), b, float(row["pn"]), float(row["pred"]), float(row["x"]), sorted(t for t, _, _ in trans.get(b, []))))
 
     def close(self) -> None:
         pass
 
 
+HELD = [("time", pa.int64()), ("seq", pa.int64()), ("place", pa.string()), ("measurement", pa.float64()), ("b", pa.int32()), ("value", pa.string())]
+
+
+def history_state(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
+    """What the model knows after scored rows (``score``'s output, all rows of
+    each device from its first on): one row per device with its last row and
+    its transitions (at most ``n_buckets`` squared). A batch aggregate over one
+    exchange on the device; its rows start a stream (``history``)."""
+    from pyspark.sql import Window
+    own = with_bucket(scored.select("device_key", "record_number", "measurement", "prediction", "predictionNext"), s)
+    by_n = Window.partitionBy("device_key").orderBy("record_number")
+    rows = own.withColumn("to_b", F.lead("b").over(by_n))
+    moves = (rows.filter(F.col("to_b").isNotNull()).groupBy("device_key", "b", "to_b")
+             .agg(F.count(F.lit(1)).alias("cnt"), F.max("record_number").alias("last_n"))
+             .groupBy("device_key").agg(F.collect_list(F.struct(F.col("b").alias("from_b"), "to_b", "cnt", "last_n")).alias("trans")))
+    last = (own.groupBy("device_key").agg(F.max_by(F.struct("record_number", "b", "predictionNext", "prediction", "measurement"),
+                                                   "record_number").alias("r"))
+            .select("device_key", F.col("r.record_number").alias("n"), F.col("r.b").alias("b"), F.col("r.predictionNext").alias("pn"),
+                    F.col("r.prediction").alias("pred"), F.col("r.measurement").alias("x")))
+    empty = F.array().cast("array<struct<from_b:int,to_b:int,cnt:bigint,last_n:bigint>>")
+    return (last.join(moves, "device_key", "left").withColumn("trans", F.coalesce("trans", empty))
+            .withColumn("lane", F.lit(SCORED_LANE)))
+
+
 def _stream_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -102,6 +211,7 @@ def decoded(wire: DataFrame, strict: bool = False) -> DataFrame:
                        C.event_time("r.dateGMT", "r.timeGMT").alias("event_time"),
                        C.measurement("r.sampleMeasurement").alias("measurement"))
     reason = F.when(F.col("_bad"), F.lit("bad_json")).otherwise(quarantine_reason())
+    reason = F.when(F.col("key").eqNullSafe(END_KEY), F.lit(None)).otherwise(reason)
     out = typed.withColumn("reason", reason).drop("_bad")
     if strict:
         bad = F.raise_error(F.concat(F.lit("record cannot be scored: "), F.col("reason")))
@@ -109,33 +219,89 @@ def decoded(wire: DataFrame, strict: bool = False) -> DataFrame:
     return out
 
 
-def score_decoded(rows: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None) -> DataFrame:
-    """The rows of ``decoded`` without a reason, scored by the stateful
-    processor: device_key, seq, record_number, measurement, the 24 record
-    fields, the 4 results."""
+def through_state(rows: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None, reorder: str | None = None,
+                  span: str | None = None, history: DataFrame | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The rows of ``decoded`` through the stateful operator (``OUTPUT_SCHEMA``):
+    scored, or with the reason why not. One pass: both kinds are keys of it."""
     ship_package(rows.sparkSession)
-    good = with_bucket(rows.filter(F.col("reason").isNull())
-                       .select("device_key", "event_time", "measurement", "seq", "place", "value"), s)
-    scored = (good.groupBy("device_key")
-              .transformWithStateInPandas(ScoreProcessor(s, ttl_ms), OUTPUT_SCHEMA, "append",
-                                          "ProcessingTime" if ttl_ms else "None"))
-    return (scored.select("*", C.json_decode("value").alias("r"))
-            .select("device_key", "seq", "record_number", "measurement",
-                    *[F.col(f"r.{f}").alias(f) for f in RAW_FIELDS], *RESULT_FIELDS))
-
-
-def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None,
-                 strict: bool = False) -> DataFrame:
+    if ttl_ms and reorder:
+        raise ValueError("a state TTL counts processing time, a reorder delay event time: a stream has one of them")
+    lane = (F.when(F.col("key") == END_KEY, F.lit(MARK_LANE)).when(F.col("reason").isNull(), F.lit(SCORED_LANE))
+            .otherwise(F.pmod(F.xxhash64("value", "seq"), F.lit(LANES)).cast("int")))
+    if reorder:
+        mark = F.when(F.col("key") == END_KEY, F.lit(END_TIME).cast("timestamp"))
+        # Its own column, dropped at once: rows behind the watermark must reach the operator, which quarantines them.
+        rows = rows.withColumn("_mark", F.coalesce(mark, "event_time")).withWatermark("_mark", reorder).drop("_mark")
+    own = F.col("lane") == SCORED_LANE
+    keyed = with_bucket(rows.withColumn("lane", lane), s).select(
+        F.when(own, F.col("device_key")).otherwise(F.lit("")).alias("device_key"), "lane",
+        F.when(own, F.col("device_key")).otherwise(F.col("key")).alias("key"),
+        F.coalesce(F.unix_micros("event_time"), F.lit(0)).alias("time"), F.coalesce("seq", F.lit(NO_SEQ)).alias("seq"), "place",
+        F.coalesce("measurement", F.lit(0.0)).alias("measurement"), F.coalesce("b", F.lit(0)).alias("b"), "value", "reason")
+    mode = "EventTime" if reorder else "ProcessingTime" if ttl_ms else "None"
+    span_ms = interval_ms(span or reorder) if reorder else None
+    start = history.groupBy("device_key", "lane") if history is not None else None
+    out = (keyed.groupBy("device_key", "lane")
+           .transformWithStateInPandas(ScoreProcessor(s, ttl_ms, span_ms, slice_rows), OUTPUT_SCHEMA, "append", mode, initialState=start))
+    return out.withColumn("seq", F.when(F.col("seq") != NO_SEQ, F.col("seq")))
+
+
+def interval_ms(text: str) -> int:
+    """Milliseconds of an interval such as ``1 day``."""
+    return int(pd.Timedelta(text) / pd.Timedelta(milliseconds=1))
+
+
+def score_stream(wire_stream: DataFrame, s: ScoreSettings = DEFAULT, ttl_ms: int | None = None, strict: bool = False,
+                 **options) -> DataFrame:
     """Streaming wire rows (key, value JSON, seq) -> sink rows (``SINK_SCHEMA``):
     every scored record as an enriched wire row, and every record that cannot
     be scored as it came, with its ``reason``. Works on any source with those
-    columns (landing folder, or a topic with ``seq`` taken from its offsets)."""
-    rows = decoded(wire_stream, strict)
-    out = enriched_wire(score_decoded(rows, s, ttl_ms)).withColumn("reason", F.lit(None).cast("string"))
-    if strict:
-        return out
-    bad = rows.filter(F.col("reason").isNotNull())
-    return out.unionByName(bad.select("key", "value", "seq", F.lit(None).cast("long").alias("record_number"), "reason"))
+    columns (landing folder, or a topic with ``seq`` taken from its offsets).
+    The ``METRICS`` of each batch are observed (``batch_metrics``)."""
+    out = through_state(decoded(wire_stream, strict), s, ttl_ms, **options)
+    good = F.col("reason").isNull()
+    record = F.struct(*[F.col(f"r.{f}").alias(f) for f in RAW_FIELDS], *RESULT_FIELDS)
+    rows = out.select("*", F.when(good, C.json_decode("value")).alias("r"))
+    value = F.when(good, F.to_json(record, {"ignoreNullFields": "false"})).otherwise(F.col("value"))
+    number = F.when(good, F.col("record_number"))
+    high = (F.col("anomaly") >= s.anomaly_threshold) & good
+    zero = F.lit(0)
+    return rows.observe(METRICS, F.count(F.when(good, 1)).alias("good"), F.count(F.when(~good, 1)).alias("bad"),
+                        F.count(F.when(F.col("reason") == "late", 1)).alias("late"), F.count(F.when(high, 1)).alias("anomalous"),
+                        F.coalesce(F.sum(F.when(good, F.col("error"))), zero).alias("error_sum"),
+                        F.coalesce(F.max(F.when(good, F.col("error"))), zero).alias("error_max")).select(
+        "key", value.alias("value"), "seq", number.alias("record_number"), "reason")
+
+
+#: Name of the figures that every batch of the scorer observes.
+METRICS = "scoring"
+METRIC_FIELDS = ["good", "bad", "late", "anomalous", "error_sum", "error_max"]
+
+
+def batch_metrics(progress: list[dict]) -> list[dict]:
+    """The observed figures of each batch with rows: batch_id, input_rows, ``METRIC_FIELDS``."""
+    out = []
+    for p in progress:
+        seen = (p.get("observedMetrics") or {}).get(METRICS)
+        if seen is not None and p["numInputRows"]:
+            seen = seen.asDict() if hasattr(seen, "asDict") else dict(seen)
+            out.append({"batch_id": int(p["batchId"]), "input_rows": int(p["numInputRows"]), **{f: seen[f] for f in METRIC_FIELDS}})
+    return out
+
+
+def write_metrics(spark: SparkSession, progress: list[dict], path: str) -> None:
+    """Appends the batches' observed figures (a row each) to a table."""
+    rows = [tuple(m.values()) for m in batch_metrics(progress)]
+    schema = "batch_id long, input_rows long, good long, bad long, late long, anomalous long, error_sum double, error_max double"
+    spark.createDataFrame([(*r[:6], float(r[6]), float(r[7])) for r in rows], schema).write.mode("append").parquet(path)
+
+
+def end_mark(spark: SparkSession) -> DataFrame:
+    """A wire row that ends a stream with a reorder delay: it moves the watermark
+    past all records, so that every row still held is scored. Records that
+    come later are late."""
+    return spark.range(1).select(F.lit(END_KEY).alias("key"), F.lit(None).cast("string").alias("value"),
+                                 F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("seq"))
 
 
 def enriched_wire(scored: DataFrame) -> DataFrame:
@@ -183,17 +349,23 @@ def start_with_partitions(spark: SparkSession, writer, partitions: int | None):
 def start_scoring(wire_stream: DataFrame, checkpoint: str, sink_format: str = "parquet",
                   sink_options: dict[str, str] | None = None, trigger: str | None = "5 seconds",
                   s: ScoreSettings = DEFAULT, state_partitions: int | None = None,
-                  ttl_ms: int | None = None, strict: bool = False):
+                  ttl_ms: int | None = None, strict: bool = False, **options):
     """Start the long-running scorer: wire rows in, sink rows out (``parquet``
     folder, or ``kafka`` with ``kafka_writer_options``; the topic gets the
     reason of a quarantined record as a header), one micro-batch per ``trigger``
     interval (None: until the input is drained); returns the ``StreamingQuery``
     (``stop()`` ends it; a new start resumes from ``checkpoint``).
     With ``ttl_ms`` the state is cleaned in no-data batches, so run it on a
-    processing-time trigger (an available-now run would not finish)."""
+    processing-time trigger (an available-now run would not finish).
+
+    ``reorder`` (an interval) keeps records until the watermark, that much behind
+    the newest event time, has passed the end of their span of event time
+    (``span``, by default as long as the delay), and scores each device's records
+    in their order across micro-batches. ``history`` (``history_state`` of scored
+    rows) is the state that the first start begins with."""
     spark = wire_stream.sparkSession
     _stream_conf(spark)
-    out = score_stream(wire_stream, s, ttl_ms, strict)
+    out = score_stream(wire_stream, s, ttl_ms, strict, **options)
     options = dict(sink_options or {})
     if sink_format == "kafka":
         header = F.array(F.struct(F.lit("reason").alias("key"), F.col("reason").cast("binary").alias("value")))
@@ -299,7 +471,7 @@ def read_device_state(spark: SparkSession, checkpoint: str) -> DataFrame:
 def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                 s: ScoreSettings = DEFAULT, files_per_trigger: int | None = None,
                 max_batches: int | None = None, state_partitions: int | None = None,
-                strict: bool = False) -> list[dict]:
+                strict: bool = False, **options) -> list[dict]:
     """Scores what the landing folder holds and has not been scored yet, into
     the sink (a Parquet file sink: exactly once), until the input is drained or
     for ``max_batches`` micro-batches. Device state is spread over
@@ -309,16 +481,16 @@ def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     Without ``files_per_trigger`` all of it is one micro-batch, in which each
     device's rows are put in order. A file source does not promise an order
     between files, so a device's order across micro-batches needs its files to
-    arrive in order: ``replay`` sees to that."""
+    arrive in order (``replay`` sees to that), or ``reorder`` (``start_scoring``)."""
     from vigil.sources.topics import read_landing_stream
     src = read_landing_stream(spark, landing, files_per_trigger)
-    q = start_scoring(src, checkpoint, "parquet", {"path": sink}, None, s, state_partitions, strict=strict)
+    q = start_scoring(src, checkpoint, "parquet", {"path": sink}, None, s, state_partitions, strict=strict, **options)
     return drain(q, max_batches)
 
 
 def replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, chunk_rows: int,
            s: ScoreSettings = DEFAULT, first: int = 0, max_chunks: int | None = None,
-           pause_ms: int = 0, strict: bool = False, order: str = "seq") -> list[dict]:
+           pause_ms: int = 0, strict: bool = False, order: str = "seq", **options) -> list[dict]:
     """Paced replay in order: chunk by chunk (``topics.chunks``) the rows are
     published to the landing folder by many tasks and scored; the next chunk is
     published when the one before is done, after ``pause_ms``. The order of the
@@ -335,7 +507,7 @@ def replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, chunk_rows
         if done and pause_ms:
             time.sleep(pause_ms / 1000)
         publish(chunk, landing, order)
-        done += run_scoring(spark, landing, sink, checkpoint, s, strict=strict)
+        done += run_scoring(spark, landing, sink, checkpoint, s, strict=strict, **options)
     return done
 
 
