@@ -193,7 +193,7 @@ def _diff(spark, left, right, **kw):
     from vigil.operators.quality import record_diff
     schema = "k string, n long, a string, b double"
     got = record_diff(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["k", "n"], ["a", "b"], **kw)
-    return sorted((str(r.k), r.n, r.side, r.fields_differing) for r in got.collect())
+    return sorted(((str(r.k), r.n, r.side, r.fields_differing) for r in got.collect()), key=str)
 
 
 def test_record_diff_with_null_and_repeated_keys(spark):

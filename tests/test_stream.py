@@ -13,6 +13,7 @@ from vigil.settings import ScoreSettings
 from vigil.sources.tables import events_records, junk_records, junk_wire, typed
 from vigil.sources.topics import chunks, publish, read_landing_stream, wire_rows
 from vigil.streaming import scorer as SC
+from vigil.streaming import windows as W
 
 COLS = ["device_key", "seq", "record_number", "prediction", "error", "anomaly", "predictionNext"]
 
@@ -158,8 +159,8 @@ def test_late_rows_within_the_delay_count(spark):
     late = F.col("seq") % 9 == 4  # these come after everything else
     for part in (wire.filter(~late), wire.filter(late)):
         publish(part, topic)
-        SC.run_window_summary(spark, topic, sink, ck, delay="60 days")
-    got = SC.read_window_summary(spark, sink, ck)
+        W.run_window_summary(spark, topic, sink, ck, delay="60 days")
+    got = W.read_window_summary(spark, sink, ck)
     with_time = score(typed(events_records(spark, SF_SMALL)), keep=["event_time"])
     exp = window_summary(with_time)
     assert got.count() == exp.count() and got.exceptAll(exp).count() == 0

@@ -360,6 +360,10 @@ def all_sql() -> dict[str, str]:
                             f"SELECT device_key, arg_max({{'record_number': record_number, 'measurement': measurement, "
                             f"'prediction': prediction, 'error': error, 'anomaly': anomaly, "
                             f"'predictionNext': predictionNext}}, record_number) AS s FROM ({SCORED}) GROUP BY device_key)"),
+        "score_bucketed": f"SELECT {score_cols} FROM ({SCORED})",
+        "stream_state_changes": (f"SELECT device_key, 'update' AS change_type, CAST(1 AS BIGINT) AS state_partitions, max(record_number) AS record_number "
+                                 f"FROM (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS p, count(*) OVER () AS total FROM ({SCORED})) "
+                                 f"GROUP BY device_key HAVING max(p // {SMALL_CHUNK}) = any_value((total - 1) // {SMALL_CHUNK})"),
         "stream_state": (f"SELECT device_key, s.record_number AS record_number, s.measurement AS actual, "
                          f"s.prediction AS prediction, s.predictionNext AS prediction_next, "
                          f"{bucket('s.measurement')} AS bucket FROM ("
@@ -399,6 +403,10 @@ def all_sql() -> dict[str, str]:
                               f"SELECT s.*, row_number() OVER (PARTITION BY s.device_key ORDER BY t.event_time DESC, "
                               f"s.seq DESC) AS k FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq)) "
                               f"WHERE k <= {S.display_rows}"),
+        "stream_last_n": (f"SELECT device_key, seq, record_number, measurement, {RESULTS} FROM ("
+                              f"SELECT s.*, row_number() OVER (PARTITION BY s.device_key ORDER BY t.event_time DESC, "
+                              f"s.seq DESC) AS k FROM ({SCORED}) s JOIN ({TY}) t USING (device_key, seq)) "
+                              f"WHERE k <= {S.display_rows}"),
         "chart_series": _series(),
         "anomaly_points": _points(),
         "chart_pairs": (f"SELECT p.chart, s.series, s.x, s.y FROM ({_series()} UNION ALL "

@@ -231,7 +231,8 @@ def q_batch_overruns(spark, sf):
 def q_stream_window_summary(spark, sf):
     """Windowed summary as a stream over the enriched records, chunk by chunk:
     the closed windows from the sink, the open ones from the state."""
-    from vigil.streaming.scorer import enriched_wire, read_window_summary, run_window_summary
+    from vigil.streaming.scorer import enriched_wire
+    from vigil.streaming.windows import read_window_summary, run_window_summary
     topic, sink, ck = (scratch_dir(spark, n) for n in ("enriched-topic", "summary", "summary-ckpt"))
     wire = enriched_wire(_scored(spark, sf, keep=RAW_FIELDS)).withColumn("reason", F.lit(None).cast("string"))
     for chunk in TP.chunks(wire, SMALL_CHUNK):
@@ -240,6 +241,29 @@ def q_stream_window_summary(spark, sf):
     return read_window_summary(spark, sink, ck)
 
 
+def q_stream_last_n(spark, sf):
+    """The live display window, chunk by chunk: what was last put out of each device."""
+    from vigil.streaming.scorer import enriched_wire
+    from vigil.streaming.windows import RING_FIELDS, read_live_window, run_live_window
+    topic, sink, ck = (scratch_dir(spark, n) for n in ("enriched-topic", "live", "live-ckpt"))
+    wire = enriched_wire(_scored(spark, sf, keep=RAW_FIELDS)).withColumn("reason", F.lit(None).cast("string"))
+    for chunk in TP.chunks(wire, SMALL_CHUNK):
+        TP.publish(chunk, topic)
+        run_live_window(spark, topic, sink, ck)
+    return read_live_window(spark, sink).select("device_key", *RING_FIELDS)
+
+
+def q_stream_state_changes(spark, sf):
+    """What the last batch changed: the devices that had records in it, each in
+    one state partition, with their newest record number."""
+    from vigil.streaming.scorer import replay, state_changes
+    landing, sink, ck = (scratch_dir(spark, n) for n in ("landing", "enriched", "changes-ckpt"))
+    done = replay(_wire(spark, sf), landing, sink, ck, SMALL_CHUNK)
+    last = max(int(p["batchId"]) for p in done if p["numInputRows"])
+    return (state_changes(spark, ck, last, last).groupBy("device_key", "change_type")
+            .agg(F.count_distinct("partition_id").alias("state_partitions"), F.max("record_number").alias("record_number")))
+
+
 def q_stream_state(spark, sf):
     """Per-device state as the stream left it, read from its checkpoint."""
     from vigil.streaming.scorer import read_device_state
@@ -415,6 +439,12 @@ def q_score_hot_device(spark, sf):
     return score(typed(hot_device_records(events_records(spark, sf))), plan="segmented").select(*SCORE_COLS)
 
 
+def q_score_bucketed(spark, sf):
+    """Records landed once in buckets by device: the scorer needs no exchange."""
+    from vigil.sources.tables import landed
+    return score(landed(_typed(spark, sf)), plan="window").select(*SCORE_COLS)
+
+
 def q_score_months(spark, sf):
     """The scorer over the twelve-month view (orders): day-resolution times,
     so same-day records are ordered by ``seq``."""
@@ -526,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warmup_gate": q_warmup_gate,
     "score_batch": q_score_batch,
     "score_segmented": q_score_segmented,
+    "score_bucketed": q_score_bucketed,
     "score_months": q_score_months,
     "score_hot_device": q_score_hot_device,
     "score_seq_ties": q_score_seq_ties,
@@ -546,6 +577,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_quarantine": q_stream_quarantine,
     "stream_transitions": q_stream_transitions,
     "stream_window_summary": q_stream_window_summary,
+    "stream_last_n": q_stream_last_n,
+    "stream_state_changes": q_stream_state_changes,
     "order_violations": q_order_violations,
     "order_violations_blocked": q_order_violations_blocked,
     "state_uniqueness": q_state_uniqueness,

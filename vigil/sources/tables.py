@@ -147,3 +147,17 @@ def typed(records: DataFrame, strict: bool = False) -> DataFrame:
         C.measurement(strict=strict).alias("measurement"),
         *records.columns,
     )
+
+
+def landed(rows: DataFrame, buckets: int | None = None, key: str = "device_key", order: tuple[str, ...] = ("event_time", "seq", "measurement")) -> DataFrame:
+    """The rows as a table in the shared folder, in ``buckets`` by ``key`` (default:
+    the shuffle partitions), each sorted as the scorer sorts. Written once;
+    whatever groups, joins or windows by the key then needs no exchange."""
+    import uuid
+    from vigil.session import scratch_dir
+    spark = rows.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"vigil_landed_{uuid.uuid4().hex}"
+    (rows.repartition(n, key).write.bucketBy(n, key).sortBy(key, *order)
+     .option("path", scratch_dir(spark, "landed")).saveAsTable(name))
+    return spark.table(name)

@@ -195,6 +195,8 @@ def history_state(scored: DataFrame, s: ScoreSettings = DEFAULT) -> DataFrame:
 def _stream_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # Each batch's changes as a log: the checkpoint is smaller and ``state_changes`` can read them.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
@@ -409,42 +411,6 @@ def enriched_stream_rows(wire_stream: DataFrame) -> DataFrame:
                       *[F.col(f"r.{f}").alias(f) for f in RESULT_FIELDS])
 
 
-def run_window_summary(spark: SparkSession, enriched: str, sink: str, checkpoint: str,
-                       s: ScoreSettings = DEFAULT, delay: str = "1 day",
-                       files_per_trigger: int | None = None) -> list[dict]:
-    """Tumbling-window summary over the enriched records as a stream, append
-    mode: a (device, window) goes to the sink once, when event time has passed
-    its end by ``delay``. Rows up to ``delay`` late are counted; the windows
-    that are still open stay in the state (``read_window_summary`` has both)."""
-    from vigil.operators.reports import window_summary
-    _stream_conf(spark)
-    options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
-    src = (spark.readStream.schema(SINK_SCHEMA).options(**options).parquet(enriched)
-           .filter(F.col("reason").isNull()))
-    agg = window_summary(enriched_stream_rows(src), s, watermark=delay)
-    q = (agg.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    return drain(q)
-
-
-def read_window_summary(spark: SparkSession, sink: str, checkpoint: str) -> DataFrame:
-    """Every window of the streamed summary: the closed ones from the sink, the
-    open ones from the aggregation's state in the checkpoint."""
-    closed = spark.read.schema(SUMMARY_SCHEMA).parquet(sink)
-    state = spark.read.format("statestore").load(checkpoint)
-    # Key and value are the grouping and the aggregates' buffers, in their order.
-    rows = state.select(F.col("key").cast("struct<device:string,w:struct<start:timestamp,end:timestamp>>").alias("k"),
-                        F.col("value").cast("struct<rows:long,total:double,n:long,x:double,a:double,over:long>").alias("v"))
-    open_now = rows.select(F.col("k.device").alias("device_key"), F.unix_timestamp("k.w.start").alias("window_start"),
-                           F.col("v.rows").alias("rows"), F.round(F.col("v.total") / F.col("v.n"), 9).alias("avg_measurement"),
-                           F.col("v.x").alias("max_measurement"), F.col("v.a").alias("max_anomaly"), F.col("v.over").alias("anomalous"))
-    return closed.unionByName(open_now)
-
-
-SUMMARY_SCHEMA = ("device_key string, window_start long, rows long, avg_measurement double, max_measurement double, "
-                  "max_anomaly double, anomalous long")
-
-
 def read_transitions(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The scorer's transition tables, read from the stream checkpoint: per
     device and bucket every successor with its count and latest row."""
@@ -468,6 +434,16 @@ def read_device_state(spark: SparkSession, checkpoint: str) -> DataFrame:
                      F.col("value.b").alias("bucket"))
 
 
+def state_changes(spark: SparkSession, checkpoint: str, first: int, last: int) -> DataFrame:
+    """What the batches ``first`` to ``last`` changed in the devices' states: per
+    change the batch, the device, its state partition and its newest record
+    number (the state reader's change feed)."""
+    st = (spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "last").option("readChangeFeed", "true")
+          .option("changeStartBatchId", first).option("changeEndBatchId", last).load())
+    return st.select("batch_id", "change_type", F.col("key.device_key").alias("device_key"), "partition_id",
+                     F.col("value.n").alias("record_number"))
+
+
 def run_scoring(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                 s: ScoreSettings = DEFAULT, files_per_trigger: int | None = None,
                 max_batches: int | None = None, state_partitions: int | None = None,
