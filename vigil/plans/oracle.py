@@ -324,6 +324,7 @@ def all_sql() -> dict[str, str]:
         "record_diff_ties": _record_diff_ties(),
         "stream_reordered": f"SELECT {score_cols} FROM ({SCORED})",
         "stream_from_history": f"SELECT {score_cols} FROM ({SCORED})",
+        "stream_replay": f"SELECT {score_cols} FROM ({SCORED})",
         "stream_metrics": _metrics(),
         "encode_scalar": (f"SELECT device_key, seq, {bucket('measurement')} AS bucket, "
                           f"CAST(list_min({_scalar_bits('measurement')}) AS INTEGER) AS first_bit, "

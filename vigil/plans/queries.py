@@ -192,6 +192,25 @@ def q_stream_metrics(spark, sf):
                                             F.round("error_sum", 6).alias("error_sum"), "error_max")
 
 
+#: Rows of a micro-batch of the ordered replay.
+REPLAY_ROWS = 250
+
+
+def _replay_ordered(spark, sf, rows):
+    from vigil.streaming.scorer import replay_ordered
+    sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "ordered-ckpt")
+    # At a larger scale larger batches, so that their number stays the same.
+    rows *= max(1, spark.read.parquet(f"{sf}/events.parquet").count() // 10_000)
+    return sink, replay_ordered(_wire(spark, sf), sink, ck, rows)
+
+
+def q_stream_replay(spark, sf):
+    """The records through the ordered source, one query, many small batches."""
+    from vigil.streaming.scorer import read_enriched
+    sink, _ = _replay_ordered(spark, sf, REPLAY_ROWS)
+    return read_enriched(spark, sink).select(*SCORE_COLS)
+
+
 def q_stream_transitions(spark, sf):
     """The transition tables as the stream left them, read from its checkpoint."""
     from vigil.streaming.scorer import read_transitions
@@ -574,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_reordered": q_stream_reordered,
     "stream_from_history": q_stream_from_history,
     "stream_metrics": q_stream_metrics,
+    "stream_replay": q_stream_replay,
     "stream_quarantine": q_stream_quarantine,
     "stream_transitions": q_stream_transitions,
     "stream_window_summary": q_stream_window_summary,

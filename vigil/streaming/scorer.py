@@ -487,6 +487,26 @@ def replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, chunk_rows
     return done
 
 
+def replay_ordered(wire: DataFrame, sink: str, checkpoint: str, batch_rows: int, s: ScoreSettings = DEFAULT,
+                   max_batches: int | None = None, pause_ms: int = 0, order: str = "seq", staged: tuple[str, int] | None = None,
+                   state_partitions: int | None = None, **options) -> list[dict]:
+    """Replay in order as one query: the rows are staged by position
+    (``sources.replay.stage``, or ``staged`` by an earlier call) and every
+    micro-batch scores the next ``batch_rows`` of them, a batch per ``pause_ms``.
+    Goes on from ``checkpoint``; ``max_batches`` replays a part."""
+    from vigil.sources.replay import last_position, read_replay, stage
+    spark = wire.sparkSession
+    folder, total = staged or stage(wire, order)
+    left = -(-(total - last_position(spark, checkpoint)) // batch_rows)
+    if max_batches is not None and max_batches < left:
+        left, total = max_batches, last_position(spark, checkpoint) + max_batches * batch_rows
+    if left <= 0:
+        return []
+    src = read_replay(spark, folder, total, batch_rows, checkpoint)
+    q = start_scoring(src, checkpoint, "parquet", {"path": sink}, f"{pause_ms} milliseconds", s, state_partitions, **options)
+    return drain(q, left)
+
+
 def paced_replay(wire: DataFrame, landing: str, sink: str, checkpoint: str, s: ScoreSettings = DEFAULT, **options) -> list[dict]:
     """``replay`` at the pace of the settings: ``replay_batch_size`` records,
     then a pause of ``replay_batch_sleep_ms``."""
