@@ -21,12 +21,13 @@ only the carry side is shuffled. Only a block's first device continues from
 an earlier block, so each carry has at most ``blocks`` rows (numbering:
 ``2 * blocks``), the maps at most ``n_buckets`` x (``n_buckets`` + 1) entries.
 
-Rows keep all their fields through the blocks, so nothing is joined back and
-``seq`` may repeat or be null. One range exchange cuts the rows into blocks; a
-second exchange deals them by block number (each block is one partition), after
-which every window, aggregate and carry join keeps its partitioning. Two
-relations are cached: the numbered blocks, and the rows with their running mode
-and successor set, so that each row-level window runs once. The scores are
+One range exchange cuts the rows into blocks; a second exchange deals them by
+block number (each block is one partition), after which every window, aggregate
+and join keeps its partitioning. Two relations are cached: the numbered blocks
+with all fields, and, with the model's columns alone, the rows with their running
+mode and successor set, so that each row-level window runs once. The results join
+the records by (device, block, number in the block), which is unique however
+``seq`` repeats or is null. The scores are
 checkpointed (reliable, in ``spark.checkpoint.dir``), which cuts the lineage
 and lets the caches go. The plan is eager: it runs its jobs when called.
 """
@@ -82,8 +83,10 @@ def score_segmented(prepared: DataFrame, s: ScoreSettings, blocks: int) -> DataF
 
 def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     """The model over the cached blocked rows; returns the checkpointed
-    scores."""
-    a = base
+    scores. Only what the model needs goes through the windows and the second
+    cache; the other fields join at the end, by a row's number in its block."""
+    place = ["device_key", "blk", "ln"]
+    a = base.select(*place, "nb_local", "b", "measurement")
     words = range(n_words(s.n_buckets))
     succ = [f"succ_{k}" for k in words]
     by_blk = Window.partitionBy("device_key").orderBy("blk")
@@ -186,7 +189,8 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
     from vigil.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(base.sparkSession)
     try:
-        return finish(d, s, prev).drop("blk", "ln", *succ, "pn1_l", "pn2_l", "x1_l", "p_pn1", "p_pn2", "p_x1",
-                                       *[f"s{k}_l" for k in words], *[f"p_s{k}" for k in words]).checkpoint(eager=True)
+        results = finish(d, s, prev).select(*place, "record_number", "predictionNext", "prediction", "error", "anomaly")
+        # Both sides are dealt by block already, so this join moves no row.
+        return base.drop("nb_local").join(results.hint("merge"), place).drop("blk", "ln").checkpoint(eager=True)
     finally:
         c3.unpersist()

@@ -201,7 +201,7 @@ def _replay_ordered(spark, sf, rows):
     sink, ck = scratch_dir(spark, "enriched"), scratch_dir(spark, "ordered-ckpt")
     # At a larger scale larger batches, so that their number stays the same.
     rows *= max(1, spark.read.parquet(f"{sf}/events.parquet").count() // 10_000)
-    return sink, replay_ordered(_wire(spark, sf), sink, ck, rows)
+    return sink, replay_ordered(_wire(spark, sf), sink, ck, rows, state_partitions=4)
 
 
 def q_stream_replay(spark, sf):

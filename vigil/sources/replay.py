@@ -32,9 +32,10 @@ def stage(wire: DataFrame, order: str = "seq") -> tuple[str, int]:
     first. One range exchange; only the number of rows comes to the driver."""
     folder = scratch_dir(wire.sparkSession, "staged")
     rows = row_positions(wire, [order], "position", keep=COLUMNS)
-    (rows.select(*COLUMNS, "position", F.floor(F.col("position") / BIN_ROWS).alias("bin"))
+    own = [F.col(c).cast(t).alias(c) for c, t in (f.split() for f in SCHEMA.split(", "))]
+    (rows.select(*own, "position", F.floor(F.col("position") / BIN_ROWS).alias("bin"))
      .write.partitionBy("bin").parquet(folder))
-    return folder, wire.sparkSession.read.parquet(folder).count()
+    return folder, wire.sparkSession.read.schema(SCHEMA).parquet(folder).count()
 
 
 class Positions(InputPartition):

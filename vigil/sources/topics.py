@@ -21,10 +21,16 @@ from vigil.schema import WIRE_SCHEMA
 from vigil.settings import DEFAULT, ScoreSettings
 
 
+#: Records of a micro-batch from topics, unless the caller says otherwise.
+OFFSETS_PER_TRIGGER = 1_000_000
+
+
 def kafka_reader_options(servers: str, topics: str, starting_offsets: str = "latest",
-                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                         max_offsets_per_trigger: int | None = OFFSETS_PER_TRIGGER) -> dict[str, str]:
     """Subscribe to a comma-separated topic list. The starting offsets apply
-    on the first start only; later starts resume from the checkpoint."""
+    on the first start only; later starts resume from the checkpoint. A
+    micro-batch takes at most ``max_offsets_per_trigger`` records (None: all
+    there are), so a first start on a long topic is not one batch."""
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topics,
             "startingOffsets": starting_offsets, "failOnDataLoss": "true"}
     if max_offsets_per_trigger:
