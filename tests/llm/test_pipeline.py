@@ -95,3 +95,42 @@ def test_encoding_stage(stages):
 def test_run_is_the_stages(spark, stages):
     sf, out = stages
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == sorted(map(tuple, out[-1].collect()))
+
+
+CLASHING = ["kept", "score", "_s", "_w", "_t", "_did", "_row", "matches", "n_lines", "n_near", "place", "component_id", "a b", "_rest", "ids", "c0"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_other_columns_survive(spark, name, stage):
+    """Columns named like those of the operators, and one with a blank, come back as they were."""
+    import random
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    rng = random.Random(6)
+    lines = ["\n".join(" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(rng.randrange(300)) for _ in range(12)) for _ in range(8))
+             for _ in range(6)]
+    rows = [(k, t) for k, t in enumerate(lines)] + [(None, lines[0]), (8, None), (9, ""), (10, (lines[1] + "\n") * 3), (10, "long " * 300_000)]
+    full = [(i, t, "en", *[f"{c}-{k}" for c in CLASHING]) for k, (i, t) in enumerate(rows)]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in ["text", "lang", *CLASHING]]])
+    docs = spark.createDataFrame(full, schema)
+    got = stage(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns
+    before = {r["kept"]: tuple(r)[2:] for r in docs.collect()}
+    after = got.collect()
+    assert all(before[r["kept"]] == tuple(r)[2:] for r in after)
+    plain = stage(spark, docs.select("doc_id", "text"), SF_SMALL)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "")
+    if name != "near_dedup":  # there ties among equal rows go by the whole row
+        assert sorted(map(key, after)) == sorted(map(key, plain.collect()))
+    else:
+        assert len(after) == plain.count()
+    none = stage(spark, docs.filter(F.lit(False)), SF_SMALL)
+    assert none.columns == docs.columns and none.count() == 0
+
+
+def test_last_stage_with_other_columns(spark):
+    from conftest import SF_SMALL
+    docs = spark.createDataFrame([(1, "a b", 3, "x", "y")], "doc_id long, text string, n_tokens int, ids string, decoded string")
+    assert [r.n_tokens for r in corpus_pipeline.encode(spark, docs, SF_SMALL).collect()] == [2]
+    assert corpus_pipeline.encode(spark, docs.filter("false"), SF_SMALL).count() == 0
