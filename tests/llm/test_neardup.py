@@ -74,7 +74,7 @@ def test_families_around_the_limit(frame):
 def test_edges(frame):
     rows = [(9, None), (8, ""), (7, " \n\t"), (6, "one"), (5, "ONE"), (4, "one"), (3, "one two"), (2, "One\x0bTWO"), (None, "one two"),
             (None, None), (10, "É é"), (11, "é é"), (12, "a b c d e f"), (12, "a b c d e f"), (13, "a b c d e f"),
-            (14, "x y z"), (14, "q r s"), (15, "q r s"), (16, "x y z"), (17, "word " * 50_000), (18, "word " * 3),
+            (14, "x y z"), (14, "q r s"), (14, None), (15, "q r s"), (16, "x y z"), (17, "word " * 50_000), (18, "word " * 3),
             (19, " ".join(f"n{k}" for k in range(60_000))), (20, " ".join(f"n{k}" for k in range(60_003)))]
     df = frame(rows).withColumn("kept", F.lit("clash")).withColumn("node", F.lit(1))
     check(N.near_duplicates(df, size=2).collect(), rows)
@@ -110,3 +110,26 @@ def test_components(frame):
 
 def test_query(spark, small, documents):
     check(QUERIES["op7_neardup"](spark, small).collect(), list(documents.items()))
+
+
+def test_only_pairs_within_the_signature_distance_are_confirmed():
+    rng = np.random.default_rng(4)
+    own = np.unique(rng.integers(0, 1 << 62, 100, dtype=np.uint64))
+    sig = N.signature(own, N._multipliers(N.SYMBOLS))
+    far = sig.copy()
+    far[:15] += np.uint16(1)
+    first = np.array([True, True])
+    for other, links in ((sig, 1), (far, 0)):
+        got = N.link_block(np.array([1, 2]), [own, own], np.stack([sig, other]), first, 80, 14)
+        assert len(got) == links
+    far[0] = sig[0]
+    assert N.link_block(np.array([1, 2]), [own, own], np.stack([sig, far]), first, 80, 14) == [(1, 2)]
+
+
+def test_shared_boilerplate_links_nothing(frame):
+    rng = random.Random(12)
+    shared = [f"b{j}" for j in range(60)]  # about 0.3 of the shingles of any two
+    rows = [(k, " ".join(shared + [f"o{rng.randrange(10**9)}" for _ in range(70)])) for k in range(300)]
+    rows += [(1000 + k, t + " end") for k, t in rows[::10]]
+    check(N.near_duplicates(frame(rows), size=2).collect(), rows)
+    check(N.near_duplicates(frame(rows), size=2, block_shingles=3000).collect(), rows)

@@ -15,16 +15,18 @@
    over blocks of bounded size, and only pairs of blocks that some key spans
    are compared. No row pairs are emitted: a task holds two blocks and returns
    the links that join its members into groups, at most one per member.
-4. Check. Links are confirmed on the full sets: shared shingles by bit masks
-   over the shingles that occur more than once in the two blocks.
+4. Check. Within a task the signatures of two members are compared, and pairs
+   beyond the guaranteed distance go no further. The others are confirmed on the
+   full sets: shared shingles by bit masks over the shingles that occur more than
+   once in the two blocks.
 5. Components of the confirmed links, then back to all documents.
 
 Defined cases: null, empty or blank text has an empty set and is linked with
 nothing (component: itself); fewer words than a shingle make the whole
-sequence one shingle; equal texts are one class; documents with a null doc_id
-keep a null component and are kept; rows that repeat a doc_id with different
-texts link through that id; an empty table gives an empty result. Extra
-columns are ignored.
+sequence one shingle; whole texts are taken at any length; equal texts are one
+class; documents with a null doc_id keep a null component and are kept; rows
+that repeat a doc_id with different texts link through that id; an empty table
+gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -141,9 +143,11 @@ def keyed(classes: DataFrame, chunks: int, errors: int) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(run, "key long, node long")
 
 
-def link_block(nodes: np.ndarray, sets: list[np.ndarray], first: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links (100 * shared >= percent * union) that connect the members of two
-    blocks (``first``: in the first block): a spanning forest of them."""
+def link_block(nodes: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray, first: np.ndarray, percent: int,
+               distance: int) -> list[tuple[int, int]]:
+    """Links (signatures within ``distance`` and 100 * shared >= percent * union)
+    that connect the members of two blocks (``first``: in the first block): a
+    spanning forest of them."""
     order = np.argsort([len(s) for s in sets], kind="stable")
     sizes = np.array([len(sets[k]) for k in order])
     both = np.concatenate([sets[k] for k in order])
@@ -158,7 +162,7 @@ def link_block(nodes: np.ndarray, sets: list[np.ndarray], first: np.ndarray, per
     group = np.arange(len(order))
 
     out = []
-    side = first[order]
+    side, sigs = first[order], sigs[order]
     one_block = bool(side.all())
     for k in range(len(order) - 1):
         # Larger sets up to the size bound, of another group, across the blocks.
@@ -167,6 +171,7 @@ def link_block(nodes: np.ndarray, sets: list[np.ndarray], first: np.ndarray, per
         rest = rest[group[rest] != group[k]]
         if not one_block:
             rest = rest[side[rest] != side[k]]
+        rest = rest[(sigs[rest] != sigs[k]).sum(axis=1) <= distance]
         while len(rest):
             part, rest = rest[:256], rest[256:]
             shared = np.bitwise_count(bits[part] & bits[k]).sum(axis=1, dtype=np.int64)
@@ -178,9 +183,10 @@ def link_block(nodes: np.ndarray, sets: list[np.ndarray], first: np.ndarray, per
     return out
 
 
-def linked(clustered: DataFrame, spans: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """Confirmed links (u, v). ``clustered``: (node, cluster, block); ``spans``:
-    (cluster, a, b), the pairs of blocks to compare."""
+def linked(clustered: DataFrame, spans: DataFrame, docs: DataFrame, text: str, size: int, percent: int, symbols: int,
+           distance: int) -> DataFrame:
+    """Confirmed links (u, v). ``clustered``: (node, signature, cluster, block);
+    ``spans``: (cluster, a, b), the pairs of blocks to compare."""
     def sets(batches):
         for batch in batches:
             got = [shingles(t, size).tobytes() for t in batch.column(1).to_pylist()]
@@ -189,16 +195,20 @@ def linked(clustered: DataFrame, spans: DataFrame, docs: DataFrame, text: str, s
     # One text of each class: the rows of its smallest doc_id (equal sets, or any of them).
     texts = (docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).cast("string").alias("text"))
              .join(clustered.select("node").hint("merge"), "node", "left_semi"))
-    full = written(texts.mapInArrow(sets, "node long, shingles binary"), "shingles")
+    full = written(texts.mapInArrow(sets, "node long, shingles binary").filter(F.octet_length("shingles") > 0), "shingles")
     placed = full.join(clustered.hint("merge"), "node")
     each = spans.select("cluster", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
-    tasks = placed.join(each.hint("merge"), ["cluster", "block"]).select("cluster", "a", "b", "block", "node", "shingles")
+    tasks = placed.join(each.hint("merge"), ["cluster", "block"]).select(
+        "cluster", "a", "b", "block", "node", "signature", "shingles")
 
     def run(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
         sets_ = [np.frombuffer(b, np.uint64) for b in table.column("shingles").to_pylist()]
         first = (table.column("block").to_numpy() == table.column("a").to_numpy())
-        links = link_block(nodes, sets_, first, percent)
+        mult = _multipliers(symbols)
+        sigs = np.stack([np.frombuffer(b, np.uint16) if b else signature(s, mult)
+                         for b, s in zip(table.column("signature").to_pylist(), sets_)])
+        links = link_block(nodes, sets_, sigs, first, percent, distance)
         return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
     return tasks.groupBy("cluster", "a", "b").applyInArrow(run, "u long, v long")
@@ -220,18 +230,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = 5, percent:
     clusters = written(components(met.select(F.col("head").alias("u"), F.col("node").alias("v"))), "clusters")
 
     # Blocks: members dealt by a hash over as many blocks as the cluster's shingles fill.
-    members = (classes.groupBy("node").agg(F.max("n").alias("n"))
+    # Where one doc_id stands for several sets, each text's own signature is made when it is compared.
+    one = F.when(F.count(F.lit(1)) == 1, F.min("signature")).alias("signature")
+    members = (classes.groupBy("node").agg(F.max("n").alias("n"), one)
                .join(clusters.select("node", F.col("component").alias("cluster")).hint("merge"), "node"))
     filled = members.groupBy("cluster").agg(F.ceil(F.sum(F.col("n") + MEMBER) / block_shingles).cast("long").alias("blocks"))
     clustered = written(
         salted_join(members, filled, "cluster", "inner")
-        .select("node", "cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "blocks")
-    spread = (met.join(clustered, "node").groupBy("key", "cluster")
+        .select("node", "signature", "cluster", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "blocks")
+    spread = (met.join(clustered.drop("signature"), "node").groupBy("key", "cluster")
               .agg(F.collect_set("block").alias("blocks"))
               .select("cluster", F.array_sort("blocks").alias("blocks")).distinct())
     spans = (spread.select("cluster", "blocks", F.explode("blocks").alias("a"))
              .select("cluster", "a", F.explode(F.filter("blocks", lambda b: b >= F.col("a"))).alias("b")).distinct())
-    edges = linked(clustered, spans, docs, text, size, percent)
+    edges = linked(clustered, spans, docs, text, size, percent, symbols, chunks * (errors + 1) - 1)
 
     # Classes that share a smallest doc_id, and ids that repeat, link by that id.
     final = components(edges)
