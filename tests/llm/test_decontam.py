@@ -61,16 +61,44 @@ def test_exact_near_and_partial_passages(frame):
         check(rows, docs, items)
 
 
-def test_index_finds_everything_within_the_radius():
+def test_index_finds_just_the_items_within_the_radius():
     rng = np.random.default_rng(2)
-    items = D.Items([(k, f"w{k} x{k} y{k} z{k} q{k} r{k}") for k in range(300)], 5, D.RADIUS, D.BLOCKS, 0.8)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(6 + k % 3))) for k in range(300)]
+    items = D.Items(rows, 5, D.RADIUS, 0.8)
+    assert [g[:2] for g in items.groups] == [(5, 2), (5, 3), (5, 4)]
     near = items.prints.copy()
     for k in range(len(near)):  # up to the radius
-        for b in rng.choice(64, rng.integers(0, D.RADIUS + 1), replace=False):
-            near[k] ^= np.uint64(1) << np.uint64(b)
-    found = items.within_radius(near)
-    exact = np.bitwise_count(near[:, None] ^ items.prints[None, :]) <= D.RADIUS
-    assert np.array_equal(found, exact) and exact.diagonal().all()
+        for b in rng.choice(D.BITS, rng.integers(0, D.RADIUS + 2), replace=False):
+            near[k, b // 16] ^= np.uint16(1 << (b % 16))
+    exact = D._distance(near[:, None], items.prints[None, :]) <= D.RADIUS
+    assert 200 < exact.diagonal().sum() < 300
+    for _, _, low, high in items.groups:
+        found = np.zeros_like(exact)
+        found[items.within_radius(near, low, high)] = True
+        assert np.array_equal(found[:, low:high], exact[:, low:high]) and found.sum() == exact[:, low:high].sum()
+
+
+def test_fingerprints_of_windows_at_the_limit_lie_within_the_radius():
+    rng = np.random.default_rng(5)
+    for n in (9, 18, 45, 200):
+        missed = 0
+        for _ in range(200):
+            run = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            other = run.copy()
+            other[:n // 9] = rng.integers(0, 1 << 63, n // 9, dtype=np.uint64)  # similarity 0.8
+            a, b = (D._fingerprints(D._signed(r).sum(axis=0, keepdims=True)) for r in (run, other))
+            missed += int(D._distance(a, b)[0] > D.RADIUS)
+        assert missed == 0, n
+
+
+def test_a_very_long_text(frame):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(30))) for k in range(3)]
+    far = [f"t{rng.randrange(10**6)}" for _ in range(300_000)]
+    text = " ".join(far[:200_000] + items[1][1].split() + far[200_000:] + items[2][1].split()[:29])
+    got = D.decontaminate(frame([(1, text)]), frame(items, "item_id long, text string")).first().matches
+    assert [(m.item_id, m.word) for m in got] == [(1, 200_000), (2, 300_029)]
+    assert got[0].similarity == 1.0 and abs(got[1].similarity - 25 / 27) < 1e-9
 
 
 def test_empty_tables(frame):
