@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from vigil.llm import toxicity as T
@@ -69,3 +70,66 @@ def test_training_does_not_depend_on_partitions(frame):
     one = {r.doc_id: r.score for r in T.score(frame(docs), *a).collect()}
     two = {r.doc_id: r.score for r in T.score(frame(docs), *b).collect()}
     assert all(abs(one[k] - two[k]) < 1e-3 for k in one)
+
+
+def plain_grams(text, buckets):
+    """The buckets of a text, one code point after the other."""
+    c = [(ord(x) * 2654435761 + 97) % 2**32 for x in f" {text.lower()} "]
+    out = set()
+    for n in T.SIZES:
+        for k in range(len(c) - n + 1):
+            h = c[k]
+            for x in c[k + 1:k + n]:
+                h = (h * 16777619 + x) % 2**32
+            h ^= h >> 15
+            out.add((h * (2246822519 + 2 * n)) % 2**32 * buckets >> 32)
+    return out
+
+
+def plain_model(texts, labels, buckets):
+    """Counts, ratios and a dense logistic regression by Newton steps."""
+    x = np.zeros((len(texts), buckets))
+    for k, t in enumerate(texts):
+        x[k, list(plain_grams(t, buckets))] = 1
+    y = np.array(labels, float)
+    share = [(x[y == c].sum(axis=0) + 1) / ((y == c).sum() + 2) for c in (0, 1)]
+    ratio = np.log(share[1]) - np.log(share[0])
+    x = np.hstack([x * ratio, np.ones((len(texts), 1))])
+    beta = np.zeros(buckets + 1)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ beta))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.eye(buckets + 1), x.T @ (p - y) + beta)
+        beta -= step / max(1, np.abs(step).max())
+    assert np.abs(x.T @ (1 / (1 + np.exp(-x @ beta)) - y) + beta).max() < 1e-8
+    return ratio, beta[:-1] * ratio, beta[-1]
+
+
+def test_against_counts_ratios_and_a_dense_fit(frame):
+    docs, labels = corpus(120, seed=9)
+    docs[7] = (7, "é" + docs[7][1].upper() + " 𝔘")
+    buckets = 512
+    ratio, weights, b = plain_model([t for _, t in docs], [y for _, y in labels], buckets)
+    grams = T.Grams(buckets)
+    for _, t in docs:
+        g = grams(t).tolist()
+        assert len(g) == len(set(g)) and set(g) == plain_grams(t, buckets)
+    got, constant = T.train(frame(docs).repartition(3), frame(labels, "doc_id long, toxic int"), buckets=buckets)
+    assert np.abs(got - weights).max() < 0.02 and abs(constant - b) < 0.02
+    rows = [grams(t) for _, t in docs]
+    exact, constant = T.logistic(rows, np.array([y for _, y in labels], float), ratio, rounds=2000, tolerance=1e-9)
+    assert np.abs(exact - weights).max() < 1e-5 and abs(constant - b) < 1e-5
+
+
+def test_every_bucket_met_has_a_weight(frame):
+    docs, labels = corpus(60)
+    docs[10] = (10, docs[10][1] + " zyxwvutsrqp")  # toxic, once in the corpus
+    weights, _ = T.train(frame(docs), frame(labels, "doc_id long, toxic int"))
+    own = T.Grams(T.BUCKETS)("zyxwvutsrqp")
+    assert (weights[own] != 0).mean() > 0.8 and weights[own].sum() > 0
+
+
+def test_very_long_text(frame):
+    docs, labels = corpus(60)
+    docs.append((500, "clean words " * 100_000 + "moronic scumbag trashy pathetic"))
+    got = T.score(frame(docs), *T.train(frame(docs), frame([*labels, (500, 1)], "doc_id long, toxic int"))).collect()
+    assert len(got) == 61 and {r.doc_id: r.score for r in got}[500] > 0.3

@@ -5,25 +5,31 @@ log-count ratios.
    it has (each once) to the counts of its class; all labelled training rows
    count, summed within tasks and then by bucket.
 2. Scaling. Each bucket's feature is 1 (present) times the log ratio of its
-   smoothed shares in toxic and clean documents.
-3. Fit. L2 logistic regression on the scaled features, on a sample of labelled
-   rows with a documented bound (``max_fit`` per class, by hash of doc_id); the
-   intercept is put back to the classes' true shares.
+   smoothed shares in toxic and clean documents. Every bucket takes part.
+3. Fit. L2 logistic regression on the scaled features and a constant, on a
+   sample of labelled rows with a documented bound (``max_fit`` per class, by hash
+   of doc_id), by coordinate steps in the dual: one number for each row, a step
+   costs the row's n-grams; the intercept is put back to the classes' true shares.
 4. Scoring of every whole text is one pass without a shuffle; the weights are
    one array of ``buckets`` floats.
 
 Only the text enters a score. Defined cases: null text is empty and, having no
 n-grams, scores the intercept; a row whose label or doc_id is null is not
 learned from; conflicting label rows all count; repeated documents count and
-are scored each; with no label of one class every score is that class's share
-(0.0 without labels); empty tables give empty results. Extra columns are
-ignored unless named in ``keep``.
+are scored each; texts of any length are read whole; rows are fitted in the order of
+their class and n-grams, so neither partitions nor ties change the model; with
+no label of one class every score is that class's share (0.0 without labels);
+empty tables give empty results. Extra columns are ignored unless named in
+``keep``.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +40,8 @@ SIZES = (4, 6, 8)
 SMOOTHING = 1.0
 #: Most sampled rows of each class that the linear fit sees (about, by hash).
 MAX_FIT = 3000
-#: Buckets of fewer training documents take no part in the fit.
-LEAST_DOCS = 3
-#: So many buckets take part in the fit.
-FEATURES = 4096
+#: The fit ends when no row's number moves further, or after so many rounds.
+TOLERANCE, ROUNDS = 1e-3, 50
 THRESHOLD = 0.3
 
 
@@ -95,36 +99,74 @@ def _count(batches, buckets: int):
             names=["bucket", "clean", "toxic", "text", "label"])
 
 
+def log_ratios(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    """Log ratio of each bucket's smoothed shares in toxic and clean documents."""
+    return (np.log((toxic + SMOOTHING) / (n_toxic + 2 * SMOOTHING))
+            - np.log((clean + SMOOTHING) / (n_clean + 2 * SMOOTHING)))
+
+
+def _step(a: float, margin: float, norm: float) -> float:
+    """The share t that solves norm * (t - a) + margin + log(t / (1 - t)) = 0,
+    by Newton steps on its log odds within a shrinking bracket."""
+    low, high = -margin - norm * (1.0 - a), -margin + norm * a
+    u = min(max(math.log(a / (1.0 - a)) if 0.0 < a < 1.0 else 0.0, low), high)
+    for _ in range(60):
+        t = 1.0 / (1.0 + math.exp(-max(u, -700.0)))
+        gap = norm * (t - a) + margin + u
+        if gap > 0:
+            high = u
+        else:
+            low = u
+        following = u - gap / (1.0 + norm * t * (1.0 - t))
+        if not low < following < high:
+            following = 0.5 * (low + high)
+        if abs(following - u) < 1e-10:
+            break
+        u = following
+    return 1.0 / (1.0 + math.exp(-max(u, -700.0)))
+
+
 def logistic(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, l2: float = 1.0,
-             rounds: int = 400, rate: float = 0.1) -> tuple[np.ndarray, float]:
+             rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
     """Weights and intercept of L2 logistic regression on the rows' buckets,
-    scaled by ``ratio``: full-batch steps with per-weight step sizes from the
-    running first and second moments of the gradient."""
-    used, cols = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_inverse=True)
-    own = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    x = ratio[used][cols]
-    n = len(used)
-    beta, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)  # the last is the intercept
-    for k in range(1, rounds + 1):
-        z = np.bincount(own, x * beta[cols], len(rows)) + beta[n]
-        gap = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - labels
-        grad = np.append(np.bincount(cols, x * gap[own], n) + l2 * beta[:n], gap.sum()) / len(rows)
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        beta -= rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
-    weights = np.zeros(len(ratio))
-    weights[used] = beta[:n] * ratio[used]
-    return weights, float(beta[n])
-
-
-def _fit(batches, buckets: int, ratio: np.ndarray, usable: np.ndarray):
+    scaled by ``ratio``, and a constant 1. Each row has a share in (0, 1), by
+    which it counts in the weights; a step solves one row's share exactly."""
+    order = np.random.default_rng(1)
+    sign = np.where(labels > 0, 1.0, -1.0)
+    scaled = np.zeros(len(ratio))
+    constant = 0.0
+    share = np.full(len(rows), 0.5)
+    norm = np.zeros(len(rows))
+    for r, s, k in zip(rows, sign, range(len(rows))):
+        x = ratio[r]
+        norm[k] = (x @ x + 1.0) / l2
+        scaled[r] += 0.5 * s / l2 * x
+        constant += 0.5 * s / l2
+    for _ in range(rounds):
+        most = 0.0
+        for k in order.permutation(len(rows)):
+            r, s = rows[k], sign[k]
+            x = ratio[r]
+            t = _step(share[k], s * (float(x @ scaled[r]) + constant), norm[k])
+            move = t - share[k]
+            share[k] = t
+            most = max(most, abs(move))
+            scaled[r] += s * move / l2 * x
+            constant += s * move / l2
+        if most < tolerance:
+            break
+    return scaled * ratio, float(constant)
+
+
+def _fit(batches, buckets: int, ratio: np.ndarray):
     grams = Grams(buckets)
     rows, labels = [], []
     for batch in batches:
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            f = grams(t or "")
-            rows.append(f[usable[f]].astype(np.int64))
+            rows.append(grams(t or ""))
             labels.append(y)
-    w, b = logistic(rows, np.array(labels, float), ratio)
+    order = sorted(range(len(rows)), key=lambda k: (labels[k], xxhash.xxh64_intdigest(rows[k].tobytes())))
+    w, b = logistic([rows[k] for k in order], np.array([labels[k] for k in order], float), ratio)
     at = np.flatnonzero(w)
     yield pa.RecordBatch.from_arrays(
         [pa.array([-1, *at.tolist()], pa.int64()), pa.array([b, *w[at].tolist()], pa.float64())], names=["bucket", "w"])
@@ -156,16 +198,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int =
     p, q = np.zeros(buckets), np.zeros(buckets)
     own = at >= 0
     q[at[own]], p[at[own]] = clean[own], toxic[own]
-    ratio = np.log((p + SMOOTHING) / (n1 + 2 * SMOOTHING)) - np.log((q + SMOOTHING) / (n0 + 2 * SMOOTHING))
-    # The buckets whose log ratio stands out most from its sampling error.
-    z = np.abs(ratio) / np.sqrt(1 / (p + SMOOTHING) + 1 / (q + SMOOTHING))
-    usable = np.zeros(buckets, bool)
-    usable[np.argsort(-z, kind="stable")[:FEATURES]] = True
-    usable &= (p + q) >= LEAST_DOCS
+    ratio = log_ratios(q, p, n0, n1)
     chosen = made.filter(F.col("bucket").isNull()).select("text", "label")
-    share = spark.sparkContext.broadcast((ratio, usable))
+    sent = spark.sparkContext.broadcast(ratio)
     # One task fits the model: its rows are bounded by max_fit.
-    fitted = (chosen.repartition(1).mapInArrow(lambda it: _fit(it, buckets, *share.value), "bucket long, w double")
+    fitted = (chosen.repartition(1).mapInArrow(lambda it: _fit(it, buckets, sent.value), "bucket long, w double")
               .toArrow())
     bucket, w = fitted.column("bucket").to_numpy(), fitted.column("w").to_numpy()
     weights = np.zeros(buckets)
