@@ -41,7 +41,7 @@ SMOOTHING = 1.0
 #: Most sampled rows of each class that the linear fit sees (about, by hash).
 MAX_FIT = 3000
 #: The fit ends when no row's number moves further, or after so many rounds.
-TOLERANCE, ROUNDS = 1e-3, 50
+TOLERANCE, ROUNDS = 1e-3, 100
 THRESHOLD = 0.3
 
 
@@ -130,7 +130,8 @@ def logistic(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, l2:
              rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
     """Weights and intercept of L2 logistic regression on the rows' buckets,
     scaled by ``ratio``, and a constant 1. Each row has a share in (0, 1), by
-    which it counts in the weights; a step solves one row's share exactly."""
+    which it counts in the weights; a step solves one row's share exactly. Rows
+    that stood still rest until all do; the fit ends with a round over all rows."""
     order = np.random.default_rng(1)
     sign = np.where(labels > 0, 1.0, -1.0)
     scaled = np.zeros(len(ratio))
@@ -142,19 +143,24 @@ def logistic(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, l2:
         norm[k] = (x @ x + 1.0) / l2
         scaled[r] += 0.5 * s / l2 * x
         constant += 0.5 * s / l2
+    active = np.arange(len(rows))
     for _ in range(rounds):
-        most = 0.0
-        for k in order.permutation(len(rows)):
+        moved = np.zeros(len(rows))
+        for k in order.permutation(active):
             r, s = rows[k], sign[k]
             x = ratio[r]
             t = _step(share[k], s * (float(x @ scaled[r]) + constant), norm[k])
-            move = t - share[k]
-            share[k] = t
-            most = max(most, abs(move))
-            scaled[r] += s * move / l2 * x
-            constant += s * move / l2
-        if most < tolerance:
-            break
+            move = moved[k] = t - share[k]
+            if move:
+                share[k] = t
+                scaled[r] += s * move / l2 * x
+                constant += s * move / l2
+        whole = len(active) == len(rows)
+        active = np.flatnonzero(np.abs(moved) >= tolerance)
+        if not len(active):
+            if whole:
+                break
+            active = np.arange(len(rows))
     return scaled * ratio, float(constant)
 
 
@@ -163,7 +169,7 @@ def _fit(batches, buckets: int, ratio: np.ndarray):
     rows, labels = [], []
     for batch in batches:
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows.append(grams(t or ""))
+            rows.append(np.sort(grams(t or "")).astype(np.int32))
             labels.append(y)
     order = sorted(range(len(rows)), key=lambda k: (labels[k], xxhash.xxh64_intdigest(rows[k].tobytes())))
     w, b = logistic([rows[k] for k in order], np.array([labels[k] for k in order], float), ratio)
