@@ -74,16 +74,21 @@ def order_of(doc_id, text, pos):
     return (L.LAST_ID if doc_id is None else doc_id, h - (1 << 64) if h >> 63 else h, pos)
 
 
-def plain(rows, threshold=L.THRESHOLD, least=L.LEAST):
+def most(a, b, steps):
+    """The edits that two lines may differ by: those of the longer one."""
+    return max([e for n, e in steps if max(len(a), len(b)) >= n], default=0)
+
+
+def plain(rows, steps=L.STEPS):
     first = {}
     for i, t in rows:
         for p, line in enumerate((t or "").split("\n")):
             if line.strip(GAPS):
                 k = order_of(i, t, p)
                 first[line] = min(first.get(line, k), k)
-    ranked = sorted((x for x in first if len(x) >= least), key=first.get)
+    ranked = sorted(first, key=first.get)
     near = {b for k, b in enumerate(ranked) if any(
-        abs(len(a) - len(b)) <= threshold and L.within(a, b, threshold) for a in ranked[:k])}
+        abs(len(a) - len(b)) <= most(a, b, steps) and L.within(a, b, most(a, b, steps)) for a in ranked[:k])}
     out = []
     for i, t in rows:
         if t is None:
@@ -130,7 +135,7 @@ def planted(documents, seed=5):
     rng = random.Random(seed)
     docs = [(i, t) for i, t in sorted(documents.items()) if len(t) < 2500][:60]
     lines = [x for _, t in docs for x in t.split("\n") if len(x) >= 28]
-    extra = [(1000 + k, "\n".join(edited(rng, rng.choice(lines)[:rng.choice([33, 60, 400])], rng.randrange(4)) for _ in range(6)))
+    extra = [(1000 + k, "\n".join(edited(rng, rng.choice(lines)[:rng.choice([15, 17, 24, 31, 33, 60, 255, 258, 400])], rng.randrange(5)) for _ in range(6)))
              for k in range(30)]
     return docs + extra
 
@@ -160,7 +165,48 @@ def test_keys_across_small_batches(spark, frame, documents, hot_key):
 
 def test_threshold_one_and_short_lines(frame):
     rows = [(1, "abcdefghij\nabcdefghiX"), (2, "abcdefgh\nabcdefghijk"), (3, "abcXefghij\nzz"), (4, "zy\nzz")]
-    check(L.line_dedup(frame(rows), threshold=1, least=5).collect(), plain(rows, 1, 5))
+    check(L.line_dedup(frame(rows), steps=((5, 1),)).collect(), plain(rows, ((5, 1),)))
+
+
+@given(st.text("abcde", min_size=3, max_size=24), st.lists(st.tuples(st.integers(0, 2), st.integers(0, 23), st.sampled_from("abcx")), max_size=4))
+@settings(max_examples=500, deadline=None)
+def test_lines_share_a_key_across_steps(a, edits):
+    steps = ((4, 1), (8, 2), (14, 3), (20, 4))
+    b = list(a)
+    for kind, p, c in edits:
+        if kind == 0:
+            b.insert(p, c)
+        elif p < len(b):
+            if kind == 1:
+                del b[p]
+            else:
+                b[p] = c
+    b = "".join(b)
+    if a != b and b and distance(a, b) <= most(a, b, steps):
+        length = np.array([len(a), len(b)])
+        points = np.frombuffer((a + b).encode("utf-32-le"), np.uint32)
+        row, key, side = L.line_keys(L.Substrings(points), np.cumsum(length) - length, length, steps)
+        long, short = (0, 1) if len(a) >= len(b) else (1, 0)
+        t = most(a, b, steps)
+        assert set(key[(row == long) & (side == t)]) & set(key[(row == short) & (side == -t)])
+
+
+@pytest.mark.parametrize("hot_key", [L.HOT_KEY, 0])
+def test_edits_grow_with_length(frame, hot_key):
+    long = "".join(random.Random(3).choice("abcdefghij ") for _ in range(300))
+    rows = [(1, "Copyright 2021 Foo Inc."), (2, "Copyright 2022 Foo Inc."), (3, "Copyright 2032 Foo Inc"),
+            (4, "page 12 of 30"), (5, "page 13 of 30"), (6, "x" * 31), (7, "x" * 33), (8, "x" * 30), (9, "y" * 15), (10, "y" * 16),
+            (11, long), (12, "X" + long[1:150] + "X" + long[151:299] + "X"), (13, "YZ" + long[2:150] + "Y" + long[151:299] + "Y")]
+    got = L.line_dedup(frame(rows), hot_key=hot_key).collect()
+    check(got, plain(rows))
+    # 1 edit for short lines, 2 from 32, 3 from 256 on; none under 16.
+    assert {r.doc_id for r in got if r.n_near} == {2, 7, 8, 10, 12}
+
+
+def test_steps_must_rise(frame):
+    for steps in ((), ((3, 1),), ((16, 2), (32, 2)), ((16, 0),)):
+        with pytest.raises(ValueError):
+            L.line_dedup(frame([(1, "a")]), steps=steps)
 
 
 def test_empty_table(frame):

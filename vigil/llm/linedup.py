@@ -2,16 +2,19 @@
 
 Lines are split at ``\\n``; lines without a word stay. In order of (doc_id,
 text hash, position), a line goes when the same line came before anywhere in
-the corpus, or when a different line within ``threshold`` edits (code points)
-came first. Lines shorter than ``least`` code points are only compared exactly.
+the corpus, or when a near line came first: a different one within as many edits
+(code points) as ``steps`` grants the longer of the two. By default that is none
+under 16 code points, where one edit makes another word or number, 1 from 16,
+2 from 32 and 3 from 256 on.
 
 Edit join. A line of length L is cut into threshold + 1 even segments. A line
 within ``threshold`` edits that isn't shorter contains one of them unchanged,
 at a start that the length difference confines. Each line therefore enters its
-segments under (length, segment, text hash) and probes, for every shorter
-length in reach and every segment, only those substrings that can hold it with
-the edits split left and right. Hashes of all substrings come from prefix sums
-over a whole batch of texts. Pairs that meet are filtered in the join by a
+segments under (threshold, length, segment, text hash) and probes, for every
+shorter length in reach and every segment, only those substrings that can hold
+it with the edits split left and right. It probes with its own threshold and
+enters with that of each length in reach above it, so lines meet across a step.
+Hashes of all substrings come from prefix sums over a whole batch of texts. Pairs that meet are filtered in the join by a
 parity signature of character pairs, which each edit can change in at most
 four bits (a key of very many lines is split by parts of it); what is left is checked on the full lines by a banded bit-parallel
 edit distance.
@@ -20,7 +23,8 @@ Exact repeats are collapsed first (per text, per task, then by key), so a line
 that fills a third of the corpus enters once. The documents' texts cross one
 exchange, used both for the check and for the result.
 
-Defined cases: null text stays null and has no lines; rows equal in doc_id and
+Defined cases: null text stays null and has no lines; texts and lines of any
+length are compared whole; rows equal in doc_id and
 text count as one document and keep the same lines; a null doc_id sorts last;
 ties cannot occur beyond that; an empty table gives an empty result; other
 columns are carried unless they are named like an output column.
@@ -36,8 +40,8 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import SALTS, kept, prepare, schema_of, slices, written
 
-THRESHOLD = 2
-LEAST = 32
+#: (length, edits): lines of so many code points or more may differ by so many edits.
+STEPS = ((16, 1), (32, 2), (256, 3))
 #: Rows under one segment key from which the key is split.
 HOT_KEY = 20_000
 #: Pairs that a task forms at once.
@@ -89,15 +93,30 @@ def segments(length, parts: int):
     return [(k * small + np.maximum(0, k - (parts - long)), small + (k >= parts - long)) for k in range(parts)]
 
 
-def _tag(h: np.ndarray, length, segment: int) -> np.ndarray:
-    h = h * np.uint64(_B) + np.asarray(length).astype(np.uint64) * np.uint64(131) + np.uint64(segment + 1)
+def granted(length, steps) -> np.ndarray:
+    """The edits that ``steps`` grant a line of a length (or each of an array)."""
+    starts, edits = zip(*sorted(steps))
+    return np.array([0, *edits])[np.searchsorted(starts, length, side="right")]
+
+
+def checked(steps) -> tuple:
+    """``steps`` in order; edits must rise, and each segment hold a few code points."""
+    steps = tuple(sorted((int(n), int(e)) for n, e in steps))
+    if not steps or any(e < 1 or n < 2 * (e + 1) for n, e in steps) or any(a[1] >= b[1] for a, b in zip(steps, steps[1:])):
+        raise ValueError(f"steps must rise in edits, with two code points or more a segment: {steps}")
+    return steps
+
+
+def _tag(h: np.ndarray, length, segment: int, threshold: int) -> np.ndarray:
+    h = h * np.uint64(_B) + np.asarray(length).astype(np.uint64) * np.uint64(131) + np.uint64(segment + 1 + 64 * threshold)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
     return h ^ (h >> np.uint64(29))
 
 
 def segment_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, threshold: int):
     """(row, key) of the segments of lines given by start and length."""
-    keys = [_tag(hashes(start + p, start + p + n), length, k) for k, (p, n) in enumerate(segments(length, threshold + 1))]
+    keys = [_tag(hashes(start + p, start + p + n), length, k, threshold)
+            for k, (p, n) in enumerate(segments(length, threshold + 1))]
     return np.tile(np.arange(len(start)), threshold + 1), np.concatenate(keys)
 
 
@@ -115,7 +134,7 @@ def probe_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, thresh
                 a = p + shift
                 ok = (a >= 0) & (a + n <= length)
                 rows.append(every[ok])
-                keys.append(_tag(hashes((start + a)[ok], (start + a + n)[ok]), shorter[ok], k))
+                keys.append(_tag(hashes((start + a)[ok], (start + a + n)[ok]), shorter[ok], k, threshold))
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -204,11 +223,28 @@ def _occurrences(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("_did", "_th", F.col(text).cast("string")).mapInArrow(run, "did long, th long, pos int, h1 long, h2 long")
 
 
-KEYS = "key long, probe boolean, h1 long, par long"
+KEYS = "key long, side tinyint, h1 long, par long"
+
+
+def line_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, steps) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, side) of all segments and probes of lines: ``side`` is the
+    threshold, negative for a segment."""
+    rows, keys, sides = [], [], []
+    for _, t in steps:
+        enters = np.any([granted(length + d, steps) == t for d in range(t + 1)], axis=0)
+        for which, sign, make in ((enters, -1, segment_keys), (granted(length, steps) == t, 1, probe_keys)):
+            at = np.flatnonzero(which)
+            row, key = make(hashes, start[at], length[at], t)
+            rows.append(at[row])
+            keys.append(key)
+            sides.append(np.full(len(row), sign * t, np.int8))
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(sides)
 
 
-def _keyed(rows: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
-    """The segments and the probes of the lines that are long enough."""
+def _keyed(rows: DataFrame, text: str, steps) -> DataFrame:
+    """The segments and the probes of the lines that can have a near line."""
+    least = min(n - e for n, e in steps)
+
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
@@ -230,24 +266,20 @@ def _keyed(rows: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
                 length = np.array([len(x) for x in lines], np.int64)
                 start = np.cumsum(length) - length
                 points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-                hashes = Substrings(points)
-                row, key = segment_keys(hashes, start, length, threshold)
-                p_row, p_key = probe_keys(hashes, start, length, threshold)
-                rows_ = np.concatenate([row, p_row])
+                row, key, side = line_keys(Substrings(points), start, length, steps)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([key, p_key]).view(np.int64)), pa.array(np.arange(len(rows_)) >= len(row)),
-                     pa.array(np.array(ids, np.int64)[rows_]), pa.array(parity(points, start, length).view(np.int64)[rows_])],
-                    names=["key", "probe", "h1", "par"])
+                    [pa.array(key.view(np.int64)), pa.array(side), pa.array(np.array(ids, np.int64)[row]),
+                     pa.array(parity(points, start, length).view(np.int64)[row])], names=["key", "side", "h1", "par"])
 
     return rows.select(F.col(text).cast("string")).mapInArrow(run, KEYS)
 
 
-def _pairs(key, probe, h1, par, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(key, side, h1, par) -> tuple[np.ndarray, np.ndarray]:
     """Different lines (a < b) of rows in order of key: a segment and a probe
     under one key, with parities near enough."""
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(key))))
-    x, y = np.flatnonzero(~probe), np.flatnonzero(probe)
+    x, y = np.flatnonzero(side < 0), np.flatnonzero(side > 0)
     m = np.bincount(group[x], minlength=len(edge))  # segments of each key
     first = np.cumsum(m) - m
     n = m[group[y]]
@@ -258,32 +290,32 @@ def _pairs(key, probe, h1, par, threshold: int) -> tuple[np.ndarray, np.ndarray]
         k = n[a:b]
         right = np.repeat(y[a:b], k)
         left = x[np.repeat(first[group[y[a:b]]], k) + np.arange(len(right)) - np.repeat(np.cumsum(k) - k, k)]
-        ok = (h1[left] != h1[right]) & (np.bitwise_count((par[left] ^ par[right]).view(np.uint64)) <= 4 * threshold)
+        ok = (h1[left] != h1[right]) & (np.bitwise_count((par[left] ^ par[right]).view(np.uint64)) <= 4 * side[right])
         out.append(np.stack([h1[left[ok]], h1[right[ok]]]))
     both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
     both = np.unique(np.sort(both, axis=0), axis=1)
     return both[0], both[1]
 
 
-MET = "a long, b long, key long, probe boolean, par long"
+MET = "a long, b long, key long, side tinyint, par long"
 
 
-def _met(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
+def _met(keys: DataFrame, hot_key: int) -> DataFrame:
     """Pairs (a, b) that meet under a key; the rows of keys with more than
     ``hot_key`` rows come out as they are (``a`` is h1, ``b`` null)."""
     names = [c.split()[0] for c in MET.split(", ")]
 
     def pairs(held):
         cols = [np.concatenate(c) for c in zip(*held)]
-        a, b = _pairs(*cols, threshold)
+        a, b = _pairs(*cols)
         if len(a):
             none = len(a)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(none, pa.int64()), pa.nulls(none, pa.bool_()),
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int8()),
                                               pa.nulls(none, pa.int64())], names=names)
 
     def raw(rows):
-        key, probe, h1, par = rows
-        yield pa.RecordBatch.from_arrays([pa.array(h1), pa.nulls(len(h1), pa.int64()), pa.array(key), pa.array(probe), pa.array(par)],
+        key, side, h1, par = rows
+        yield pa.RecordBatch.from_arrays([pa.array(h1), pa.nulls(len(h1), pa.int64()), pa.array(key), pa.array(side), pa.array(par)],
                                          names=names)
 
     def run(batches):
@@ -336,7 +368,7 @@ def _met(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, MET)
 
 
-def _candidates(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
+def _candidates(keys: DataFrame, steps, hot_key: int) -> DataFrame:
     """Distinct pairs (a, b) of h1, a < b, that meet under a key.
 
     Keys are matched as sorted streams. The rows of a key with more than
@@ -344,18 +376,22 @@ def _candidates(keys: DataFrame, threshold: int, hot_key: int) -> DataFrame:
     parts of the parity signature, under the part's bits: near lines differ in
     at most 4 * threshold bits, so they agree in a part; others mostly do not,
     and Spark can split what is left."""
-    met = written(_met(keys, threshold, hot_key), "line-pairs")
-    parts = 4 * threshold + 1
-    bits = 64 // parts
-    near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * threshold
-    value = [F.struct(F.lit(k).alias("k"), F.call_function("shiftrightunsigned", F.col("par"), F.lit(k * bits))
-                      .bitwiseAND(F.lit((1 << bits) - 1)).alias("v")) for k in range(parts)]
-
-    def split(probe, line, par):
-        rows = met.filter(F.col("key").isNotNull() & (F.col("probe") == probe)).select("key", "a", "par").distinct()
-        return rows.select("key", F.col("a").alias(line), F.col("par").alias(par), F.inline(F.array(*value)))
-
-    hot = (split(False, "x", "px").join(split(True, "y", "py").hint("merge"), ["key", "k", "v"])
+    met = written(_met(keys, hot_key), "line-pairs")
+
+    def values(t: int):
+        parts = 4 * t + 1
+        bits = 64 // parts
+        return F.array(*[F.struct(F.lit(k).alias("k"), F.call_function("shiftrightunsigned", F.col("par"), F.lit(k * bits))
+                                  .bitwiseAND(F.lit((1 << bits) - 1)).alias("v")) for k in range(parts)])
+
+    own = F.coalesce(*[F.when(F.abs("side") == t, values(t)) for _, t in steps])
+
+    def split(sign, line, par):
+        rows = (met.filter(F.col("key").isNotNull() & (F.signum("side") == sign)).select("key", "side", "a", "par").distinct())
+        return rows.select("key", F.abs("side").alias("t"), F.col("a").alias(line), F.col("par").alias(par), F.inline(own))
+
+    near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * F.col("t")
+    hot = (split(-1, "x", "px").join(split(1, "y", "py").hint("merge"), ["key", "t", "k", "v"])
            .filter((F.col("x") != F.col("y")) & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     return met.filter("key is null").select("a", "b").unionByName(hot).distinct()
 
@@ -385,7 +421,7 @@ def _text_of(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
         run, "h1 long, h2 long, did long, th long, pos int, line string")
 
 
-def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: str, threshold: int) -> DataFrame:
+def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: str, steps) -> DataFrame:
     """(h1, h2) of the lines that have an earlier near line."""
     candidates = written(candidates, "candidates")
     asked = candidates.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
@@ -400,7 +436,8 @@ def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: s
     def run(batches):
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ok = pa.array([within(x, y, threshold) for x, y in zip(a, b)], pa.bool_())
+            most = granted([max(len(x), len(y)) for x, y in zip(a, b)], steps).tolist()
+            ok = pa.array([within(x, y, m) for x, y, m in zip(a, b, most)], pa.bool_())
             yield batch.select([2, 3]).filter(ok)
 
     return rows.mapInArrow(run, "h1 long, h2 long").distinct()
@@ -409,10 +446,11 @@ def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: s
 MADE = ("n_lines", "n_repeats", "n_near")
 
 
-def line_dedup(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST,
+def line_dedup(docs: DataFrame, text: str = "text", steps=STEPS,
                keep: list[str] | None = None, hot_key: int = HOT_KEY) -> DataFrame:
     """``docs`` with the lines that go taken out of ``text``, and ``n_lines``
     (lines with a word), ``n_repeats`` and ``n_near`` (lines taken out)."""
+    steps = checked(steps)
     prepare(docs.sparkSession)
     own = kept(docs, docs.columns if keep is None else keep, (*MADE, "_did", "_th", "_gone"))
     rows = _identified(docs, text)
@@ -422,7 +460,7 @@ def line_dedup(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD,
              .toDF("h1", "h2", "f", "many").select("h1", "h2", "f.*", "many"))
     first = written(first, "first-lines")
     exchanged = rows.select(*own, *([text] if text not in own else []), "_did", "_th")
-    near = _near(first, _candidates(_keyed(rows, text, threshold, least), threshold, hot_key), exchanged, text, threshold)
+    near = _near(first, _candidates(_keyed(rows, text, steps), steps, hot_key), exchanged, text, steps)
 
     # Only lines that repeat or have an earlier near line can go; a hot one is dealt over the salts.
     marked = (first.join(near.withColumn("near", F.lit(True)).hint("merge"), ["h1", "h2"], "left")
