@@ -2,7 +2,10 @@ import hashlib
 import random
 import re
 
+import public_tokenizers
+import tiktoken
 from pyspark.sql import functions as F
+from tiktoken.load import load_tiktoken_bpe
 
 from vigil.llm import secrets as X
 from vigil.llm.queries import QUERIES
@@ -76,6 +79,28 @@ def test_words_next_to_a_random_string(ranks):
     assert [w for w in words if any(k == 3 for _, k, _ in X.scan_texts([w], merger)[0])] == []
 
 
+def alone(s, sizes, least, ratio):
+    """The verdict on a run that is one piece of letters and digits in both cases."""
+    return max(least, len(s)) < ratio * sizes[s]
+
+
+def test_runs_of_any_length_against_plain_rule(ranks):
+    rng = random.Random(9)
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [k for k in ("".join(rng.choice(mixed) for _ in range(rng.randrange(1, 32))) for _ in range(600))
+            if not X.IDENTIFIER.fullmatch(k)]
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(ranks), special_tokens={})
+    sizes = {k: len(library.encode_ordinary(k)) for k in keys}
+    merger = X._cached(X.read_ranks(ranks), X.Merger)
+    for least, ratio in ((X.LEAST_RANDOM, X.LOW_RATIO), (12, 1.9)):
+        got = [[(a, b) for a, kind, b in spans if kind == 3] for spans in X.scan_texts(keys, merger, ratio, least)]
+        assert got == [[(0, len(k))] if alone(k, sizes, least, ratio) else [] for k in keys]
+    short = [k for k in keys if 16 <= len(k) < 20]
+    assert sum(alone(k, sizes, X.LEAST_RANDOM, X.LOW_RATIO) for k in short) > len(short) / 2
+    words = ["understanding", "internationally", "iPhone12Pro", "JavaScript", "snake_case_name", "2024-01-02T10", "x86_64-linux", "HelloWorldFoo"]
+    assert [w for w, spans in zip(words, X.scan_texts(words, merger)) if any(kind == 3 for _, kind, _ in spans)] == []
+
+
 def test_empty_table(frame, ranks):
     assert X.scan(frame([]), ranks).collect() == []
 

@@ -3,7 +3,9 @@
 Three kinds of spans come from fixed patterns (assignments, access keys, long
 hex). The fourth, ``random``, is a run of token characters that a byte-pair
 vocabulary compresses badly: its characters per token fall below a ratio that
-words of natural language do not reach. Known digests and identifiers (pure
+words of natural language do not reach. A run shorter than ``least`` counts as
+that long, so it needs as many tokens as the shortest longer run that is random;
+there is no other lower bound. Known digests and identifiers (pure
 digits, UUIDs, single-case words and words joined by ``_ - / = +``) are left out
 first; the base spans stay as they are. In a run that is not random as a whole,
 the pieces between separators that are not words are judged together with their
@@ -35,7 +37,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
                     re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
-#: Shortest run judged by the vocabulary, and characters per token below which it is random.
+#: Length that shorter runs count as, and characters per token below which a run is random.
 LEAST_RANDOM = 20
 LOW_RATIO = 2.2
 # What a low ratio does not make a secret: digests by length, and identifiers.
@@ -92,18 +94,18 @@ def _within(runs: list[tuple[int, int, str]], merger: Merger, ratio: float, leas
     for k, own in parts:
         a, b = own[0][1], own[-1][2]
         s = runs[k][2][a:b]
-        if b - a < least or UUID.fullmatch(s):
+        if ratio * (b - a) <= least or UUID.fullmatch(s):  # no token is shorter than a character
             continue
         if IDENTIFIER.fullmatch(s):  # words by their form: judged by the letters, in lower case
             words = [p[3].lower() for p in own if len(p[3]) >= LEAST_WORD and not p[3].isdigit()]
-            if sum(map(len, words)) >= least:
+            if ratio * sum(map(len, words)) > least:
                 letters.append((k, a, b, words))
         else:
             judged.append((k, a, b, [s]))
     judged += letters
     sizes = iter(_sizes([s for j in judged for s in j[3]], merger))
     return [(runs[k][0] + a, runs[k][0] + b) for k, a, b, strings in judged
-            if sum(map(len, strings)) < ratio * sum([next(sizes) for _ in strings])]
+            if max(least, sum(map(len, strings))) < ratio * sum([next(sizes) for _ in strings])]
 
 
 def scan_texts(texts: list[str], merger: Merger, ratio: float = LOW_RATIO,
@@ -121,12 +123,12 @@ def scan_texts(texts: list[str], merger: Merger, ratio: float = LOW_RATIO,
             found[r].append((x, kind, y))
 
     add(2, *_runs((bits & 1) > 0, LEAST_HEX))
-    a, b = _runs((bits & 2) > 0, least)
+    a, b = _runs((bits & 2) > 0, int(least / ratio) + 1)
     runs = [(x, y, joined[x:y]) for x, y in zip(a.tolist(), b.tolist())]
     runs = [r for r in runs if not (_digest(r[2]) or UUID.fullmatch(r[2]))]
     if runs:
         whole = [r for r in runs if not IDENTIFIER.fullmatch(r[2])]
-        low = [(x, y) for (x, y, s), n in zip(whole, _sizes([r[2] for r in whole], merger)) if len(s) < ratio * n]
+        low = [(x, y) for (x, y, s), n in zip(whole, _sizes([r[2] for r in whole], merger)) if max(least, len(s)) < ratio * n]
         taken = {x for x, _ in low}
         low += _within([r for r in runs if r[0] not in taken], merger, ratio, least)
         low = np.array(low, np.int64).reshape(-1, 2)
