@@ -60,23 +60,23 @@ def test_random_strings_and_what_is_left_out(frame, ranks):
 
 
 def test_words_next_to_a_random_string(ranks):
-    merger = X._cached(X.read_ranks(ranks), X.Merger)
+    tokens = X.Sizes(X._cached(X.read_ranks(ranks), X.Merger))
     rng = random.Random(8)
     mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     hidden = 0
     for _ in range(50):
         key = "".join(rng.choice(mixed) for _ in range(24))
         for s in (f"/services/team/webhooks/{key}", f"production_database_credential={key}", f"some-article-about-nothing-{key}"):
-            spans = X.scan_texts([s], merger)[0]
+            spans = X.scan_texts([s], tokens)[0]
             hidden += not any(kind == 3 and a <= s.index(key) and b == len(s) for a, kind, b in spans)
     assert hidden <= 3  # a random string can compress like words
     for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
         keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(50)]
-        found = sum(any(k == 3 for _, k, _ in X.scan_texts([key], merger)[0]) for key in keys)
+        found = sum(any(k == 3 for _, k, _ in X.scan_texts([key], tokens)[0]) for key in keys)
         assert found >= 45, (letters, found)
     words = ["/services/team/webhooks/internationalisation", "a/b/c/d/e/f/g/h/i/j/k/l/m/n/o/p", "the-quick-brown-fox-jumps-over-the-lazy-dog",
              "INTERNATIONALISATION_OF_UNDERSTANDING"]
-    assert [w for w in words if any(k == 3 for _, k, _ in X.scan_texts([w], merger)[0])] == []
+    assert [w for w in words if any(k == 3 for _, k, _ in X.scan_texts([w], tokens)[0])] == []
 
 
 def alone(s, sizes, least, ratio):
@@ -91,14 +91,26 @@ def test_runs_of_any_length_against_plain_rule(ranks):
             if not X.IDENTIFIER.fullmatch(k)]
     library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(ranks), special_tokens={})
     sizes = {k: len(library.encode_ordinary(k)) for k in keys}
-    merger = X._cached(X.read_ranks(ranks), X.Merger)
+    tokens = X.Sizes(X._cached(X.read_ranks(ranks), X.Merger))
     for least, ratio in ((X.LEAST_RANDOM, X.LOW_RATIO), (12, 1.9)):
-        got = [[(a, b) for a, kind, b in spans if kind == 3] for spans in X.scan_texts(keys, merger, ratio, least)]
+        got = [[(a, b) for a, kind, b in spans if kind == 3] for spans in X.scan_texts(keys, tokens, ratio, least)]
         assert got == [[(0, len(k))] if alone(k, sizes, least, ratio) else [] for k in keys]
     short = [k for k in keys if 16 <= len(k) < 20]
     assert sum(alone(k, sizes, X.LEAST_RANDOM, X.LOW_RATIO) for k in short) > len(short) / 2
     words = ["understanding", "internationally", "iPhone12Pro", "JavaScript", "snake_case_name", "2024-01-02T10", "x86_64-linux", "HelloWorldFoo"]
-    assert [w for w, spans in zip(words, X.scan_texts(words, merger)) if any(kind == 3 for _, kind, _ in spans)] == []
+    assert [w for w, spans in zip(words, X.scan_texts(words, tokens)) if any(kind == 3 for _, kind, _ in spans)] == []
+
+
+def test_remembered_sizes(ranks, monkeypatch):
+    merger = X._cached(X.read_ranks(ranks), X.Merger)
+    rng = random.Random(10)
+    strings = ["".join(rng.choice("abcdé1_") for _ in range(rng.randrange(1, 60))) for _ in range(300)]
+    fresh = [X.Sizes(merger)([s])[0] for s in strings]
+    monkeypatch.setattr(X, "REMEMBERED", 50)
+    sizes = X.Sizes(merger)
+    for k in (0, 7, 0, 250, 13):
+        assert sizes(strings[k:k + 40] * 2) == fresh[k:k + 40] * 2
+    assert sizes([]) == [] and len(sizes.known) <= 50
 
 
 def test_empty_table(frame, ranks):

@@ -70,18 +70,36 @@ def _digest(s: str) -> bool:
     return len(s) in DIGEST_LENGTHS and DIGEST.fullmatch(s) is not None
 
 
-def _sizes(strings: list[str], merger: Merger) -> list[int]:
-    """Tokens of each string."""
-    return [len(ids) // 4 for ids, _, _ in encode_texts(strings, merger)] if strings else []
+#: Numbers of tokens that a worker remembers (of strings up to ``SHORT``), before it starts anew.
+REMEMBERED, SHORT = 200_000, 40
 
 
-def _within(runs: list[tuple[int, int, str]], merger: Merger, ratio: float, least: int) -> list[tuple[int, int]]:
+class Sizes:
+    """Tokens of each string. Words come again and again, so the short ones' are remembered."""
+
+    def __init__(self, merger: Merger):
+        self.merger = merger
+        self.known: dict[str, int] = {}
+
+    def __call__(self, strings: list[str]) -> list[int]:
+        new = list(dict.fromkeys(s for s in strings if s not in self.known))
+        if not new:
+            return [self.known[s] for s in strings]
+        made = dict(zip(new, (len(ids) // 4 for ids, _, _ in encode_texts(new, self.merger))))
+        out = [made[s] if s in made else self.known[s] for s in strings]
+        if len(self.known) + len(made) > REMEMBERED:
+            self.known.clear()
+        self.known.update((s, n) for s, n in made.items() if len(s) <= SHORT)
+        return out
+
+
+def _within(runs: list[tuple[int, int, str]], sizes: Sizes, ratio: float, least: int) -> list[tuple[int, int]]:
     """The random parts of runs that are not random as a whole: neighbouring
     pieces that are not words, and single-case pieces that compress like none."""
     pieces = [(k, m.start(), m.end(), m[0]) for k, (_, _, s) in enumerate(runs) for m in PIECE.finditer(s)]
     parts: list[tuple[int, list]] = []  # (run, its neighbouring pieces that are not words)
     last = None
-    for piece, n in zip(pieces, _sizes([p[3] for p in pieces], merger)):
+    for piece, n in zip(pieces, sizes([p[3] for p in pieces])):
         s = piece[3]
         if _digest(s) or len(s) >= LEAST_WORD and (s.isdigit() or len(s) >= ratio * n):
             last = None
@@ -103,12 +121,12 @@ def _within(runs: list[tuple[int, int, str]], merger: Merger, ratio: float, leas
         else:
             judged.append((k, a, b, [s]))
     judged += letters
-    sizes = iter(_sizes([s for j in judged for s in j[3]], merger))
+    size = iter(sizes([s for j in judged for s in j[3]]))
     return [(runs[k][0] + a, runs[k][0] + b) for k, a, b, strings in judged
-            if max(least, sum(map(len, strings))) < ratio * sum([next(sizes) for _ in strings])]
+            if max(least, sum(map(len, strings))) < ratio * sum([next(size) for _ in strings])]
 
 
-def scan_texts(texts: list[str], merger: Merger, ratio: float = LOW_RATIO,
+def scan_texts(texts: list[str], sizes: Sizes, ratio: float = LOW_RATIO,
                least: int = LEAST_RANDOM) -> list[list[tuple[int, int, int]]]:
     """(start, kind, end) of the spans of each text, sorted."""
     joined = "\n".join(texts) + "\n"
@@ -128,9 +146,9 @@ def scan_texts(texts: list[str], merger: Merger, ratio: float = LOW_RATIO,
     runs = [r for r in runs if not (_digest(r[2]) or UUID.fullmatch(r[2]))]
     if runs:
         whole = [r for r in runs if not IDENTIFIER.fullmatch(r[2])]
-        low = [(x, y) for (x, y, s), n in zip(whole, _sizes([r[2] for r in whole], merger)) if max(least, len(s)) < ratio * n]
+        low = [(x, y) for (x, y, s), n in zip(whole, sizes([r[2] for r in whole])) if max(least, len(s)) < ratio * n]
         taken = {x for x, _ in low}
-        low += _within([r for r in runs if r[0] not in taken], merger, ratio, least)
+        low += _within([r for r in runs if r[0] not in taken], sizes, ratio, least)
         low = np.array(low, np.int64).reshape(-1, 2)
         add(3, low[:, 0], low[:, 1])
     if "AKIA" in joined:
@@ -160,12 +178,12 @@ def scan(df: DataFrame, ranks_path: str, text: str = "text", keep=("doc_id",), r
         return ",".join([f"{KINDS[k]}:{a}:{b}" for a, k, b in spans])
 
     def run(batches):
-        merger = _cached(file.value, Merger)
+        sizes = Sizes(_cached(file.value, Merger))
         for batch in batches:
             texts = [t or "" for t in batch.column(len(own)).to_pylist()]
             got = []
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
-                got += scan_texts(texts[a:b], merger, ratio, least)
+                got += scan_texts(texts[a:b], sizes, ratio, least)
             cols = [batch.column(k) for k in range(len(own))]
             cols += [pa.array([sum(s[1] == k for s in spans) for spans in got], pa.int64()) for k in range(4)]
             cols += [pa.array([listed([s for s in spans if s[1] < 3]) for spans in got], pa.string()),
