@@ -146,14 +146,32 @@ def parity(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
     return flips[start + length - 1] ^ flips[start]
 
 
+def _shared(a: str, b: str) -> int:
+    """Length of the common prefix, by halving."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        mid = (low + high) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Edit distance of ``a`` and ``b`` is at most ``most``: bit-parallel over
-    the band of 2 * most + 1 diagonals."""
+    the band of 2 * most + 1 diagonals, between what both begin and end with."""
     if len(a) > len(b):
         a, b = b, a
     gap = len(b) - len(a)
     if gap > most:
         return False
+    n = _shared(a, b)
+    a, b = a[n:], b[n:]
+    n = _shared(a[::-1], b[::-1])
+    a, b = a[:len(a) - n], b[:len(b) - n]
     if not a:
         return True
     # Bit d of a row's vectors stands for column row + d - most of the table.
