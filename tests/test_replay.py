@@ -1,5 +1,6 @@
 """The ordered streaming source: batches by position, ties, nulls, resuming."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -56,3 +57,49 @@ def test_tasks_stay_within_bins():
     cuts = reader.partitions({"position": BIN_ROWS - 3}, {"position": BIN_ROWS + 4})
     assert [(p.low, p.high) for p in cuts] == [(BIN_ROWS - 3, BIN_ROWS), (BIN_ROWS, BIN_ROWS + 4)]
     assert reader.partitions({"position": 4}, {"position": 4}) == []
+
+
+def _starts(monkeypatch):
+    """The streams that a query starts: what each drained."""
+    from vigil.streaming import scorer
+    seen = []
+    plain = scorer.drain
+
+    def counted(*args, **kw):
+        seen.append(plain(*args, **kw))
+        return seen[-1]
+
+    monkeypatch.setattr(scorer, "drain", counted)
+    return seen
+
+
+def _small(monkeypatch, rows, most):
+    from vigil.plans import queries as Q
+    monkeypatch.setattr(Q, "SMALL_CHUNK", rows)
+    monkeypatch.setattr(Q, "MAX_BATCHES", most, raising=False)
+    return Q
+
+
+@pytest.mark.parametrize("name", ["publish_rate", "batch_overruns"])
+def test_batches_of_a_query_are_one_stream(spark, monkeypatch, name):
+    Q, seen = _small(monkeypatch, 250, 2), _starts(monkeypatch)
+    got = Q.QUERIES[name](spark, SF_SMALL).orderBy("batch_id").select("batch_id", "input_rows").collect()
+    assert [tuple(r) for r in got] == [(k, 250) for k in range(4)]
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("name", ["stream_last_n", "stream_state", "stream_window_summary"])
+def test_larger_tables_do_not_make_more_batches(spark, monkeypatch, name):
+    Q, seen = _small(monkeypatch, 50, 3), _starts(monkeypatch)
+    made = Q.QUERIES[name](spark, SF_SMALL)
+    assert made.count() > 0
+    sizes = [p["numInputRows"] for p in seen[0] if p["numInputRows"]]
+    assert len(seen) == 1 and sizes == [334, 334, 332]
+
+
+def test_last_batch_stays_when_those_before_grow(spark, monkeypatch):
+    Q, seen = _small(monkeypatch, 30, 3), _starts(monkeypatch)
+    got = {r.device_key for r in Q.q_stream_state_changes(spark, SF_SMALL).collect()}
+    last = Q._wire(spark, SF_SMALL).orderBy(F.desc("seq")).limit(1000 % 30)
+    assert got == {r.key for r in last.select("key").collect()}
+    assert len(seen) == 2 and [len([p for p in s if p["numInputRows"]]) for s in seen] == [3, 1]

@@ -115,23 +115,37 @@ class RingProcessor(StatefulProcessor):
         pass
 
 
-def _enriched(spark: SparkSession, folder: str, files_per_trigger: int | None) -> DataFrame:
+def _enriched(spark: SparkSession, source: str | tuple[str, int], checkpoint: str, files_per_trigger: int | None,
+              batch_rows: int | None) -> tuple[DataFrame, int | None]:
+    """The enriched rows as a stream, and how many batches they are (None: until
+    the folder is drained). ``source`` is a folder, or enriched wire rows staged
+    by position (``sources.replay.stage``), then ``batch_rows`` of them a batch."""
+    from vigil.sources.replay import ENRICHED, last_position, read_replay
     from vigil.streaming.scorer import _stream_conf, enriched_stream_rows, ship_package
     _stream_conf(spark)
     ship_package(spark)
-    options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
-    return enriched_stream_rows(spark.readStream.schema(SINK_SCHEMA).options(**options).parquet(folder).filter(F.col("reason").isNull()))
+    if isinstance(source, str):
+        options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
+        wire, left = spark.readStream.schema(SINK_SCHEMA).options(**options).parquet(source), None
+    else:
+        folder, total = source
+        left = -(-(total - last_position(spark, checkpoint)) // batch_rows)
+        wire = read_replay(spark, folder, total, batch_rows, checkpoint, ENRICHED)
+    return enriched_stream_rows(wire.filter(F.col("reason").isNull())), left
 
 
-def _run(out: DataFrame, sink: str, checkpoint: str) -> list[dict]:
+def _run(out: DataFrame, sink: str, checkpoint: str, batches: int | None) -> list[dict]:
     from vigil.streaming.scorer import drain, start_with_partitions
     writer = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-              .outputMode("append").trigger(availableNow=True))
-    return drain(start_with_partitions(out.sparkSession, writer, out.sparkSession.sparkContext.defaultParallelism))
+              .outputMode("append"))
+    writer = writer.trigger(availableNow=True) if batches is None else writer.trigger(processingTime="0 seconds")
+    query = start_with_partitions(out.sparkSession, writer, out.sparkSession.sparkContext.defaultParallelism)
+    return drain(query, batches, settle=True)
 
 
-def run_window_summary(spark: SparkSession, enriched: str, sink: str, checkpoint: str, s: ScoreSettings = DEFAULT,
-                       delay: str = "1 day", files_per_trigger: int | None = None, block_windows: int = BLOCK_WINDOWS) -> list[dict]:
+def run_window_summary(spark: SparkSession, enriched: str | tuple[str, int], sink: str, checkpoint: str, s: ScoreSettings = DEFAULT,
+                       delay: str = "1 day", files_per_trigger: int | None = None, block_windows: int = BLOCK_WINDOWS,
+                       batch_rows: int | None = None) -> list[dict]:
     """Tumbling-window summary over the enriched records as a stream: a (device,
     window) goes to the sink once, when event time has passed its end by
     ``delay``. Rows of closed windows are not counted; the windows that are
@@ -139,13 +153,14 @@ def run_window_summary(spark: SparkSession, enriched: str, sink: str, checkpoint
     from vigil.streaming.scorer import interval_ms
     width = interval_ms(s.summary_window)
     start = F.unix_millis("event_time") - F.pmod(F.unix_millis("event_time"), F.lit(width))
-    rows = (_enriched(spark, enriched, files_per_trigger).withColumn("start", start)
+    stream, batches = _enriched(spark, enriched, checkpoint, files_per_trigger, batch_rows)
+    rows = (stream.withColumn("start", start)
             # By its end, so that rows of an open window count however late they are.
             .withColumn("end", F.timestamp_millis(F.col("start") + width)).withWatermark("end", delay)
             .select("device_key", "start", "end", "measurement", "anomaly"))
     made = rows.groupBy("device_key").transformWithStateInPandas(
         SummaryProcessor(width, s.anomaly_threshold, block_windows), _CLOSED, "append", "EventTime")
-    return _run(_average(made), sink, checkpoint)
+    return _run(_average(made), sink, checkpoint, batches)
 
 
 def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -163,15 +178,16 @@ def read_window_summary(spark: SparkSession, sink: str, checkpoint: str) -> Data
     return spark.read.schema(SUMMARY_SCHEMA).parquet(sink).unionByName(open_windows(spark, checkpoint))
 
 
-def run_live_window(spark: SparkSession, enriched: str, sink: str, checkpoint: str, s: ScoreSettings = DEFAULT,
-                    files_per_trigger: int | None = None) -> list[dict]:
+def run_live_window(spark: SparkSession, enriched: str | tuple[str, int], sink: str, checkpoint: str, s: ScoreSettings = DEFAULT,
+                    files_per_trigger: int | None = None, batch_rows: int | None = None) -> list[dict]:
     """The display window as a stream over the enriched records: each batch puts
     out, for every device it has records of, the newest ``display_rows`` ones
     (``newest`` is the last record number of that window)."""
-    rows = _enriched(spark, enriched, files_per_trigger).select("device_key", *RING_FIELDS)
+    stream, batches = _enriched(spark, enriched, checkpoint, files_per_trigger, batch_rows)
+    rows = stream.select("device_key", *RING_FIELDS)
     made = rows.groupBy("device_key").transformWithStateInPandas(
         RingProcessor(s.display_rows), f"device_key string, {_RING}, newest long", "append", "None")
-    return _run(made, sink, checkpoint)
+    return _run(made, sink, checkpoint, batches)
 
 
 def read_live_window(spark: SparkSession, sink: str) -> DataFrame:
