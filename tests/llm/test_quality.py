@@ -109,3 +109,12 @@ def test_rows_without_a_key_are_dealt_out(spark, frame):
     docs = frame([(None, f"text {k}") for k in range(200)] + [(k, f"text {k}") for k in range(5)])
     df = Q.ratio_table(docs, frame([(k,) for k in range(5)], "doc_id long"), "text", 64, 1.0)
     assert re.search(r"Exchange hashpartitioning\(doc_id#\d+L?, _salt#\d+", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_exact_counts_are_left_to_texts_that_repeat(spark, frame):
+    rows = [(1, "a b c d"), (2, "a\n\n\nb\n \n \t\nc"), (3, "a b\n\na b\n \n "), (4, "a b c a b c\n*$*"), (5, "\n\n"), (6, "a"), (7, "a b"),
+            (8, "a b c"), (9, "x\u0085y \u3000 #\r\nx\u0085y \u3000 #\r\n")]
+    df = Q.quality(frame(rows), frame([], "doc_id long"))
+    check(df.collect(), verdicts(rows, set()))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(_t" not in plan and plan.count("array_distinct(_h") == 1

@@ -41,6 +41,23 @@ def _after(a: Column, k: int) -> Column:
     return F.slice(a, F.lit(k + 1), F.size(a) + 1)
 
 
+def _with_later(a: Column, b: Column, step: int, f) -> Column:
+    """``f`` over each element of ``a`` and that of ``b`` ``step`` places on; what has none is cut off."""
+    made = F.transform(a, lambda x, k: f(x, F.get(b, k + step)))
+    return F.slice(made, F.lit(1), F.greatest(F.size(b) - step, F.lit(0)))
+
+
+def _repeats(a: Column) -> Column:
+    """Whether an element of the array occurs twice."""
+    return F.size(F.array_distinct(a)) < F.size(a)
+
+
+def _without(t: Column, chars: str) -> Column:
+    for c in chars:
+        t = F.replace(t, F.lit(c), F.lit(""))
+    return t
+
+
 def _pairs(a: Column, b: Column, f) -> Column:
     """``f`` over elements in step; what sticks out is cut off."""
     return F.slice(F.zip_with(a, b, f), F.lit(1), F.least(F.size(a), F.size(b)))
@@ -52,31 +69,35 @@ def with_words(df: DataFrame, text: str) -> DataFrame:
     df = df.withColumn("_t", F.coalesce(F.col(text).cast("string"), F.lit("")))
     df = df.withColumn("_w", words(F.col("_t")))
     w = F.col("_w")
-    return df.withColumn("_b", _pairs(w, _after(w, 1), lambda a, b: F.xxhash64(a, b)))
+    return df.withColumn("_b", _with_later(w, w, 1, lambda a, b: F.xxhash64(a, b)))
 
 
 def with_base(df: DataFrame) -> DataFrame:
     """The base figures and ``base_failed`` of rows that have the word columns."""
     t, w, b = F.col("_t"), F.col("_w"), F.col("_b")
-    lines = F.filter(F.split(t, "\n"), lambda line: F.translate(line, GAP_CHARS, "") != "")
     df = df.select(
         "*", F.size(w).cast("long").alias("n_words"),
-        F.length(F.translate(t, GAP_CHARS, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        lines.alias("_lines"),
-        F.sort_array(F.transform(_pairs(b, _after(w, 2), lambda h, c: F.xxhash64(h, c)),
-                                 lambda h, k: F.struct(h.alias("h"), k.alias("k")))).alias("_s"))
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
+        F.array_remove(F.split(t, "\n"), "").alias("_lines"),
+        _with_later(b, w, 2, lambda h, c: F.xxhash64(h, c)).alias("_h"))
+    # Most texts repeat no line and no window: only the others need the exact count.
+    full = F.filter("_lines", lambda line: F.translate(line, GAP_CHARS, "") != "")
+    df = df.select(
+        "*", F.when(_repeats(F.col("_lines")), full).otherwise(F.array().cast("array<string>")).alias("_full"),
+        F.when(_repeats(F.col("_h")), F.sort_array(F.transform("_h", lambda h, k: F.struct(h.alias("h"), k.alias("k")))))
+        .otherwise(F.array().cast("array<struct<h:bigint,k:int>>")).alias("_s"))
     s = F.col("_s")
     twice = _pairs(s, _after(s, 1), lambda x, y: F.when(x["h"] == y["h"], F.array(x["k"], y["k"])))
     df = df.select(
-        "*", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        "*", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
         F.sort_array(F.array_distinct(F.flatten(F.filter(twice, lambda x: x.isNotNull())))).alias("_p"))
     p = F.col("_p")
     # A window covers three words; one that starts d words before the next adds min(3, d).
     spans = F.zip_with(p, _after(p, 1), lambda x, y: F.coalesce(F.least(F.lit(3), y - x), F.lit(3)))
     df = df.withColumn("n_repeat_words", F.aggregate(spans, F.lit(0), lambda x, y: x + y).cast("long"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_lines", "_s", "_p")
+    return df.withColumn("base_failed", failed).drop("_lines", "_h", "_full", "_s", "_p")
 
 
 def ngram_buckets(buckets: int) -> Column:
