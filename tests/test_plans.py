@@ -84,3 +84,15 @@ def test_last_n_per_device_scans_once(spark):
     df = last_n_per_device(score(typed(events_records(spark, SF_SMALL)), plan="window"))
     plan = _plan(df)
     assert plan.count("FileScan") == 1 and len(_exchanges(plan)) == 1
+
+
+def test_months_are_scored_in_bounded_blocks(spark, monkeypatch):
+    from conftest import SF_SMALL as sf
+    from vigil.operators.score import score
+    from vigil.plans import queries as Q
+    monkeypatch.setattr(Q, "MONTH_BLOCK_ROWS", 100, raising=False)
+    got = Q.q_score_months(spark, sf)
+    rows = got.count()
+    assert got.rdd.getNumPartitions() >= rows // 100
+    exp = score(Q._typed_orders(spark, sf), plan="window").select(*Q.SCORE_COLS)
+    assert rows == exp.count() and got.exceptAll(exp).count() == 0
