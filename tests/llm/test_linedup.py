@@ -163,6 +163,64 @@ def test_keys_across_small_batches(spark, frame, documents, hot_key):
         spark.conf.set(setting, before)
 
 
+def counted(rng, n):
+    """Lines of one form that are near many of the others, in any order."""
+    lines = [f"Copyright 2021 Example Corp. page {k:04d} of the register" for k in range(n)]
+    return rng.sample(lines, n)
+
+
+@pytest.mark.parametrize("hot_key", [L.HOT_KEY, 100])
+def test_group_of_near_lines_makes_no_pairs(frame, hot_key):
+    rows = list(enumerate(counted(random.Random(4), 400)))
+    keys = L._keyed(frame(rows), "text", L.STEPS)
+    met = [(r.key, r.h1) for r in L._candidates(keys, hot_key).collect()]
+    made = L.line_keys(L.Substrings(np.zeros(60, np.uint32)), np.array([0]), np.array([len(rows[0][1])]), L.STEPS)[1]
+    assert len(met) == len(set(met)) <= len(rows) * len(made) * (1 if hot_key > 400 else 9)
+    check(L.line_dedup(frame(rows), hot_key=hot_key).collect(), plain(rows))
+
+
+@pytest.mark.parametrize("n", [2, L.FEW, 150, 700])
+def test_earlier_near_lines_of_a_key(n):
+    lines = counted(random.Random(n), n) + [f"something else {k * k * 7919:030d}" for k in range(n // 3)]
+    random.Random(1).shuffle(lines)
+    length = np.array([len(x) for x in lines])
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+    found = L._later(L.parity(points, np.cumsum(length) - length, length), lines, L.STEPS)
+    assert sorted(found) == [z for z, x in enumerate(lines) if any(L.within(x, y, most(x, y, L.STEPS)) for y in lines[:z])]
+
+
+def test_comparisons_of_a_near_group_are_as_many_as_its_lines(monkeypatch):
+    calls = []
+    within = L.within
+    monkeypatch.setattr(L, "within", lambda *a: calls.append(1) or within(*a))
+    lines = ["Copyright 2021 Example Corp. all rights reserved " + chr(0x4E00 + k) for k in range(1500)]
+    assert len(L._later(np.zeros(len(lines), np.uint64), lines, L.STEPS)) == len(calls) == 1499
+
+
+@pytest.mark.parametrize("held_rows", [L.HELD_ROWS, 50, 1])
+def test_buckets_across_batches(held_rows):
+    rng = np.random.default_rng(held_rows)
+    # 300 keys of 40 buckets, one with a third of the rows.
+    key = (rng.integers(0, 40, 300).astype(np.uint64) << np.uint64(50) | rng.integers(1, 1 << 30, 300).astype(np.uint64) << np.uint64(8))
+    word = np.where(rng.random(3000) < 0.3, key[7], key[rng.integers(0, 300, 3000)])
+    side = rng.choice(np.array([-2, 2], np.int8), 3000)
+    h1 = rng.integers(0, 500, 3000).astype(np.uint64)
+    par = h1 % np.uint64(7) * np.uint64(0x1111111111111111)
+    rows = np.stack([L._joined(word, side), h1, par], axis=1)
+
+    def made(tables, hot_key, held):
+        batches = [b.slice(k, 1) for b in L._bucketed(tables) for k in range(b.num_rows)]
+        batches.sort(key=lambda b: b.column(0)[0].as_py())
+        return [tuple(r.values()) for b in L._met_batches(iter(batches), hot_key, False, held) for r in b.to_pylist()]
+
+    for hot_key in (1 << 20, 100):
+        whole = made([rows], hot_key, 1 << 20)
+        assert len(whole) == len(set(whole)) and whole
+        parts = made([rows[k:k + 37] for k in range(0, 3000, 37)], hot_key, held_rows)
+        assert set(parts) == set(whole)
+    assert any(r[1] is not None for r in whole)
+
+
 def test_threshold_one_and_short_lines(frame):
     rows = [(1, "abcdefghij\nabcdefghiX"), (2, "abcdefgh\nabcdefghijk"), (3, "abcXefghij\nzz"), (4, "zy\nzz")]
     check(L.line_dedup(frame(rows), steps=((5, 1),)).collect(), plain(rows, ((5, 1),)))

@@ -14,10 +14,13 @@ segments under (threshold, length, segment, text hash) and probes, for every
 shorter length in reach and every segment, only those substrings that can hold
 it with the edits split left and right. It probes with its own threshold and
 enters with that of each length in reach above it, so lines meet across a step.
-Hashes of all substrings come from prefix sums over a whole batch of texts. Pairs that meet are filtered in the join by a
-parity signature of character pairs, which each edit can change in at most
-four bits (a key of very many lines is split by parts of it); what is left is checked on the full lines by a banded bit-parallel
-edit distance.
+Hashes of all substrings come from prefix sums over a whole batch of texts. Keys
+meet as packed rows, a bucket of keys at a time. Only lines that meet another one
+within a few bits of a parity signature of character pairs, which each edit can
+change in at most four bits, go on (a key of very many lines is split by parts of
+it). No pairs are formed: the lines of a key are put in order, and each is compared
+on its full text, by a banded bit-parallel edit distance, with the earliest ones
+first until one is near.
 
 Exact repeats are collapsed first (per text, per task, then by key), so a line
 that fills a third of the corpus enters once. The documents' texts cross one
@@ -32,6 +35,8 @@ columns are carried unless they are named like an output column.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,8 +49,13 @@ from vigil.llm.common import SALTS, kept, prepare, schema_of, slices, written
 STEPS = ((16, 1), (32, 2), (256, 3))
 #: Rows under one segment key from which the key is split.
 HOT_KEY = 20_000
+#: Keys are dealt over so many buckets; a task sends the rows that it gathers as a value for each
+#: bucket, so many values at a time, and holds so many of a bucket before it looks for hot keys.
+BUCKET_BITS, SENT_ROWS, SENT_VALUES, HELD_ROWS = 14, 1 << 20, 1 << 11, 1 << 22
 #: Pairs that a task forms at once.
 PAIR_ROWS = 1_000_000
+#: Lines of a key that are compared with as many others at once, and so few that they go one by one.
+COMPARED, FEW = 512, 8
 BATCH_CHARS = 400_000
 #: Distinct lines that a task remembers so as not to send their keys again.
 REMEMBERED = 500_000
@@ -241,7 +251,50 @@ def _occurrences(rows: DataFrame, text: str) -> DataFrame:
     return rows.select("_did", "_th", F.col(text).cast("string")).mapInArrow(run, "did long, th long, pos int, h1 long, h2 long")
 
 
-KEYS = "key long, side tinyint, h1 long, par long"
+KEYS = "bucket int, rows binary"
+#: A key row: the key with the side as its last byte, the line's hash, its parity signature.
+_ROW, _SHIFT = 24, np.uint64(64 - BUCKET_BITS)
+
+
+def _joined(key: np.ndarray, side: np.ndarray) -> np.ndarray:
+    return (key & ~np.uint64(255)) | side.astype(np.int8).view(np.uint8).astype(np.uint64)
+
+
+def _side(word: np.ndarray) -> np.ndarray:
+    return word.astype(np.uint8).view(np.int8)
+
+
+def _bucketed(tables):
+    """Batches of key rows (``KEYS``): the rows of a bucket, of many tables, as one value."""
+    def out(held):
+        rows = np.concatenate(held)
+        bucket = (rows[:, 0] >> _SHIFT).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        rows, bucket = rows[order], bucket[order]
+        edge = np.flatnonzero(np.diff(bucket, prepend=bucket[0] + np.uint16(1)))
+        for k in range(0, len(edge), SENT_VALUES):
+            at = edge[k:k + SENT_VALUES]
+            end = edge[k + SENT_VALUES] if k + SENT_VALUES < len(edge) else len(rows)
+            offsets = (np.append(at, end) - at[0]).astype(np.int32) * np.int32(_ROW)
+            values = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows[at[0]:end])])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[at].astype(np.int32)), values], names=["bucket", "rows"])
+
+    held, n = [], 0
+    for table in tables:
+        held.append(table)
+        n += len(table)
+        if n >= SENT_ROWS:
+            yield from out(held)
+            held, n = [], 0
+    if n:
+        yield from out(held)
+
+
+def _rows_of(batch: pa.RecordBatch) -> np.ndarray:
+    """The key rows of a batch of buckets, in their order."""
+    col = batch.column(1)
+    offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
+    return np.frombuffer(col.buffers()[2], np.uint64, (offsets[-1] - offsets[0]) // 8, offsets[0]).reshape(-1, 3)
 
 
 def line_keys(hashes: Substrings, start: np.ndarray, length: np.ndarray, steps) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -263,7 +316,7 @@ def _keyed(rows: DataFrame, text: str, steps) -> DataFrame:
     """The segments and the probes of the lines that can have a near line."""
     least = min(n - e for n, e in steps)
 
-    def run(batches):
+    def tables(batches):
         sent: set[int] = set()
         for batch in batches:
             texts = [t for t in batch.column(0).to_pylist() if t]
@@ -285,133 +338,157 @@ def _keyed(rows: DataFrame, text: str, steps) -> DataFrame:
                 start = np.cumsum(length) - length
                 points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
                 row, key, side = line_keys(Substrings(points), start, length, steps)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(side), pa.array(np.array(ids, np.int64)[row]),
-                     pa.array(parity(points, start, length).view(np.int64)[row])], names=["key", "side", "h1", "par"])
+                yield np.stack([_joined(key, side), np.array(ids, np.int64).view(np.uint64)[row],
+                                parity(points, start, length)[row]], axis=1)
 
-    return rows.select(F.col(text).cast("string")).mapInArrow(run, KEYS)
+    return rows.select(F.col(text).cast("string")).mapInArrow(lambda batches: _bucketed(tables(batches)), KEYS)
 
 
-def _pairs(key, side, h1, par) -> tuple[np.ndarray, np.ndarray]:
-    """Different lines (a < b) of rows in order of key: a segment and a probe
-    under one key, with parities near enough."""
+def _partnered(key, side, h1, par) -> np.ndarray:
+    """Which rows, in order of key, have a partner: a segment and a probe of
+    different lines under one key, with parities near enough."""
+    found = np.zeros(len(key), bool)
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(key))))
     x, y = np.flatnonzero(side < 0), np.flatnonzero(side > 0)
     m = np.bincount(group[x], minlength=len(edge))  # segments of each key
     first = np.cumsum(m) - m
     n = m[group[y]]
-    out = []
     # Probes in parts, so that the rows of a step stay few.
     cuts = np.flatnonzero(np.diff(np.cumsum(n) // PAIR_ROWS, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(y)]):
         k = n[a:b]
         right = np.repeat(y[a:b], k)
         left = x[np.repeat(first[group[y[a:b]]], k) + np.arange(len(right)) - np.repeat(np.cumsum(k) - k, k)]
-        ok = (h1[left] != h1[right]) & (np.bitwise_count((par[left] ^ par[right]).view(np.uint64)) <= 4 * side[right])
-        out.append(np.stack([h1[left[ok]], h1[right[ok]]]))
-    both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-    both = np.unique(np.sort(both, axis=0), axis=1)
-    return both[0], both[1]
+        ok = (h1[left] != h1[right]) & (np.bitwise_count(par[left] ^ par[right]) <= 4 * side[right])
+        found[left[ok]] = True
+        found[right[ok]] = True
+    return found
 
 
-MET = "a long, b long, key long, side tinyint, par long"
+MET = "key long, side tinyint, h1 long, par long"
 
 
-def _met(keys: DataFrame, hot_key: int) -> DataFrame:
-    """Pairs (a, b) that meet under a key; the rows of keys with more than
-    ``hot_key`` rows come out as they are (``a`` is h1, ``b`` null)."""
+def _met_batch(word, h1, par, raw: bool):
     names = [c.split()[0] for c in MET.split(", ")]
+    side = pa.array(_side(word)) if raw else pa.nulls(len(word), pa.int8())
+    return pa.RecordBatch.from_arrays([pa.array((word & ~np.uint64(255)).view(np.int64)), side, pa.array(h1.view(np.int64)),
+                                       pa.array(par.view(np.int64))], names=names)
 
-    def pairs(held):
-        cols = [np.concatenate(c) for c in zip(*held)]
-        a, b = _pairs(*cols)
-        if len(a):
-            none = len(a)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int8()),
-                                              pa.nulls(none, pa.int64())], names=names)
 
-    def raw(rows):
-        key, side, h1, par = rows
-        yield pa.RecordBatch.from_arrays([pa.array(h1), pa.nulls(len(h1), pa.int64()), pa.array(key), pa.array(side), pa.array(par)],
-                                         names=names)
-
-    def run(batches):
-        held, n, hot = [], 0, None  # rows of the key that may go on; the key that is passed on
+def _met_rows(rows: np.ndarray, hot_key: int, last: bool):
+    """Batches of ``MET`` from rows that hold their keys completely."""
+    word = np.ascontiguousarray(rows[:, 0])
+    order = np.argsort(word)
+    key = word[order] >> np.uint64(8)
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    h1 = rows[order, 1]
+    # Most keys have one line alone.
+    several = np.minimum.reduceat(h1, edge) != np.maximum.reduceat(h1, edge)
+    at = order[np.repeat(several, np.diff(np.append(edge, len(key))))]
+    if not len(at):
+        return
+    word, h1, par = (np.ascontiguousarray(rows[at, k]) for k in range(3))
+    order = np.lexsort((h1, word))
+    word, h1, par = word[order], h1[order], par[order]
+    once = np.concatenate([[True], (word[1:] != word[:-1]) | (h1[1:] != h1[:-1])])
+    word, h1, par = word[once], h1[once], par[once]
+    key = word >> np.uint64(8)
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(edge, len(key)))
+    large = np.repeat(size > hot_key, size)
+    if large.any() and not last:
+        yield _met_batch(word[large], h1[large], par[large], True)
+    found = large if last else np.zeros(len(key), bool)
+    small = np.flatnonzero(~large)
+    if len(small):
+        found[small] = _partnered(key[small], _side(word[small]), h1[small], par[small])
+    if found.any():
+        key, h1, par = key[found] << np.uint64(8), h1[found], par[found]
+        order = np.lexsort((h1, key))
+        key, h1, par = key[order], h1[order], par[order]
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (h1[1:] != h1[:-1])])
+        yield _met_batch(key[once], h1[once], par[once], False)
+
+
+def _met_batches(batches, hot_key: int, last: bool, held_rows: int):
+    """``MET`` of batches of buckets that come in order. Of a bucket that goes on
+    beyond ``held_rows``, hot keys are passed on as they come."""
+    held, n, limit, hot = [], 0, held_rows, np.zeros(0, np.uint64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = _rows_of(batch)
+        bucket = rows[:, 0] >> _SHIFT
+        cut = int(np.searchsorted(bucket, bucket[-1]))
+        if held and (cut or held[0][0, 0] >> _SHIFT != bucket[0]):
+            same = int(np.searchsorted(bucket, held[0][0, 0] >> _SHIFT, side="right"))
+            own = rows[:same]
+            if len(hot):
+                passed = np.isin(own[:, 0] >> np.uint64(8), hot)
+                if passed.any():
+                    yield _met_batch(*own[passed].T.copy(), True)
+                own = own[~passed]
+            yield from _met_rows(np.concatenate([*held, own]), hot_key, last)
+            held, n, limit, hot = [], 0, held_rows, hot[:0]
+            rows, cut = rows[same:], max(0, cut - same)
+        if not held and cut:
+            yield from _met_rows(rows[:cut], hot_key, last)
+            rows = rows[cut:]
+        if len(hot) and len(rows):
+            passed = np.isin(rows[:, 0] >> np.uint64(8), hot)
+            if passed.any():
+                yield _met_batch(*rows[passed].T.copy(), True)
+            rows = rows[~passed]
+        if len(rows):
+            held.append(rows)
+            n += len(rows)
+        if n > limit and not last:
+            rows = np.concatenate(held)
+            key, which, size = np.unique(rows[:, 0] >> np.uint64(8), return_inverse=True, return_counts=True)
+            large = size[which] > hot_key
+            if large.any():
+                hot = np.concatenate([hot, key[size > hot_key]])
+                yield _met_batch(*rows[large].T.copy(), True)
+                rows = rows[~large]
+            held, n, limit = [rows] if len(rows) else [], len(rows), max(held_rows, 2 * len(rows))
+    if held:
+        yield from _met_rows(np.concatenate(held), hot_key, last)
+
+
+def _met(keys: DataFrame, hot_key: int, last: bool = False) -> DataFrame:
+    """(key, null, h1, par) of the lines that meet another one under a key, once
+    for each key: as many rows as came in at most, not the pairs. The rows of keys
+    with more than ``hot_key`` of them come out as they are, with their side; in
+    the ``last`` round all lines of such a key count as met."""
+    return (keys.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(lambda batches: _met_batches(batches, hot_key, last, HELD_ROWS), MET))
+
+
+def _split(hot: DataFrame) -> DataFrame:
+    """The rows of hot keys under keys of their own for each of 4 * threshold + 1
+    parts of the parity signature, with the part's bits: near lines differ in at
+    most 4 * threshold bits, so they agree in a part; others mostly do not."""
+    def tables(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-            key = cols[0]
-            if hot is not None:
-                stop = int(np.searchsorted(key, hot, side="right"))
-                if stop:
-                    yield from raw([c[:stop] for c in cols])
-                if stop == len(key):
-                    continue
-                cols, hot = [c[stop:] for c in cols], None
-                key = cols[0]
-            last = int(np.searchsorted(key, key[-1]))
-            if held and held[0][0][0] != key[-1]:
-                same = int(np.searchsorted(key, held[0][0][0], side="right"))
-                yield from whole([*held, [c[:same] for c in cols]], n + same)
-                held, n = [], 0
-                cols = [c[same:] for c in cols]
-                last -= same
-            if not held and last:
-                yield from whole([[c[:last] for c in cols]], last)
-                cols = [c[last:] for c in cols]
-            held.append(cols)
-            n += len(cols[0])
-            if n > hot_key:
-                hot = int(held[0][0][0])
-                for rows in held:
-                    yield from raw(rows)
-                held, n = [], 0
-        if held:
-            yield from whole(held, n)
-
-    def whole(held, n):
-        """Complete keys: the large ones as they are, pairs of the others."""
-        cols = [np.concatenate(c) for c in zip(*held)]
-        key = cols[0]
-        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(edge, len(key)))
-        large = np.repeat(size > hot_key, size)
-        if large.any():
-            yield from raw([c[large] for c in cols])
-        if not large.all():
-            yield from pairs([[c[~large] for c in cols]])
-
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, MET)
-
-
-def _candidates(keys: DataFrame, steps, hot_key: int) -> DataFrame:
-    """Distinct pairs (a, b) of h1, a < b, that meet under a key.
-
-    Keys are matched as sorted streams. The rows of a key with more than
-    ``hot_key`` rows enter a join instead, once for each of 4 * threshold + 1
-    parts of the parity signature, under the part's bits: near lines differ in
-    at most 4 * threshold bits, so they agree in a part; others mostly do not,
-    and Spark can split what is left."""
-    met = written(_met(keys, hot_key), "line-pairs")
+            key, side, h1, par = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            for t in np.unique(np.abs(side)).tolist():
+                own = np.abs(side) == t
+                bits = max(1, 64 // (4 * t + 1))
+                for k in range(4 * t + 1):
+                    v = (par[own].view(np.uint64) >> np.uint64(min(63, k * bits))) & np.uint64((1 << bits) - 1)
+                    yield np.stack([_joined(_tag(key[own].view(np.uint64) ^ (v * np.uint64(_INV)), 0, k, t), side[own]),
+                                    h1[own].view(np.uint64), par[own].view(np.uint64)], axis=1)
 
-    def values(t: int):
-        parts = 4 * t + 1
-        bits = 64 // parts
-        return F.array(*[F.struct(F.lit(k).alias("k"), F.call_function("shiftrightunsigned", F.col("par"), F.lit(k * bits))
-                                  .bitwiseAND(F.lit((1 << bits) - 1)).alias("v")) for k in range(parts)])
+    return hot.mapInArrow(lambda batches: _bucketed(tables(batches)), KEYS)
 
-    own = F.coalesce(*[F.when(F.abs("side") == t, values(t)) for _, t in steps])
 
-    def split(sign, line, par):
-        rows = (met.filter(F.col("key").isNotNull() & (F.signum("side") == sign)).select("key", "side", "a", "par").distinct())
-        return rows.select("key", F.abs("side").alias("t"), F.col("a").alias(line), F.col("par").alias(par), F.inline(own))
-
-    near = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * F.col("t")
-    hot = (split(-1, "x", "px").join(split(1, "y", "py").hint("merge"), ["key", "t", "k", "v"])
-           .filter((F.col("x") != F.col("y")) & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-    return met.filter("key is null").select("a", "b").unionByName(hot).distinct()
+def _candidates(keys: DataFrame, hot_key: int) -> DataFrame:
+    """(key, h1, par): the lines to compare under each key. Those of a key with
+    more than ``hot_key`` rows are met once more, split by their parities."""
+    met = written(_met(keys, hot_key), "line-keys")
+    hot = _met(_split(met.filter("side is not null")), hot_key, last=True)
+    return met.filter("side is null").unionByName(hot).select("key", "h1", "par")
 
 
 def _text_of(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
@@ -439,24 +516,76 @@ def _text_of(lines: DataFrame, exchanged: DataFrame, text: str) -> DataFrame:
         run, "h1 long, h2 long, did long, th long, pos int, line string")
 
 
+def _later(par: np.ndarray, lines: list[str], steps) -> list[int]:
+    """Which of the lines of one key, in their order, have an earlier near line.
+    Each is compared with the earliest ones first, and no more once one is found,
+    so a group of near lines takes as many comparisons as it has lines."""
+    starts, edits = zip(*sorted(steps))
+    grant = (0, *edits)
+
+    def near(x: str, y: str) -> bool:
+        return within(x, y, grant[bisect.bisect_right(starts, max(len(x), len(y)))])
+
+    if len(lines) <= FEW:
+        bits = [4 * grant[bisect.bisect_right(starts, len(x))] for x in lines]
+        own = par.tolist()
+        return [z for z in range(1, len(lines)) if any(
+            (own[z] ^ own[c]).bit_count() <= max(bits[z], bits[c]) and near(lines[z], lines[c]) for c in range(z))]
+    length = np.array([len(x) for x in lines])
+    bits = 4 * granted(length, steps)
+    left, found = np.arange(1, len(lines)), []
+    for a in range(0, len(lines), COMPARED):
+        left = left[left > a]
+        if not len(left):
+            break
+        here = []
+        for part in range(0, len(left), COMPARED):
+            z, c = left[part:part + COMPARED], np.arange(a, min(a + COMPARED, len(lines)))
+            ok = ((np.bitwise_count(par[z][:, None] ^ par[c]) <= np.maximum(bits[z][:, None], bits[c])) & (c < z[:, None])
+                  & (np.abs(length[z][:, None] - length[c]) <= edits[-1]))
+            done = -1
+            for i, k in np.argwhere(ok).tolist():
+                if i != done and near(lines[z[i]], lines[a + k]):
+                    here.append(int(z[i]))
+                    done = i
+        found += here
+        left = np.setdiff1d(left, here, assume_unique=True)
+    return found
+
+
 def _near(first: DataFrame, candidates: DataFrame, exchanged: DataFrame, text: str, steps) -> DataFrame:
     """(h1, h2) of the lines that have an earlier near line."""
     candidates = written(candidates, "candidates")
-    asked = candidates.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
+    asked = candidates.select("h1").distinct()
     places = first.join(asked.hint("merge"), "h1", "left_semi").select("did", "th", "pos")
     texts = _text_of(places, exchanged, text).distinct()
-    side = lambda n: texts.select(F.col("h1").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in ("h2", "did", "th", "pos", "line")])
-    both = candidates.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
-    later = F.struct("a_did", "a_th", "a_pos") > F.struct("b_did", "b_th", "b_pos")
-    rows = both.select("a_line", "b_line", F.when(later, F.col("a")).otherwise(F.col("b")).alias("h1"),
-                       F.when(later, F.col("a_h2")).otherwise(F.col("b_h2")).alias("h2"))
+    rows = (candidates.join(texts.hint("merge"), "h1").select("key", "par", "h1", "h2", "line", "did", "th", "pos")
+            .repartition("key").sortWithinPartitions("key", "did", "th", "pos"))
+
+    def near(held):
+        key, par, h1, h2 = (np.concatenate([h[k] for h in held]) for k in range(4))
+        lines = [x for h in held for x in h[4]]
+        at = []
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for a, b in zip(cuts, cuts[1:]):
+            at += [a + k for k in _later(par[a:b], lines[a:b], steps)]
+        if at:
+            yield pa.RecordBatch.from_arrays([pa.array(h1[at]), pa.array(h2[at])], names=["h1", "h2"])
 
     def run(batches):
+        held = []  # rows of the key that may go on
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            most = granted([max(len(x), len(y)) for x, y in zip(a, b)], steps).tolist()
-            ok = pa.array([within(x, y, m) for x, y, m in zip(a, b, most)], pa.bool_())
-            yield batch.select([2, 3]).filter(ok)
+            if not batch.num_rows:
+                continue
+            key, par, h1, h2 = (batch.column(k).to_numpy() for k in range(4))
+            cols = [key, par.view(np.uint64), h1, h2, batch.column(4).to_pylist()]
+            last = int(np.searchsorted(key, key[-1]))
+            if last or held and held[0][0][0] != key[-1]:
+                yield from near([*held, [c[:last] for c in cols]])
+                held = []
+            held.append([c[last:] for c in cols])
+        if held:
+            yield from near(held)
 
     return rows.mapInArrow(run, "h1 long, h2 long").distinct()
 
@@ -478,7 +607,7 @@ def line_dedup(docs: DataFrame, text: str = "text", steps=STEPS,
              .toDF("h1", "h2", "f", "many").select("h1", "h2", "f.*", "many"))
     first = written(first, "first-lines")
     exchanged = rows.select(*own, *([text] if text not in own else []), "_did", "_th")
-    near = _near(first, _candidates(_keyed(rows, text, steps), steps, hot_key), exchanged, text, steps)
+    near = _near(first, _candidates(_keyed(rows, text, steps), hot_key), exchanged, text, steps)
 
     # Only lines that repeat or have an earlier near line can go; a hot one is dealt over the salts.
     marked = (first.join(near.withColumn("near", F.lit(True)).hint("merge"), ["h1", "h2"], "left")
