@@ -134,12 +134,13 @@ def _enriched(spark: SparkSession, source: str | tuple[str, int], checkpoint: st
     return enriched_stream_rows(wire.filter(F.col("reason").isNull())), left
 
 
-def _run(out: DataFrame, sink: str, checkpoint: str, batches: int | None) -> list[dict]:
-    from vigil.streaming.scorer import drain, start_with_partitions
+def _run(out: DataFrame, sink: str, checkpoint: str, batches: int | None, batch_rows: int | None) -> list[dict]:
+    from vigil.streaming.scorer import drain, partitions_for, start_with_partitions
+    spark = out.sparkSession
     writer = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if batches is None else writer.trigger(processingTime="0 seconds")
-    query = start_with_partitions(out.sparkSession, writer, out.sparkSession.sparkContext.defaultParallelism)
+    query = start_with_partitions(spark, writer, spark.sparkContext.defaultParallelism if batches is None else partitions_for(spark, batch_rows))
     return drain(query, batches, settle=True)
 
 
@@ -160,7 +161,7 @@ def run_window_summary(spark: SparkSession, enriched: str | tuple[str, int], sin
             .select("device_key", "start", "end", "measurement", "anomaly"))
     made = rows.groupBy("device_key").transformWithStateInPandas(
         SummaryProcessor(width, s.anomaly_threshold, block_windows), _CLOSED, "append", "EventTime")
-    return _run(_average(made), sink, checkpoint, batches)
+    return _run(_average(made), sink, checkpoint, batches, batch_rows)
 
 
 def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -187,7 +188,7 @@ def run_live_window(spark: SparkSession, enriched: str | tuple[str, int], sink:
     rows = stream.select("device_key", *RING_FIELDS)
     made = rows.groupBy("device_key").transformWithStateInPandas(
         RingProcessor(s.display_rows), f"device_key string, {_RING}, newest long", "append", "None")
-    return _run(made, sink, checkpoint, batches)
+    return _run(made, sink, checkpoint, batches, batch_rows)
 
 
 def read_live_window(spark: SparkSession, sink: str) -> DataFrame:
