@@ -59,6 +59,31 @@ def test_tasks_stay_within_bins():
     assert reader.partitions({"position": 4}, {"position": 4}) == []
 
 
+def test_a_batch_reads_its_row_groups_and_is_dealt_over_tasks(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from vigil.sources import replay
+    monkeypatch.setattr(replay, "GROUP_ROWS", 64)
+    folder, n = stage(_wire(spark))
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{folder.removeprefix('file:')}/bin=*/*.parquet")]
+    assert n == 1000 and max(m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)) <= 64
+    reader = ReplayReader({"path": folder, "rows": "5", "total": "1000"})
+    cuts = reader.partitions({"position": 0}, {"position": 1000})
+    assert len(cuts) == 16 and [c.low for c in cuts[1:]] == [c.high for c in cuts[:-1]]
+    assert sum(b.num_rows for c in cuts for b in reader.read(c)) == 1000
+
+
+def test_state_partitions_by_the_rows_of_a_batch(spark):
+    import os
+    most = spark.sparkContext.defaultParallelism
+    assert [SC.partitions_for(spark, r) for r in (1, 4000, 1 << 30)] == [min(4, most), min(4, most), most]
+    sink, ck = scratch_dir(spark, "sink"), scratch_dir(spark, "ck")
+    SC.replay_ordered(_wire(spark), sink, ck, 1000)
+    assert sum(d.isdigit() for d in os.listdir(f"{ck.removeprefix('file:')}/state/0")) == min(4, most)
+
+
 def _starts(monkeypatch):
     """The streams that a query starts: what each drained."""
     from vigil.streaming import scorer
