@@ -96,3 +96,28 @@ def test_months_are_scored_in_bounded_blocks(spark, monkeypatch):
     assert got.rdd.getNumPartitions() >= rows // 100
     exp = score(Q._typed_orders(spark, sf), plan="window").select(*Q.SCORE_COLS)
     assert rows == exp.count() and got.exceptAll(exp).count() == 0
+
+
+def test_blocks_stay_in_place_when_no_carry_is_broadcast(spark):
+    """Carries too large for a broadcast must not deal the rows anew: each block
+    stays one task, whatever the session's number of shuffle partitions."""
+    from datetime import datetime, timedelta
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    t0 = datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [(f"d{i % 3}", t0 + timedelta(minutes=i // 2), i, (i * i % 17) / 1000) for i in range(2000)],
+        "device_key string, event_time timestamp, seq long, measurement double")
+    old = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        scored = []
+        plan = _checkpointed_plans(lambda: scored.append(
+            score(rows, plan="segmented", blocks=5, keep=["event_time"])))[-1]
+        assert scored[0].rdd.getNumPartitions() == 5
+    finally:
+        for n in names:
+            spark.conf.unset(n) if old[n] is None else spark.conf.set(n, old[n])
+    assert not [x for x in _exchanges(re.sub(r"#\d+L?", "", plan)) if x.startswith("hashpartitioning(device_key, blk, ")]
+    exp = score(rows, plan="window", keep=["event_time"])
+    assert scored[0].count() == 2000 == exp.count() and scored[0].exceptAll(exp).count() == 0

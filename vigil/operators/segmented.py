@@ -14,12 +14,12 @@ running quantity of the model is a two-level scan:
 3. the carry joins back and combines with the local value (sum, greatest,
    bit-or, or replaces the first rows' lags).
 
-Every carry is keyed by (device, blk) alone (per-bucket values travel as a
-small map), which is exactly the partitioning of the blocked rows, so no
-carry join ever moves the rows: it is broadcast when small and otherwise
-only the carry side is shuffled. Only a block's first device continues from
-an earlier block, so each carry has at most ``blocks`` rows (numbering:
-``2 * blocks``), the maps at most ``n_buckets`` x (``n_buckets`` + 1) entries.
+No carry join ever moves the rows: a carry is broadcast when small and otherwise
+dealt by block number as the rows are (``placed``; dealt by a hash of its keys it
+would draw the rows after it, several blocks to a task). Only a block's first
+device continues from an earlier block, so the carries of whole blocks have at
+most ``blocks`` rows (numbering: ``2 * blocks``); those of transitions and of
+buckets have at most ``n_buckets`` x (``n_buckets`` + 1) and ``n_buckets`` rows a block.
 
 One range exchange cuts the rows into blocks; a second exchange deals them by
 block number (each block is one partition), after which every window, aggregate
@@ -69,23 +69,23 @@ def blocked_rows(rows: DataFrame, blocks: int) -> DataFrame:
     return base
 
 
-def _pair_key(b, to_k, s: ScoreSettings):
-    return b * F.lit(s.n_buckets + 1) + to_k + F.lit(1)
-
-
 def score_segmented(prepared: DataFrame, s: ScoreSettings, blocks: int) -> DataFrame:
     base = blocked_rows(prepared, blocks)
     try:
-        return _score_blocks(base, s)
+        return _score_blocks(base, s, blocks)
     finally:
         base.unpersist()
 
 
-def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
+def _score_blocks(base: DataFrame, s: ScoreSettings, blocks: int) -> DataFrame:
     """The model over the cached blocked rows; returns the checkpointed
     scores. Only what the model needs goes through the windows and the second
     cache; the other fields join at the end, by a row's number in its block."""
     place = ["device_key", "blk", "ln"]
+
+    def placed(carry: DataFrame) -> DataFrame:
+        return carry.repartitionById(blocks, F.col("blk"))
+
     a = base.select(*place, "nb_local", "b", "measurement")
     words = range(n_words(s.n_buckets))
     succ = [f"succ_{k}" for k in words]
@@ -116,16 +116,12 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("cnt2"), F.max("record_number").alias("last_n"))
                 .withColumn("off2", F.coalesce(F.sum("cnt2").over(by_pair_blk.rowsBetween(UNB, -1)),
                                                F.lit(0)).cast("long")))
-    carry2 = (pair_tot.filter(F.col("off2") > 0)
-              .groupBy("device_key", "blk")
-              .agg(F.map_from_entries(F.collect_list(
-                  F.struct(_pair_key(F.col("b"), F.col("to_k"), s).alias("pk"), "off2"))).alias("m2")))
+    carry2 = placed(pair_tot.filter(F.col("off2") > 0).select("device_key", "blk", "b", "to_k", "off2"))
     pair = Window.partitionBy("device_key", "blk", "b", "to_k").orderBy("ln")
     b2 = (a.withColumn("lc", F.row_number().over(pair).cast("long"))
-           .join(carry2, ["device_key", "blk"], "left")
-           .withColumn("c", F.col("lc") + F.coalesce(
-               F.try_element_at("m2", _pair_key(F.col("b"), F.col("to_k"), s)), F.lit(0)))
-           .drop("lc", "m2"))
+           .join(carry2, ["device_key", "blk", "b", "to_k"], "left")
+           .withColumn("c", F.col("lc") + F.coalesce("off2", F.lit(0)))
+           .drop("lc", "off2"))
 
     # 3. Running mode and successor set of b over the rows before this one.
     #    A block's best (count, row, to) for b is, per transition, its count
@@ -137,23 +133,20 @@ def _score_blocks(base: DataFrame, s: ScoreSettings) -> DataFrame:
                        to_b.alias("to_b"))).alias("bm"),
         *[F.bit_or(bit_word(to_b, k)).alias(f"w{k}") for k in words])
     by_b_blk = Window.partitionBy("device_key", "b").orderBy("blk").rowsBetween(UNB, -1)
-    carry3 = (b_tot.select(
-        "device_key", "b", "blk",
+    carry3 = placed(b_tot.select(
+        "device_key", "blk", "b",
         F.struct(F.max("bm").over(by_b_blk).alias("best"),
-                 *[F.bit_or(f"w{k}").over(by_b_blk).alias(f"w{k}") for k in words]).alias("v"))
-        .filter(F.col("v.best").isNotNull())
-        .groupBy("device_key", "blk")
-        .agg(F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("m3")))
+                 *[F.bit_or(f"w{k}").over(by_b_blk).alias(f"w{k}") for k in words]).alias("cv"))
+        .filter(F.col("cv.best").isNotNull()))
     before = Window.partitionBy("device_key", "blk", "b").orderBy("ln").rowsBetween(UNB, -1)
     zero = F.lit(0).cast("long")
     c3 = (b2.select("*", F.max(mode).over(before).alias("best_l"),
                     *[F.bit_or(bit_word("to_b", k)).over(before).alias(f"w{k}_l") for k in words])
-            .join(carry3, ["device_key", "blk"], "left")
-            .withColumn("cv", F.try_element_at("m3", F.col("b")))
+            .join(carry3, ["device_key", "blk", "b"], "left")
             .withColumn("best", F.greatest("best_l", "cv.best"))
             .withColumns({f"succ_{k}": F.coalesce(f"w{k}_l", zero).bitwiseOR(F.coalesce(f"cv.w{k}", zero)) for k in words})
             .withColumn("predictionNext", bucket_value(F.coalesce(F.col("best.to_b"), F.col("b")), s))
-            .drop("best_l", *[f"w{k}_l" for k in words], "m3", "cv", "best", "c", "to_b", "to_k"))
+            .drop("best_l", *[f"w{k}_l" for k in words], "cv", "best", "c", "to_b", "to_k"))
     c3 = c3.persist(StorageLevel.MEMORY_AND_DISK)
     c3.count()
 
