@@ -5,7 +5,7 @@ import pytest
 
 from vigil.llm.queries import ORACLE, QUERIES
 
-TABLES = ["documents", "benchmark", "pages"]
+TABLES = ["documents", "benchmark", "pages", "embeddings"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
