@@ -133,3 +133,60 @@ def test_shared_boilerplate_links_nothing(frame):
     rows += [(1000 + k, t + " end") for k, t in rows[::10]]
     check(N.near_duplicates(frame(rows), size=2).collect(), rows)
     check(N.near_duplicates(frame(rows), size=2, block_shingles=3000).collect(), rows)
+
+
+def _sketched(sigs, keys, frame):
+    words = N.sketch(sigs).view(np.int64)
+    rows = [(int(k), n, *map(int, words[n])) for n, k in enumerate(keys)]
+    return frame(rows, "key long, node long, s0 long, s1 long")
+
+
+def test_a_sketch_never_differs_in_more_symbols_than_its_signature():
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 16, (500, N.SYMBOLS), dtype=np.uint16)
+    b = np.where(rng.random(a.shape) < rng.random((500, 1)), a ^ rng.integers(0, 1 << 16, a.shape, dtype=np.uint16), a)
+    low = (a & 15 != b & 15).sum(axis=1)
+    assert (N.sketch_distance(N.sketch(a), N.sketch(b)) == low).all() and (low <= (a != b).sum(axis=1)).all()
+
+
+def test_only_rows_near_another_of_their_key_meet(frame):
+    rng = np.random.default_rng(7)
+    sigs = rng.integers(0, 1 << 16, (300, N.SYMBOLS), dtype=np.uint16)
+    for k in range(0, 300, 5):  # rows k to k + 3 are a chain: 10 symbols from one to the next, 20 or more over two steps
+        for j in range(3):
+            sigs[k + j + 1] = sigs[k + j]
+            sigs[k + j + 1, 10 * j:10 * j + 10] ^= np.uint16(0x5555)
+    keys = np.concatenate([np.arange(150) // 5, np.full(150, 99)])
+    df = _sketched(sigs, keys, frame)
+    for key_rows in (20_000, 151):
+        got = [tuple(r) for r in N.meeting(df, 14, key_rows).collect()]
+        assert {n for _, _, n in got} == {n for n in range(300) if n % 5 < 4}
+        parent = list(range(300))
+        for key, u, v in got:
+            assert keys[u] == keys[v] == key
+            parent[max(root(parent, u), root(parent, v))] = min(root(parent, u), root(parent, v))
+        assert [root(parent, n) for n in range(300)] == [n // 5 * 5 if n % 5 < 4 else n for n in range(300)]
+    hot = N.meeting(df, 14, 100).filter("key = 99").collect()  # too many for one comparison: all stay
+    assert {(r.head, r.node) for r in hot} == {(150, n) for n in range(150, 300)}
+
+
+def test_blocks_of_a_linked_family_are_compared_by_a_few(frame, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{j}" for j in range(200)]
+    rows = list(enumerate(family(rng, base, 300, 2)))
+    # A second family, near the first one (0.6 of the shingles) but not linked to it.
+    rows += [(1000 + k, t) for k, t in enumerate(family(rng, base[:150] + [f"v{j}" for j in range(50)], 60, 2))]
+    seen = []
+    plain_linked = N.linked
+
+    def counted(tasks, *args):
+        seen.append(tasks.select("cluster", "a", "b", "node").distinct().count())
+        return plain_linked(tasks, *args)
+
+    monkeypatch.setattr(N, "linked", counted)
+    check(N.near_duplicates(frame(rows), size=2, block_shingles=50_000).collect(), rows)
+    monkeypatch.undo()
+    blocks = -(-sum(200 + N.MEMBER for _ in rows) // 50_000)
+    assert blocks > 4 and len(seen) == 3
+    assert seen[0] <= len(rows) and seen[1] <= 2 * N.DELEGATES * blocks * blocks
+    check(N.near_duplicates(frame(rows), size=2).collect(), rows)
