@@ -128,3 +128,15 @@ def test_last_batch_stays_when_those_before_grow(spark, monkeypatch):
     last = Q._wire(spark, SF_SMALL).orderBy(F.desc("seq")).limit(1000 % 30)
     assert got == {r.key for r in last.select("key").collect()}
     assert len(seen) == 2 and [len([p for p in s if p["numInputRows"]]) for s in seen] == [3, 1]
+
+
+def test_bad_records_have_as_many_keys_as_the_state_has_partitions(spark, monkeypatch):
+    from vigil.sources.tables import junk_records, junk_wire
+    seen, plain = [], SC.through_state
+    monkeypatch.setattr(SC, "through_state", lambda *args, **kw: seen.append(kw.get("lanes")) or plain(*args, **kw))
+    sink, ck = scratch_dir(spark, "sink"), scratch_dir(spark, "ck")
+    wire = junk_wire(wire_rows(junk_records(events_records(spark, SF_SMALL))))
+    SC.replay_ordered(wire, sink, ck, 500)
+    assert seen == [SC.partitions_for(spark, 500)] and seen[0] < SC.LANES
+    assert SC.read_enriched(spark, sink).count() + SC.read_quarantined(spark, sink).count() == 1000
+    assert SC.read_quarantined(spark, sink).count() == 150
